@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from siltworks.llm import mixing, sharding
+from siltworks.llm import mixing, secrets, sharding
 
 QUERIES = {
     "op1_mix_sources": mixing.op1,
+    "op3_secrets": secrets.op3,
     "op10_shard_bytes": sharding.op10,
 }
 

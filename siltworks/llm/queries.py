@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from siltworks.llm import mixing, secrets, sharding
+from siltworks.llm import minhash, mixing, secrets, sharding
 
 QUERIES = {
     "op1_mix_sources": mixing.op1,
     "op3_secrets": secrets.op3,
+    "op9_minhash": minhash.op9,
     "op10_shard_bytes": sharding.op10,
 }
 

@@ -2,13 +2,30 @@
 
 from __future__ import annotations
 
-from siltworks.llm import minhash, mixing, secrets, sharding
+from siltworks.llm import embeddings, minhash, mixing, secrets, sharding, topk
 
 QUERIES = {
     "op1_mix_sources": mixing.op1,
+    "op2_embeddings": embeddings.op2,
     "op3_secrets": secrets.op3,
+    "op7_topk": topk.op7,
     "op9_minhash": minhash.op9,
     "op10_shard_bytes": sharding.op10,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+        ), r AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+        )
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """,
+}

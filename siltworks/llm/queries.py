@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from siltworks.llm import embeddings, minhash, mixing, secrets, sharding, topk
+from siltworks.llm import embeddings, lines, minhash, mixing, secrets, sharding, topk
 
 QUERIES = {
     "op1_mix_sources": mixing.op1,
     "op2_embeddings": embeddings.op2,
     "op3_secrets": secrets.op3,
     "op7_topk": topk.op7,
+    "op8_lines": lines.op8,
     "op9_minhash": minhash.op9,
     "op10_shard_bytes": sharding.op10,
 }

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from siltworks.llm import embeddings, lines, minhash, mixing, pieces, secrets, sharding, topk
+from siltworks.llm import embeddings, lines, minhash, mixing, pieces, quality, secrets, sharding, topk
 
 QUERIES = {
     "op1_mix_sources": mixing.op1,
     "op2_embeddings": embeddings.op2,
     "op3_secrets": secrets.op3,
     "op4_pieces": pieces.op4,
+    "op6_quality": quality.op6,
     "op7_topk": topk.op7,
     "op8_lines": lines.op8,
     "op9_minhash": minhash.op9,
@@ -17,6 +18,7 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op4_pieces": pieces.op4,
+    "op6_quality": quality.op6,
     "op7_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e

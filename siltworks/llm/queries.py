@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from siltworks.llm import embeddings, lines, minhash, mixing, pieces, quality, secrets, sharding, topk
+from siltworks.llm import embeddings, lines, minhash, mixing, pieces, quality, secrets, sharding, suffixes, topk
 
 QUERIES = {
     "op1_mix_sources": mixing.op1,
     "op2_embeddings": embeddings.op2,
     "op3_secrets": secrets.op3,
     "op4_pieces": pieces.op4,
+    "op5_suffixes": suffixes.op5,
     "op6_quality": quality.op6,
     "op7_topk": topk.op7,
     "op8_lines": lines.op8,
@@ -18,6 +19,7 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op4_pieces": pieces.op4,
+    "op5_suffixes": suffixes.op5,
     "op6_quality": quality.op6,
     "op7_topk": """
         WITH v AS (

@@ -15,15 +15,22 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise df in the shared checkpoint folder and cut its lineage.
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that driver and executors share.
 
-    The folder is the one named by spark.checkpoint.dir; only a session without one (tests,
-    notebooks) gets a folder of its own.
+    It is the one named by spark.checkpoint.dir; only a session without one (tests, notebooks)
+    gets a folder of its own.
     """
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="siltworks-checkpoint-"))
+    set_ = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if set_.isEmpty():
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="siltworks-checkpoint-"))
+        set_ = spark.sparkContext._jsc.sc().getCheckpointDir()
+    return set_.get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Materialise df in the shared checkpoint folder and cut its lineage."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -7,14 +7,16 @@ a reader drops in silence, are found from the schema that the files themselves h
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltworks.functions import schemas
-from siltworks.sources.files import CORRUPT, LoadOptions, scan
+from siltworks.sources.files import CORRUPT, LoadOptions, is_corrupt, scan
 
 
 @dataclass
@@ -34,22 +36,20 @@ def bad_records(spark: SparkSession, urls: list[str], schema: T.StructType, opti
     """(url, kind) for each file with bad records, kind being corrupted or invalid_schema."""
     rows = scan(spark, urls, schema, options).withColumn("url", F.col("_metadata.file_path"))
     sound = F.lit(options.format_of(urls) == "csv") | F.try_parse_json(CORRUPT).isNotNull()
-    found = rows.select("url", CORRUPT, *schema.names[:1]).where(F.col(CORRUPT).isNotNull())
-    kinds = found.groupBy("url").agg(F.max((~sound).cast("int")).alias("corrupt"))
-    return kinds.select("url", F.when(F.col("corrupt") == 1, "corrupted").otherwise("invalid_schema").alias("kind"))
+    bad = is_corrupt(rows)
+    kinds = rows.groupBy("url").agg(F.count_if(bad & ~sound).alias("corrupt"), F.count_if(bad & sound).alias("unfit"))
+    kind = F.when(F.col("corrupt") > 0, "corrupted").otherwise("invalid_schema").alias("kind")
+    return kinds.where("corrupt > 0 or unfit > 0").select("url", kind)
 
 
-def unknown_by_file(spark: SparkSession, urls: list[str], schema: T.StructType, options: LoadOptions) -> DataFrame:
-    """(url, schema) of the JSON files with fields, at any depth, that the schema lacks."""
-    lines = spark.read.text(urls).select("value", F.col("_metadata.file_path").alias("url"))
-    # one schema for each file, merged from its lines on the executors
-    kinds = lines.where(F.try_parse_json("value").isNotNull()).groupBy("url").agg(F.schema_of_variant_agg(F.try_parse_json("value")).alias("schema"))
+def unknown_by_file(spark: SparkSession, urls: list[str], schema: T.StructType) -> list[str]:
+    """The JSON files with fields, at any depth, that the schema lacks.
 
-    @F.udf("boolean")
-    def unknown(found: str | None) -> bool:
-        return bool(found) and bool(schemas.unknown_fields(parse_variant_schema(found), schema))
-
-    return kinds.where(unknown("schema"))
+    Each file's own schema is merged from its lines on the executors; one row a file comes back.
+    """
+    lines = spark.read.text(urls).select(F.try_parse_json("value").alias("v"), F.col("_metadata.file_path").alias("url"))
+    kinds = lines.where(F.col("v").isNotNull()).groupBy("url").agg(F.schema_of_variant_agg("v").alias("schema"))
+    return [r["url"] for r in kinds.collect() if schemas.unknown_fields(parse_variant_schema(r["schema"]), schema)]
 
 
 def parse_variant_schema(text: str) -> T.DataType:
@@ -57,14 +57,9 @@ def parse_variant_schema(text: str) -> T.DataType:
     return T._parse_datatype_string(text.replace("OBJECT<", "STRUCT<").replace("VARIANT", "STRING").replace("VOID", "STRING")) if text else T.NullType()
 
 
-def _as_given(spark: SparkSession, urls: list[str]) -> dict[str, str]:
-    """The url as given for each qualified one that Spark reports."""
-    out = {}
-    for url in urls:
-        path = spark._jvm.org.apache.hadoop.fs.Path(url)
-        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        out[fs.makeQualified(path).toString().replace("file:/", "file:///", 1) if fs.getScheme() == "file" else fs.makeQualified(path).toString()] = url
-    return out
+def _plain(url: str) -> str:
+    """A url without the forms that a local one may take and without escapes."""
+    return unquote(re.sub(r"^file:/+", "/", url))
 
 
 def classify(spark: SparkSession, urls: list[str], schema: T.StructType, options: LoadOptions | None = None) -> Classified:
@@ -79,11 +74,11 @@ def classify(spark: SparkSession, urls: list[str], schema: T.StructType, options
     if kind not in ("json", "csv"):
         out.valid = there
         return out
-    given = _as_given(spark, there)
-    verdict = {given.get(r["url"], r["url"]): r["kind"] for r in bad_records(spark, there, schema, options).collect()}
+    given = {_plain(u): u for u in there}
+    verdict = {given.get(_plain(r["url"]), r["url"]): r["kind"] for r in bad_records(spark, there, schema, options).collect()}
     if kind == "json" and not options.ignore_unknown_values:
-        for r in unknown_by_file(spark, there, schema, options).select("url").collect():
-            verdict.setdefault(given.get(r["url"], r["url"]), "invalid_schema")
+        for url in unknown_by_file(spark, there, schema):
+            verdict.setdefault(given.get(_plain(url), url), "invalid_schema")
     for url in there:
         getattr(out, verdict.get(url, "valid")).append(url)
     return out

@@ -50,6 +50,7 @@ def run_due(spark: SparkSession, rule: Rule, table: str, now: Column, journal: J
     A file that arrives after its window ran is a new run of that window with the late file
     alone: files of finished runs are left out of the manifest first.
     """
+    spark.catalog.refreshTable(table)  # the stream writes it from a session of its own
     done = journal.latest().where("state = 'done'").select(F.explode("urls").alias("url")).distinct()
     files = spark.table(table).join(done, "url", "left_anti")
     windows = batch_windows(files, rule.window_seconds, F.lit(rule.table), rule.multi_path, rule.pattern if rule.pattern_hash else None, rule.roll_over)

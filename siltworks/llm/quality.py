@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from siltworks.llm.common import WORD, cut, table
 
-LABELLED = 20_000
-POOL = 10_000
+LABELLED = 8_000
+POOL = 4_000
 ROUNDS = 3
 #: Share of the pool that each view labels for the other in a round.
 CONFIDENT = 0.03
@@ -80,7 +80,7 @@ def features(docs: DataFrame, text_col: str, source_col: str, lang_col: str, kee
 
 
 def _fit(rows: DataFrame, view: str, label: str = "label", reg: float = 1e-4) -> LogisticRegressionModel:
-    lr = LogisticRegression(featuresCol=view, labelCol=label, rawPredictionCol=f"raw_{view}", probabilityCol=f"_p_{view}", predictionCol=f"_y_{view}", maxIter=25, regParam=reg)
+    lr = LogisticRegression(featuresCol=view, labelCol=label, rawPredictionCol=f"raw_{view}", probabilityCol=f"_prob_{view}", predictionCol=f"_y_{view}", maxIter=25, regParam=reg)
     return lr.fit(rows)
 
 
@@ -102,8 +102,9 @@ def co_train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sou
     chosen = F.broadcast(cut(labelled.unionByName(pool)))
     joined = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_t"), F.col(source_col).alias("_s"), F.col(lang_col).alias("_l")).join(chosen, "doc_id")
     sample = cut(features(joined, "_t", "_s", "_l", [F.col("doc_id"), F.col("label")]).dropDuplicates(["doc_id"]))
-    held = sample.where(F.col("label").isNotNull() & (F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(HELD_OUT)) == 0))
-    train = sample.where(F.col("label").isNotNull()).join(held.select("doc_id"), "doc_id", "left_anti")
+    apart = F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(HELD_OUT)) == 0
+    known_rows = sample.where("label is not null")
+    held, train = known_rows.where(apart), known_rows.where(~apart)
     count = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
     held_classes = held.select("label").distinct().count()
     if len(count) < 2 or held_classes < 2:
@@ -119,7 +120,7 @@ def co_train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sou
         if turn == rounds - 1 or not give:
             break
         for v, other in (views, views[::-1]):
-            rest = unlabelled if added[other] is None else unlabelled.join(added[other].select("doc_id"), "doc_id", "left_anti")
+            rest = unlabelled if added[other] is None else unlabelled.join(F.broadcast(added[other].select("doc_id")), "doc_id", "left_anti")
             scored = models[v].transform(rest).withColumn("_z", vector_to_array(f"raw_{v}")[1])
             pick = lambda order, n, y: scored.orderBy(order, "doc_id").limit(n).withColumn("label", F.lit(y)).select(*train.columns)  # noqa: B023, E731
             new = pick(F.desc("_z"), max(1, round(give * good)), 1.0).unionByName(pick(F.asc("_z"), max(1, round(give * (1 - good))), 0.0))
@@ -142,28 +143,35 @@ def score_documents(
 
     labels has doc_id and quality (0 or 1); an id with several counts as good if all are, null
     labels are left out. Null and empty texts are scored by their page view and as texts without words.
-    Repeated rows are scored alike, an empty table gives no rows. Without labels of both
+    Repeated rows are scored alike, an empty table gives no rows, and columns of docs named as
+    the ones added are left out. Without labels of both
     classes every row has the share of good labels (1 without any) as its score.
     """
+    rows = _scored(docs, labels, threshold, id_col, text_col, source_col, lang_col)
+    added = ("p_content", "p_page", "score", "kept")
+    own = [c for c in (docs.columns if keep is None else keep) if c.lower() not in added]
+    return rows.select(*[F.col(f"_row.`{c}`").alias(c) for c in own], *[F.col(f"_{c}").alias(c) for c in added])
+
+
+def _scored(docs: DataFrame, labels: DataFrame, threshold: float, id_col: str, text_col: str, source_col: str, lang_col: str) -> DataFrame:
+    """(_row, _p_content, _p_page, _score, _kept), _row being the whole row."""
     views, prior = co_train(docs, labels, id_col, text_col, source_col, lang_col)
-    columns = [F.col(c) for c in (docs.columns if keep is None else keep)]
+    row = F.struct(*docs.columns).alias("_row")
     if views is None:
         p = F.lit(float(prior))
-        return docs.select(*columns, p.alias("p_content"), p.alias("p_page"), p.alias("score"), (p >= threshold).alias("kept"))
-    scored = features(docs, text_col, source_col, lang_col, [F.struct(*columns).alias("_row")])
+        return docs.select(row, p.alias("_p_content"), p.alias("_p_page"), p.alias("_score"), (p >= threshold).alias("_kept"))
+    scored = features(docs, text_col, source_col, lang_col, [row])
     for v in views.values():
         scored = v.model.transform(scored)
     scored = scored.withColumns(dict(v.log_odds(name) for name, v in views.items()))
     chance = lambda z: 1 / (1 + F.exp(-z))
     score = chance(F.col("z_content") + F.col("z_page") - prior)
-    return scored.select(
-        "_row.*", chance(F.col("z_content")).alias("p_content"), chance(F.col("z_page")).alias("p_page"), score.alias("score"), (score >= threshold).alias("kept")
-    )
+    return scored.select("_row", chance(F.col("z_content")).alias("_p_content"), chance(F.col("z_page")).alias("_p_page"), score.alias("_score"), (score >= threshold).alias("_kept"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of docs, with their columns, that the classifier doesn't reject."""
-    return score_documents(docs, labels, None, threshold).where("kept").select(*docs.columns)
+    return _scored(docs, labels, threshold, "doc_id", "text", "source", "lang").where("_kept").select("_row.*")
 
 
 def op6(spark, sf_dir: str) -> DataFrame:

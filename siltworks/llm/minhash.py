@@ -212,8 +212,7 @@ def drop_near_duplicates(docs: DataFrame, threshold: int = 80, id_col: str = "do
     """
     found = near_duplicates(docs, threshold, SHINGLE, id_col, text_col)
     gone = found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    rest = docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
-    return rest
+    return docs.join(gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")
 
 
 def op9(spark, sf_dir: str) -> DataFrame:

@@ -153,11 +153,13 @@ def doc_key(id_col: str, text_col: str) -> Column:
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **targets) -> DataFrame:
     """The mix itself: every row of docs as often as it is taken, with the columns of docs."""
     taken = mix_copies(docs, word_count(F.col(text_col)), id_col, text_col, source_col, **targets)
-    taken = taken.where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "_key", "copies")
-    keyed = docs.withColumn("_key", doc_key(id_col, text_col))
-    match = (keyed["_key"] == taken["_key"]) & keyed[id_col].eqNullSafe(taken["_id"]) & keyed[source_col].cast("string").eqNullSafe(taken["_source"])
-    repeated = keyed.join(taken, match).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    return repeated.select(*[keyed[c] for c in docs.columns])
+    taken = taken.where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("_key").alias("_taken"), "copies")
+    keyed = docs.select(
+        F.struct(*docs.columns).alias("_row"), F.col(id_col).alias("_doc"), F.col(source_col).cast("string").alias("_from"), doc_key(id_col, text_col).alias("_key")
+    )
+    match = (F.col("_key") == F.col("_taken")) & F.col("_doc").eqNullSafe(F.col("_id")) & F.col("_from").eqNullSafe(F.col("_source"))
+    repeated = keyed.join(taken, match).select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return repeated.select("_row.*")
 
 
 def op1(spark, sf_dir: str) -> DataFrame:

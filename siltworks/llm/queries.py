@@ -17,10 +17,48 @@ QUERIES = {
     "op10_shard_bytes": sharding.op10,
 }
 
+#: Links a (smaller) - b between ids, to component_id: the smallest id that each id reaches.
+_REACH = """
+    , reach AS (
+        SELECT id, id AS r FROM ids
+        UNION
+        SELECT b, r FROM reach JOIN (SELECT a, b FROM links UNION SELECT b, a FROM links) l ON l.a = reach.id
+    ), component AS (SELECT id, MIN(r) AS component_id FROM reach GROUP BY id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
-    "op4_pieces": pieces.op4,
-    "op5_suffixes": suffixes.op5,
-    "op6_quality": quality.op6,
+    "op2_embeddings": f"""
+        WITH RECURSIVE ids AS (SELECT vec_id AS id FROM embeddings),
+        v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), n AS (SELECT vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS size FROM v),
+        links AS (
+            SELECT p.vec_id AS a, q.vec_id AS b FROM n p JOIN n q ON p.vec_id < q.vec_id AND p.size > 0 AND q.size > 0
+            WHERE list_sum(list_transform(list_zip(p.e, q.e), lambda t: t[1] * t[2])) / (p.size * q.size) >= 0.95
+        )
+        {_REACH}
+        SELECT id AS vec_id, (SELECT COUNT(*) FROM links WHERE a = id OR b = id) AS n_links, component_id, id = component_id AS kept
+        FROM component
+    """,
+    "op5_suffixes": """
+        WITH d AS (SELECT doc_id, hex(encode(COALESCE(text, ''))) AS h FROM documents),
+        w AS (SELECT doc_id, p, hash(substr(h, CAST(2 * p + 1 AS BIGINT), 100)) AS s FROM d, unnest(range(0, greatest(0, length(h) // 2 - 49))) AS t(p)),
+        f AS (SELECT s, MIN(doc_id) AS first FROM w GROUP BY s),
+        g AS (SELECT w.doc_id, w.p FROM w JOIN f USING (s) WHERE f.first < w.doc_id),
+        k AS (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 50 THEN 0 ELSE 1 END AS new FROM g),
+        r AS (SELECT doc_id, p, SUM(new) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM k),
+        spans AS (SELECT doc_id, run, MIN(p) AS lo, MAX(p) + 50 AS hi FROM r GROUP BY doc_id, run),
+        e AS (SELECT doc_id, lo, hi, COALESCE(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS after FROM spans),
+        kept AS (
+            SELECT d.doc_id, SUM(hi - lo) AS n_removed, COUNT(*) AS n_spans,
+                   string_agg(substr(h, CAST(2 * after + 1 AS BIGINT), CAST(2 * (lo - after) AS BIGINT)), '' ORDER BY lo) || substr(any_value(h), CAST(2 * MAX(hi) + 1 AS BIGINT)) AS rest
+            FROM d JOIN e USING (doc_id) GROUP BY d.doc_id
+        )
+        SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(COALESCE(n_removed, 0) AS BIGINT) AS n_removed, COALESCE(n_spans, 0) AS n_spans,
+               sha256(unhex(COALESCE(rest, h))) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)
+    """,
     "op7_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
@@ -35,4 +73,41 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
     """,
+    "op8_lines": r"""
+        WITH l AS (
+            SELECT doc_id, CAST(generate_subscripts(x, 1) - 1 AS INTEGER) AS line_no, unnest(x) AS line
+            FROM (SELECT doc_id, string_split(lower(COALESCE(text, '')), chr(10)) AS x FROM documents)
+        ), s AS (
+            SELECT row_number() OVER (ORDER BY doc_id, line_no) AS k, doc_id, line_no,
+                   list_sort(list_distinct(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) AS words FROM l
+        ), c AS (SELECT words, MIN(k) AS k, len(words) AS n FROM s WHERE len(words) > 0 GROUP BY words),
+        t AS (SELECT k, n, unnest(words) AS w FROM c),
+        df AS (SELECT w, COUNT(*) AS f FROM t GROUP BY w),
+        o AS (SELECT k, n, w, row_number() OVER (PARTITION BY k ORDER BY f, w) AS pos FROM t JOIN df USING (w)),
+        p AS (SELECT k, n, w FROM o WHERE pos <= n - (n * 80 + 99) // 100 + 1),
+        pairs AS (
+            SELECT DISTINCT x.k AS a, y.k AS b FROM p x JOIN p y ON x.w = y.w AND x.k < y.k
+            AND 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)
+        ), similar_ AS (
+            SELECT DISTINCT b AS k FROM pairs JOIN c x ON x.k = a JOIN c y ON y.k = b
+            WHERE 180 * len(list_intersect(x.words, y.words)) >= 80 * (x.n + y.n)
+        ), stay AS (SELECT k FROM c WHERE k NOT IN (SELECT k FROM similar_)),
+        gone AS (SELECT doc_id, line_no FROM s WHERE len(words) > 0 AND k NOT IN (SELECT k FROM stay))
+        SELECT doc_id, COUNT(*) AS n_lines, COUNT(g.line_no) AS n_removed, COALESCE(string_agg(CAST(g.line_no AS VARCHAR), ',' ORDER BY g.line_no), '') AS removed_lines
+        FROM l LEFT JOIN gone g USING (doc_id, line_no) GROUP BY doc_id
+    """,
+    "op9_minhash": f"""
+        WITH RECURSIVE ids AS (SELECT doc_id AS id FROM documents),
+        w AS (
+            SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, array_to_string(w[CAST(k AS BIGINT):CAST(k + 4 AS BIGINT)], ' ') AS s
+            FROM w, unnest(range(1, greatest(2, len(w) - 3))) AS t(k) WHERE len(w) > 0
+        ), n AS (SELECT doc_id, COUNT(*) AS n FROM s GROUP BY doc_id),
+        common AS (SELECT x.doc_id AS a, y.doc_id AS b, COUNT(*) AS c FROM s x JOIN s y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2),
+        links AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c))
+        {_REACH}
+        SELECT id AS doc_id, COALESCE(n, 0) AS n_shingles, component_id, id = component_id AS kept FROM component LEFT JOIN n ON n.doc_id = id
+    """,
 }

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
@@ -28,10 +30,35 @@ def shared_folder(spark: SparkSession) -> str:
     return set_.get()
 
 
+#: Shuffle files of a written step are of no more use; Spark then deletes them.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    old = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, old)
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise df in the shared checkpoint folder and cut its lineage."""
+    """Materialise df in the shared checkpoint folder, cut its lineage, free its shuffle files."""
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with freed_shuffles(df.sparkSession):
+        # a new query: the setting is read when one is made
+        return df.select("*").checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """As `cut`, but as a compressed table: for large rows. The table stays in the shared folder."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    with freed_shuffles(spark):
+        df.select("*").write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -5,9 +5,9 @@ first line. Words of a class are ordered by rarity; two sets of Jaccard similari
 word within the first n - ceil(t * n) + 1 of either, so only these prefixes are posted and
 joined, under length and positional filters. Pairs that stay are confirmed on their lines.
 
-Rarity comes from a table of word counts of fixed size (SKETCH buckets of word hashes, summed
-over all lines); any total order keeps the join exact, the counts make it selective. It is a
-constant of the plan, so ordering needs no join.
+Rarity comes from a table of word counts of fixed size (SKETCH buckets of word hashes, a byte
+each, summed over all lines); any total order keeps the join exact, the counts make it
+selective. It is a constant of the plan, so ordering needs no join.
 
 Long posting lists come of passages with many variants. To make no square of them, each class
 first meets only the earliest class of each of its lists, and what that confirms needs no
@@ -16,100 +16,153 @@ other partner; the classes left over then meet all earlier classes of their list
 
 from __future__ import annotations
 
-import json
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltworks.llm.common import WORD, cut, table
+from siltworks.llm.common import WORD, cut, table, written
 
-SKETCH = 1 << 16
+SKETCH = 1 << 19
+#: Up to so many lines (of a few dozen bytes) are looked up by broadcast, more by a shuffle.
+LOOKED_UP = 500_000
+
+
+def plain_lines(text_col: str) -> Column:
+    """Lines of a text in lower case, with white space as spaces."""
+    return F.split(F.translate(F.lower(F.coalesce(F.col(text_col), F.lit(""))), "\t\x0b\x0c\r", "    "), "\n", -1)
 
 
 def word_hashes(line: Column) -> Column:
-    words = F.regexp_extract_all(F.lower(line), F.lit(WORD), F.lit(0))
-    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
+    words = F.transform(F.split(line, " ", -1), lambda w: F.xxhash64(w))
+    return F.array_remove(F.array_distinct(words), F.xxhash64(F.lit("")))
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(
-        F.col(id_col).alias("doc_id"), F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)).alias("line_no", "line")
-    )
+    return docs.select(F.col(id_col).alias("doc_id"), F.posexplode(plain_lines(text_col)).alias("line_no", "line"))
 
 
-def rarity_table(hashed: DataFrame) -> Column:
-    """Constant array: for each bucket of word hashes a coarse logarithm of its count."""
-    counts = hashed.select(F.explode("words").alias("w")).groupBy(F.pmod("w", F.lit(SKETCH)).cast("int").alias("b")).count().collect()
-    rank = [0] * SKETCH
-    for r in counts:
-        rank[r["b"]] = int(8 * math.log2(r["count"]))
-    return F.from_json(F.lit(json.dumps(rank)), "array<int>")
+def rarity_table(docs: DataFrame, text_col: str) -> Column:
+    """Constant bytes: for each bucket of word hashes a coarse logarithm of its count."""
+    text = F.translate(F.lower(F.coalesce(F.col(text_col), F.lit(""))), "\t\n\x0b\x0c\r", "     ")
+    bucket = F.pmod(F.xxhash64("w"), F.lit(SKETCH)).cast("int").alias("b")
+    counts = docs.select(F.explode(F.split(text, " ", -1)).alias("w")).where("w <> ''").groupBy(bucket).agg(F.count("*").alias("n"))
+    # at most SKETCH rows of 12 bytes
+    found = counts.toArrow()
+    rank = np.zeros(SKETCH, np.uint8)
+    rank[found["b"].to_numpy()] = np.minimum(127, 4 * np.log2(found["n"].to_numpy()))
+    return F.lit(rank.tobytes())
 
 
 def line_classes(docs: DataFrame, threshold: int, id_col: str, text_col: str) -> DataFrame:
-    """One row for each distinct set of words: cid, doc_id and line_no of its first line, n, prefix."""
-    hashed = lines_of(docs, id_col, text_col).select("doc_id", "line_no", word_hashes(F.col("line")).alias("words"))
-    rarity = rarity_table(hashed)
-    rank = lambda w: F.struct(F.element_at(rarity, F.pmod(w, F.lit(SKETCH)).cast("int") + 1).alias("r"), w.alias("w"))
+    """One row for each distinct set of words: doc_id and ln of its first line, n words, prefix.
+
+    ln is the line's number. The prefix holds the rarest words, as one long: rarity, then hash.
+    """
+    rarity = rarity_table(docs, text_col)
+    # seven bits of rarity above 56 bits of the hash
+    rank = lambda h: F.ascii(F.substring(rarity, F.pmod(h, F.lit(SKETCH)).cast("int") + 1, F.lit(1)).cast("string"))
+    ranked = lambda h: F.shiftleft(rank(h).cast("long"), 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))
+    words = F.array_distinct(F.transform(F.array_remove(F.split("line", " ", -1), ""), lambda w: ranked(F.xxhash64(w))))
+    hashed = lines_of(docs, id_col, text_col).select("doc_id", "line_no", words.alias("words"))
     n = F.size("words")
-    ordered = hashed.where(n > 0).select(
-        "doc_id", "line_no", n.alias("n"), F.array_sort(F.transform("words", rank))["w"].alias("words")
-    )
+    ordered = hashed.where(n > 0).select("doc_id", F.col("line_no").alias("ln"), n.alias("n"), F.sort_array(F.transform("words", ranked)).alias("words"))
     prefix = F.slice("words", F.lit(1), n - F.ceil(n * threshold / F.lit(100)).cast("int") + 1)
     keyed = ordered.select(
-        F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words", "n").alias("h2"), F.struct("doc_id", "line_no", "n", prefix.alias("prefix")).alias("at")
+        F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words", "n").alias("h2"), F.struct("doc_id", "ln", "n", prefix.alias("prefix")).alias("at")
     )
     first = keyed.groupBy("h1", "h2").agg(F.min("at").alias("at"))
-    return cut(first.select(F.monotonically_increasing_id().alias("cid"), "at.*"))
+    return first.select("at.*")
+
 
+def posting_lists(classes: DataFrame) -> DataFrame:
+    """(w, doc_id, at, pos): classes under the words of their prefixes, where others are too.
+
+    at is the line's number and its number of words in one long. Each class also has a row of
+    its own, whatever lists it is in, at pos -1.
+    """
+    at = F.shiftleft(F.col("ln").cast("long"), 32).bitwiseOR(F.col("n").cast("long"))
+    own = F.array(F.xxhash64("doc_id", at, F.lit("own")))
+    rows = classes.select("doc_id", at.alias("at"), F.posexplode(F.concat(own, "prefix")).alias("pos", "w"))
+    # own rows have lists of their own: pos tells them apart
+    shared = F.count("*").over(Window.partitionBy("w", F.col("pos") > 0)) > 1
+    rows = rows.withColumn("_shared", shared).where("_shared or pos = 0")
+    return written(rows.select("w", "doc_id", "at", (F.col("pos") - 1).alias("pos")))
 
-def _posted(classes: DataFrame) -> DataFrame:
-    return classes.select("cid", "doc_id", "line_no", "n", F.size("prefix").alias("p"), F.posexplode("prefix").alias("pos", "w"))
+
+def _words(at: str) -> Column:
+    return F.col(at).bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+
+
+def _prefix(n: Column, threshold: int) -> Column:
+    return n - F.ceil(n * threshold / F.lit(100)).cast("int") + 1
 
 
 def _filters(threshold: int) -> Column:
     """Length and positional filters on a match at pos of n words with o_pos of o_n words."""
-    length = (100 * F.least("n", "o_n") >= threshold * F.greatest("n", "o_n"))
-    most = F.least("pos", "o_pos") + F.least(F.col("n") - F.col("pos"), F.col("o_n") - F.col("o_pos"))
-    return length & ((100 + threshold) * most >= threshold * (F.col("n") + F.col("o_n")))
-
-
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, threshold: int, id_col: str, text_col: str) -> DataFrame:
-    """cid of the pairs (cid, o_cid) whose lines are as similar as asked for."""
-    wanted = pairs.select("cid").union(pairs.select("o_cid")).distinct()
-    places = classes.select("cid", "doc_id", "line_no").join(wanted, "cid")
-    in_doc = places.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "cid")).alias("places"))
-    texts = docs.select(F.col(id_col).alias("_id"), F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1).alias("lines"))
-    held = texts.join(in_doc, texts["_id"].eqNullSafe(in_doc["doc_id"])).select(F.explode("places").alias("x"), "lines")
-    # rows that share an id may have fewer lines; the one with the line is the one meant
-    words = held.select(F.col("x.cid").alias("cid"), word_hashes(F.get("lines", F.col("x.line_no"))).alias("words")).where("words is not null")
-    sets = cut(words)
-    a, b = sets, sets.select(F.col("cid").alias("o_cid"), F.col("words").alias("o_words"))
+    n, o_n = _words("at"), _words("o_at")
+    length = 100 * F.least(n, o_n) >= threshold * F.greatest(n, o_n)
+    most = F.least("pos", "o_pos") + F.least(n - F.col("pos"), o_n - F.col("o_pos"))
+    return length & ((100 + threshold) * most >= threshold * (n + o_n))
+
+
+PAIR = ["doc_id", "at", "o_doc_id", "o_at"]
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, threshold: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, at) of the pairs whose lines are as similar as asked for."""
+    here, there = pairs.select("doc_id", "at"), pairs.select(F.col("o_doc_id").alias("doc_id"), F.col("o_at").alias("at"))
+    wanted = cut(here.union(there).distinct())
+    in_doc = wanted.groupBy("doc_id").agg(F.collect_list("at").alias("places"))
+    if wanted.count() <= LOOKED_UP:
+        in_doc = F.broadcast(in_doc)
+    texts = docs.select(F.col(id_col).alias("_id"), plain_lines(text_col).alias("lines"))
+    held = texts.join(in_doc, texts["_id"].eqNullSafe(in_doc["doc_id"])).select("doc_id", F.explode("places").alias("at"), "lines")
+    # rows that share an id may have other lines at a place: the number of words tells
+    words = held.select("doc_id", "at", word_hashes(F.get("lines", F.shiftright("at", 32).cast("int"))).alias("words"))
+    # both sides of the joins below read one shuffle of these
+    sets = words.where(F.size("words") == _words("at"))
+    a = sets.select(F.col("doc_id").alias("x"), F.col("at").alias("y"), "words")
+    b = sets.select(F.col("doc_id").alias("o_x"), F.col("at").alias("o_y"), F.col("words").alias("o_words"))
     common = F.size(F.array_intersect("words", "o_words"))
     hit = (100 + threshold) * common >= threshold * (F.size("words") + F.size("o_words"))
-    return pairs.join(a, "cid").join(b, "o_cid").where(hit).select("cid").distinct()
+    one = pairs.join(a, F.col("doc_id").eqNullSafe(F.col("x")) & (F.col("at") == F.col("y")))
+    both = one.join(b, F.col("o_doc_id").eqNullSafe(F.col("o_x")) & (F.col("o_at") == F.col("o_y")))
+    return cut(both.where(hit).select("doc_id", "at").distinct())
 
 
-def repeated_classes(docs: DataFrame, classes: DataFrame, threshold: int, id_col: str, text_col: str) -> DataFrame:
-    """cid of every class with an earlier class of similarity threshold / 100 or more."""
-    posted = _posted(classes)
-    band = F.floor(F.log(F.col("n")) / math.log(100 / threshold))
-    first = F.first(F.struct("cid", "n", "pos")).over(Window.partitionBy("w", "band").orderBy("doc_id", "line_no", "cid"))
+def repeated_places(docs: DataFrame, lists: DataFrame, threshold: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, at) of every class with an earlier class of similarity threshold / 100 or more."""
+    posted = lists.where("pos >= 0")
+    n = _words("at")
+    band = F.floor(F.log(n.cast("double")) / math.log(100 / threshold))
+    first = F.first(F.struct("doc_id", "at", "pos")).over(Window.partitionBy("w", "band").orderBy("doc_id", "at"))
     led = posted.withColumn("band", band).withColumn("lead", first)
-    led = led.select("cid", "n", "pos", "p", F.col("lead.cid").alias("o_cid"), F.col("lead.n").alias("o_n"), F.col("lead.pos").alias("o_pos"))
-    met = led.where("cid <> o_cid").where(_filters(threshold)).groupBy("cid", "p", "o_cid").count().where("2 * count >= p")
-    leaders = cut(met.groupBy("cid").agg(F.max(F.struct("count", "o_cid")).alias("best")).select("cid", F.col("best.o_cid").alias("o_cid")))
-    by_leader = cut(_confirmed(leaders, classes, docs, threshold, id_col, text_col))
-
-    rest = _posted(classes.join(by_leader, "cid", "left_anti"))
-    other = posted.select("w", *[F.col(c).alias(f"o_{c}") for c in ("cid", "doc_id", "line_no", "n", "p", "pos")])
-    earlier = F.struct("o_doc_id", "o_line_no", "o_cid") < F.struct(F.col("doc_id"), F.col("line_no"), F.col("cid"))
-    pairs = rest.join(other, "w").where(earlier & _filters(threshold)).groupBy("cid", "o_cid", "n", "o_n", "p", "o_p").count()
+    led = led.select("doc_id", "at", "pos", F.col("lead.doc_id").alias("o_doc_id"), F.col("lead.at").alias("o_at"), F.col("lead.pos").alias("o_pos"))
+    other_line = ~(F.col("doc_id").eqNullSafe(F.col("o_doc_id")) & (F.col("at") == F.col("o_at")))
+    met = led.where(other_line & _filters(threshold)).groupBy(*PAIR).count().where(2 * F.col("count") >= _prefix(n, threshold))
+    best = met.groupBy("doc_id", "at").agg(F.max(F.struct("count", "o_doc_id", "o_at")).alias("best"))
+    leaders = cut(best.select("doc_id", "at", "best.o_doc_id", "best.o_at"))
+    by_leader = _confirmed(leaders, docs, threshold, id_col, text_col)
+
+    rest = without(posted, by_leader)
+    other = posted.select("w", *[F.col(c).alias(f"o_{c}") for c in ("doc_id", "at", "pos")])
+    earlier = F.struct("o_doc_id", "o_at") < F.struct("doc_id", "at")
+    pairs = rest.join(other, "w").where(earlier & _filters(threshold)).groupBy(*PAIR).count()
     # whatever two prefixes don't share, the rest of one of them must
-    most = F.col("count") + F.greatest(F.col("n") - F.col("p"), F.col("o_n") - F.col("o_p"))
-    pairs = cut(pairs.where((100 + threshold) * most >= threshold * (F.col("n") + F.col("o_n"))).select("cid", "o_cid"))
-    return by_leader.union(_confirmed(pairs, classes, docs, threshold, id_col, text_col)).distinct()
+    o_n = _words("o_at")
+    most = F.col("count") + F.greatest(n - _prefix(n, threshold), o_n - _prefix(o_n, threshold))
+    pairs = cut(pairs.where((100 + threshold) * most >= threshold * (n + o_n)).select(*PAIR))
+    return by_leader.union(_confirmed(pairs, docs, threshold, id_col, text_col)).distinct()
+
+
+def without(rows: DataFrame, places: DataFrame) -> DataFrame:
+    """rows (doc_id, at, ...) that aren't at these places; few places are broadcast."""
+    gone = places.select(F.col("doc_id").alias("_d"), F.col("at").alias("_a"))
+    if places.count() <= LOOKED_UP:
+        gone = F.broadcast(gone)
+    return rows.join(gone, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("at") == F.col("_a")), "left_anti")
 
 
 def kept_lines(docs: DataFrame, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -117,24 +170,14 @@ def kept_lines(docs: DataFrame, threshold: int = 80, id_col: str = "doc_id", tex
 
     Lines come in order of id (null first) and number. A line goes if any earlier line, itself
     removed or not, has 100 * intersection >= threshold * union with it. Lines without words
-    are never judged. Rows that share an id count as one document whose lines share places:
-    of two lines at one place neither is earlier.
+    are never judged. Rows that share an id count as one document whose lines share places: a
+    place stays if any of its lines does, and of two lines at one place the one of fewer words
+    is the earlier.
     """
-    classes = line_classes(docs, threshold, id_col, text_col)
-    gone = repeated_classes(docs, classes, threshold, id_col, text_col)
-    stay = classes.join(gone, "cid", "left_anti")
-    return stay.groupBy("doc_id").agg(F.array_sort(F.collect_set("line_no")).alias("kept"))
-
-
-def _judged(docs: DataFrame, threshold: int, id_col: str, text_col: str, extra: list[Column]) -> DataFrame:
-    """extra, and stay: for each line whether it stays."""
-    kept = kept_lines(docs, threshold, id_col, text_col).withColumnRenamed("doc_id", "_id")
-    lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)
-    joined = docs.join(kept, docs[id_col].eqNullSafe(kept["_id"]), "left")
-    numbers = F.coalesce("kept", F.array().cast("array<int>"))
-    has_words = lambda x: F.regexp_like(x, F.lit(WORD))
-    stay = F.transform(lines, lambda x, i: ~has_words(x) | F.array_contains(numbers, i))
-    return joined.select(*extra, lines.alias("_lines"), stay.alias("_stay"))
+    lists = posting_lists(line_classes(docs, threshold, id_col, text_col))
+    gone = cut(repeated_places(docs, lists, threshold, id_col, text_col))
+    stay = without(lists.where("pos < 0"), gone).select("doc_id", F.shiftright("at", 32).cast("int").alias("ln"))
+    return stay.groupBy("doc_id").agg(F.array_sort(F.collect_set("ln")).alias("kept"))
 
 
 def drop_repeated_lines(docs: DataFrame, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -143,19 +186,24 @@ def drop_repeated_lines(docs: DataFrame, threshold: int = 80, id_col: str = "doc
     A text that loses all its lines becomes empty; null texts stay null and n_chars, where docs
     has it, follows the text. An empty table gives no rows.
     """
-    judged = _judged(docs, threshold, id_col, text_col, [F.struct(*docs.columns).alias("_row")])
-    pairs = F.filter(F.arrays_zip(F.col("_lines").alias("line"), F.col("_stay").alias("stay")), lambda x: x["stay"])
-    whole = F.forall("_stay", lambda x: x)
-    text = F.when(F.col(f"_row.{text_col}").isNull() | whole, F.col(f"_row.{text_col}")).otherwise(F.array_join(pairs["line"], "\n"))
-    out = judged.select("_row.*", text.alias("_text"))
-    columns = {text_col: F.col("_text")} | ({"n_chars": F.length("_text").cast("long")} if "n_chars" in docs.columns else {})
-    return out.withColumns(columns).select(*docs.columns)
+    kept = kept_lines(docs, threshold, id_col, text_col)
+    kept = kept.select(F.col("doc_id").alias("_id"), F.col("kept").alias("_kept"))
+    rows = docs.select(F.struct(*docs.columns).alias("_row"))
+    joined = rows.join(kept, F.col(f"_row.{id_col}").eqNullSafe(F.col("_id")), "left")
+    text, numbers = F.col(f"_row.{text_col}"), F.coalesce("_kept", F.array().cast("array<int>"))
+    lines = F.split(text, "\n", -1)
+    stay = F.filter(lines, lambda x, i: ~F.regexp_like(x, F.lit(WORD)) | F.array_contains(numbers, i))
+    kept_text = F.array_join(stay, "\n")
+    new = {text_col: kept_text, "n_chars": F.length(kept_text).cast("long")}
+    return joined.select(*[new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def op8(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    judged = _judged(docs, 80, "doc_id", "text", [F.col("doc_id")])
-    removed = F.filter(F.transform("_stay", lambda s, i: F.when(~s, i)), lambda i: i.isNotNull())
-    return judged.select(
-        "doc_id", F.size("_lines").cast("long").alias("n_lines"), F.size(removed).cast("long").alias("n_removed"), F.array_join(removed, ",").alias("removed_lines")
-    )
+    kept = kept_lines(docs).withColumnRenamed("doc_id", "_id")
+    lines = plain_lines("text")
+    filled = F.filter(F.transform(lines, lambda x, i: F.when(F.length(F.trim(x)) > 0, i)), lambda i: i.isNotNull())
+    judged = docs.select("doc_id", F.size(lines).cast("long").alias("n_lines"), filled.alias("_filled"))
+    joined = judged.join(kept, judged["doc_id"].eqNullSafe(kept["_id"]), "left")
+    removed = F.array_except("_filled", F.coalesce("kept", F.array().cast("array<int>")))
+    return joined.select("doc_id", "n_lines", F.size(removed).cast("long").alias("n_removed"), F.array_join(removed, ",").alias("removed_lines"))

@@ -29,14 +29,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltworks.llm.common import table
+from siltworks.llm.common import cut, table
 
 WIDTH = 50
-K = 16
+K = 12
 SPAN = WIDTH - K + 1
+#: The minimizer and half of what else a window holds.
+SIDE = K + (WIDTH - K) // 2
 #: Bytes of text that a map task works on at a time, and aimed at for a bucket.
-CHUNK = 4 << 20
-BUCKET = 8 << 20
+CHUNK = 2 << 20
+BUCKET = 12 << 20
 
 _U = np.uint64
 _P = 0x9E3779B97F4A7C15
@@ -52,27 +54,36 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def string_hashes(data: np.ndarray, widths: set[int]) -> dict[int, np.ndarray]:
-    """For each width the polynomial hashes of all strings of that many bytes, by start."""
-    powers, h, n = {}, data.astype(np.uint64) + _U(1), 1
-    while n <= max(widths):
-        powers[n] = h
-        h = h[: max(0, len(h) - n)] * _pow(n) + h[n:]
-        n *= 2
-    out = {}
-    for width in widths:
-        total, h = 0, None
-        for n in sorted(powers, reverse=True):
-            if width & n:
-                part = powers[n]
-                if h is None:
-                    h = part
-                else:
-                    size = max(0, min(len(h), len(part) - total))
-                    h = h[:size] * _pow(n) + part[total : total + size]
-                total += n
-        out[width] = h
-    return out
+class Hashes:
+    """Polynomial hashes of all strings of 1, 2, 4, ... bytes of a text, and of others at given starts."""
+
+    def __init__(self, data: np.ndarray, most: int):
+        h, n = data.astype(np.uint64), 1
+        h += _U(1)
+        self.powers = {1: h}
+        while 2 * n <= most:
+            longer = h[:-n] * _pow(n)
+            longer += h[n:]
+            n, h = 2 * n, longer
+            self.powers[n] = h
+
+    def all(self, width: int) -> np.ndarray:
+        """Hashes of all strings of a width, by start."""
+        out, done = None, 0
+        for n in sorted(self.powers, reverse=True):
+            while width - done >= n:
+                part = self.powers[n][done:]
+                out = part if out is None else out[: len(part)] * _pow(n) + part[: len(out)]
+                done += n
+        return out
+
+    def at(self, starts: np.ndarray, width: int) -> np.ndarray:
+        out, done = np.zeros(len(starts), np.uint64), 0
+        for n in sorted(self.powers, reverse=True):
+            while width - done >= n:
+                out = out * _pow(n) + self.powers[n][starts + done]
+                done += n
+        return out
 
 
 def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -84,7 +95,7 @@ def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def _pack(*arrays: np.ndarray) -> bytes:
     import zstandard
 
-    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(arrays, protocol=5))
+    return zstandard.ZstdCompressor(level=6).compress(pickle.dumps(arrays, protocol=5))
 
 
 def _unpack(blob: bytes) -> tuple[np.ndarray, ...]:
@@ -100,8 +111,8 @@ def _pieces(parts: list[bytes], doc_ids: np.ndarray, uids: np.ndarray, bases: np
     data = np.frombuffer(b"".join(parts), np.uint8)
     if len(data) < WIDTH:
         return
-    hashes = string_hashes(data, {K, WIDTH})
-    key, whole = _mix(hashes[K]), hashes[WIDTH]
+    hashes = Hashes(data, 32)
+    key = _mix(hashes.all(K))
     low = (key & ~_U((1 << 24) - 1)) | np.arange(len(key), dtype=np.uint64)
     n = 1
     while 2 * n <= SPAN:
@@ -124,32 +135,34 @@ def _pieces(parts: list[bytes], doc_ids: np.ndarray, uids: np.ndarray, bases: np
     count = stop[np.searchsorted(stop, start, "right")] - start
     anchor = at[start]
     bucket = (_mix(key[anchor] ^ _U(_P)) % _U(buckets)).astype(np.int64)
-    same = _mix(whole[start] * _U(3) + whole[start + count - 1] * _U(5) + count.astype(np.uint64))
+    same = _mix(hashes.at(start, WIDTH) * _U(3) + hashes.at(start + count - 1, WIDTH) * _U(5) + count.astype(np.uint64))
     owner = np.searchsorted(ends, start, "right")
     _, rep, member = np.unique(same, return_index=True, return_inverse=True)
-    order = np.argsort(bucket[rep], kind="stable")
+    # pieces by bucket and place, so that the numbers below grow slowly and pack well
+    order = np.lexsort((rep, bucket[rep]))
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
-    rep = rep[order]
-    member = place[member]
-    by_member = np.argsort(member, kind="stable")
-    rep_bucket = bucket[rep]
+    rep, member = rep[order], place[member]
+    rep_bucket, run_bucket = bucket[rep], bucket
+    by_bucket = np.argsort(run_bucket, kind="stable")
+    run_bucket = run_bucket[by_bucket]
+    doc_start = ends - sizes
     for b in np.unique(rep_bucket).tolist():
         lo, hi = np.searchsorted(rep_bucket, [b, b + 1])
         chosen = rep[lo:hi]
         length = count[chosen] + WIDTH - 1
-        m_lo, m_hi = np.searchsorted(member[by_member], [lo, hi])
-        runs = by_member[m_lo:m_hi]
+        runs = by_bucket[slice(*np.searchsorted(run_bucket, [b, b + 1]))]
         docs, doc = np.unique(owner[runs], return_inverse=True)
         yield b, _pack(
             data[_spread(start[chosen], length)],
             length.astype(np.uint8),
             (anchor[chosen] - start[chosen]).astype(np.uint8),
-            (member[runs] - lo).astype(np.int32),
-            doc.astype(np.int32),
-            start[runs] - (ends - sizes)[owner[runs]] + bases[owner[runs]],
+            np.diff(member[runs] - lo, prepend=0).astype(np.int32),
+            np.diff(doc, prepend=0).astype(np.uint16),
+            np.diff(start[runs], prepend=0).astype(np.int32),
             doc_ids[docs],
             uids[docs],
+            (doc_start - bases)[docs],
         )
 
 
@@ -189,7 +202,7 @@ def suffix_order(text: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.
     bwt = symbols[ends - 1]
     lcp = np.zeros(m, np.uint8)
     # a suffix is its string and its length, in one number
-    suffix = np.arange(m, dtype=np.int64) << 8
+    suffix = np.arange(m, dtype=np.int32 if m < 1 << 23 else np.int64) << 8
     live = np.arange(m)
     while len(live):
         active = np.zeros(len(bwt), bool)
@@ -236,6 +249,24 @@ def suffix_order(text: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.
     return string, lengths[string] - (suffix & 255), lcp
 
 
+def _marks(text: np.ndarray, begin: np.ndarray, length: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each piece a hash of all of it, and of the SIDE bytes up to and from its minimizer.
+
+    A side that reaches beyond the piece has a hash without meaning.
+    """
+    out = np.zeros((3, len(begin)), np.uint64)
+    for first in range(0, len(begin), 10_000):
+        part = slice(first, first + 10_000)
+        start = begin[part] - begin[first]
+        size, at = length[part], start + offset[part]
+        hashes = Hashes(text[begin[first] : begin[part][-1] + size[-1]], 32)
+        end = start + size
+        out[0, part] = _mix(hashes.at(start, WIDTH) * _U(3) + hashes.at(end - WIDTH, WIDTH) * _U(5) + size.astype(np.uint64))
+        out[1, part] = hashes.at(np.maximum(start, at - (SIDE - K)), SIDE)
+        out[2, part] = hashes.at(np.minimum(end - SIDE, at), SIDE)
+    return out[0], out[1], out[2]
+
+
 def _bucket(frame: pd.DataFrame, doc_parts: int) -> pd.DataFrame:
     """Spans to remove, packed by part of the documents, from all pieces of one bucket."""
     none = pd.DataFrame({"part": pd.Series([], dtype="int32"), "blob": pd.Series([], dtype=object)})
@@ -244,27 +275,25 @@ def _bucket(frame: pd.DataFrame, doc_parts: int) -> pd.DataFrame:
     n_docs = np.array([len(b[6]) for b in blobs])
     text, length, offset = (np.concatenate([b[k] for b in blobs]) for k in range(3))
     length, offset = length.astype(np.int64), offset.astype(np.int64)
-    piece = np.concatenate([b[3].astype(np.int64) + s for b, s in zip(blobs, np.cumsum(n_pieces) - n_pieces, strict=True)])
-    doc = np.concatenate([b[4].astype(np.int64) + s for b, s in zip(blobs, np.cumsum(n_docs) - n_docs, strict=True)])
-    start, doc_ids, uids = (np.concatenate([b[k] for b in blobs]) for k in (5, 6, 7))
+    piece = np.concatenate([np.cumsum(b[3], dtype=np.int64) + s for b, s in zip(blobs, np.cumsum(n_pieces) - n_pieces, strict=True)])
+    doc = np.concatenate([np.cumsum(b[4], dtype=np.int64) + s for b, s in zip(blobs, np.cumsum(n_docs) - n_docs, strict=True)])
+    doc_ids, uids, origin = (np.concatenate([b[k] for b in blobs]) for k in (6, 7, 8))
+    start = np.concatenate([np.cumsum(b[5], dtype=np.int64) for b in blobs]) - origin[doc]
     del blobs
     begin = np.cumsum(length) - length
-    side = K + (WIDTH - K) // 2
-    hashes = string_hashes(text, {side, WIDTH})
-
-    same = _mix(hashes[WIDTH][begin] * _U(3) + hashes[WIDTH][begin + length - WIDTH] * _U(5) + length.astype(np.uint64))
+    same, left, right = _marks(text, begin, length, offset)
     _, rep, to = np.unique(same, return_index=True, return_inverse=True)
     piece = to[piece]
-    begin, length, offset = begin[rep], length[rep], offset[rep]
+    begin, length, offset, left, right = begin[rep], length[rep], offset[rep], left[rep], right[rep]
     owner = doc_ids[doc]
     least, most = np.full(len(rep), np.iinfo(np.int64).max), np.full(len(rep), np.iinfo(np.int64).min)
     np.minimum.at(least, piece, owner)
     np.maximum.at(most, piece, owner)
     # a window holds the minimizer and WIDTH - K more bytes, so half of these lie to one side of it
     keep = least < most
-    for has, at in ((offset >= side - K, begin + offset - (side - K)), (offset + side <= length, begin + offset)):
+    for has, mark in ((offset >= SIDE - K, left), (offset + SIDE <= length, right)):
         has = np.flatnonzero(has)
-        _, group = np.unique(hashes[side][at[has]], return_inverse=True)
+        _, group = np.unique(mark[has], return_inverse=True)
         lo, hi = np.full(len(has), np.iinfo(np.int64).max), np.full(len(has), np.iinfo(np.int64).min)
         np.minimum.at(lo, group, least[has])
         np.maximum.at(hi, group, most[has])
@@ -357,7 +386,7 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True, id_col: str = "doc_i
     doc_parts = max(8, math.ceil(size / BUCKET))
 
     pieces = texts.where(F.octet_length("text") >= WIDTH).mapInPandas(lambda it: _mapped(it, buckets), "bucket int, blob binary")
-    spans = pieces.groupBy("bucket").applyInPandas(lambda frame: _bucket(frame, doc_parts), "part int, blob binary")
+    spans = cut(pieces.groupBy("bucket").applyInPandas(lambda frame: _bucket(frame, doc_parts), "part int, blob binary"))
     # the unsigned remainder, as numpy takes it
     part = F.expr(f"cast(pmod(pmod(uid, {doc_parts}) + if(uid < 0, {(1 << 64) % doc_parts}, 0), {doc_parts}) as int)")
     done = (

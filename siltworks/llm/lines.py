@@ -3,7 +3,8 @@
 A line is the set of its lower-case words. Lines with equal sets are one class, placed at its
 first line. Words of a class are ordered by rarity; two sets of Jaccard similarity t share a
 word within the first n - ceil(t * n) + 1 of either, so only these prefixes are posted and
-joined, under length and positional filters. Pairs that stay are confirmed on their lines.
+joined, under length and positional filters and a bound from 64-bit signatures of the sets.
+Pairs that stay are confirmed on their lines.
 
 Rarity comes from a table of word counts of fixed size (SKETCH buckets of word hashes, a byte
 each, summed over all lines); any total order keeps the join exact, the counts make it
@@ -17,6 +18,7 @@ other partner; the classes left over then meet all earlier classes of their list
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -29,13 +31,19 @@ SKETCH = 1 << 19
 LOOKED_UP = 500_000
 
 
+def spaced(text_col: str, blanks: str = "\t\x0b\x0c\r") -> Column:
+    """The text with these characters as spaces."""
+    return reduce(lambda x, c: F.replace(x, F.lit(c), F.lit(" ")), blanks, F.coalesce(F.col(text_col), F.lit("")))
+
+
 def plain_lines(text_col: str) -> Column:
-    """Lines of a text in lower case, with white space as spaces."""
-    return F.split(F.translate(F.lower(F.coalesce(F.col(text_col), F.lit(""))), "\t\x0b\x0c\r", "    "), "\n", -1)
+    """Lines of a text, with white space as spaces."""
+    return F.split(spaced(text_col), "\n", -1)
 
 
 def word_hashes(line: Column) -> Column:
-    words = F.transform(F.split(line, " ", -1), lambda w: F.xxhash64(w))
+    """Distinct hashes of a line's words in lower case; lower is fast on ASCII, so each word is lowered alone."""
+    words = F.transform(F.split(line, " ", -1), lambda w: F.xxhash64(F.lower(w)))
     return F.array_remove(F.array_distinct(words), F.xxhash64(F.lit("")))
 
 
@@ -45,9 +53,8 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def rarity_table(docs: DataFrame, text_col: str) -> Column:
     """Constant bytes: for each bucket of word hashes a coarse logarithm of its count."""
-    text = F.translate(F.lower(F.coalesce(F.col(text_col), F.lit(""))), "\t\n\x0b\x0c\r", "     ")
-    bucket = F.pmod(F.xxhash64("w"), F.lit(SKETCH)).cast("int").alias("b")
-    counts = docs.select(F.explode(F.split(text, " ", -1)).alias("w")).where("w <> ''").groupBy(bucket).agg(F.count("*").alias("n"))
+    bucket = F.xxhash64(F.lower("w")).bitwiseAND(F.lit(SKETCH - 1)).cast("int").alias("b")
+    counts = docs.select(F.explode(F.split(spaced(text_col, "\t\n\x0b\x0c\r"), " ", -1)).alias("w")).where("w <> ''").groupBy(bucket).agg(F.count("*").alias("n"))
     # at most SKETCH rows of 12 bytes
     found = counts.toArrow()
     rank = np.zeros(SKETCH, np.uint8)
@@ -56,39 +63,49 @@ def rarity_table(docs: DataFrame, text_col: str) -> Column:
 
 
 def line_classes(docs: DataFrame, threshold: int, id_col: str, text_col: str) -> DataFrame:
-    """One row for each distinct set of words: doc_id and ln of its first line, n words, prefix.
+    """One row for each distinct set of words: doc_id and ln of its first line, n words, sig, prefix.
 
     ln is the line's number. The prefix holds the rarest words, as one long: rarity, then hash.
+    sig has a bit for each of 64 classes of words that the set has an odd number of.
     """
     rarity = rarity_table(docs, text_col)
     # seven bits of rarity above 56 bits of the hash
-    rank = lambda h: F.ascii(F.substring(rarity, F.pmod(h, F.lit(SKETCH)).cast("int") + 1, F.lit(1)).cast("string"))
+    rank = lambda h: F.ascii(F.substring(rarity, h.bitwiseAND(F.lit(SKETCH - 1)).cast("int") + 1, F.lit(1)).cast("string"))
     ranked = lambda h: F.shiftleft(rank(h).cast("long"), 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))
-    words = F.array_distinct(F.transform(F.array_remove(F.split("line", " ", -1), ""), lambda w: ranked(F.xxhash64(w))))
-    hashed = lines_of(docs, id_col, text_col).select("doc_id", "line_no", words.alias("words"))
+    # a filter on the words here would have them made twice; sets without any are one class, dropped below
+    hashed = lines_of(docs, id_col, text_col).select("doc_id", F.col("line_no").alias("ln"), F.sort_array(F.transform(word_hashes(F.col("line")), ranked)).alias("words"))
+    bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))
     n = F.size("words")
-    ordered = hashed.where(n > 0).select("doc_id", F.col("line_no").alias("ln"), n.alias("n"), F.sort_array(F.transform("words", ranked)).alias("words"))
-    prefix = F.slice("words", F.lit(1), n - F.ceil(n * threshold / F.lit(100)).cast("int") + 1)
-    keyed = ordered.select(
-        F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words", "n").alias("h2"), F.struct("doc_id", "ln", "n", prefix.alias("prefix")).alias("at")
+    keyed = hashed.select(
+        F.xxhash64("words").alias("h1"),
+        F.xxhash64(F.lit(1), "words", n).alias("h2"),
+        F.struct(
+            "doc_id",
+            "ln",
+            n.alias("n"),
+            F.aggregate("words", F.lit(0).cast("long"), lambda s, w: s.bitwiseXOR(bit(w))).alias("sig"),
+            F.slice("words", F.lit(1), _prefix(n, threshold)).alias("prefix"),
+        ).alias("at"),
     )
     first = keyed.groupBy("h1", "h2").agg(F.min("at").alias("at"))
-    return first.select("at.*")
+    return first.select("at.*").where("n > 0")
 
 
 def posting_lists(classes: DataFrame) -> DataFrame:
-    """(w, doc_id, at, pos): classes under the words of their prefixes, where others are too.
+    """(w, doc_id, at, sig, pos): classes under the words of their prefixes, where others are too.
 
     at is the line's number and its number of words in one long. Each class also has a row of
     its own, whatever lists it is in, at pos -1.
     """
     at = F.shiftleft(F.col("ln").cast("long"), 32).bitwiseOR(F.col("n").cast("long"))
     own = F.array(F.xxhash64("doc_id", at, F.lit("own")))
-    rows = classes.select("doc_id", at.alias("at"), F.posexplode(F.concat(own, "prefix")).alias("pos", "w"))
+    rows = classes.select("doc_id", at.alias("at"), "sig", F.posexplode(F.concat(own, "prefix")).alias("pos", "w"))
+    # a word of rarity 0 is the only one counted in its bucket: no other line has it
+    rows = rows.where((F.col("pos") == 0) | (F.shiftright("w", 56) > 0))
     # own rows have lists of their own: pos tells them apart
     shared = F.count("*").over(Window.partitionBy("w", F.col("pos") > 0)) > 1
     rows = rows.withColumn("_shared", shared).where("_shared or pos = 0")
-    return written(rows.select("w", "doc_id", "at", (F.col("pos") - 1).alias("pos")))
+    return written(rows.select("w", "doc_id", "at", "sig", (F.col("pos") - 1).alias("pos")))
 
 
 def _words(at: str) -> Column:
@@ -99,12 +116,22 @@ def _prefix(n: Column, threshold: int) -> Column:
     return n - F.ceil(n * threshold / F.lit(100)).cast("int") + 1
 
 
+def _apart() -> Column:
+    """At most so many words are in just one of the two sets: each flips one bit."""
+    return F.bit_count(F.col("sig").bitwiseXOR(F.col("o_sig")))
+
+
 def _filters(threshold: int) -> Column:
-    """Length and positional filters on a match at pos of n words with o_pos of o_n words."""
+    """Whether a match at pos of n words with o_pos of o_n words may be the first of a similar pair.
+
+    The lengths must be close, enough words must follow in both sets, and the signatures may
+    not differ by more than the words that similar sets don't share. Similar sets pass at the
+    first word that they share, so no similar pair is lost.
+    """
     n, o_n = _words("at"), _words("o_at")
     length = 100 * F.least(n, o_n) >= threshold * F.greatest(n, o_n)
-    most = F.least("pos", "o_pos") + F.least(n - F.col("pos"), o_n - F.col("o_pos"))
-    return length & ((100 + threshold) * most >= threshold * (n + o_n))
+    position = (100 + threshold) * F.least(n - F.col("pos"), o_n - F.col("o_pos")) >= threshold * (n + o_n)
+    return length & position & ((100 + threshold) * _apart() <= (100 - threshold) * (n + o_n))
 
 
 PAIR = ["doc_id", "at", "o_doc_id", "o_at"]
@@ -137,23 +164,19 @@ def repeated_places(docs: DataFrame, lists: DataFrame, threshold: int, id_col: s
     posted = lists.where("pos >= 0")
     n = _words("at")
     band = F.floor(F.log(n.cast("double")) / math.log(100 / threshold))
-    first = F.first(F.struct("doc_id", "at", "pos")).over(Window.partitionBy("w", "band").orderBy("doc_id", "at"))
+    first = F.first(F.struct("doc_id", "at", "sig", "pos")).over(Window.partitionBy("w", "band").orderBy("doc_id", "at"))
     led = posted.withColumn("band", band).withColumn("lead", first)
-    led = led.select("doc_id", "at", "pos", F.col("lead.doc_id").alias("o_doc_id"), F.col("lead.at").alias("o_at"), F.col("lead.pos").alias("o_pos"))
+    led = led.select("doc_id", "at", "sig", "pos", *[F.col(f"lead.{c}").alias(f"o_{c}") for c in ("doc_id", "at", "sig", "pos")])
     other_line = ~(F.col("doc_id").eqNullSafe(F.col("o_doc_id")) & (F.col("at") == F.col("o_at")))
-    met = led.where(other_line & _filters(threshold)).groupBy(*PAIR).count().where(2 * F.col("count") >= _prefix(n, threshold))
-    best = met.groupBy("doc_id", "at").agg(F.max(F.struct("count", "o_doc_id", "o_at")).alias("best"))
+    met = led.where(other_line & _filters(threshold))
+    best = met.groupBy("doc_id", "at").agg(F.min(F.struct(_apart().alias("apart"), "o_doc_id", "o_at")).alias("best"))
     leaders = cut(best.select("doc_id", "at", "best.o_doc_id", "best.o_at"))
     by_leader = _confirmed(leaders, docs, threshold, id_col, text_col)
 
     rest = without(posted, by_leader)
-    other = posted.select("w", *[F.col(c).alias(f"o_{c}") for c in ("doc_id", "at", "pos")])
+    other = posted.select("w", *[F.col(c).alias(f"o_{c}") for c in ("doc_id", "at", "sig", "pos")])
     earlier = F.struct("o_doc_id", "o_at") < F.struct("doc_id", "at")
-    pairs = rest.join(other, "w").where(earlier & _filters(threshold)).groupBy(*PAIR).count()
-    # whatever two prefixes don't share, the rest of one of them must
-    o_n = _words("o_at")
-    most = F.col("count") + F.greatest(n - _prefix(n, threshold), o_n - _prefix(o_n, threshold))
-    pairs = cut(pairs.where((100 + threshold) * most >= threshold * (n + o_n)).select(*PAIR))
+    pairs = cut(rest.join(other, "w").where(earlier & _filters(threshold)).select(*PAIR).distinct())
     return by_leader.union(_confirmed(pairs, docs, threshold, id_col, text_col)).distinct()
 
 

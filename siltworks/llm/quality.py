@@ -2,14 +2,17 @@
 
 The content view is hashed words and punctuation; the page view is source, language and
 measures of the page's form (length, lines, shares of capitals, digits and signs, repetition).
-Each view has a logistic regression. In every round each labels the pool of unlabelled
+Each view has a logistic regression. In every round each labels all unlabelled
 documents, and those it is surest of, by class and in the share that the labels have, join
 the training rows of the other view. In the end each view is calibrated on labelled rows that were held out
 (Platt scaling) and the two are combined as independent evidence: log odds add up, less the
 prior once.
 
-Training reads at most LABELLED labelled and POOL unlabelled documents, the first by a hash of
-the id; scoring reads every document, in one pass without a shuffle.
+Training reads at most LABELLED labelled documents, the first by a hash of the id. Every
+exchange scores all unlabelled documents: one pass over the texts leaves ids and scores, these
+are ranked in ranges of the score, and features are fetched for the surest ones alone, whose
+ids (a fixed share of all) are broadcast. Scoring reads every document, in one pass without a
+shuffle.
 """
 
 from __future__ import annotations
@@ -23,14 +26,15 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltworks.llm.common import WORD, cut, table
+from siltworks.llm.common import WORD, cut, ordered_prefix, table
 
-LABELLED = 8_000
-POOL = 4_000
+LABELLED = 20_000
 ROUNDS = 3
-#: Share of the pool that each view labels for the other in a round.
+#: Share of the unlabelled documents that each view labels for the other in a round.
 CONFIDENT = 0.03
 HELD_OUT = 5
+#: Training rows of a task; each task of a fit shuffles a gradient in every iteration.
+FIT_ROWS = 20_000
 CONTENT_DIM = 1 << 15
 SOURCE_DIM = 64
 
@@ -91,41 +95,71 @@ def _calibrated(model: LogisticRegressionModel, view: str, held: DataFrame) -> V
     return View(model, float(platt.coefficients[0]), float(platt.intercept))
 
 
+def _fetched(texts: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The columns of chosen (one row an id) and the features of its ids, written."""
+    names = [c for c in chosen.columns if c != "doc_id"]
+    joined = texts.join(F.broadcast(chosen), "doc_id")
+    rows = features(joined, "_t", "_s", "_l", [F.col(c) for c in ("doc_id", "_k", *names)])
+    one = rows.groupBy("doc_id").agg(F.min_by(F.struct(*names, "content", "page"), "_k").alias("_one"))
+    return cut(one.select("doc_id", "_one.*"))
+
+
+def _scores(texts: DataFrame, known: DataFrame, models: dict[str, LogisticRegressionModel]) -> DataFrame:
+    """(doc_id, a score by each view) of every document that isn't in known, written."""
+    rows = features(texts, "_t", "_s", "_l", [F.col("doc_id"), F.col("_k")])
+    for model in models.values():
+        rows = model.transform(rows)
+    rows = rows.select("doc_id", "_k", *[vector_to_array(f"raw_{v}")[1].alias(f"z_{v}") for v in models])
+    one = rows.groupBy("doc_id").agg(F.min(F.struct("_k", *[f"z_{v}" for v in models])).alias("_one"))
+    return cut(one.select("doc_id", *[f"_one.z_{v}" for v in models]).join(known.select("doc_id"), "doc_id", "left_anti"))
+
+
+def _surest(scores: DataFrame, n_good: int, n_bad: int) -> DataFrame:
+    """(doc_id, label) of the n_good rows of greatest z and the n_bad of least, of (doc_id, z)."""
+    placed, n = ordered_prefix(scores.withColumn("_one", F.lit(1)), ["z", "doc_id"], "_one")
+    label = F.when(F.col("row") >= n - n_good, 1.0).when(F.col("row") < n_bad, 0.0)
+    return placed.select("doc_id", label.alias("label")).where("label is not null")
+
+
 def co_train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, source_col: str, lang_col: str, rounds: int = ROUNDS):
     """({view: View}, log odds of the prior), or the share of good labels if there is but one class."""
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").cast("double").alias("label"))
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_t"), F.col(source_col).alias("_s"), F.col(lang_col).alias("_l")).where("doc_id is not null")
+    # of rows that share an id, one is trained on
+    texts = texts.withColumn("_k", F.xxhash64("_t", "_s", "_l"))
     first = lambda df, n: df.withColumn("_h", F.xxhash64("doc_id")).orderBy("_h", "doc_id").limit(n).drop("_h")
-    ids = docs.select(F.col(id_col).alias("doc_id")).where("doc_id is not null").distinct()
-    labelled = first(known.join(ids, "doc_id", "left_semi"), LABELLED)
-    pool = first(ids.join(known, "doc_id", "left_anti"), POOL).withColumn("label", F.lit(None).cast("double"))
-    # at most LABELLED + POOL ids, whatever the input
-    chosen = F.broadcast(cut(labelled.unionByName(pool)))
-    joined = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_t"), F.col(source_col).alias("_s"), F.col(lang_col).alias("_l")).join(chosen, "doc_id")
-    sample = cut(features(joined, "_t", "_s", "_l", [F.col("doc_id"), F.col("label")]).dropDuplicates(["doc_id"]))
+    # at most LABELLED ids, whatever the input
+    labelled = cut(first(known.join(texts.select("doc_id").distinct(), "doc_id", "left_semi"), LABELLED))
+    few = lambda df, n: df.coalesce(max(8, n // FIT_ROWS))
+    sample = few(_fetched(texts, labelled), LABELLED)
     apart = F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(HELD_OUT)) == 0
-    known_rows = sample.where("label is not null")
-    held, train = known_rows.where(apart), known_rows.where(~apart)
+    held, train = sample.where(apart), sample.where(~apart)
     count = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
     held_classes = held.select("label").distinct().count()
     if len(count) < 2 or held_classes < 2:
         return None, count.get(1.0, 0) / sum(count.values()) if count else 1.0
     good = count[1.0] / (count[0.0] + count[1.0])
-    unlabelled = sample.where("label is null").drop("label")
-    give = int(unlabelled.count() * CONFIDENT)
 
     views = ("content", "page")
-    added = dict.fromkeys(views)
+    added, n_rows = dict.fromkeys(views), sum(count.values())
     for turn in range(rounds):
-        models = {v: _fit(train if added[v] is None else train.unionByName(added[v]), v) for v in views}
-        if turn == rounds - 1 or not give:
+        models = {v: _fit(train if added[v] is None else few(train.unionByName(added[v]), n_rows), v) for v in views}
+        if turn == rounds - 1:
+            break
+        scores = _scores(texts, known, models)
+        give = int(scores.count() * CONFIDENT)
+        if not give:
             break
+        n_good, n_bad = max(1, round(give * good)), max(1, round(give * (1 - good)))
+        picked = []
         for v, other in (views, views[::-1]):
-            rest = unlabelled if added[other] is None else unlabelled.join(F.broadcast(added[other].select("doc_id")), "doc_id", "left_anti")
-            scored = models[v].transform(rest).withColumn("_z", vector_to_array(f"raw_{v}")[1])
-            pick = lambda order, n, y: scored.orderBy(order, "doc_id").limit(n).withColumn("label", F.lit(y)).select(*train.columns)  # noqa: B023, E731
-            new = pick(F.desc("_z"), max(1, round(give * good)), 1.0).unionByName(pick(F.asc("_z"), max(1, round(give * (1 - good))), 0.0))
-            new = new.dropDuplicates(["doc_id"])
-            added[other] = cut(new if added[other] is None else added[other].unionByName(new))
+            rest = scores if added[other] is None else scores.join(added[other].select("doc_id"), "doc_id", "left_anti")
+            picked.append(_surest(rest.select("doc_id", F.col(f"z_{v}").alias("z")), n_good, n_bad).withColumnRenamed("label", f"y_{other}"))
+        rows = _fetched(texts, cut(picked[0].join(picked[1], "doc_id", "full")))
+        for v in views:
+            new = rows.where(F.col(f"y_{v}").isNotNull()).withColumn("label", F.col(f"y_{v}")).select(*train.columns)
+            added[v] = new if added[v] is None else added[v].unionByName(new)
+        n_rows += n_good + n_bad
     return {v: _calibrated(models[v], v, held) for v in views}, math.log(good / (1 - good))
 
 

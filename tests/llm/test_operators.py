@@ -355,6 +355,21 @@ def test_quality(spark, nothing):
     assert {r["score"] for r in quality.score_documents(df, labels.limit(0), ["doc_id"]).collect()} == {1.0}
 
 
+def test_quality_takes_from_all_unlabelled(spark, monkeypatch):
+    n = 6_000
+    bad = lambda k: k % 3 == 0
+    df = frame(spark, [(k, f"BUY NOW!! {k % 7} FREE!!" if bad(k) else f"the river walks {k % 7} under stones") for k in range(n)])
+    labels = spark.createDataFrame([(k, int(not bad(k))) for k in range(300)], "doc_id long, quality int")
+    fits, fit = [], quality._fit
+    monkeypatch.setattr(quality, "_fit", lambda rows, view, *a, **k: fits.append((view, rows.count(), rows.select("doc_id").distinct().count())) or fit(rows, view, *a, **k))
+    quality.co_train(df, labels, "doc_id", "text", "source", "lang")
+    give = int((n - 300) * quality.CONFIDENT)
+    for view in ("content", "page"):
+        sizes = [rows for v, rows, _ in fits if v == view]
+        assert [x - sizes[0] for x in sizes] == pytest.approx([0, give, 2 * give], abs=2)
+    assert all(rows == ids for _, rows, ids in fits)
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 200), (200, 150), (7, 7)]
     got = dict(map(tuple, common.components(spark.createDataFrame(edges, "a long, b long")).collect()))

@@ -3,7 +3,8 @@
 Base spans are patterns that are secrets on their own: assignments of a long value, access
 keys and long hexadecimal runs. Weak candidates (short assigned values, clipped access keys,
 logins, 40-character keys, endpoints) mean nothing alone, so they are reported only where a
-complementary part lies within SCOPE code points: an identifier or endpoint beside a secret,
+complementary part lies within SCOPE code points, from the end of one to the start of the
+other: an identifier or endpoint beside a secret,
 a secret beside an identifier or endpoint.
 """
 
@@ -98,26 +99,28 @@ def find_parts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def link_parts(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
     """(_row, linked): the weak spans of each row that have a complementary part in scope.
 
-    An interval join of parts with parts of the same row on buckets of `scope` code points.
-    Parts of one role in one bucket are summed up first by their least and greatest start, the
-    nearest that a neighbour can meet, so a row with many parts makes no pairs of them.
+    The distance is the gap from the end of one part to the start of the other, 0 if they meet.
+    An interval join of parts with parts of the same row on buckets of `scope` code points; a
+    part lies in all buckets from its start to its end. Parts of one role in one bucket are
+    summed up first by their least start and greatest end, the nearest that a neighbour can
+    meet, so a row with many parts makes no pairs of them.
     """
     every = parts.select("_row", F.explode(F.concat("base", "weak")).alias("s"))
     role = F.element_at(F.create_map(*[F.lit(x) for kv in ROLE.items() for x in kv]), F.col("s.kind"))
-    every = every.select("_row", "s", role.alias("role"), F.floor(F.col("s.start") / scope).alias("bucket"))
+    bucket = lambda at: F.floor(F.col(at) / scope)
+    every = every.select("_row", "s", role.alias("role"), bucket("s.start").alias("low"), bucket("s.end").alias("high"))
     marks = (
-        every.groupBy("_row", "bucket", "role")
-        .agg(F.min("s.start").alias("first"), F.max("s.start").alias("last"))
-        .withColumn("step", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
-        .select("_row", (F.col("bucket") + F.col("step")).alias("bucket"), F.col("role").alias("other"), "first", "last", "step")
+        every.select("_row", "s", F.col("role").alias("other"), F.explode(F.sequence("low", "high")).alias("bucket"))
+        .groupBy("_row", "bucket", "other")
+        .agg(F.min("s.start").alias("first"), F.max("s.end").alias("last"))
     )
     near = (
-        F.when(F.col("step") == 1, F.col("last") >= F.col("s.start") - scope)
-        .when(F.col("step") == -1, F.col("first") <= F.col("s.start") + scope)
+        F.when(F.col("bucket") < F.col("low"), F.col("last") >= F.col("s.start") - scope)
+        .when(F.col("bucket") > F.col("high"), F.col("first") <= F.col("s.end") + scope)
         .otherwise(F.lit(True))
     )
     complementary = (F.col("role") == "secret") != (F.col("other") == "secret")
-    weak = every.where(F.col("s.rank") >= 3)
+    weak = every.where(F.col("s.rank") >= 3).withColumn("bucket", F.explode(F.sequence(F.col("low") - 1, F.col("high") + 1)))
     return (
         weak.join(marks, ["_row", "bucket"])
         .where(complementary & near)

@@ -139,6 +139,28 @@ def test_secrets(spark, nothing):
     assert secrets.scan_secrets(nothing).count() == 0
 
 
+def test_secrets_scope_lies_between_spans(spark):
+    url, short = "https://h.example.org/?" + "q" * 227, "password: abcdef1"
+    texts = [f"{url} {short}", f"{short} {url}", url + " " * 200 + short, url + " " * 201 + short, f"{url} AKIA{'Q1' * 5} token={'z' * 11}", "token=" + "a" * 300 + f" AKIA{'Q1' * 5}"]
+    got = {r["doc_id"]: [s["kind"] for s in r["linked"]] for r in secrets.scan_secrets(frame(spark, list(enumerate(texts)))).collect()}
+    assert got[0] == got[2] == ["endpoint", "weak_secret"] and got[1] == ["weak_secret", "endpoint"] and got[3] == []
+    assert got[4] == ["endpoint", "weak_id", "weak_secret"] and got[5] == ["weak_id"]
+    rng, rows_ = random.Random(6), []
+    for row in range(300):
+        spans = []
+        for _ in range(rng.randint(1, 6)):
+            rank, start = rng.randrange(6), rng.choice([rng.randrange(1500), 200 * rng.randrange(8)])
+            spans.append((start, rank, start + rng.choice([1, 20, 200, rng.randint(1, 700)]), secrets.KINDS[rank]))
+        rows_.append((row, sorted(s for s in spans if s[1] < 3), sorted(s for s in spans if s[1] >= 3)))
+    secret = lambda s: secrets.ROLE[s[3]] == "secret"
+    want = {}
+    for row, base, weak in rows_:
+        hit = {s for s in weak if any(secret(s) != secret(o) and max(s[0], o[0]) - min(s[2], o[2]) <= 200 for o in base + weak)}
+        want |= {row: sorted(hit)} if hit else {}
+    parts = spark.createDataFrame(rows_, f"_row long, base array<{secrets.SPAN}>, weak array<{secrets.SPAN}>")
+    assert {r["_row"]: [tuple(s) for s in r["linked"]] for r in secrets.link_parts(parts).collect()} == want
+
+
 def shingles(t, n=5):
     w = words((t or "").translate(LOW))
     return frozenset(tuple(w[k : k + n]) for k in range(len(w) - n + 1)) if len(w) >= n else frozenset([tuple(w)] if w else [])

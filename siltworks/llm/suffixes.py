@@ -12,9 +12,11 @@ One order of all suffixes would be a single task, so the collection is dealt out
 window of WIDTH bytes belongs to its minimizer, the K bytes in it of least hash. Neighbouring windows that
 share it form one piece of text, and pieces are dealt to buckets by the hash of these K bytes:
 equal windows always meet in one bucket. A bucket's size is set by the number of buckets,
-which follows the input. Pieces of equal bytes are stored once with all the places they occur, and a
-piece whose surroundings of the minimizer occur in no other document is left out, as no window
-of it can recur.
+which follows the input. A bucket has pieces only, equal ones of a chunk of text once, and a piece
+whose surroundings of the minimizer occur in no other document is left out, as no window of it
+can recur. It gives a mask for each distinct piece: by window, the smallest id that has it. A
+second pass over the texts deals the places where pieces occur, those of a bucket with many to
+several tasks, and there the masks are laid over them, one chunk of text at a time.
 """
 
 from __future__ import annotations
@@ -39,6 +41,8 @@ SIDE = K + (WIDTH - K) // 2
 #: Bytes of text that a map task works on at a time, and aimed at for a bucket.
 CHUNK = 2 << 20
 BUCKET = 12 << 20
+#: Places of pieces aimed at for a task; a bucket with more is dealt to several.
+RUNS = 1_000_000
 
 _U = np.uint64
 _P = 0x9E3779B97F4A7C15
@@ -104,8 +108,12 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, ...]:
     return pickle.loads(zstandard.ZstdDecompressor().decompress(blob))
 
 
-def _pieces(parts: list[bytes], doc_ids: np.ndarray, uids: np.ndarray, bases: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
-    """(bucket, packed pieces) of some texts, or parts of texts that start at `bases`."""
+def _pieces(parts: list[bytes], doc_ids: np.ndarray, uids: np.ndarray, bases: np.ndarray, buckets: int, salts: dict[int, int] | None) -> Iterator[tuple]:
+    """(bucket, number of places, packed pieces) of some texts, or parts of texts that start at `bases`.
+
+    With salts, the number of tasks of each bucket that has more than one, the places instead:
+    (bucket, salt, packed places).
+    """
     sizes = np.array([len(p) for p in parts])
     ends = np.cumsum(sizes)
     data = np.frombuffer(b"".join(parts), np.uint8)
@@ -135,7 +143,7 @@ def _pieces(parts: list[bytes], doc_ids: np.ndarray, uids: np.ndarray, bases: np
     count = stop[np.searchsorted(stop, start, "right")] - start
     anchor = at[start]
     bucket = (_mix(key[anchor] ^ _U(_P)) % _U(buckets)).astype(np.int64)
-    same = _mix(hashes.at(start, WIDTH) * _U(3) + hashes.at(start + count - 1, WIDTH) * _U(5) + count.astype(np.uint64))
+    same = _mix(hashes.at(start, WIDTH) * _U(3) + hashes.at(start + count - 1, WIDTH) * _U(5) + (count + WIDTH - 1).astype(np.uint64))
     owner = np.searchsorted(ends, start, "right")
     _, rep, member = np.unique(same, return_index=True, return_inverse=True)
     # pieces by bucket and place, so that the numbers below grow slowly and pack well
@@ -152,13 +160,26 @@ def _pieces(parts: list[bytes], doc_ids: np.ndarray, uids: np.ndarray, bases: np
         chosen = rep[lo:hi]
         length = count[chosen] + WIDTH - 1
         runs = by_bucket[slice(*np.searchsorted(run_bucket, [b, b + 1]))]
+        if salts is None:
+            ids, nth = np.unique(doc_ids[owner[runs]], return_inverse=True)
+            own = member[runs] - lo
+            least, most = np.full(hi - lo, len(ids)), np.full(hi - lo, -1)
+            np.minimum.at(least, own, nth)
+            np.maximum.at(most, own, nth)
+            yield b, len(runs), _pack(
+                data[_spread(start[chosen], length)],
+                length.astype(np.uint8),
+                (anchor[chosen] - start[chosen]).astype(np.uint8),
+                np.diff(least, prepend=0).astype(np.int32),
+                (most - least).astype(np.int32),
+                ids,
+            )
+            continue
         docs, doc = np.unique(owner[runs], return_inverse=True)
-        yield b, _pack(
-            data[_spread(start[chosen], length)],
-            length.astype(np.uint8),
-            (anchor[chosen] - start[chosen]).astype(np.uint8),
+        yield b, int(uids[docs[0]]) % salts.get(b, 1), _pack(
+            same[chosen],
             np.diff(member[runs] - lo, prepend=0).astype(np.int32),
-            np.diff(doc, prepend=0).astype(np.uint16),
+            np.diff(doc, prepend=0).astype(np.int32),
             np.diff(start[runs], prepend=0).astype(np.int32),
             doc_ids[docs],
             uids[docs],
@@ -166,13 +187,13 @@ def _pieces(parts: list[bytes], doc_ids: np.ndarray, uids: np.ndarray, bases: np
         )
 
 
-def _mapped(batches: Iterator[pd.DataFrame], buckets: int) -> Iterator[pd.DataFrame]:
+def _mapped(batches: Iterator[pd.DataFrame], buckets: int, salts: dict[int, int] | None = None) -> Iterator[pd.DataFrame]:
     held, total = [], 0
 
     def flush():
-        out = list(_pieces([h[0] for h in held], np.array([h[1] for h in held]), np.array([h[2] for h in held]), np.array([h[3] for h in held]), buckets))
+        out = list(_pieces([h[0] for h in held], np.array([h[1] for h in held]), np.array([h[2] for h in held]), np.array([h[3] for h in held]), buckets, salts))
         held.clear()
-        return pd.DataFrame(out, columns=["bucket", "blob"])
+        return pd.DataFrame(out, columns=["bucket", "runs" if salts is None else "salt", "blob"])
 
     for batch in batches:
         for doc_id, uid, text in zip(batch.doc_id, batch.uid, batch.text, strict=True):
@@ -267,28 +288,27 @@ def _marks(text: np.ndarray, begin: np.ndarray, length: np.ndarray, offset: np.n
     return out[0], out[1], out[2]
 
 
-def _bucket(frame: pd.DataFrame, doc_parts: int) -> pd.DataFrame:
-    """Spans to remove, packed by part of the documents, from all pieces of one bucket."""
-    none = pd.DataFrame({"part": pd.Series([], dtype="int32"), "blob": pd.Series([], dtype=object)})
+def _bucket(frame: pd.DataFrame) -> pd.DataFrame:
+    """The number of places of one bucket, and packed masks of its distinct pieces.
+
+    Of each piece with a window that goes somewhere: its hash, its number of windows and, by
+    window, the smallest id that has it.
+    """
+    out = lambda blob: pd.DataFrame({"bucket": frame.bucket[:1], "runs": [int(frame.runs.sum())], "blob": pd.Series([blob], dtype=object)})
     blobs = [_unpack(b) for b in frame.blob]
-    n_pieces = np.array([len(b[1]) for b in blobs])
-    n_docs = np.array([len(b[6]) for b in blobs])
     text, length, offset = (np.concatenate([b[k] for b in blobs]) for k in range(3))
     length, offset = length.astype(np.int64), offset.astype(np.int64)
-    piece = np.concatenate([np.cumsum(b[3], dtype=np.int64) + s for b, s in zip(blobs, np.cumsum(n_pieces) - n_pieces, strict=True)])
-    doc = np.concatenate([np.cumsum(b[4], dtype=np.int64) + s for b, s in zip(blobs, np.cumsum(n_docs) - n_docs, strict=True)])
-    doc_ids, uids, origin = (np.concatenate([b[k] for b in blobs]) for k in (6, 7, 8))
-    start = np.concatenate([np.cumsum(b[5], dtype=np.int64) for b in blobs]) - origin[doc]
-    del blobs
+    low = [np.cumsum(b[3], dtype=np.int64) for b in blobs]
+    every_most = np.concatenate([b[5][x + b[4]] for b, x in zip(blobs, low, strict=True)])
+    every_least = np.concatenate([b[5][x] for b, x in zip(blobs, low, strict=True)])
+    del blobs, low
     begin = np.cumsum(length) - length
     same, left, right = _marks(text, begin, length, offset)
-    _, rep, to = np.unique(same, return_index=True, return_inverse=True)
-    piece = to[piece]
+    same, rep, to = np.unique(same, return_index=True, return_inverse=True)
     begin, length, offset, left, right = begin[rep], length[rep], offset[rep], left[rep], right[rep]
-    owner = doc_ids[doc]
     least, most = np.full(len(rep), np.iinfo(np.int64).max), np.full(len(rep), np.iinfo(np.int64).min)
-    np.minimum.at(least, piece, owner)
-    np.maximum.at(most, piece, owner)
+    np.minimum.at(least, to, every_least)
+    np.maximum.at(most, to, every_most)
     # a window holds the minimizer and WIDTH - K more bytes, so half of these lie to one side of it
     keep = least < most
     for has, mark in ((offset >= SIDE - K, left), (offset + SIDE <= length, right)):
@@ -300,7 +320,7 @@ def _bucket(frame: pd.DataFrame, doc_parts: int) -> pd.DataFrame:
         keep[has] |= lo[group] < hi[group]
     kept = np.flatnonzero(keep)
     if not len(kept):
-        return none
+        return out(None)
     chosen = text[_spread(begin[kept], length[kept])]
     string, at, lcp = suffix_order(chosen, length[kept])
     windows = at + WIDTH <= length[kept][string]
@@ -315,22 +335,51 @@ def _bucket(frame: pd.DataFrame, doc_parts: int) -> pd.DataFrame:
     source = np.empty(count.sum(), np.int64)
     source[first_of[string] + at] = smallest
 
-    number = np.full(len(rep), -1)
-    number[kept] = np.arange(len(kept))
+    goes = np.bitwise_or.reduceat(source < np.repeat(most[kept], count), first_of)
+    if not goes.any():
+        return out(None)
+    return out(_pack(same[kept][goes], count[goes].astype(np.uint8), source[_spread(first_of[goes], count[goes])]))
+
+
+def _masked(places: pd.DataFrame, masks: pd.DataFrame, doc_parts: int) -> pd.DataFrame:
+    """Spans to remove, packed by part of the documents, at some places of one bucket."""
+    none = pd.DataFrame({"part": pd.Series([], dtype="int32"), "blob": pd.Series([], dtype=object)})
+    if not len(masks):
+        return none
+    (keys, count, source), = map(_unpack, masks.blob)
+    count = count.astype(np.int64)
+    first_of = np.cumsum(count) - count
+    found = [x for blob in places.blob if len((x := _laid(_unpack(blob), keys, count, first_of, source))[0])]
+    if not found:
+        return none
+    uid, lo, hi = (np.concatenate(x) for x in zip(*found, strict=True))
+    return _by_part(uid, lo, hi, doc_parts)
+
+
+def _laid(chunk: tuple[np.ndarray, ...], keys: np.ndarray, count: np.ndarray, first_of: np.ndarray, source: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(uid, start, end) of the spans to remove in one chunk; keys are in order."""
+    same, piece, doc, start, doc_ids, uids, origin = chunk
+    piece, doc = np.cumsum(piece, dtype=np.int64), np.cumsum(doc, dtype=np.int64)
+    start = np.cumsum(start, dtype=np.int64) - origin[doc]
+    number = np.minimum(np.searchsorted(keys, same), len(keys) - 1)
+    number[keys[number] != same] = -1
     runs = np.flatnonzero(number[piece] >= 0)
-    k = number[piece[runs]]
+    k, owner = number[piece[runs]], doc_ids[doc[runs]]
     flat = _spread(first_of[k], count[k])
-    gone = source[flat] < np.repeat(owner[runs], count[k])
+    gone = source[flat] < np.repeat(owner, count[k])
     run = np.repeat(np.arange(len(runs)), count[k])
     nth = _spread(np.zeros(len(runs), np.int64), count[k])
-    joins = gone & np.concatenate([[False], gone[:-1] & (run[1:] == run[:-1])])
+    joins = gone.copy()
+    joins[:1] = False
+    joins[1:] &= gone[:-1] & (run[1:] == run[:-1])
     head = np.flatnonzero(gone & ~joins)
-    if not len(head):
-        return none
-    tail = np.flatnonzero(gone & ~np.append(joins[1:], False))
+    tail = np.flatnonzero(gone & ~np.append(joins[1:], False)[: len(gone)])
     lo = start[runs][run[head]] + nth[head]
     hi = start[runs][run[tail]] + nth[tail] + WIDTH
-    uid = uids[doc[runs]][run[head]]
+    return uids[doc[runs]][run[head]], lo, hi
+
+
+def _by_part(uid: np.ndarray, lo: np.ndarray, hi: np.ndarray, doc_parts: int) -> pd.DataFrame:
     part = uid.astype(np.uint64) % _U(doc_parts)
     order = np.lexsort((lo, uid, part))
     part, uid, lo, hi = part[order], uid[order], lo[order], hi[order]
@@ -369,6 +418,17 @@ def _applied(docs: pd.DataFrame, spans: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "spans", "kept", "kept_sha256"])
 
 
+def masks_of(texts: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, runs, blob): places and masks of each bucket, written."""
+    pieces = texts.where(F.octet_length("text") >= WIDTH).mapInPandas(lambda it: _mapped(it, buckets), "bucket int, runs long, blob binary")
+    return cut(pieces.groupBy("bucket").applyInPandas(_bucket, "bucket int, runs long, blob binary"))
+
+
+def places_of(texts: DataFrame, buckets: int, salts: dict[int, int]) -> DataFrame:
+    """(bucket, salt, blob): the places of pieces, by chunk of text."""
+    return texts.where(F.octet_length("text") >= WIDTH).mapInPandas(lambda it: _mapped(it, buckets, salts), "bucket int, salt int, blob binary")
+
+
 def remove_repeats(docs: DataFrame, keep_text: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_removed, spans, kept_sha256) and, if asked for, the bytes kept.
 
@@ -385,8 +445,17 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True, id_col: str = "doc_i
     buckets = max(8, math.ceil(size * 3.7 / BUCKET))
     doc_parts = max(8, math.ceil(size / BUCKET))
 
-    pieces = texts.where(F.octet_length("text") >= WIDTH).mapInPandas(lambda it: _mapped(it, buckets), "bucket int, blob binary")
-    spans = cut(pieces.groupBy("bucket").applyInPandas(lambda frame: _bucket(frame, doc_parts), "part int, blob binary"))
+    masks = masks_of(texts, buckets)
+    tasks = F.ceil(F.col("runs") / RUNS).cast("int")
+    # at most one number for RUNS places
+    salts = {r["bucket"]: r["n"] for r in masks.where(F.col("runs") > RUNS).select("bucket", tasks.alias("n")).collect()}
+    dealt = masks.where("blob is not null").select("bucket", F.explode(F.sequence(F.lit(0), tasks - 1)).alias("salt"), "blob")
+    spans = cut(
+        places_of(texts, buckets, salts)
+        .groupBy("bucket", "salt")
+        .cogroup(dealt.groupBy("bucket", "salt"))
+        .applyInPandas(lambda places, masks: _masked(places, masks, doc_parts), "part int, blob binary")
+    )
     # the unsigned remainder, as numpy takes it
     part = F.expr(f"cast(pmod(pmod(uid, {doc_parts}) + if(uid < 0, {(1 << 64) % doc_parts}, 0), {doc_parts}) as int)")
     done = (

@@ -242,6 +242,27 @@ def test_suffixes(docs, rows, nothing):
     assert suffixes.remove_repeats(nothing).count() == 0
 
 
+def test_suffixes_deal_a_hot_bucket_to_many_tasks(spark, monkeypatch):
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    passage = text(400)
+    rows_ = [(i, text(60) + passage + text(60)) for i in range(640)]
+    df = frame(spark, rows_).repartition(32)
+    whole = sorted(map(str, suffixes.remove_repeats(df).collect()))
+    monkeypatch.setattr(suffixes, "RUNS", 200)
+    assert sorted(map(str, suffixes.remove_repeats(df).collect())) == whole
+    assert sum(len(passage) <= r["n_removed"] <= len(passage) + 12 for r in suffixes.remove_repeats(df).collect()) == 639
+    texts = df.selectExpr("doc_id", "text", "xxhash64(doc_id, text) as uid")
+    sizes = {r["bucket"]: r["runs"] for r in suffixes.masks_of(texts, 4).collect()}
+    salts = {b: -(-n // 200) for b, n in sizes.items()}
+    held = Counter()
+    for r in suffixes.places_of(texts, 4, salts).collect():
+        held[r["bucket"], r["salt"]] += len(suffixes._unpack(r["blob"])[1])
+    assert sum(held.values()) == sum(sizes.values()) and min(sizes.values()) > 1000
+    for b, n in sizes.items():
+        assert max(v for (c, _), v in held.items() if c == b) < n / 2
+
+
 def test_suffix_order():
     rng = random.Random(2)
     texts = ["".join(rng.choice("ab\0") for _ in range(rng.randint(1, 30))).encode() for _ in range(40)]

@@ -103,9 +103,9 @@ def least_matches(threshold: float) -> int:
 def _collisions(batches: Iterator[pd.DataFrame], least: int) -> Iterator[pd.DataFrame]:
     """Stars (a, b) of classes in each posting list whose signatures agree often enough."""
     for rows, starts in whole_groups(batches, ["key", "lo", "hi"]):
-        # 16 of each coordinate's 32 bits suffice for counting
-        sig = np.frombuffer(b"".join(rows.sig), ">u2").reshape(len(rows), 2 * K)[:, 1::2]
-        sig, place = np.ascontiguousarray(sig), rows.place.to_numpy()
+        # 16 of each coordinate's 32 bits suffice for counting, not for the first common one
+        whole = np.frombuffer(b"".join(rows.sig), ">u4").reshape(len(rows), K)
+        sig, place = whole.astype(np.uint16), rows.place.to_numpy()
         across, blk = (rows.lo != rows.hi).to_numpy(), rows.blk.to_numpy()
         left, right = [], []
         for i, j in group_pairs(starts):
@@ -114,9 +114,10 @@ def _collisions(batches: Iterator[pd.DataFrame], least: int) -> Iterator[pd.Data
                 i, j = i[meet], j[meet]
             for part in range(0, len(i), 50_000):
                 a, b = i[part : part + 50_000], j[part : part + 50_000]
-                same = sig[a] == sig[b]
+                often = (sig[a] == sig[b]).sum(axis=1) >= least
+                a, b = a[often], b[often]
                 # at its first common coordinate a pair is counted; in later lists it is skipped
-                keep = (same.sum(axis=1) >= least) & (same.argmax(axis=1) == place[a])
+                keep = (whole[a] == whole[b]).argmax(axis=1) == place[a]
                 left.append(a[keep])
                 right.append(b[keep])
         label = smallest_labels(len(rows), np.concatenate(left or [np.zeros(0, int)]), np.concatenate(right or [np.zeros(0, int)]))

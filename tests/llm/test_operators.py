@@ -200,6 +200,17 @@ def test_minhash(docs, rows, nothing, monkeypatch, block):
         assert minhash.near_duplicates(nothing).count() == 0
 
 
+def test_minhash_first_common_coordinate_by_all_bits():
+    import pandas as pd
+
+    one = np.arange(minhash.K, dtype=">u4")
+    two = one.copy()
+    two[0] += 1 << 16
+    rows_ = pd.DataFrame({"key": 1, "lo": 0, "hi": 0, "blk": 0, "place": 1, "cls": [b"a", b"b"], "sig": [one.tobytes(), two.tobytes()]})
+    (got,) = minhash._collisions(iter([rows_]), 40)
+    assert got.values.tolist() == [[b"b", b"a"]]
+
+
 def test_lines(docs, rows, nothing):
     seen, want = [], defaultdict(set)
     order = sorted({(i, t) for i, t, *_ in rows}, key=lambda r: (r[0] is not None, r[0] or 0))

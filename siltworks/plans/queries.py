@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltworks.functions import naming, schemas
+from siltworks.functions import naming
 from siltworks.functions.dialect import to_spark
 from siltworks.operators import monitor, publish
 from siltworks.operators import transform as tr
 from siltworks.sources import files as fs
+from siltworks.sources import recovery
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -406,8 +407,10 @@ def template_patch(spark, d):
 @register("json_field_inference", "SELECT event_type, COUNT(*) AS n, SUM(CAST(json_extract(props, '$.k') AS BIGINT)) AS k FROM events GROUP BY 1")
 def json_field_inference(spark, d):
     events = table(spark, d, "events")
-    line = events.select("props").where("props is not null").first()
-    kind = schemas.infer_line(line["props"]) if line else T.StructType([T.StructField("k", T.LongType())])
+    found = events.select(F.try_parse_json("props").alias("v")).agg(F.schema_of_variant_agg("v")).first()[0]
+    kind = recovery.parse_variant_schema(found)
+    if not isinstance(kind, T.StructType) or "k" not in kind.names:
+        kind = T.StructType([T.StructField("k", T.LongType())])
     return events.withColumn("x", F.from_json("props", kind)).groupBy("event_type").agg(F.count("*").alias("n"), F.sum("x.k").alias("k"))
 
 

@@ -1,6 +1,7 @@
 from pyspark.sql import types as T
 
 from siltworks.functions import schemas as S
+from siltworks.plans import queries
 
 
 def test_infer():
@@ -21,3 +22,10 @@ def test_comparisons():
     assert S.can_copy(a, wider) and not S.can_copy(wider, a)
     assert S.unknown_fields(T._parse_datatype_string("id bigint, s struct<x:string,z:int>, w int"), a) == ["s.z", "w"]
     assert S.merge(T.LongType(), T.DoubleType()) == T.DoubleType()
+
+
+def test_fields_are_inferred_from_all_rows(spark, tmp_path):
+    rows = [("a", None), ("a", '{"j": 1}'), ("a", '{"k": 2}'), ("b", '{"k": 2.5}'), ("b", "no json")]
+    spark.createDataFrame(rows, "event_type string, props string").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    got = queries.QUERIES["json_field_inference"](spark, str(tmp_path)).collect()
+    assert {r["event_type"]: (r["n"], float(r["k"])) for r in got} == {"a": (3, 2.0), "b": (2, 2.5)}

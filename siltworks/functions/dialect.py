@@ -15,21 +15,34 @@ TYPES = {
 }
 
 _QUOTED = r"'(?:[^'\\]|\\.)*'"
+#: What no rewriting may touch: texts and comments. A backtick name is a part of its own.
+_SOLID = re.compile(rf"""({_QUOTED}|"(?:[^"\\]|\\.)*"|--[^\n]*|/\*.*?\*/|`[^`]*`)""", re.S)
+_SPLIT = re.compile(r"\bSPLIT\s*\(([^()]|\([^()]*\))*,\s*$", re.I)
+_AFTER = r"\b(FROM|JOIN|INTO|UPDATE|TABLE)(\s+)"
 
 
 def to_spark(sql: str) -> str:
-    """Rewrite typed nulls, literal SPLIT delimiters, dotted backtick names and [p:d.t] tables.
+    """Rewrite typed nulls, literal SPLIT delimiters, dotted backtick names, [p:d.t] tables and UNNEST.
 
     `TYPE(NULL)` becomes a cast; SPLIT's delimiter, a plain text there, is quoted against being
     read as a pattern; `p.d.t` in one pair of backticks is quoted part by part, and a project
-    in front is dropped, as one session has one catalog.
+    in front is dropped, as one session has one catalog. Brackets name a table only after FROM,
+    JOIN, INTO, UPDATE or TABLE; elsewhere they are an index. UNNEST in FROM is a lateral
+    explode. Texts and comments stay as they are.
     """
-    names = "|".join(TYPES)
-    sql = re.sub(rf"\b({names})\s*\(\s*NULL\s*\)", lambda m: f"CAST(NULL AS {TYPES[m[1].upper()]})", sql, flags=re.I)
-    literal = lambda m: f"{m[1]}'\\\\Q{m[2]}\\\\E')" if m[2] else m[0]
-    sql = re.sub(r"(\bSPLIT\s*\((?:[^()']|'[^']*')*,\s*)'([^'\\]*)'\s*\)", literal, sql, flags=re.I)
-    sql = re.sub(r"\[(?:[\w-]+:)?([\w-]+\.[\w$-]+)\]", lambda m: m[1], sql)
-    return re.sub(r"`(?:[\w-]+[:.])?([\w-]+)\.([\w-]+)`", lambda m: f"`{m[1]}`.`{m[2]}`", sql)
+    names, out = "|".join(TYPES), ""
+    for k, part in enumerate(_SOLID.split(sql)):
+        if k % 2 == 0:
+            part = re.sub(rf"\b({names})\s*\(\s*NULL\s*\)", lambda m: f"CAST(NULL AS {TYPES[m[1].upper()]})", part, flags=re.I)
+            part = re.sub(_AFTER + r"\[(?:[\w-]+:)?([\w-]+\.[\w$-]+)\]", lambda m: f"{m[1]}{m[2]}{m[3]}", part, flags=re.I)
+            unnest = r"UNNEST\s*\(([^()]*(?:\([^()]*\)[^()]*)*)\)\s+(?:AS\s+)?(?!ON\b|WHERE\b|WITH\b)(\w+)"
+            part = re.sub(rf"(,|\bFROM\b|\bJOIN\b)\s*{unnest}", lambda m: f"{m[1]} LATERAL explode({m[2]}) AS {m[3]}_({m[3]})", part, flags=re.I)
+        elif part[0] == "`":
+            part = re.sub(r"^`(?:[\w-]+[:.])?([\w-]+)\.([\w-]+)`$", lambda m: f"`{m[1]}`.`{m[2]}`", part)
+        elif part[0] == "'" and len(part) > 2 and "\\" not in part and _SPLIT.search(out):
+            part = rf"'\\Q{part[1:-1]}\\E'"
+        out += part
+    return out
 
 
 def is_dml(sql: str) -> bool:

@@ -6,6 +6,11 @@ import re
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 #: 64-bit FNV offset basis and prime.
 FNV_BASIS = 14695981039346656037
 FNV_PRIME = 1099511628211
@@ -31,6 +36,24 @@ def fnv1a(text: str) -> int:
     return abs(_signed(h))
 
 
+def fnv1_many(texts: pd.Series) -> pd.Series:
+    """fnv1 of every text of a batch, null for null: one step for each byte position, all texts at once."""
+    raw = [t.encode() for t in texts.dropna()]
+    order = np.argsort([-len(r) for r in raw], kind="stable")
+    sizes, flat = np.array([len(r) for r in raw], np.int64), np.frombuffer(b"".join(raw), np.uint8).astype(np.uint64)
+    starts = np.cumsum(sizes) - sizes
+    h = np.full(len(raw), FNV_BASIS, np.uint64)
+    live = len(raw)
+    for k in range(int(sizes.max(initial=0))):
+        while live and sizes[order[live - 1]] <= k:
+            live -= 1
+        rows = order[:live]
+        h[rows] = h[rows] * np.uint64(FNV_PRIME) ^ flat[starts[rows] + k]
+    out = pd.Series(pd.NA, texts.index, "Int64")
+    out[texts.notna()] = np.abs(h.view(np.int64))
+    return out
+
+
 @dataclass(frozen=True)
 class TableRef:
     dataset: str
@@ -129,15 +152,23 @@ class Variables:
 
     values: dict[str, object] = field(default_factory=dict)
 
+    def _found(self, name: str) -> tuple[object, str] | None:
+        """The value of the longest known name that a text starts with, and what follows it."""
+        known = max((n for n in self.values if name.startswith(n)), key=len, default=None)
+        if known is None:
+            return None
+        value, rest = self.values[known], name[len(known) :]
+        while isinstance(value, dict) and (part := re.match(r"\.(\w+)", rest)) and part[1] in value:
+            value, rest = value[part[1]], rest[part.end() :]
+        return value, rest
+
     def put(self, text: str) -> str:
         def one(m: re.Match) -> str:
-            name = m[1] or m[2]
-            value = self.values
-            for part in name.split("."):
-                if not isinstance(value, dict) or part not in value:
-                    return m[0]
-                value = value[part]
-            return ",".join(map(str, value)) if isinstance(value, list | tuple) else str(value)
+            found = self._found(m[1] or m[2])
+            if found is None or (m[1] and found[1]):
+                return m[0]
+            value = found[0]
+            return (",".join(map(str, value)) if isinstance(value, list | tuple) else str(value)) + found[1]
 
         return re.sub(r"\$\{([\w.]+)\}|\$([A-Za-z]\w*(?:\.\w+)*)", one, text)
 
@@ -184,3 +215,34 @@ def parse_activity_id(text: str) -> dict:
     if len(fields) > 2:
         out |= {"step": int(fields[1]), "action": fields[2]}
     return out
+
+
+def window_file_end(url: Column) -> Column:
+    """end_of_window_file of a column; null where it isn't a window file."""
+    return F.nullif(F.regexp_extract(url, r"_(\d+)\.\w{3}$", 1), F.lit("")).cast("long")
+
+
+def activity_ids(table: Column, event_id: Column, step: Column, action: Column, mode: Column) -> Column:
+    """activity_id of columns."""
+    number = F.lpad((step % 99999).cast("string"), 5, "0")
+    return F.concat(table, F.lit("/"), event_id, F.lit("_"), number, F.lit("_"), action, F.lit("--"), mode)
+
+
+def activity_parts(text: Column) -> Column:
+    """parse_activity_id of a column, as a struct."""
+    parts = F.split(F.replace(F.regexp_replace(text, r"\.json", ""), F.lit("--"), F.lit("/")), "/")
+    size, part = F.size(parts), lambda k: F.get(parts, F.size(parts) - k)
+    fields = F.split(part(2), "_")
+    whole, long_ = size >= 2, (size >= 2) & (F.size(fields) > 2)
+    return F.struct(
+        F.when(whole, F.array_join(F.slice(parts, 1, F.greatest(F.lit(0), size - 2)), "--")).otherwise("").alias("table"),
+        F.when(whole, F.get(fields, F.lit(0))).otherwise("").alias("event_id"),
+        F.when(long_, F.get(fields, F.lit(1)).cast("int")).otherwise(0).alias("step"),
+        F.when(long_, F.get(fields, F.lit(2))).otherwise("nop").alias("action"),
+        F.when(part(1).endswith("dispatch"), "dispatch").otherwise("tail").alias("mode"),
+    )
+
+
+def history_name(path: Column) -> Column:
+    """Name of the file that notes what of a source path has been taken: MD5 in base 64, unpadded."""
+    return F.concat(F.replace(F.base64(F.unhex(F.md5(path))), F.lit("="), F.lit("")), F.lit(".json"))

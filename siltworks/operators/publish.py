@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,8 +51,12 @@ def patch(spark: SparkSession, table: str, schema: T.StructType) -> None:
         staged = f"{table}__staged"
         create(spark, staged, merged, partition_columns(spark, table))
         _insert(conform(rows, merged), staged, overwrite=True)
-        spark.sql(f"DROP TABLE {table}")
+        aside = f"{table}__before"
+        # the old table goes last: at any time one of the three names has all rows
+        spark.sql(f"DROP TABLE IF EXISTS {aside}")
+        spark.sql(f"ALTER TABLE {table} RENAME TO {aside}")
         spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+        spark.sql(f"DROP TABLE {aside}")
 
 
 def ensure(spark: SparkSession, table: str, template: str) -> None:
@@ -158,6 +163,23 @@ def split(df: DataFrame, mappings: list[tuple[str, str]]) -> DataFrame:
     return df.withColumn("dest", F.explode(dests))
 
 
+def stage_split(df: DataFrame, table: str, cluster: list[str], time_column: str | None = None) -> DataFrame:
+    """Rows written once to a table that a split then reads for each destination.
+
+    The table has partitions by day of the time column, and the rows of each file are sorted by
+    the cluster columns, so that a predicate on either skips files or row groups.
+    """
+    spark, rows = df.sparkSession, split_columns(df, cluster, time_column)
+    by = [c.rpartition(".")[2] for c in cluster]
+    if time_column:
+        rows = rows.withColumn("_day", F.to_date(time_column))
+    create(spark, table, rows.schema, ["_day"] if time_column else None)
+    order = (["_day"] if time_column else []) + by
+    # Spark sets the number of partitions and splits days that hold more than others
+    _insert(rows.hint("rebalance", *order).sortWithinPartitions(*order) if order else rows, table, overwrite=True)
+    return spark.table(table).drop("_day")
+
+
 def write_split(df: DataFrame, mappings: list[tuple[str, str]], append: bool = True, template: str | None = None) -> None:
     """Write the rows that meet each predicate to its table; df is computed once."""
     spark = df.sparkSession
@@ -198,20 +220,38 @@ def copy(spark: SparkSession, source: str, dest: str, append: bool = False, temp
 
 
 def partitions(spark: SparkSession, table: str) -> DataFrame:
-    """Values of the table's first partition column, without null, in order; a scan of metadata."""
+    """Values of the table's first partition column, without null, in order, from the catalog alone."""
     key = partition_columns(spark, table)[0]
-    return spark.table(table).select(key).where(F.col(key).isNotNull()).distinct().orderBy(key)
+    kind = dict(spark.table(table).dtypes)[key]
+    value = F.regexp_extract("partition", rf"(?:^|/){re.escape(key)}=([^/]*)", 1)
+    listed = spark.sql(f"SHOW PARTITIONS {table}").select(F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B"))).alias(key)).distinct()
+    return listed.where(f"`{key}` <> '__HIVE_DEFAULT_PARTITION__'").select(F.col(key).cast(kind)).orderBy(key)
+
 
+def copy_partitions(spark: SparkSession, source: str, dest: str, table_of=None, sql: str | None = None) -> list[str]:
+    """Copy every partition, or those that a statement gives as partition_id.
 
-def copy_partitions(spark: SparkSession, source: str, dest: str, table_of=None) -> list[str]:
-    """Copy every partition. table_of(value) names a table for each, else all go to dest at once."""
+    table_of(value) names a table for each, else all go to dest at once.
+    """
+    chosen = None
+    if sql:
+        key, kind = partition_columns(spark, source)[0], dict(spark.table(source).dtypes)
+        kind = kind[key]
+        given = spark.sql(to_spark(sql)).select(F.col("partition_id").cast("string").alias("_id")).distinct()
+        of_rows = F.date_format(key, "yyyyMMdd") if kind == "date" else F.col(key).cast("string")
+        if table_of is None:
+            rows = spark.table(source)
+            create(spark, dest, rows.schema, partition_columns(spark, source))
+            override_partitions(rows.join(given, of_rows == F.col("_id"), "left_semi"), dest)
+            return [dest]
+        chosen = partitions(spark, source).join(given, of_rows == F.col("_id"), "left_semi").orderBy(key)
     if table_of is None:
         create(spark, dest, spark.table(source).schema, partition_columns(spark, source))
         override_partitions(spark.table(source), dest)
         return [dest]
     key = partition_columns(spark, source)[0]
     out = []
-    for row in partitions(spark, source).collect():
+    for row in (chosen if chosen is not None else partitions(spark, source)).collect():
         out.append(table_of(row[0]))
         write(spark.table(source).where(F.col(key) == F.lit(row[0])), out[-1], append=False)
     return out

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -9,13 +10,14 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltworks.functions.naming import SourceFile, TableRef, Variables, expand, parameters
 from siltworks.operators import publish
 from siltworks.operators.transform import transform
-from siltworks.plans.rule import Action, Rule
+from siltworks.plans.rule import MAX_RELOAD, Action, Rule
 from siltworks.sources import recovery
-from siltworks.sources.files import load
+from siltworks.sources.files import LoadOptions, load
 
 JOURNAL = "event_id string, rule string, dest string, state string, urls array<string>, at timestamp, error string"
 
@@ -46,12 +48,13 @@ class Journal:
 
 @dataclass
 class Context:
-    """What actions see: session, journal, variables, outside services and open group counters."""
+    """What actions see: session, variables, outside services, open groups and the table that keeps them."""
 
     spark: SparkSession
     variables: Variables = field(default_factory=Variables)
     services: dict[str, Callable[[dict], dict | None]] = field(default_factory=dict)
     groups: dict[str, int] = field(default_factory=dict)
+    group_table: str | None = None
     warnings: list[str] = field(default_factory=list)
 
 
@@ -98,11 +101,14 @@ def _name(table: str) -> str:
 
 
 def _copy(ctx: Context, r: dict) -> None:
-    if r.get("multipartition"):
+    if r.get("multipartition") or r.get("partitionsql"):
         of = None
         if "$PartitionID" in r["dest"] or "${PartitionID}" in r["dest"]:
             of = lambda v: _name(r["dest"].replace("${PartitionID}", _partition_id(v)).replace("$PartitionID", _partition_id(v)))
-        publish.copy_partitions(ctx.spark, _name(r["source"].split("$")[0]), "" if of else _name(r["dest"]), of)
+        source = TableRef.parse(r["source"].split("$")[0])
+        values = {"Source": {"ProjectID": source.project or "", "DatasetID": source.dataset, "TableID": source.table}}
+        sql = Variables(values).put(r["partitionsql"]) if r.get("partitionsql") else None
+        publish.copy_partitions(ctx.spark, source.name, "" if of else _name(r["dest"]), of, sql)
         return
     publish.copy(ctx.spark, r["source"], _name(r["dest"]), bool(r.get("append")), r.get("template"))
 
@@ -111,9 +117,19 @@ def _partition_id(value) -> str:
     return value.strftime("%Y%m%d") if hasattr(value, "strftime") else str(value)
 
 
+#: Rows of a query that a rule's later actions may refer to.
+FETCHED = 10_000
+
+
 def _query(ctx: Context, r: dict) -> dict | None:
+    """Run a query; without a destination its rows are the response, the first one by itself too."""
     rows = publish.query(ctx.spark, r["sql"], _name(r["dest"]) if r.get("dest") else None, bool(r.get("append")), r.get("template"))
-    return {"Data": rows.first().asDict(recursive=True)} if rows is not None and rows.columns and (rows.first() is not None) else None
+    if rows is None or not rows.columns:
+        return None
+    found = [x.asDict(recursive=True) for x in rows.take(FETCHED + 1)]
+    if len(found) > FETCHED:
+        raise ValueError(f"a query without a destination may give {FETCHED} rows")
+    return {"Data": found[0], "Rows": found} if found else {"Rows": []}
 
 
 def _export(ctx: Context, r: dict) -> None:
@@ -125,9 +141,31 @@ def _insert(ctx: Context, r: dict) -> None:
     publish.insert(ctx.spark, r.get("sql") or r["rows"], _name(r["dest"]), r.get("template"))
 
 
+GROUPS = "id string, size long, member string"
+
+
+def open_group(ctx: Context, key: str, size: int) -> None:
+    """Begin a group of so many members; where the context has a table for groups, it is noted there."""
+    if ctx.group_table:
+        if not publish.exists(ctx.spark, ctx.group_table):
+            publish.create(ctx.spark, ctx.group_table, T._parse_datatype_string(GROUPS))
+        ctx.spark.createDataFrame([(key, size, None)], GROUPS).write.insertInto(ctx.group_table)
+    ctx.groups[key] = size
+
+
 def _group(ctx: Context, r: dict) -> dict:
-    """Count one member of a group as done; the last one lets the nested actions run."""
+    """Count one member of a group as done; the last one lets the nested actions run.
+
+    With a table for groups, members are rows of it, so runs on several drivers meet there, and
+    a member that reports twice counts once.
+    """
     key = str(r.get("id") or r.get("groupid"))
+    if ctx.group_table and publish.exists(ctx.spark, ctx.group_table):
+        member = str(r.get("member") or ctx.variables.values.get("EventID") or uuid.uuid4().hex)
+        ctx.spark.createDataFrame([(key, None, member)], GROUPS).write.insertInto(ctx.group_table)
+        ctx.spark.catalog.refreshTable(ctx.group_table)
+        state = ctx.spark.table(ctx.group_table).where(F.col("id") == key).agg(F.max("size").alias("size"), F.count_distinct("member").alias("done")).first()
+        return {"Done": state["done"] >= (state["size"] or 1)}
     ctx.groups[key] = ctx.groups.get(key, 1) - 1
     return {"Done": ctx.groups[key] <= 0}
 
@@ -178,11 +216,27 @@ def run_actions(actions: list[Action], ctx: Context) -> None:
             run_actions(action.on_success, ctx)
 
 
-def load_action(ctx: Context, r: dict) -> None:
+def load_action(ctx: Context, r: dict) -> dict:
+    """Load files into a table. A load that fails is tried again with the files that are valid then.
+
+    At most `maxreload` more attempts are made; a failure that no file explains is raised.
+    """
     urls = r["sourceuris"] if isinstance(r["sourceuris"], list) else r["sourceuris"].split(",")
-    dest = _name(r["dest"])
+    dest, options = _name(r["dest"]), r.get("options") or LoadOptions(r.get("sourceformat"), int(r.get("skipleadingrows") or 0), int(r.get("maxbadrecords") or 0), bool(r.get("allowjaggedrows")))
     schema = ctx.spark.table(dest).schema if publish.exists(ctx.spark, dest) else None
-    publish.write(load(ctx.spark, urls, schema), dest, bool(r.get("append", True)))
+    left, attempts = urls, int(r.get("maxreload", MAX_RELOAD))
+    while True:
+        try:
+            rows = load(ctx.spark, left, schema, options)
+            break
+        except Exception:
+            found = recovery.classify(ctx.spark, left, schema, options) if schema is not None else recovery.Classified(missing=recovery.missing(ctx.spark, left))
+            valid = found.valid if schema is not None else [u for u in left if u not in found.missing]
+            if attempts <= 0 or not valid or len(valid) == len(left):
+                raise
+            left, attempts = valid, attempts - 1
+    publish.write(rows, dest, bool(r.get("append", True)))
+    return {"Loaded": left, "Rejected": [u for u in urls if u not in left]}
 
 
 @dataclass
@@ -226,9 +280,21 @@ def ingest(spark: SparkSession, rule: Rule, files: list[SourceFile], event_id: s
         found = recovery.Classified(valid=urls)
         if schema is not None:
             if rule.allow_field_addition:
-                schema = recovery.new_fields(spark, [u for u in urls if recovery.exists(spark, u)], schema)
+                gone = set(recovery.missing(spark, urls))
+                schema = recovery.new_fields(spark, [u for u in urls if u not in gone], schema)
             found = recovery.classify(spark, urls, schema, rule.options)
-        rows = load(spark, found.valid, schema, rule.options) if found.valid else None
+        rows, attempts = None, rule.max_reload
+        while found.valid:
+            try:
+                rows = load(spark, found.valid, schema, rule.options)
+                break
+            except Exception:
+                # a file may have gone or changed since it was judged
+                again = recovery.classify(spark, found.valid, schema, rule.options) if schema is not None else None
+                if again is None or attempts <= 0 or again.valid == found.valid:
+                    raise
+                attempts -= 1
+                found = recovery.Classified(again.valid, found.corrupted + again.corrupted, found.invalid_schema + again.invalid_schema, found.missing + again.missing)
         if rows is not None:
             if rule.allow_field_addition and schema is not None and publish.exists(spark, dest):
                 publish.patch(spark, dest, schema)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
+import time
 import uuid
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,9 +40,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: A query's result reads its tables until it is used up; a day later they go.
+SCRATCH_SECONDS = 86_400
+
+
 def scratch(spark: SparkSession) -> str:
-    """A database for one query's tables."""
-    name = f"silt_{uuid.uuid4().hex[:12]}"
+    """A database for one query's tables; drops those of queries of the day before."""
+    now = int(time.time())
+    for row in spark.sql("SHOW SCHEMAS LIKE 'silt_*'").collect():
+        made = re.fullmatch(r"silt_(\d{10})_\w+", row[0])
+        if made and int(made[1]) < now - SCRATCH_SECONDS:
+            spark.sql(f"DROP SCHEMA IF EXISTS {row[0]} CASCADE")
+    name = f"silt_{now}_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE SCHEMA {name}")
     return name
 
@@ -195,9 +207,10 @@ def split_overlap(spark, d):
     return publish.split(table(spark, d, "orders"), [("o_totalprice > 200000", "big"), ("o_orderpriority = '1-URGENT'", "urgent"), ("o_orderstatus = 'O' AND o_totalprice < 50000", "open")])
 
 
-@register("split_typed_null", "SELECT o_orderkey, CAST(NULL AS TIMESTAMP) AS ts, o_totalprice FROM orders")
+@register("split_typed_null", "SELECT o_orderkey, CAST(NULL AS TIMESTAMP) AS ts, o_totalprice, 'open' AS dest FROM orders WHERE o_orderstatus = 'O' UNION ALL SELECT o_orderkey, NULL, o_totalprice, 'any' FROM orders")
 def split_typed_null(spark, d):
-    return table(spark, d, "orders").select("o_orderkey", F.expr(to_spark("TIMESTAMP(NULL)")).alias("ts"), "o_totalprice")
+    rows = table(spark, d, "orders").select("o_orderkey", F.expr(to_spark("TIMESTAMP(NULL)")).alias("ts"), "o_totalprice", "o_orderstatus")
+    return publish.split(rows, [("o_orderstatus = 'O' AND ts IS NULL", "open"), ("COALESCE(ts, TIMESTAMP(NULL)) IS NULL", "any")]).drop("o_orderstatus")
 
 
 @register(
@@ -210,7 +223,7 @@ def split_nested_column(spark, d):
     return publish.split(flat, [("MOD(user_id, 3) = 0", "x")]).select("event_id", "user_id", "event_type")
 
 
-def _pseudo_files(spark, d):
+def pseudo_files(spark, d):
     """Events as files: a url of type and user folder, and a time."""
     url = F.concat(F.lit("s3://lake/data/"), F.col("event_type"), F.lit("/u"), F.col("user_id") % 10, F.lit("/"), F.col("event_id"), F.lit(".json"))
     return table(spark, d, "events").select("event_id", url.alias("url"), F.col("ts").alias("modified"))
@@ -225,7 +238,7 @@ def _pseudo_files(spark, d):
     """,
 )
 def batch_window_assign(spark, d):
-    w = fs.batch_windows(_pseudo_files(spark, d), 95, F.lit("lake.events"))
+    w = fs.batch_windows(pseudo_files(spark, d), 95, F.lit("lake.events"))
     at = lambda c: F.unix_timestamp(F.to_timestamp(c)).cast("long")
     return w.select("event_id", at("window_start").alias("start_sec"), at("window_end").alias("end_sec"))
 
@@ -239,7 +252,7 @@ def batch_window_assign(spark, d):
     """,
 )
 def batch_group_members(spark, d):
-    files = _pseudo_files(spark, d).withColumns({"event_type": F.regexp_extract("url", r"/data/([^/]+)/", 1), "folder": F.regexp_extract("url", r"/u(\d+)/", 1).cast("long")})
+    files = pseudo_files(spark, d).withColumns({"event_type": F.regexp_extract("url", r"/data/([^/]+)/", 1), "folder": F.regexp_extract("url", r"/u(\d+)/", 1).cast("long")})
     w = fs.batch_windows(files, 3600, F.lit("lake.events"))
     out = w.groupBy("group", "window_end").agg(
         F.min("event_type").alias("event_type"), F.min("folder").alias("folder"), F.count("*").alias("n_files"), F.min("event_id").alias("least"), F.max("event_id").alias("most")
@@ -256,7 +269,7 @@ def batch_group_members(spark, d):
     """,
 )
 def due_windows(spark, d):
-    files = _pseudo_files(spark, d)
+    files = pseudo_files(spark, d)
     now = files.agg(F.max("modified")).first()[0]
     kind = F.regexp_extract("url", r"/data/([^/]+)/", 1)
     w = fs.batch_windows(files, 86_400, kind, multi_path=True)
@@ -275,28 +288,49 @@ def file_match(spark, d):
     return pages.where(rule.condition(path)).where(~F.col("url").contains("1")).select("page_id", "url")
 
 
-@register("url_pattern_params", r"SELECT page_id, regexp_extract(url, '^(https?)://([^/]+)/', 1) AS scheme, regexp_extract(url, '^(https?)://([^/]+)/', 2) AS host FROM pages")
+@register("url_pattern_params", r"SELECT page_id, lower(regexp_extract(url, '^(https?)://([^/]+)/', 1)) AS scheme, replace(regexp_extract(url, '^(https?)://([^/]+)/', 2), '.', '_') AS host FROM pages")
 def url_pattern_params(spark, d):
+    """Named parameters of each url: groups of a pattern through text functions."""
+    params = [naming.Param("scheme", "$ToLower($1)"), naming.Param("host", "$Replace($2, '.', '_')")]
     pattern = r"^(https?)://([^/]+)/"
-    return table(spark, d, "pages").select("page_id", F.regexp_extract("url", pattern, 1).alias("scheme"), F.regexp_extract("url", pattern, 2).alias("host"))
+
+    @F.pandas_udf("struct<scheme string, host string>")
+    def named(url: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([naming.parameters(params, pattern, u) for u in url], columns=["scheme", "host"])
+
+    found = F.when(F.col("url").rlike(pattern), named("url"))
+    return table(spark, d, "pages").select("page_id", found.alias("x")).select("page_id", F.coalesce("x.scheme", F.lit("")).alias("scheme"), F.coalesce("x.host", F.lit("")).alias("host"))
 
 
-@register("shard_by_hash")
+@register(
+    "shard_by_hash",
+    f"""
+    WITH p AS (SELECT page_id, hex(encode(url)) AS h FROM pages),
+    b AS (SELECT page_id, list_transform(range(0, len(h) // 2), lambda i: CAST((instr('0123456789ABCDEF', h[2 * i + 1]) - 1) * 16 + instr('0123456789ABCDEF', h[2 * i + 2]) - 1 AS UBIGINT)) AS bytes FROM p),
+    f AS (
+        SELECT page_id, list_reduce(list_prepend(CAST({naming.FNV_BASIS} AS UBIGINT), bytes),
+               lambda h, x: xor(CAST(CAST(h AS UHUGEINT) * {naming.FNV_PRIME} % 18446744073709551616 AS UBIGINT), x)) AS h FROM b
+    )
+    SELECT page_id, CAST((CASE WHEN h >= 9223372036854775808 THEN 18446744073709551616 - CAST(h AS UHUGEINT) ELSE CAST(h AS UHUGEINT) END) % 10 AS BIGINT) AS shard FROM f
+    """,
+)
 def shard_by_hash(spark, d):
     @F.pandas_udf("long")
-    def shard(url):
-        return url.map(lambda u: naming.fnv1(u) % 10)
+    def shard(url: pd.Series) -> pd.Series:
+        return naming.fnv1_many(url) % 10
 
     return table(spark, d, "pages").select("page_id", shard("url").alias("shard"))
 
 
 @register(
     "history_anti_join",
-    "SELECT d.doc_id, d.source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)",
+    "SELECT d.doc_id, d.source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = d.n_chars % 2)",
 )
 def history_anti_join(spark, d):
-    files = table(spark, d, "documents").select("source", F.col("doc_id").alias("url"), F.lit(0).alias("modified"))
-    history = table(spark, d, "labels").select(F.col("doc_id").alias("url"), F.lit(0).alias("modified"))
+    """A file counts again when its time differs from the one that the history has."""
+    at = lambda n: F.timestamp_seconds(F.col(n))
+    files = table(spark, d, "documents").select("source", F.col("doc_id").alias("url"), F.timestamp_seconds(F.col("n_chars") % 2).alias("modified"))
+    history = table(spark, d, "labels").select(F.col("doc_id").alias("url"), at("quality").alias("modified"))
     return fs.unprocessed(files, history).select(F.col("url").alias("doc_id"), "source")
 
 
@@ -489,7 +523,7 @@ def array_sum(spark, d):
     return nested.select("o_custkey", monitor.sum_in_array("items", "count").alias("total"), F.size("items").cast("long").alias("kinds"))
 
 
-@register("conditional_exists")
+@register("conditional_exists", "SELECT * FROM (VALUES ('region', true), ('absent', false)) v(name, found)")
 def conditional_exists(spark, d):
     db = scratch(spark)
     publish.write(table(spark, d, "region"), f"{db}.region")

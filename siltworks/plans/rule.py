@@ -6,6 +6,8 @@ import json
 from dataclasses import dataclass, field
 
 import yaml
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from siltworks.functions.naming import Param, SourceFile, expand, groups_of
 from siltworks.operators.transform import SideInput
@@ -23,6 +25,14 @@ class InvalidRule(ValueError):
     pass
 
 
+def read_text(url: str) -> str:
+    """A small text file, from any store that the session reads, or a local one without a session."""
+    if (spark := SparkSession.getActiveSession()) is not None:
+        return spark.read.text(url, wholetext=True).first()[0]
+    with open(url) as f:
+        return f.read()
+
+
 @dataclass
 class Action:
     name: str
@@ -43,8 +53,7 @@ class Action:
         )
         for key in ("sql", "body"):
             if url := out.request.get(f"{key}url"):
-                with open(url) as f:
-                    out.request[key] = f.read()
+                out.request[key] = read_text(url)
         if out.name in ("delete", "move") and not out.request.get("urls"):
             out.request["urls"] = "$LoadURIs"
         out.validate()
@@ -189,8 +198,7 @@ def parse(raw: dict, name: str = "") -> Rule:
 
 def load_rules(path: str) -> list[Rule]:
     """The rules of a YAML or JSON file, which holds one rule or a list of them."""
-    with open(path) as f:
-        text = f.read()
+    text = read_text(path)
     raw = json.loads(text) if path.endswith(".json") else yaml.safe_load(text)
     return [parse(r, path) for r in (raw if isinstance(raw, list) else [raw])]
 
@@ -224,3 +232,10 @@ def rules_for_table(rules: list[Rule], table: str) -> list[Rule]:
 
 def re_plain(name: str) -> str:
     return name.split(":")[-1]
+
+
+def assign_rules(files: DataFrame, rules: list[Rule]) -> DataFrame:
+    """files with the name of the one enabled rule that takes each, or null; several are an error."""
+    names = F.array_compact(F.array(*[F.when(r.match.condition(F.col("url")), F.lit(r.name)) for r in rules if not r.disabled]))
+    several = F.raise_error(F.concat(F.col("url"), F.lit(": several rules: "), F.array_join(names, ", "))).cast("string")
+    return files.withColumn("rule", F.when(F.size(names) > 1, several).otherwise(F.get(names, F.lit(0))))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -62,19 +63,33 @@ def valid_files(files: DataFrame, *bad: DataFrame) -> DataFrame:
     return files
 
 
-def batch_windows(files: DataFrame, seconds: int, dest: Column, multi_path: bool = False, pattern: str | None = None, roll_over: bool = False) -> DataFrame:
+def removed(known: DataFrame, snapshot: DataFrame) -> DataFrame:
+    """Known files (rules, say) that a snapshot of their folder no longer has."""
+    return known.join(snapshot.select("url").distinct(), "url", "left_anti")
+
+
+def look_back(files: DataFrame, now: Column, most_seconds: int) -> DataFrame:
+    """One row, since: the time of the oldest file, but no more than so many seconds ago."""
+    floor = now - F.expr(f"interval {int(most_seconds)} seconds")
+    return files.agg(F.greatest(F.min("modified"), floor).alias("since"))
+
+
+def batch_windows(
+    files: DataFrame, seconds: int, dest: Column, multi_path: bool = False, pattern: str | None = None, roll_over: bool = False, suffix: str = ""
+) -> DataFrame:
     """Add group, window_start and window_end: the tumbling window of each file's time.
 
-    Files of one batch share destination, extension and, unless multi_path, their folder; with a
-    pattern also what its groups match. A time on a boundary begins the next window. With roll
+    Files of one batch share destination, the rule's suffix, extension and, unless multi_path,
+    their folder; with a pattern also what its groups match. A time on a boundary begins the next window. With roll
     over, a window without one before it takes files from one more length back: its first file
     must lie in its second half.
     """
     folder = F.lit("") if multi_path else F.regexp_extract("url", r"^(.*)/[^/]*$", 1)
     extension = F.regexp_extract("url", r"\.(\w+)$", 1)
-    parts = [dest, extension, folder]
+    parts = [dest, F.lit(suffix), extension, folder]
     if pattern:
-        parts.append(F.regexp_extract("url", pattern, 0))
+        # groups beside each other, as the hash of a pattern's groups has them
+        parts.append(F.concat_ws("\0", *[F.regexp_extract("url", pattern, k + 1) for k in range(re.compile(pattern).groups)]))
     window = F.window("modified", f"{int(seconds)} seconds")
     out = files.withColumns({"dest": dest, "group": F.sha1(F.concat_ws("|", *parts)), "window_end": window["end"], "window_start": window["start"]})
     if not roll_over:
@@ -126,14 +141,21 @@ class LoadOptions:
         return "json"
 
 
-def is_corrupt(rows: DataFrame) -> Column:
-    """Whether a record didn't parse, judged by all its columns.
+def is_corrupt(rows: DataFrame, options: LoadOptions | None = None) -> Column:
+    """Whether a record is bad, judged by all its columns.
 
-    The condition reads every column: a reader parses only columns that are asked for, and
-    Spark refuses a scan of the corrupt record alone.
+    With jagged rows allowed, a CSV record that only lacks columns at its end is none; what
+    stands in quotes counts as no delimiter. The condition reads every column: a reader parses
+    only columns that are asked for, and Spark refuses a scan of the corrupt record alone.
     """
-    plain = [F.size(f.name) if isinstance(f.dataType, T.MapType) else F.col(f"`{f.name}`") for f in rows.schema if f.name != CORRUPT]
-    return F.col(CORRUPT).isNotNull() & (F.xxhash64(*plain) >= F.lit(-(1 << 63)))
+    fields = [f for f in rows.schema if f.name not in (CORRUPT, SOURCE_URL)]
+    plain = [F.size(f.name) if isinstance(f.dataType, T.MapType) else F.col(f"`{f.name}`") for f in fields]
+    bad = F.col(CORRUPT).isNotNull() & (F.xxhash64(*plain) >= F.lit(-(1 << 63)))
+    if options and options.allow_jagged_rows:
+        mark, q = (re.escape(options.options.get(k, d)) for k, d in (("FieldDelimiter", ","), ("Quote", '"')))
+        unquoted = F.regexp_replace(CORRUPT, f"{q}(?:[^{q}]|{q}{q})*{q}", "q") if q else F.col(CORRUPT)
+        bad &= F.regexp_count(unquoted, F.lit(mark)) + 1 >= len(fields)
+    return bad
 
 
 class TooManyBadRecords(ValueError):
@@ -141,6 +163,8 @@ class TooManyBadRecords(ValueError):
 
 
 CORRUPT = "_corrupt_record"
+#: Where a scan can't offer _metadata, its rows have their file's url in a column.
+SOURCE_URL = "_source_url"
 
 
 def scan(spark: SparkSession, urls: list[str], schema: T.StructType | None, options: LoadOptions | None = None) -> DataFrame:
@@ -155,8 +179,10 @@ def scan(spark: SparkSession, urls: list[str], schema: T.StructType | None, opti
         return reader.schema(schema).load(urls)
     if kind == "avro":
         return (reader if schema is None else reader.schema(schema)).load(urls)
-    for k, v in options.options.items():
-        reader = reader.option(CSV_OPTIONS.get(k, k), v)
+    plain = {CSV_OPTIONS.get(k, k): v for k, v in options.options.items()}
+    if kind == "csv" and options.skip_leading_rows > 1:
+        return _after_leading_rows(spark, urls, schema, options.skip_leading_rows, plain)
+    reader = reader.options(**plain)
     if schema is None:
         if kind == "csv":
             reader = reader.option("inferSchema", "true").option("header", str(options.skip_leading_rows > 0).lower())
@@ -167,19 +193,34 @@ def scan(spark: SparkSession, urls: list[str], schema: T.StructType | None, opti
     return reader.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])).load(urls)
 
 
+def _after_leading_rows(spark: SparkSession, urls: list[str], schema: T.StructType | None, n: int, plain: dict[str, str]) -> DataFrame:
+    """CSV rows behind the first n lines of every file, which a reader can't pass over itself.
+
+    Lines are numbered within each file's first block, where they are in order; one number a
+    file says where the block begins.
+    """
+    if schema is None or plain.get("multiLine", "").lower() == "true":
+        raise ValueError("more than one leading row needs a schema and lines without quoted breaks")
+    lines = spark.read.text(urls).select(
+        "value", F.col("_metadata.file_path").alias("_url"), F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_n")
+    )
+    first = lines.where("_at = 0").groupBy("_url").agg(F.min("_n").alias("_first"))
+    rest = lines.join(first, "_url").where((F.col("_at") > 0) | (F.col("_n") >= F.col("_first") + n)).where("value <> ''")
+    full = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = F.from_csv("value", full, {**plain, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return rest.select(parsed.alias("_x"), F.col("_url").alias(SOURCE_URL)).select("_x.*", SOURCE_URL)
+
+
 def load(spark: SparkSession, urls: list[str], schema: T.StructType | None, options: LoadOptions | None = None) -> DataFrame:
     """Rows of the files; raises TooManyBadRecords beyond the bad records that options allow.
 
     Bad records are counted in one pass over the files and left out if they are few enough.
     """
     options = options or LoadOptions()
-    rows = scan(spark, urls, schema, options)
+    rows = scan(spark, urls, schema, options).drop(SOURCE_URL)
     if CORRUPT not in rows.columns:
         return rows
-    bad = is_corrupt(rows)
-    if options.allow_jagged_rows:
-        fewer = F.size(F.split(CORRUPT, options.options.get("FieldDelimiter", ","))) < len(rows.columns) - 1
-        bad &= ~fewer
+    bad = is_corrupt(rows, options)
     count = rows.agg(F.count_if(bad).alias("bad")).first()["bad"]
     if count > options.max_bad_records:
         raise TooManyBadRecords(f"{count} bad records, {options.max_bad_records} are allowed")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltworks.functions import schemas
-from siltworks.sources.files import CORRUPT, LoadOptions, is_corrupt, scan
+from siltworks.sources.files import CORRUPT, SOURCE_URL, LoadOptions, is_corrupt, scan
 
 
 @dataclass
@@ -32,14 +32,35 @@ def exists(spark: SparkSession, url: str) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
+def missing(spark: SparkSession, urls: list[str]) -> list[str]:
+    """The urls that name nothing; many in one folder cost one listing of it, in chunks of the store's."""
+    jvm, by_folder = spark._jvm, {}
+    for url in urls:
+        by_folder.setdefault(url.rpartition("/")[0], []).append(url)
+    gone = []
+    for folder, own in by_folder.items():
+        if len(own) < 3:
+            gone += [u for u in own if not exists(spark, u)]
+            continue
+        path = jvm.org.apache.hadoop.fs.Path(folder or "/")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        wanted, names = {unquote(u.rpartition("/")[2]): u for u in own}, fs.listStatusIterator(path) if fs.exists(path) else None
+        while names is not None and wanted and names.hasNext():
+            wanted.pop(names.next().getPath().getName(), None)
+        # a name that was escaped otherwise than read here is asked for itself
+        gone += [u for u in wanted.values() if not exists(spark, u)]
+    return sorted(gone, key=urls.index)
+
+
 def bad_records(spark: SparkSession, urls: list[str], schema: T.StructType, options: LoadOptions) -> DataFrame:
-    """(url, kind) for each file with bad records, kind being corrupted or invalid_schema."""
-    rows = scan(spark, urls, schema, options).withColumn("url", F.col("_metadata.file_path"))
+    """(url, kind, bad) for each file with bad records, kind being corrupted or invalid_schema."""
+    rows = scan(spark, urls, schema, options)
+    url = F.col(SOURCE_URL if SOURCE_URL in rows.columns else "_metadata.file_path")
+    bad = is_corrupt(rows, options)
     sound = F.lit(options.format_of(urls) == "csv") | F.try_parse_json(CORRUPT).isNotNull()
-    bad = is_corrupt(rows)
-    kinds = rows.groupBy("url").agg(F.count_if(bad & ~sound).alias("corrupt"), F.count_if(bad & sound).alias("unfit"))
+    kinds = rows.select(url.alias("url"), bad.alias("bad"), sound.alias("sound")).groupBy("url").agg(F.count_if("bad").alias("bad"), F.count_if(F.col("bad") & ~F.col("sound")).alias("corrupt"))
     kind = F.when(F.col("corrupt") > 0, "corrupted").otherwise("invalid_schema").alias("kind")
-    return kinds.where("corrupt > 0 or unfit > 0").select("url", kind)
+    return kinds.where("bad > 0").select("url", kind, "bad")
 
 
 def unknown_by_file(spark: SparkSession, urls: list[str], schema: T.StructType) -> list[str]:
@@ -63,11 +84,16 @@ def _plain(url: str) -> str:
 
 
 def classify(spark: SparkSession, urls: list[str], schema: T.StructType, options: LoadOptions | None = None) -> Classified:
-    """Sort the files of a load into valid, corrupted, of invalid schema and missing ones."""
+    """Sort the files of a load into valid, corrupted, of invalid schema and missing ones.
+
+    The bad records that options allow are for the load as a whole: files of fewest bad records
+    stay valid as long as all that stay hold no more than that.
+    """
     options = options or LoadOptions()
     urls = list(dict.fromkeys(urls))
-    there = [u for u in urls if exists(spark, u)]
-    out = Classified(missing=[u for u in urls if u not in there])
+    out = Classified(missing=missing(spark, urls))
+    gone = set(out.missing)
+    there = [u for u in urls if u not in gone]
     if not there:
         return out
     kind = options.format_of(there)
@@ -75,7 +101,11 @@ def classify(spark: SparkSession, urls: list[str], schema: T.StructType, options
         out.valid = there
         return out
     given = {_plain(u): u for u in there}
-    verdict = {given.get(_plain(r["url"]), r["url"]): r["kind"] for r in bad_records(spark, there, schema, options).collect()}
+    verdict, allowed = {}, options.max_bad_records
+    for r in sorted(bad_records(spark, there, schema, options).collect(), key=lambda r: (r["bad"], r["url"])):
+        allowed -= r["bad"]
+        if allowed < 0:
+            verdict[given.get(_plain(r["url"]), r["url"])] = r["kind"]
     if kind == "json" and not options.ignore_unknown_values:
         for url in unknown_by_file(spark, there, schema):
             verdict.setdefault(given.get(_plain(url), url), "invalid_schema")

@@ -53,7 +53,7 @@ def run_due(spark: SparkSession, rule: Rule, table: str, now: Column, journal: J
     spark.catalog.refreshTable(table)  # the stream writes it from a session of its own
     done = journal.latest().where("state = 'done'").select(F.explode("urls").alias("url")).distinct()
     files = spark.table(table).join(done, "url", "left_anti")
-    windows = batch_windows(files, rule.window_seconds, F.lit(rule.table), rule.multi_path, rule.pattern if rule.pattern_hash else None, rule.roll_over)
+    windows = batch_windows(files, rule.window_seconds, F.lit(rule.table), rule.multi_path, rule.pattern if rule.pattern_hash else None, rule.roll_over, rule.match.suffix)
     out = []
     for row in due_windows(windows, now, delay_seconds).orderBy("window_end", "group").collect():
         members = [SourceFile(f["url"], _aware(f["modified"])) for f in row["files"]]

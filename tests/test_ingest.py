@@ -31,19 +31,19 @@ def put(folder, name, lines):
     return str(path)
 
 
-def dummy(spark, table):
-    publish.create(spark, table, spark.createDataFrame([], "id bigint, type_id bigint, name string").schema)
+def garden(spark, table):
+    publish.create(spark, table, spark.createDataFrame([], "shelf bigint, plant bigint, label string").schema)
 
 
-GOOD = {"id": 3, "type_id": 1, "name": "dummy 3"}
+GOOD = {"shelf": 3, "plant": 1, "label": "fern"}
 NOW = datetime(2024, 5, 6, 7, 8, 9, tzinfo=timezone.utc)
 
 
 def test_classify(spark, tmp_path):
-    schema = spark.createDataFrame([], "id bigint, type_id bigint, name string").schema
-    unknown = put(tmp_path, "unknown.json", [{**GOOD, "broken": 1}])
-    typed = put(tmp_path, "typed.json", [{"id": 1, "type_id": "abc"}])
-    corrupt = put(tmp_path, "corrupt.json", ['{"id": 1, '])
+    schema = spark.createDataFrame([], "shelf bigint, plant bigint, label string").schema
+    unknown = put(tmp_path, "unknown.json", [{**GOOD, "colour": 1}])
+    typed = put(tmp_path, "typed.json", [{"shelf": 1, "plant": "moss"}])
+    corrupt = put(tmp_path, "corrupt.json", ['{"shelf": 1, '])
     good = put(tmp_path, "good.json", [GOOD])
     got = recovery.classify(spark, [unknown, typed, corrupt, good, str(tmp_path / "no.json")], schema)
     assert got.valid == [good] and got.corrupted == [corrupt]
@@ -51,7 +51,7 @@ def test_classify(spark, tmp_path):
 
 
 def test_bad_records(spark, tmp_path):
-    schema = spark.createDataFrame([], "id bigint, name string").schema
+    schema = spark.createDataFrame([], "shelf bigint, label string").schema
     path = put(tmp_path, "a.csv", ["1,x", "oops,y", "3,z"])
     with pytest.raises(fs.TooManyBadRecords):
         fs.load(spark, [path], schema)
@@ -60,12 +60,12 @@ def test_bad_records(spark, tmp_path):
 
 def test_rule_validation():
     with pytest.raises(R.InvalidRule):
-        R.parse({"Dest": {"Table": "d.t", "UniqueColumns": ["id"]}})
+        R.parse({"Dest": {"Table": "d.t", "UniqueColumns": ["shelf"]}})
     with pytest.raises(R.InvalidRule):
-        R.parse({"Dest": {"Table": "d.t", "Transient": {"Dataset": "x"}, "SideInputs": [{"Table": "d.f", "Alias": "f", "On": "f.id = 1"}]}})
+        R.parse({"Dest": {"Table": "d.t", "Transient": {"Dataset": "x"}, "SideInputs": [{"Table": "d.f", "Alias": "f", "On": "f.shelf = 1"}]}})
     with pytest.raises(R.InvalidRule):
         R.Action.load({"Action": "delete", "OnSuccess": [{"Action": "drop", "Request": {"Table": "x"}}]})
-    r = R.parse({"When": {"Prefix": "/a"}, "Dest": {"Table": "d.t", "Transient": {"Dataset": "x"}, "UniqueColumns": ["id"]}, "Batch": {}})
+    r = R.parse({"When": {"Prefix": "/a"}, "Dest": {"Table": "d.t", "Transient": {"Dataset": "x"}, "UniqueColumns": ["shelf"]}, "Batch": {}})
     assert r.method == "QUERY" and r.append and r.window_seconds is None
     assert R.rule_for([r], "/a/b.json") is r and R.rule_for([r], "/b") is None
     with pytest.raises(R.SeveralRules):
@@ -73,14 +73,14 @@ def test_rule_validation():
 
 
 def test_ingest_with_actions(spark, db, tmp_path):
-    dummy(spark, f"{db}.t")
-    a = put(tmp_path, "data/a.json", [GOOD, {**GOOD, "id": 4}])
-    b = put(tmp_path, "data/b.json", [{**GOOD, "name": "zz"}])
+    garden(spark, f"{db}.t")
+    a = put(tmp_path, "data/a.json", [GOOD, {**GOOD, "shelf": 4}])
+    b = put(tmp_path, "data/b.json", [{**GOOD, "label": "zz"}])
     bad = put(tmp_path, "data/c.json", ["{"])
     rule = R.parse(
         {
             "When": {"Prefix": "/"},
-            "Dest": {"Table": f"{db}.t", "Transient": {"Dataset": "tmp"}, "UniqueColumns": ["id"], "Transform": {"name": "upper(t.name)"}},
+            "Dest": {"Table": f"{db}.t", "Transient": {"Dataset": "tmp"}, "UniqueColumns": ["shelf"], "Transform": {"label": "upper(t.label)"}},
             "OnSuccess": [
                 {"Action": "query", "Request": {"SQL": "SELECT '$EventID' AS event_id, COUNT(1) AS row_count FROM $TempTable", "Dest": f"{db}.summary", "Append": True}, "OnSuccess": [{"Action": "delete"}]},
                 {"Action": "drop", "When": {"Exists": f"{db}.none"}, "Request": {"Table": f"{db}.t"}},
@@ -91,15 +91,15 @@ def test_ingest_with_actions(spark, db, tmp_path):
     journal = Journal(spark, f"{db}.journal")
     files = [SourceFile(u, NOW) for u in (a, b, bad)]
     out = ingest(spark, rule, files, "77", journal)
-    assert out.corrupted == [bad] and sorted(map(tuple, spark.table(f"{db}.t").collect())) == [(3, 1, "ZZ"), (4, 1, "DUMMY 3")]
+    assert out.corrupted == [bad] and sorted(map(tuple, spark.table(f"{db}.t").collect())) == [(3, 1, "ZZ"), (4, 1, "FERN")]
     assert spark.table(f"{db}.summary").collect() == [("77", 3)]
     assert not os.path.exists(a) and journal.latest().first()["state"] == "done"
     assert ingest(spark, rule, files, "77", journal).skipped
 
 
 def test_field_addition(spark, db, tmp_path):
-    publish.create(spark, f"{db}.t", spark.createDataFrame([], "id bigint, params array<struct<key:string>>").schema)
-    path = put(tmp_path, "a.json", [{"id": 1, "params": [{"key": "k", "int_value": 5}], "billable": True}])
+    publish.create(spark, f"{db}.t", spark.createDataFrame([], "shelf bigint, params array<struct<key:string>>").schema)
+    path = put(tmp_path, "a.json", [{"shelf": 1, "params": [{"key": "k", "int_value": 5}], "billable": True}])
     rule = R.parse({"Dest": {"Table": f"{db}.t", "SchemaUpdateOptions": ["ALLOW_FIELD_ADDITION"]}})
     ingest(spark, rule, [SourceFile(path, NOW)], "1")
     row = spark.table(f"{db}.t").first()
@@ -107,21 +107,21 @@ def test_field_addition(spark, db, tmp_path):
 
 
 def test_split_rule_and_parameters(spark, db, tmp_path):
-    dummy(spark, f"{db}.template")
-    path = put(tmp_path, "case031/2020/01/02/x.json", [GOOD, {**GOOD, "id": 4}])
+    garden(spark, f"{db}.template")
+    path = put(tmp_path, "beds/2020/01/02/x.json", [GOOD, {**GOOD, "shelf": 4}])
     rule = R.parse(
         {
             "Dest": {
                 "Table": f"{db}.t_$1$2$3",
-                "Pattern": r"case031/(\d{4})/(\d{2})/(\d{2})/",
-                "Parameters": [{"Name": "Case", "Expression": "case_$1"}],
+                "Pattern": r"beds/(\d{4})/(\d{2})/(\d{2})/",
+                "Parameters": [{"Name": "Bed", "Expression": "bed_$1"}],
                 "Transient": {"Dataset": "tmp"},
-                "Schema": {"Template": f"{db}.template", "Split": {"Mapping": [{"When": "MOD(id, 2) = 0", "Then": f"{db}.even_$1"}, {"When": "MOD(id, 2) = 1", "Then": f"{db}.odd_$1"}]}},
+                "Schema": {"Template": f"{db}.template", "Split": {"Mapping": [{"When": "MOD(shelf, 2) = 0", "Then": f"{db}.even_$1"}, {"When": "MOD(shelf, 2) = 1", "Then": f"{db}.odd_$1"}]}},
             }
         }
     )
     ingest(spark, rule, [SourceFile(path, NOW)], "5")
-    assert spark.table(f"{db}.even_2020").first()["id"] == 4 and spark.table(f"{db}.odd_2020").first()["id"] == 3
+    assert spark.table(f"{db}.even_2020").first()["shelf"] == 4 and spark.table(f"{db}.odd_2020").first()["shelf"] == 3
 
 
 def test_failure_actions(spark, db):
@@ -160,21 +160,21 @@ def test_windows(spark):
 
 
 def test_stream_to_tables(spark, db, tmp_path):
-    dummy(spark, f"{db}.t")
+    garden(spark, f"{db}.t")
     put(tmp_path, "in/a.json", [GOOD])
-    put(tmp_path, "in/b.json", [{**GOOD, "id": 9}])
+    put(tmp_path, "in/b.json", [{**GOOD, "shelf": 9}])
     rule = R.parse({"When": {"Suffix": ".json"}, "Dest": {"Table": f"{db}.t"}, "Batch": {"Window": {"DurationInSec": 15}}})
     collect_manifest(spark, str(tmp_path / "in"), rule, f"{db}.manifest", str(tmp_path / "cp")).awaitTermination()
     journal = Journal(spark, f"{db}.journal")
     later = F.current_timestamp() + F.expr("interval 1 day")
     assert run_due(spark, rule, f"{db}.manifest", F.lit("1990-01-01").cast("timestamp"), journal) == []
     run_due(spark, rule, f"{db}.manifest", later, journal)
-    assert sorted(r["id"] for r in spark.table(f"{db}.t").collect()) == [3, 9]
-    put(tmp_path, "in/late.json", [{**GOOD, "id": 10}])
+    assert sorted(r["shelf"] for r in spark.table(f"{db}.t").collect()) == [3, 9]
+    put(tmp_path, "in/late.json", [{**GOOD, "shelf": 10}])
     collect_manifest(spark, str(tmp_path / "in"), rule, f"{db}.manifest", str(tmp_path / "cp")).awaitTermination()
     run_due(spark, rule, f"{db}.manifest", later, journal)
     run_due(spark, rule, f"{db}.manifest", later, journal)
-    assert sorted(r["id"] for r in spark.table(f"{db}.t").collect()) == [3, 9, 10]
+    assert sorted(r["shelf"] for r in spark.table(f"{db}.t").collect()) == [3, 9, 10]
     assert fs.manifest(spark, str(tmp_path / "in")).count() == 3
 
 
@@ -182,3 +182,69 @@ def test_windowed_counts(spark):
     df = spark.createDataFrame([("2024-01-01 00:00:01", "a"), ("2024-01-01 00:00:09", "a"), ("2024-01-01 00:00:11", "b")], "at string, k string")
     got = windowed_counts(df.withColumn("at", F.to_timestamp("at")), "at", 10, 60, ["k"])
     assert sorted(r["count"] for r in got.collect()) == [1, 2]
+
+
+def test_bad_record_options_reach_the_load(spark, db, tmp_path):
+    """What a load allows is allowed by the sorting of files before it as well."""
+    publish.create(spark, f"{db}.t", spark.createDataFrame([], "shelf bigint, plant bigint, label string").schema)
+    a = put(tmp_path, "in/a.csv", ["made by hand", "shelf|plant|label", "1|2|'x|y'", "3|4", "oops|5|z"])
+    b = put(tmp_path, "in/b.csv", ["made by hand", "shelf|plant|label", "6|7|v", "no|8|w", "none|9|u"])
+    dest = {"Table": f"{db}.t", "SourceFormat": "CSV", "FieldDelimiter": "|", "Quote": "'", "SkipLeadingRows": 2, "AllowJaggedRows": True}
+    out = ingest(spark, R.parse({"Dest": {**dest, "MaxBadRecords": 1}}), [SourceFile(u, NOW) for u in (a, b)], "1")
+    assert out.rows_from == [a] and out.corrupted + out.invalid_schema == [b]
+    assert sorted(map(tuple, spark.table(f"{db}.t").collect())) == [(1, 2, "x|y"), (3, 4, None)]
+    strict = ingest(spark, R.parse({"Dest": {**dest, "AllowJaggedRows": False, "MaxBadRecords": 1}}), [SourceFile(a, NOW)], "2")
+    assert strict.rows_from == []
+    with pytest.raises(ValueError):
+        fs.load(spark, [a], None, fs.LoadOptions("csv", skip_leading_rows=2))
+
+
+def test_missing(spark, tmp_path):
+    there = [put(tmp_path, f"in/{n}", [GOOD]) for n in ("a.json", "b b.json", "c.json")]
+    gone = [str(tmp_path / "in" / "d.json"), str(tmp_path / "other" / "e.json")]
+    assert recovery.missing(spark, [gone[0], *there, gone[1]]) == gone
+
+
+def test_reload_ends(spark, db, tmp_path):
+    garden(spark, f"{db}.t")
+    good, bad = put(tmp_path, "a.json", [GOOD]), put(tmp_path, "b.json", ["{"])
+    request = {"SourceURIs": [good, bad], "SourceFormat": "json", "Dest": f"{db}.t"}
+    with pytest.raises(fs.TooManyBadRecords):
+        run_actions([R.Action.load({"Action": "load", "Request": {**request, "MaxReload": 0}})], Context(spark))
+    ctx = Context(spark)
+    run_actions([R.Action.load({"Action": "load", "Request": request})], ctx)
+    assert ctx.variables.values["Loaded"] == [good] and ctx.variables.values["Rejected"] == [bad]
+
+
+def test_groups_of_several_runs(spark, db):
+    from siltworks.plans.ingest import open_group
+
+    ran, table = [], f"{db}.groups"
+    open_group(Context(spark, group_table=table), "g", 2)
+    action = lambda m: R.Action.load({"Action": "group", "Request": {"ID": "g", "Member": m}, "OnSuccess": [{"Action": "push"}]})
+    for member in "aab":
+        run_actions([action(member)], Context(spark, services={"push": lambda r: ran.append(member)}, group_table=table))
+    assert ran == ["b"]
+
+
+def test_assign_rules(spark):
+    of = lambda name, prefix: R.parse({"When": {"Prefix": prefix}, "Dest": {"Table": "d.t"}}, name)
+    files = spark.createDataFrame([("s3://k/a/1",), ("s3://k/b/1",), ("s3://k/c/1",)], "url string")
+    got = {r["url"][-3:]: r["rule"] for r in R.assign_rules(files, [of("one", "/a"), of("two", "/b")]).collect()}
+    assert got == {"a/1": "one", "b/1": "two", "c/1": None}
+    with pytest.raises(Exception, match="several rules"):
+        R.assign_rules(files, [of("one", "/a"), of("two", "/")]).collect()
+
+
+def test_rule_from_any_store(spark, tmp_path):
+    path = put(tmp_path, "rule.yaml", ["Dest:", "  Table: d.t", "OnSuccess:", "  - Action: query", "    Request:", f"      SQLURL: file://{tmp_path}/q.sql"])
+    put(tmp_path, "q.sql", ["SELECT 1"])
+    (rule,) = R.load_rules(f"file://{path}")
+    assert rule.on_success[0].request["sql"].strip() == "SELECT 1"
+
+
+def test_removed_and_look_back(spark):
+    known, now = spark.createDataFrame([("a",), ("b",)], "url string"), F.to_timestamp(F.lit("2024-01-02 00:00:00"))
+    assert [r[0] for r in fs.removed(known, spark.createDataFrame([("b",)], "url string")).collect()] == ["a"]
+    since = lambda t: fs.look_back(spark.createDataFrame([(t,)], "m string").select(F.to_timestamp("m").alias("modified")), now, 3600).first()[0]
+    assert since("2024-01-01 23:30:00").minute == 30 and since("2024-01-01 10:00:00").hour == 23

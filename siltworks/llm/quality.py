@@ -123,7 +123,8 @@ def _surest(scores: DataFrame, n_good: int, n_bad: int) -> DataFrame:
 
 def co_train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, source_col: str, lang_col: str, rounds: int = ROUNDS):
     """({view: View}, log odds of the prior), or the share of good labels if there is but one class."""
-    known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").cast("double").alias("label"))
+    good_label = F.col("quality") * (1 - F.coalesce("toxic", F.lit(0))) if "toxic" in labels.columns else F.col("quality")
+    known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min(good_label).cast("double").alias("label"))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_t"), F.col(source_col).alias("_s"), F.col(lang_col).alias("_l")).where("doc_id is not null")
     # of rows that share an id, one is trained on
     texts = texts.withColumn("_k", F.xxhash64("_t", "_s", "_l"))
@@ -173,10 +174,12 @@ def score_documents(
     source_col: str = "source",
     lang_col: str = "lang",
 ) -> DataFrame:
-    """Every row of docs, with p_content, p_page, score (chance that quality is 1) and kept.
+    """Every row of docs, with p_content, p_page, score (chance of being good) and kept.
 
-    labels has doc_id and quality (0 or 1); an id with several counts as good if all are, null
-    labels are left out. Null and empty texts are scored by their page view and as texts without words.
+    labels has doc_id, quality (0 or 1) and maybe toxic; a document is good if it has quality
+    and isn't toxic. An id with several labels counts as good if all are, null qualities are
+    left out, a null in toxic counts as 0. Of equally sure documents those of smaller ids come
+    first where the surest are taken as bad, those of greater ids where they are taken as good. Null and empty texts are scored by their page view and as texts without words.
     Repeated rows are scored alike, an empty table gives no rows, and columns of docs named as
     the ones added are left out. Without labels of both
     classes every row has the share of good labels (1 without any) as its score.

@@ -335,21 +335,61 @@ def test_embeddings(spark, vectors, monkeypatch, block):
         assert embeddings.near_vectors(df.limit(0)).count() == 0
 
 
+def brute_top_k(rows_, every, k=5):
+    want = set()
+    for q, v in rows_:
+        if q % every == 0:
+            best = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in rows_ if i != q and len(w) == len(v))[:k]
+            want |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(best)}
+    return want
+
+
 def test_top_k(spark, vectors, monkeypatch):
     df, raw = vectors
-    monkeypatch.setattr(topk, "RUN", 16)
+    monkeypatch.setattr(topk, "RUN", 4)
     monkeypatch.setattr(topk, "CHUNK", 2)
     rows_ = [(i, [int(np.floor(256 * x)) for x in v]) for i, v, _ in raw if v is not None and all(x is not None and np.isfinite(x) for x in v)]
-    want = set()
-    for q, v in rows_:
-        if q % 20 == 0:
-            best = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in rows_ if i != q and len(w) == len(v))[:5]
-            want |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(best)}
     got = topk.top_k(df, df.where("vec_id % 20 = 0"), block=4)
-    assert {tuple(r) for r in got.collect()} == want
+    assert Counter(map(tuple, got.collect())) == Counter(brute_top_k(rows_, 20))
     assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_top_k_beyond_exact_doubles(spark):
+    """Products beyond 2 ** 53 and, with the last vectors, sums beyond long."""
+    rng = np.random.default_rng(8)
+    big = rng.integers(-(2**30), 2**30, (40, 3))
+    whole = [[94906267, 1, 0], [94906267, 2, 0]] + big.tolist()
+    for more in ([], [[2**40, 2**40, 2**40], [2**41, -(2**40), 2**39]]):
+        rows_ = list(enumerate(whole + more))
+        df = spark.createDataFrame([(i, [x / 256 for x in v]) for i, v in rows_], "vec_id long, embedding array<double>")
+        ends = lambda s: min(max(s, -(2**63)), 2**63 - 1)
+        want = set()
+        for q, v in rows_:
+            best = sorted((-ends(sum(a * b for a, b in zip(v, w, strict=True))), i) for i, w in rows_ if i != q)[:5]
+            want |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(best)}
+        assert {tuple(r) for r in topk.top_k(df, df, block=4).collect()} == want
+
+
+def test_top_k_leaves_blocks_out(spark, monkeypatch):
+    """Alike vectors lie in few blocks: queries skip most runs, and blocks of the runs they see."""
+    rng = np.random.default_rng(3)
+    centres = rng.standard_normal((20, 16)) * 4
+    x = (centres[rng.integers(0, 20, 2000)] + 0.02 * rng.standard_normal((2000, 16))).astype(np.float32).astype(float)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    monkeypatch.setattr(topk, "RUN", 4)
+    queries = df.where("vec_id % 50 = 0")
+    index = topk.index_of(df, queries, 5, 16)
+    runs, asks = index.where("ask < 0").select("run").distinct().count(), index.where("ask >= 0").count()
+    assert runs >= 30 and asks == 40 and topk.needed_runs(index).count() < 0.25 * runs * asks
+    rows_ = [(i, [int(np.floor(256 * c)) for c in v]) for i, v in enumerate(x.tolist())]
+    assert {tuple(r) for r in topk.top_k(df, queries, block=16).collect()} == brute_top_k(rows_, 50)
+    docs = np.floor(256 * x[np.argsort(x @ rng.standard_normal(16))]).astype(np.int64)
+    cuts = np.arange(0, 2000, 16)
+    top, low = np.maximum.reduceat(docs, cuts), np.minimum.reduceat(docs, cuts)
+    score, ids, scored = topk.best_of_block_order(docs[7], 7, docs, np.arange(2000), top, low, 5, 16)
+    assert scored < 0.5 * len(cuts) and sorted(score.tolist()) == sorted(np.delete(docs @ docs[7], 7))[-5:]
+
+
 def brute_segmentations(v, s, n):
     out = []
 

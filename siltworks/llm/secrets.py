@@ -10,7 +10,7 @@ a secret beside an identifier or endpoint.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltworks.llm.common import cut, table
@@ -35,69 +35,61 @@ SPAN = "struct<start:int,rank:int,end:int,kind:string>"
 ROLE = {"assign": "secret", "access": "id", "hex": "secret", "weak_id": "id", "weak_secret": "secret", "endpoint": "endpoint"}
 
 
-def spans_of(text: Column, pattern: str, kind: str, value_group: int | None = None, at_least: int = 0, below: int | None = None) -> Column:
-    """Spans (start, rank, end, kind) of the leftmost, non-overlapping matches, in code points.
+#: What is searched for: name, pattern, the group whose length decides, and for each length from
+#: so many on, below so many, what a match is.
+SEARCHES = [
+    ("assign", ASSIGN, 2, [(ASSIGN_LEAST, None, "assign"), (WEAK_LEAST, ASSIGN_LEAST, "weak_secret")]),
+    ("access", ACCESS, 0, [(0, None, "access")]),
+    ("hex", HEX, 0, [(0, None, "hex")]),
+    ("clipped", CLIPPED, 0, [(0, None, "weak_id")]),
+    ("login", LOGIN, 0, [(0, None, "weak_id")]),
+    ("key40", KEY40, 0, [(0, None, "weak_secret")]),
+    ("endpoint", ENDPOINT, 0, [(0, None, "endpoint")]),
+]
 
-    Positions are sums over what lies between matches and the matches before. With a value
-    group, a match is kept by the length of that group; matches that fail still use up text.
-    """
+
+def steps_of(text: Column, pattern: str, value_group: int) -> Column:
+    """Lengths in code points for each leftmost, non-overlapping match: of the gap before it, of itself, of its value."""
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(value_group)) if value_group else hits
-    steps = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), hits.alias("hit"), values.alias("value"))
-    span = lambda start, x: F.struct(
-        start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), (start + F.length(x["hit"])).alias("end"), F.lit(kind).alias("kind")
+    # the last gap, behind all matches, has no match
+    gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(hits))
+    steps = F.transform(
+        F.arrays_zip(gaps.alias("gap"), hits.alias("hit"), values.alias("value")),
+        lambda x: F.struct(F.length(x["gap"]).alias("gap"), F.length(x["hit"]).alias("hit"), F.length(x["value"]).alias("value")),
     )
-
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + F.length(x["gap"])
-        wanted = x["hit"].isNotNull() & (F.length(x["value"]) >= at_least)
-        if below is not None:
-            wanted = wanted & (F.length(x["value"]) < below)
-        return F.struct(
-            (start + F.coalesce(F.length(x["hit"]), F.lit(0))).alias("at"),
-            F.when(wanted, F.concat(state["spans"], F.array(span(start, x)))).otherwise(state["spans"]).alias("spans"),
-        )
-
-    empty = F.array().cast(f"array<{SPAN}>")
-    found = F.aggregate(steps, F.struct(F.lit(0).alias("at"), empty.alias("spans")), step)["spans"]
-    return F.when(F.regexp_like(text, F.lit(pattern)), found).otherwise(empty)
-
-
-def _apart(spans: str, base: str) -> Column:
-    return F.filter(spans, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"])))
-
-
-def _rendered(spans: Column) -> Column:
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    none = F.array().cast("array<struct<gap:int,hit:int,value:int>>")
+    return F.when(F.regexp_like(text, F.lit(pattern)), steps).otherwise(none)
 
 
-def find_parts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, base, weak) for every row: sorted spans on their own and candidates to be linked."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    found = docs.select(
-        F.col(id_col),
-        F.array_sort(
-            F.concat(
-                spans_of(text, ASSIGN, "assign", 2, ASSIGN_LEAST),
-                spans_of(text, ACCESS, "access"),
-                spans_of(text, HEX, "hex"),
-            )
-        ).alias("base"),
-        F.array_sort(
-            F.concat(
-                spans_of(text, CLIPPED, "weak_id"),
-                spans_of(text, LOGIN, "weak_id"),
-                spans_of(text, ASSIGN, "weak_secret", 2, WEAK_LEAST, ASSIGN_LEAST),
-                spans_of(text, KEY40, "weak_secret"),
-                spans_of(text, ENDPOINT, "endpoint"),
-            )
-        ).alias("weak"),
-    )
-    return found.withColumn("weak", _apart("weak", "base"))
-
+def find_parts(found: DataFrame) -> DataFrame:
+    """(_row, start, rank, end, kind) of base spans and weak candidates, from rows' steps.
 
-def link_parts(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """(_row, linked): the weak spans of each row that have a complementary part in scope.
+    Starts are running sums over a row's matches of one search, and a candidate that overlaps a
+    base span goes; both are windows over rows in order, linear in the number of matches.
+    """
+    searches = F.array(*[F.struct(F.lit(name).alias("search"), F.col(name).alias("steps")) for name, *_ in SEARCHES])
+    each = found.select("_row", F.explode(searches).alias("s")).where(F.size("s.steps") > 0)
+    each = each.select("_row", "s.search", F.posexplode("s.steps").alias("pos", "x")).select("_row", "search", "pos", "x.*")
+    sofar = Window.partitionBy("_row", "search").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    placed = each.withColumn("end", (F.sum(F.col("gap") + F.col("hit")).over(sofar)).cast("int"))
+    kind = F.lit(None).cast("string")
+    for name, _, _, lengths in SEARCHES:
+        for least, below, what in lengths:
+            fits = (F.col("search") == name) & (F.col("value") >= least)
+            kind = F.when(fits & (F.col("value") < below) if below else fits, what).otherwise(kind)
+    rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int") - 1
+    spans = placed.withColumn("kind", kind).where("kind is not null").select("_row", (F.col("end") - F.col("hit")).alias("start"), rank.alias("rank"), "end", "kind")
+    before = Window.partitionBy("_row").orderBy("start", "rank", "end").rowsBetween(Window.unboundedPreceding, 0)
+    after = Window.partitionBy("_row").orderBy(F.desc("start"), F.desc("rank"), F.desc("end")).rowsBetween(Window.unboundedPreceding, 0)
+    base = F.col("rank") < 3
+    met = spans.withColumns({"_before": F.max(F.when(base, F.col("end"))).over(before), "_after": F.min(F.when(base, F.col("start"))).over(after)})
+    apart = F.coalesce(F.col("_before") <= F.col("start"), F.lit(True)) & F.coalesce(F.col("_after") >= F.col("end"), F.lit(True))
+    return met.where(base | apart).drop("_before", "_after")
+
+
+def link_parts(spans: DataFrame, scope: int = SCOPE) -> DataFrame:
+    """The weak spans, once each, that have a complementary part of the same row in scope.
 
     The distance is the gap from the end of one part to the start of the other, 0 if they meet.
     An interval join of parts with parts of the same row on buckets of `scope` code points; a
@@ -105,42 +97,46 @@ def link_parts(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
     summed up first by their least start and greatest end, the nearest that a neighbour can
     meet, so a row with many parts makes no pairs of them.
     """
-    every = parts.select("_row", F.explode(F.concat("base", "weak")).alias("s"))
-    role = F.element_at(F.create_map(*[F.lit(x) for kv in ROLE.items() for x in kv]), F.col("s.kind"))
+    role = F.element_at(F.create_map(*[F.lit(x) for kv in ROLE.items() for x in kv]), F.col("kind"))
     bucket = lambda at: F.floor(F.col(at) / scope)
-    every = every.select("_row", "s", role.alias("role"), bucket("s.start").alias("low"), bucket("s.end").alias("high"))
+    every = spans.withColumns({"role": role, "low": bucket("start"), "high": bucket("end")})
     marks = (
-        every.select("_row", "s", F.col("role").alias("other"), F.explode(F.sequence("low", "high")).alias("bucket"))
+        every.select("_row", "start", "end", F.col("role").alias("other"), F.explode(F.sequence("low", "high")).alias("bucket"))
         .groupBy("_row", "bucket", "other")
-        .agg(F.min("s.start").alias("first"), F.max("s.end").alias("last"))
+        .agg(F.min("start").alias("first"), F.max("end").alias("last"))
     )
     near = (
-        F.when(F.col("bucket") < F.col("low"), F.col("last") >= F.col("s.start") - scope)
-        .when(F.col("bucket") > F.col("high"), F.col("first") <= F.col("s.end") + scope)
+        F.when(F.col("bucket") < F.col("low"), F.col("last") >= F.col("start") - scope)
+        .when(F.col("bucket") > F.col("high"), F.col("first") <= F.col("end") + scope)
         .otherwise(F.lit(True))
     )
     complementary = (F.col("role") == "secret") != (F.col("other") == "secret")
-    weak = every.where(F.col("s.rank") >= 3).withColumn("bucket", F.explode(F.sequence(F.col("low") - 1, F.col("high") + 1)))
-    return (
-        weak.join(marks, ["_row", "bucket"])
-        .where(complementary & near)
-        .groupBy("_row")
-        .agg(F.array_sort(F.collect_set("s")).alias("linked"))
-    )
+    weak = every.where(F.col("rank") >= 3).withColumn("bucket", F.explode(F.sequence(F.col("low") - 1, F.col("high") + 1)))
+    return weak.join(marks, ["_row", "bucket"]).where(complementary & near).select("_row", "start", "rank", "end", "kind").distinct()
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE) -> DataFrame:
     """(id, base, linked): spans of every row of docs, each an array in order of start and kind.
 
     Null and empty texts have none; equal ids and repeated rows are scanned each on its own,
-    an empty table gives no rows, and whole texts are read whatever their length.
+    an empty table gives no rows, and whole texts are read whatever their length. The work is
+    linear in the text and the number of its spans.
     """
-    parts = cut(find_parts(docs, id_col, text_col).withColumn("_row", F.monotonically_increasing_id()))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    searched = docs.select(F.col(id_col).alias("_id"), *[steps_of(text, pattern, group).alias(name) for name, pattern, group, _ in SEARCHES])
+    found = cut(searched.withColumn("_row", F.monotonically_increasing_id()))
+    spans = cut(find_parts(found))
+    reported = spans.where("rank < 3").unionByName(link_parts(spans, scope))
+    span, base = F.struct("start", "rank", "end", "kind"), F.col("rank") < 3
+    some = lambda which, name: F.array_sort(F.collect_list(F.when(which, span))).alias(name)
+    lists = reported.groupBy("_row").agg(some(base, "base"), some(~base, "linked"))
     none = F.array().cast(f"array<{SPAN}>")
-    alone = parts.where(F.size("weak") == 0).select(id_col, "base", none.alias("linked"))
-    open_ = parts.where(F.size("weak") > 0)
-    linked = open_.join(link_parts(open_, scope), "_row", "left").select(id_col, "base", F.coalesce("linked", none).alias("linked"))
-    return alone.unionByName(linked)
+    joined = found.select("_id", "_row").join(lists, "_row", "left")
+    return joined.select(F.col("_id").alias(id_col), F.coalesce("base", none).alias("base"), F.coalesce("linked", none).alias("linked"))
+
+
+def _rendered(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
 def op3(spark, sf_dir: str) -> DataFrame:

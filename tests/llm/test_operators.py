@@ -157,8 +157,20 @@ def test_secrets_scope_lies_between_spans(spark):
     for row, base, weak in rows_:
         hit = {s for s in weak if any(secret(s) != secret(o) and max(s[0], o[0]) - min(s[2], o[2]) <= 200 for o in base + weak)}
         want |= {row: sorted(hit)} if hit else {}
-    parts = spark.createDataFrame(rows_, f"_row long, base array<{secrets.SPAN}>, weak array<{secrets.SPAN}>")
-    assert {r["_row"]: [tuple(s) for s in r["linked"]] for r in secrets.link_parts(parts).collect()} == want
+    flat = [(row, *span) for row, base, weak in rows_ for span in base + weak]
+    spans = spark.createDataFrame(flat, "_row long, start int, rank int, end int, kind string")
+    got = defaultdict(list)
+    for r in secrets.link_parts(spans).collect():
+        got[r["_row"]].append((r["start"], r["rank"], r["end"], r["kind"]))
+    assert {row: sorted(x) for row, x in got.items()} == want
+
+
+def test_secrets_are_linear_in_their_number(spark):
+    """One text of 60,000 spans of each of two kinds, with weak candidates that touch base spans."""
+    text = "".join(f"token={'z' * 12} {'a' * 16} pass user=bob{k} " for k in range(60_000))
+    (got,) = secrets.scan_secrets(frame(spark, [(1, text)])).collect()
+    assert len(got["base"]) == 120_000 and len(got["linked"]) == 60_000
+    assert [(s["start"], s["kind"], s["end"]) for s in got["base"]] == base_spans(text)
 
 
 def shingles(t, n=5):
@@ -268,7 +280,7 @@ def test_suffixes_deal_a_hot_bucket_to_many_tasks(spark, monkeypatch):
     salts = {b: -(-n // 200) for b, n in sizes.items()}
     held = Counter()
     for r in suffixes.places_of(texts, 4, salts).collect():
-        held[r["bucket"], r["salt"]] += len(suffixes._unpack(r["blob"])[1])
+        held[r["bucket"], r["salt"]] += sum(len(part[1]) for part in suffixes._unpack(r["blob"]))
     assert sum(held.values()) == sum(sizes.values()) and min(sizes.values()) > 1000
     for b, n in sizes.items():
         assert max(v for (c, _), v in held.items() if c == b) < n / 2

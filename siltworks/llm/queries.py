@@ -2,7 +2,22 @@
 
 from __future__ import annotations
 
-from siltworks.llm import embeddings, lines, minhash, mixing, pieces, quality, secrets, sharding, suffixes, topk
+from pyspark.sql import functions as F
+
+from siltworks.llm import common, embeddings, lines, minhash, mixing, pieces, quality, secrets, sharding, suffixes, topk
+
+
+
+def mix_targets(spark, sf_dir: str):
+    """What op1 aims at, by source: the part of it that SQL has too."""
+    docs = common.table(spark, sf_dir, "documents").select("source", common.word_count(F.col("text")).alias("size"))
+    return mixing.source_targets(docs).select("source", "source_size", F.round("target", 3).alias("target"))
+
+
+def secret_base(spark, sf_dir: str):
+    """The base spans of op3: the part of it that SQL has too."""
+    return secrets.op3(spark, sf_dir).drop("spans")
+
 
 QUERIES = {
     "op1_mix_sources": mixing.op1,
@@ -15,6 +30,8 @@ QUERIES = {
     "op8_lines": lines.op8,
     "op9_minhash": minhash.op9,
     "op10_shard_bytes": sharding.op10,
+    "mix_targets": mix_targets,
+    "secret_base": secret_base,
 }
 
 #: Links a (smaller) - b between ids, to component_id: the smallest id that each id reaches.
@@ -26,7 +43,60 @@ _REACH = """
     ), component AS (SELECT id, MIN(r) AS component_id FROM reach GROUP BY id)
 """
 
+#: (doc_id, start, rank, stop) of the matches of one kind in which a group has so many characters.
+_SPANS = """
+    SELECT doc_id, CAST(list_sum(list_transform(gap[1:k], lambda x: length(x))) + COALESCE(list_sum(list_transform(hit[1:k - 1], lambda x: length(x))), 0) AS BIGINT) AS start, {rank} AS rank, length(hit[k]) AS n
+    FROM (
+        SELECT doc_id, regexp_split_to_array(t, '{pattern}') AS gap, regexp_extract_all(t, '{pattern}', 0) AS hit, regexp_extract_all(t, '{pattern}', {group}) AS value
+        FROM t WHERE regexp_matches(t, '{pattern}')
+    ), unnest(range(1, len(hit) + 1)) AS u(k)
+    WHERE length(value[k]) >= {least}
+"""
+_KINDS = (
+    ("assign", r"""((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
+    ("access", "AKIA[A-Z0-9]+", 0, 18),
+    ("hex", "[0-9a-f]+", 0, 16),
+)
+
 ORACLE_SQL: dict[str, str] = {
+    "mix_targets": r"""
+        WITH s AS (
+            SELECT source, CAST(SUM(len(regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+'))) AS BIGINT) AS source_size FROM documents GROUP BY source
+        ), w AS (SELECT *, [3.0, 1.0, 2.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight FROM s),
+        r AS (
+            SELECT *, 2.0 * source_size / weight AS full_at, COALESCE(SUM(2.0 * source_size) OVER (ORDER BY 2.0 * source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS full_before,
+                   SUM(weight) OVER (ORDER BY 2.0 * source_size / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS still_open FROM w
+        ), l AS (SELECT level FROM (SELECT *, ((SELECT 1.5 * SUM(source_size) FROM s) - full_before) / still_open AS level FROM r) WHERE level <= full_at ORDER BY full_at, source LIMIT 1)
+        SELECT source, source_size, round(least(weight * level, 2.0 * source_size)::DOUBLE, 3) AS target FROM w, l
+    """,
+    "secret_base": f"""
+        WITH t AS (SELECT doc_id, COALESCE(text, '') AS t FROM documents),
+        s AS ({" UNION ALL ".join(_SPANS.format(rank=k, pattern=p, group=g, least=n) for k, (_, p, g, n) in enumerate(_KINDS))}),
+        g AS (
+            SELECT doc_id, COUNT(*) FILTER (rank = 0) AS n_assign, COUNT(*) FILTER (rank = 1) AS n_access, COUNT(*) FILTER (rank = 2) AS n_hex,
+                   string_agg(['assign', 'access', 'hex'][rank + 1] || ':' || start || ':' || (start + n), ',' ORDER BY start, rank) AS spans
+            FROM s GROUP BY doc_id
+        )
+        SELECT doc_id, COALESCE(n_assign, 0) AS n_assign, COALESCE(n_access, 0) AS n_access, COALESCE(n_hex, 0) AS n_hex, sha256(COALESCE(spans, '')) AS base_sha256
+        FROM t LEFT JOIN g USING (doc_id)
+    """,
+    "op10_shard_bytes": """
+        WITH table_ AS (
+            SELECT list(c ORDER BY i) AS crc FROM (
+                SELECT i, list_reduce(list_prepend(CAST(i AS UBIGINT), list_transform(range(0, 8), lambda x: CAST(0 AS UBIGINT))), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS UBIGINT)) ELSE c >> 1 END) AS c
+                FROM range(0, 256) AS r(i)
+            )
+        ), b AS (
+            SELECT doc_id, text IS NULL AS nothing, strlen(COALESCE(text, '')) + 1 AS size, hex(encode(COALESCE(text, ''))) AS h FROM documents
+        ), c AS (
+            SELECT doc_id, size, CASE WHEN NOT nothing THEN CAST(xor(CAST(4294967295 AS UBIGINT), list_reduce(
+                list_prepend(CAST(4294967295 AS UBIGINT), list_transform(range(0, size - 1), lambda i: CAST((instr('0123456789ABCDEF', h[2 * i + 1]) - 1) * 16 + instr('0123456789ABCDEF', h[2 * i + 2]) - 1 AS UBIGINT))),
+                lambda c, x: xor(c >> 8, crc[CAST(xor(c & 255, x) AS BIGINT) + 1]))) AS BIGINT) END AS text_crc32
+            FROM b, table_
+        ), p AS (SELECT *, SUM(size) OVER (ORDER BY doc_id, size, text_crc32 ROWS UNBOUNDED PRECEDING) - size AS before, SUM(size) OVER () AS whole FROM c),
+        s AS (SELECT *, CAST((2 * before + size) * 8 // (2 * whole) AS INTEGER) AS shard FROM p)
+        SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id, size, text_crc32) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM s
+    """,
     "op2_embeddings": f"""
         WITH RECURSIVE ids AS (SELECT vec_id AS id FROM embeddings),
         v AS (

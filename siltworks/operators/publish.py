@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -181,16 +182,25 @@ def stage_split(df: DataFrame, table: str, cluster: list[str], time_column: str
 
 
 def write_split(df: DataFrame, mappings: list[tuple[str, str]], append: bool = True, template: str | None = None) -> None:
-    """Write the rows that meet each predicate to its table; df is computed once."""
+    """Write the rows that meet each predicate to its table; df is computed once.
+
+    One pass writes every row under its destinations, as partitions of a table that lasts as
+    long as the split; each destination then reads its own partition.
+    """
     spark = df.sparkSession
-    df.persist()
+    for _, table in mappings:
+        if template:
+            ensure(spark, table, template)
+    first = mappings[0][1]
+    staged = f"{first.rpartition('.')[0] + '.' if '.' in first else ''}split_{uuid.uuid4().hex}"
+    rows = split(df, [(when, str(k)) for k, (when, _) in enumerate(mappings)]).withColumnRenamed("dest", "_dest")
+    create(spark, staged, rows.schema, ["_dest"])
     try:
-        for when, table in mappings:
-            if template:
-                ensure(spark, table, template)
-            write(df.where(F.expr(to_spark(when))), table, append)
+        _insert(rows, staged, overwrite=True)
+        for k, (_, table) in enumerate(mappings):
+            write(spark.table(staged).where(F.col("_dest") == str(k)).drop("_dest"), table, append)
     finally:
-        df.unpersist()
+        drop(spark, staged)
 
 
 def split_columns(df: DataFrame, cluster: list[str], time_column: str | None = None) -> DataFrame:

@@ -286,7 +286,7 @@ def ingest(spark: SparkSession, rule: Rule, files: list[SourceFile], event_id: s
         rows, attempts = None, rule.max_reload
         while found.valid:
             try:
-                rows = load(spark, found.valid, schema, rule.options)
+                rows = load(spark, found.valid, schema, rule.options, counted=schema is not None)
                 break
             except Exception:
                 # a file may have gone or changed since it was judged

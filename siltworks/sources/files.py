@@ -211,17 +211,18 @@ def _after_leading_rows(spark: SparkSession, urls: list[str], schema: T.StructTy
     return rest.select(parsed.alias("_x"), F.col("_url").alias(SOURCE_URL)).select("_x.*", SOURCE_URL)
 
 
-def load(spark: SparkSession, urls: list[str], schema: T.StructType | None, options: LoadOptions | None = None) -> DataFrame:
+def load(spark: SparkSession, urls: list[str], schema: T.StructType | None, options: LoadOptions | None = None, counted: bool = False) -> DataFrame:
     """Rows of the files; raises TooManyBadRecords beyond the bad records that options allow.
 
-    Bad records are counted in one pass over the files and left out if they are few enough.
+    Bad records are counted in one pass over the files, unless they have been, and left out if
+    they are few enough.
     """
     options = options or LoadOptions()
     rows = scan(spark, urls, schema, options).drop(SOURCE_URL)
     if CORRUPT not in rows.columns:
         return rows
     bad = is_corrupt(rows, options)
-    count = rows.agg(F.count_if(bad).alias("bad")).first()["bad"]
+    count = 0 if counted else rows.agg(F.count_if(bad).alias("bad")).first()["bad"]
     if count > options.max_bad_records:
         raise TooManyBadRecords(f"{count} bad records, {options.max_bad_records} are allowed")
     return rows.where(~bad).drop(CORRUPT)

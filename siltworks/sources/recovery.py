@@ -2,7 +2,7 @@
 
 One permissive pass over all files finds every file with bad records at once. A flagged line
 that is sound JSON has a schema error, any other is corrupt. Fields that a table lacks, which
-a reader drops in silence, are found from the schema that the files themselves have.
+a reader drops in silence, are found in the same pass from the schema that each file itself has.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltworks.functions import schemas
-from siltworks.sources.files import CORRUPT, SOURCE_URL, LoadOptions, is_corrupt, scan
+from siltworks.sources.files import CORRUPT, CSV_OPTIONS, SOURCE_URL, LoadOptions, is_corrupt, scan
 
 
 @dataclass
@@ -52,25 +52,28 @@ def missing(spark: SparkSession, urls: list[str]) -> list[str]:
     return sorted(gone, key=urls.index)
 
 
-def bad_records(spark: SparkSession, urls: list[str], schema: T.StructType, options: LoadOptions) -> DataFrame:
-    """(url, kind, bad) for each file with bad records, kind being corrupted or invalid_schema."""
-    rows = scan(spark, urls, schema, options)
-    url = F.col(SOURCE_URL if SOURCE_URL in rows.columns else "_metadata.file_path")
-    bad = is_corrupt(rows, options)
-    sound = F.lit(options.format_of(urls) == "csv") | F.try_parse_json(CORRUPT).isNotNull()
-    kinds = rows.select(url.alias("url"), bad.alias("bad"), sound.alias("sound")).groupBy("url").agg(F.count_if("bad").alias("bad"), F.count_if(F.col("bad") & ~F.col("sound")).alias("corrupt"))
-    kind = F.when(F.col("corrupt") > 0, "corrupted").otherwise("invalid_schema").alias("kind")
-    return kinds.where("bad > 0").select("url", kind, "bad")
+def judged(spark: SparkSession, urls: list[str], schema: T.StructType, options: LoadOptions) -> DataFrame:
+    """(url, kind, bad, fields) for each file, from one scan of all of them.
 
-
-def unknown_by_file(spark: SparkSession, urls: list[str], schema: T.StructType) -> list[str]:
-    """The JSON files with fields, at any depth, that the schema lacks.
-
-    Each file's own schema is merged from its lines on the executors; one row a file comes back.
+    bad is the number of bad records and kind what they make of the file: corrupted or
+    invalid_schema. fields is the schema that the file itself has, as a variant's text, merged
+    from its lines on the executors; null for CSV. One row a file comes back.
     """
-    lines = spark.read.text(urls).select(F.try_parse_json("value").alias("v"), F.col("_metadata.file_path").alias("url"))
-    kinds = lines.where(F.col("v").isNotNull()).groupBy("url").agg(F.schema_of_variant_agg("v").alias("schema"))
-    return [r["url"] for r in kinds.collect() if schemas.unknown_fields(parse_variant_schema(r["schema"]), schema)]
+    if options.format_of(urls) == "json":
+        full = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*schema.fields, T.StructField(CORRUPT, T.StringType())])
+        read = {**{CSV_OPTIONS.get(k, k): v for k, v in options.options.items()}, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+        lines = spark.read.text(urls).where("trim(value) <> ''").select("value", F.col("_metadata.file_path").alias("url"))
+        parsed = lines.select("url", F.try_parse_json("value").alias("v"), F.from_json("value", full, read).alias("x"))
+        rows = parsed.select("url", F.col(f"x.{CORRUPT}").isNotNull().alias("bad"), F.col("v").isNotNull().alias("sound"), "v")
+        fields = F.schema_of_variant_agg("v")
+    else:
+        scanned = scan(spark, urls, schema, options)
+        url = F.col(SOURCE_URL if SOURCE_URL in scanned.columns else "_metadata.file_path")
+        rows = scanned.select(url.alias("url"), is_corrupt(scanned, options).alias("bad"), F.lit(True).alias("sound"))
+        fields = F.lit(None).cast("string")
+    found = rows.groupBy("url").agg(F.count_if("bad").alias("bad"), F.count_if(F.col("bad") & ~F.col("sound")).alias("corrupt"), fields.alias("fields"))
+    kind = F.when(F.col("corrupt") > 0, "corrupted").when(F.col("bad") > 0, "invalid_schema").alias("kind")
+    return found.select("url", kind, "bad", "fields")
 
 
 def parse_variant_schema(text: str) -> T.DataType:
@@ -102,13 +105,13 @@ def classify(spark: SparkSession, urls: list[str], schema: T.StructType, options
         return out
     given = {_plain(u): u for u in there}
     verdict, allowed = {}, options.max_bad_records
-    for r in sorted(bad_records(spark, there, schema, options).collect(), key=lambda r: (r["bad"], r["url"])):
+    for r in sorted(judged(spark, there, schema, options).collect(), key=lambda r: (r["bad"], r["url"])):
+        url = given.get(_plain(r["url"]), r["url"])
         allowed -= r["bad"]
-        if allowed < 0:
-            verdict[given.get(_plain(r["url"]), r["url"])] = r["kind"]
-    if kind == "json" and not options.ignore_unknown_values:
-        for url in unknown_by_file(spark, there, schema):
-            verdict.setdefault(given.get(_plain(url), url), "invalid_schema")
+        if r["bad"] and allowed < 0:
+            verdict[url] = r["kind"]
+        elif r["fields"] and not options.ignore_unknown_values and schemas.unknown_fields(parse_variant_schema(r["fields"]), schema):
+            verdict[url], allowed = "invalid_schema", allowed + r["bad"]
     for url in there:
         getattr(out, verdict.get(url, "valid")).append(url)
     return out

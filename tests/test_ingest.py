@@ -248,3 +248,19 @@ def test_removed_and_look_back(spark):
     assert [r[0] for r in fs.removed(known, spark.createDataFrame([("b",)], "url string")).collect()] == ["a"]
     since = lambda t: fs.look_back(spark.createDataFrame([(t,)], "m string").select(F.to_timestamp("m").alias("modified")), now, 3600).first()[0]
     assert since("2024-01-01 23:30:00").minute == 30 and since("2024-01-01 10:00:00").hour == 23
+
+
+def test_a_batch_is_scanned_twice(spark, db, tmp_path):
+    """Once to judge its files and once to publish them, whatever the number of tables."""
+    publish.create(spark, f"{db}.t", spark.createDataFrame([], "shelf bigint, plant bigint, label string").schema)
+    a, b = put(tmp_path, "in/a.json", [GOOD, {**GOOD, "shelf": 4}]), put(tmp_path, "in/b.json", ["{"])
+    split = {"Mapping": [{"When": f"MOD(shelf, 2) = {k}", "Then": f"{db}.t{k}"} for k in (0, 1)]}
+    rule = R.parse({"Dest": {"Table": f"{db}.t", "Transient": {"Dataset": "x"}, "Schema": {"Template": f"{db}.t", "Split": split}}})
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = {e.executionId() for e in map(store.executionsList().apply, range(store.executionsList().size()))}
+    ingest(spark, rule, [SourceFile(u, NOW) for u in (a, b)], "1")
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    after = [e for e in map(store.executionsList().apply, range(store.executionsList().size())) if e.executionId() not in before]
+    scans = sum(e.physicalPlanDescription().split("===")[0].count(str(tmp_path / "in")) > 0 or "in/a.json" in e.physicalPlanDescription() for e in after)
+    assert scans == 2
+    assert [spark.table(f"{db}.t{k}").first()["shelf"] for k in (0, 1)] == [4, 3]

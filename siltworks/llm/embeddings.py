@@ -6,10 +6,11 @@ right at the threshold meets in one of `tables` tables with probability
 1 - (1 - (1 - a / pi) ** bits) ** tables. Bits grow with the logarithm of the number of rows,
 to hold buckets small, and tables are as many as make that probability RECALL or more.
 
-Equal vectors are one class first. Within buckets, exact cosines are taken in double precision;
-a pair that already met in an earlier table is left out, so links are counted once and no
-list of pairs is ever shuffled: a bucket gives link counts of its rows and stars of what is
-linked. Buckets beyond BLOCK rows are split into pairs of blocks, none is capped.
+Equal vectors are one class first, and the bucket numbers of a class in all tables are computed
+once and go with it. Within buckets, exact cosines are taken in double precision, of vectors kept
+in the numbers that they came in; a pair that already met in an earlier table is left out, so links
+are counted once and no list of pairs is ever shuffled: a bucket gives link counts of its rows and
+stars of what is linked. Buckets beyond BLOCK rows are split into pairs of blocks, none is capped.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltworks.llm.common import block_cells, components, cut, group_pairs, n_partitions, smallest_labels, table, whole_groups
 
@@ -32,7 +34,7 @@ BLOCK = 1_000
 def plan(rows: int, threshold: float) -> tuple[int, int]:
     """(bits, tables) for so many distinct vectors."""
     same = 1 - math.acos(threshold) / math.pi
-    bits = min(24, max(8, math.ceil(math.log2(max(1, rows / PER_BUCKET)))))
+    bits = max(8, math.ceil(math.log2(max(1, rows / PER_BUCKET))))
     return bits, math.ceil(math.log(1 - RECALL) / math.log(1 - same**bits))
 
 
@@ -46,21 +48,21 @@ def keys_of(vectors: np.ndarray, bits: int, tables: int) -> np.ndarray:
     return signs.reshape(len(vectors), tables, bits) @ (np.int64(1) << np.arange(bits))
 
 
-def _packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Vectors as the bytes of doubles; null where the vector links with nothing."""
+def _packed(batches: Iterator[pd.DataFrame], number: str) -> Iterator[pd.DataFrame]:
+    """Vectors as bytes of floats or doubles; null where the vector links with nothing."""
 
     def one(v):
         if v is None:
             return None
-        x = np.array([np.nan if y is None else y for y in v], np.float64)
+        x = np.array([np.nan if y is None else y for y in v], number)
         return x.tobytes() if len(x) and np.isfinite(x).all() and x.any() else None
 
     for batch in batches:
         yield pd.DataFrame({"vec_id": batch.vec_id, "vec": [one(v) for v in batch.embedding]})
 
 
-def _stack(packed: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(packed), np.float64).reshape(len(packed), -1)
+def _stack(packed: pd.Series, number: str) -> np.ndarray:
+    return np.frombuffer(b"".join(packed), number).reshape(len(packed), -1).astype(np.float64)
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -68,31 +70,24 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 
-def _bucketed(batches: Iterator[pd.DataFrame], bits: int, tables: int) -> Iterator[pd.DataFrame]:
+def _keyed(batches: Iterator[pd.DataFrame], number: str, bits: int, tables: int) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for _, rows in batch.groupby(batch.vec.map(len), sort=True):
-            keys = keys_of(_unit(_stack(rows.vec)), bits, tables)
-            yield pd.DataFrame(
-                {
-                    "cls": np.repeat(rows.cls.to_numpy(), tables),
-                    "dim": len(rows.vec.iloc[0]) // 8,
-                    "tab": np.tile(np.arange(tables, dtype=np.int32), len(rows)),
-                    "bucket": keys.ravel(),
-                }
-            )
-
-
-def _linked(batches: Iterator[pd.DataFrame], threshold: float, bits: int, tables: int) -> Iterator[pd.DataFrame]:
+            keys = keys_of(_unit(_stack(rows.vec, number)), bits, tables)
+            yield rows.assign(dim=len(rows.vec.iloc[0]) // np.dtype(number).itemsize, keys=list(keys))
+
+
+def _linked(batches: Iterator[pd.DataFrame], threshold: float, number: str) -> Iterator[pd.DataFrame]:
     """For each class of each bucket: how many vectors it links with there, and its star."""
     for rows, starts in whole_groups(batches, ["dim", "tab", "bucket", "lo", "hi"], 10_000):
         n = len(rows)
         dims, tab, cls, weight = rows.dim.to_numpy(), rows.tab.to_numpy(), rows.cls.to_numpy(), rows.weight.to_numpy()
+        keys = np.stack(rows["keys"].to_numpy())
         across, blk = (rows.lo != rows.hi).to_numpy(), rows.blk.to_numpy()
         links, found = np.zeros(n, np.int64), []
         for dim in np.unique(dims):  # the stream is sorted by dim
             first, last = np.searchsorted(dims, [dim, dim + 1])
-            unit = _unit(_stack(rows.vec.iloc[first:last]))
-            keys = keys_of(unit, bits, tables)
+            unit = _unit(_stack(rows.vec.iloc[first:last], number))
             inside = starts[(starts >= first) & (starts <= last)] - first
             for i, j in group_pairs(inside):
                 meet = ~across[i + first] | (blk[i + first] != blk[j + first])
@@ -100,9 +95,9 @@ def _linked(batches: Iterator[pd.DataFrame], threshold: float, bits: int, tables
                 for part in range(0, len(i), 100_000):
                     a, b = i[part : part + 100_000], j[part : part + 100_000]
                     near = np.einsum("ij,ij->i", unit[a], unit[b]) >= threshold
-                    a, b = a[near], b[near]
-                    new = (keys[a] == keys[b]).argmax(axis=1) == tab[a + first]
-                    found.append((a[new] + first, b[new] + first))
+                    a, b = a[near] + first, b[near] + first
+                    new = (keys[a] == keys[b]).argmax(axis=1) == tab[a]
+                    found.append((a[new], b[new]))
         left = np.concatenate([a for a, _ in found] or [np.zeros(0, int)])
         right = np.concatenate([b for _, b in found] or [np.zeros(0, int)])
         np.add.at(links, left, weight[right])
@@ -124,20 +119,22 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec
     spark = vectors.sparkSession
     parts = n_partitions(spark)
     plain = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("embedding"))
-    packed = cut(plain.mapInPandas(_packed, "vec_id long, vec binary").withColumn("same", F.sha1("vec")))
+    number = "<f4" if plain.schema["embedding"].dataType == T.ArrayType(T.FloatType()) else "<f8"
+    packed = cut(plain.mapInPandas(lambda it: _packed(it, number), "vec_id long, vec binary").withColumn("same", F.sha1("vec")))
     usable = packed.where("vec is not null and vec_id is not null")
     classes = cut(usable.groupBy("same").agg(F.min("vec_id").alias("cls"), F.count("*").alias("weight"), F.first("vec").alias("vec")))
     bits, tables = plan(classes.count(), threshold)
 
-    buckets = classes.select("cls", "vec").mapInPandas(lambda it: _bucketed(it, bits, tables), "cls long, dim int, tab int, bucket long")
-    keys = ["dim", "tab", "bucket"]
-    cells = block_cells(buckets, keys, F.xxhash64("cls"), BLOCK).join(classes.select("cls", "weight", "vec"), "cls")
-    order = [*keys, "lo", "hi"]
+    shape = "cls long, weight long, vec binary, dim int, keys array<long>"
+    keyed = cut(classes.select("cls", "weight", "vec").mapInPandas(lambda it: _keyed(it, number, bits, tables), shape))
+    buckets = keyed.select("cls", "dim", F.posexplode("keys").alias("tab", "bucket"))
+    cells = block_cells(buckets, ["dim", "tab", "bucket"], F.xxhash64("cls"), BLOCK).join(keyed.drop("dim"), "cls")
+    order = ["dim", "tab", "bucket", "lo", "hi"]
     stars = cut(
-        cells.select(*order, "blk", "cls", "weight", "vec")
+        cells.select(*order, "blk", "cls", "weight", "vec", "keys")
         .repartition(parts, *order)
         .sortWithinPartitions(*order, "cls")
-        .mapInPandas(lambda it: _linked(it, threshold, bits, tables), "a long, b long, links long")
+        .mapInPandas(lambda it: _linked(it, threshold, number), "a long, b long, links long")
     )
     counts = stars.groupBy("a").agg(F.sum("links").alias("links")).withColumnRenamed("a", "cls")
     found = components(stars.select("a", "b")).select(F.col("node").alias("cls"), "root")

@@ -20,12 +20,15 @@ WORD = r"[^\x20\x09-\x0D]+"
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder that driver and executors share.
 
-    It is the one named by spark.checkpoint.dir; only a session without one (tests, notebooks)
-    gets a folder of its own.
+    It is the one named by spark.checkpoint.dir; only a local session without one (tests,
+    notebooks) gets a folder of its own, as executors elsewhere could not read it.
     """
     set_ = spark.sparkContext._jsc.sc().getCheckpointDir()
     if set_.isEmpty():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="siltworks-checkpoint-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="siltworks-checkpoint-"))
         set_ = spark.sparkContext._jsc.sc().getCheckpointDir()
     return set_.get()
 
@@ -107,16 +110,18 @@ def ordered_prefix(df: DataFrame, order: list[str], value: str) -> tuple[DataFra
     return placed, total
 
 
-def block_cells(members: DataFrame, keys: list[str], spread: Column, block_rows: int) -> DataFrame:
+def block_cells(members: DataFrame, keys: list[str], spread: Column, block_rows: int, weight: str | None = None, block_weight: int = 1) -> DataFrame:
     """Split every group into blocks and place each row in every pair of blocks it belongs to.
 
     Groups of one row go. A group of up to `block_rows` rows is one cell (0, 0). A larger one
     is split by `spread` into blocks of about that many rows, and its rows are repeated so that
     each pair of blocks (lo, hi) meets in exactly one cell; no group is capped, and no cell
-    holds more than about two blocks. Adds lo, hi and blk.
+    holds more than about two blocks. With a column of weights, blocks are also of about
+    `block_weight` at most, or of single rows. Adds lo, hi and blk.
     """
-    sizes = members.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1")
-    blocks = F.ceil(F.col("_n") / F.lit(block_rows)).cast("int")
+    heavy = F.sum(weight) if weight else F.lit(0)
+    sizes = members.groupBy(*keys).agg(F.count("*").alias("_n"), heavy.alias("_w")).where("_n > 1")
+    blocks = F.greatest(F.ceil(F.col("_n") / block_rows), F.least(F.col("_n"), F.ceil(F.col("_w") / block_weight))).cast("int")
     return (
         members.join(sizes, keys)
         .withColumn("_blocks", blocks)
@@ -124,7 +129,7 @@ def block_cells(members: DataFrame, keys: list[str], spread: Column, block_rows:
         .withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
         .withColumn("lo", F.least("blk", "_with"))
         .withColumn("hi", F.greatest("blk", "_with"))
-        .drop("_n", "_blocks", "_with")
+        .drop("_n", "_w", "_blocks", "_with")
     )
 
 

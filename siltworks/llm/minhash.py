@@ -11,8 +11,9 @@
    links are confirmed on the full shingle sets, read again from the texts, and connected
    components of what holds are the duplicates.
 
-Lists and groups beyond BLOCK rows are split into blocks, and each pair of blocks is a task of
-its own (`common.block_cells`): nothing is capped and no task holds more than two blocks.
+Lists and groups beyond BLOCK rows, or of texts with more than BLOCK_SHINGLES shingles, are split
+into blocks, and each pair of blocks is a task of its own (`common.block_cells`): nothing is capped
+and no task holds more than two blocks.
 """
 
 from __future__ import annotations
@@ -26,10 +27,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltworks.llm.common import block_cells, components, cut, group_pairs, n_partitions, smallest_labels, table, whole_groups
+from siltworks.llm.common import block_cells, components, cut, group_pairs, n_partitions, smallest_labels, table, whole_groups, written
 
 K = 64
 BLOCK = 1_000
+BLOCK_SHINGLES = 2_000_000
 SHINGLE = 5
 
 _U = np.uint64
@@ -171,7 +173,7 @@ def near_duplicates(docs: DataFrame, threshold: int = 85, n: int = SHINGLE, id_c
     parts = n_partitions(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = cut(texts.mapInPandas(lambda it: _signed(it, n), "doc_id long, n_shingles long, cls binary, sig binary"))
-    classes = signed.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
+    classes = signed.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("n_shingles").alias("weight"))
     classes = cut(classes)
 
     least = least_matches(threshold / 100)
@@ -186,8 +188,8 @@ def near_duplicates(docs: DataFrame, threshold: int = 85, n: int = SHINGLE, id_c
     )
     candidates = components(stars)
 
-    members = candidates.join(classes.select("cls", "rep"), candidates["node"] == classes["cls"]).select("cls", F.col("root").alias("grp"), "rep")
-    cells = cut(block_cells(members, ["grp"], F.xxhash64("cls"), BLOCK))
+    members = candidates.join(classes.select("cls", "rep", "weight"), candidates["node"] == classes["cls"]).select("cls", F.col("root").alias("grp"), "rep", "weight")
+    cells = cut(block_cells(members, ["grp"], F.xxhash64("cls"), BLOCK, "weight", BLOCK_SHINGLES))
     links = (
         cells.join(texts, cells["rep"].eqNullSafe(texts["doc_id"]))
         .select("grp", "lo", "hi", "blk", "cls", "text")
@@ -206,14 +208,20 @@ def near_duplicates(docs: DataFrame, threshold: int = 85, n: int = SHINGLE, id_c
 
 
 def drop_near_duplicates(docs: DataFrame, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs without near-duplicates: one row of each group, its smallest id, stays.
+    """The rows of docs without near-duplicates: of each group one row of its smallest id stays.
 
-    Ids are taken to be unique: rows that share the smallest id all stay. Texts without words
-    all stay.
+    Rows are judged as rows, whatever ids they share: of several with the smallest id the first
+    by text stays, and a null id comes after all others. Texts without words all stay, and an
+    empty table gives no rows.
     """
-    found = near_duplicates(docs, threshold, SHINGLE, id_col, text_col)
-    gone = found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")
+    keyed = written(docs.select(F.struct(*docs.columns).alias("_row"), F.monotonically_increasing_id().alias("_key")))
+    texts = keyed.select("_key", F.col(f"_row.`{text_col}`").alias("text"))
+    found = near_duplicates(texts, threshold, SHINGLE, "_key", "text").where("n_shingles > 0").select(F.col("doc_id").alias("_key"), "component_id")
+    own = keyed.select("_key", F.col(f"_row.`{id_col}`").cast("long").alias("id"), F.sha1(F.col(f"_row.`{text_col}`")).alias("text"))
+    first = F.struct(F.col("id").isNull(), "id", "text", "_key")
+    stay = found.join(own, "_key").groupBy("component_id").agg(F.min(first).alias("first")).select(F.col("first._key").alias("_key"))
+    gone = found.select("_key").join(stay, "_key", "left_anti")
+    return keyed.join(gone, "_key", "left_anti").select("_row.*")
 
 
 def op9(spark, sf_dir: str) -> DataFrame:

@@ -26,15 +26,18 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltworks.llm.common import WORD, cut, ordered_prefix, table
+from siltworks.llm.common import cut, ordered_prefix, table
 
 LABELLED = 20_000
 ROUNDS = 3
 #: Share of the unlabelled documents that each view labels for the other in a round.
 CONFIDENT = 0.03
 HELD_OUT = 5
-#: Training rows of a task; each task of a fit shuffles a gradient in every iteration.
+#: Training rows of a task, and the fewest tasks: so few send their gradients without a shuffle.
 FIT_ROWS = 20_000
+FIT_TASKS = 4
+#: What lies between words.
+BLANKS = r"[\x20\x09-\x0D]+"
 CONTENT_DIM = 1 << 15
 SOURCE_DIM = 64
 
@@ -52,7 +55,7 @@ class View:
 def _measures(text: Column) -> dict[str, Column]:
     length = F.length(text).cast("double")
     share = lambda signs: F.regexp_count(text, F.lit(signs)) / (length + 1)
-    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    words = F.array_remove(F.split(text, BLANKS, -1), "")
     count = F.size(words).cast("double")
     lines = F.size(F.split(text, "\n", -1)).cast("double")
     return {
@@ -131,7 +134,7 @@ def co_train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sou
     first = lambda df, n: df.withColumn("_h", F.xxhash64("doc_id")).orderBy("_h", "doc_id").limit(n).drop("_h")
     # at most LABELLED ids, whatever the input
     labelled = cut(first(known.join(texts.select("doc_id").distinct(), "doc_id", "left_semi"), LABELLED))
-    few = lambda df, n: df.coalesce(max(8, n // FIT_ROWS))
+    few = lambda df, n: df.coalesce(max(FIT_TASKS, n // FIT_ROWS))
     sample = few(_fetched(texts, labelled), LABELLED)
     apart = F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(HELD_OUT)) == 0
     held, train = sample.where(apart), sample.where(~apart)
@@ -173,6 +176,7 @@ def score_documents(
     text_col: str = "text",
     source_col: str = "source",
     lang_col: str = "lang",
+    rounds: int = ROUNDS,
 ) -> DataFrame:
     """Every row of docs, with p_content, p_page, score (chance of being good) and kept.
 
@@ -184,15 +188,15 @@ def score_documents(
     the ones added are left out. Without labels of both
     classes every row has the share of good labels (1 without any) as its score.
     """
-    rows = _scored(docs, labels, threshold, id_col, text_col, source_col, lang_col)
+    rows = _scored(docs, labels, threshold, id_col, text_col, source_col, lang_col, rounds)
     added = ("p_content", "p_page", "score", "kept")
     own = [c for c in (docs.columns if keep is None else keep) if c.lower() not in added]
     return rows.select(*[F.col(f"_row.`{c}`").alias(c) for c in own], *[F.col(f"_{c}").alias(c) for c in added])
 
 
-def _scored(docs: DataFrame, labels: DataFrame, threshold: float, id_col: str, text_col: str, source_col: str, lang_col: str) -> DataFrame:
+def _scored(docs: DataFrame, labels: DataFrame, threshold: float, id_col: str, text_col: str, source_col: str, lang_col: str, rounds: int = ROUNDS) -> DataFrame:
     """(_row, _p_content, _p_page, _score, _kept), _row being the whole row."""
-    views, prior = co_train(docs, labels, id_col, text_col, source_col, lang_col)
+    views, prior = co_train(docs, labels, id_col, text_col, source_col, lang_col, rounds)
     row = F.struct(*docs.columns).alias("_row")
     if views is None:
         p = F.lit(float(prior))

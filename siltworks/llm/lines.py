@@ -2,13 +2,14 @@
 
 A line is the set of its lower-case words. Lines with equal sets are one class, placed at its
 first line. Words of a class are ordered by rarity; two sets of Jaccard similarity t share a
-word within the first n - ceil(t * n) + 1 of either, so only these prefixes are posted and
-joined, under length and positional filters and a bound from 64-bit signatures of the sets.
-Pairs that stay are confirmed on their lines.
+word within the first n - ceil(t * n) + 1 of either, and within the first n - ceil(2t / (1 + t) * n)
++ 1 of the smaller one. So only these prefixes are posted and joined, long ones with short ones,
+under length and positional filters and a bound from 64-bit signatures of the sets. Pairs that stay
+are confirmed on their lines.
 
 Rarity comes from a table of word counts of fixed size (SKETCH buckets of word hashes, a byte
 each, summed over all lines); any total order keeps the join exact, the counts make it
-selective. It is a constant of the plan, so ordering needs no join.
+selective. The table is one array, the value of a scalar subquery, so ordering needs no join.
 
 Long posting lists come of passages with many variants. To make no square of them, each class
 first meets only the earliest class of each of its lists, and what that confirms needs no
@@ -20,13 +21,14 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltworks.llm.common import WORD, cut, table, written
 
-SKETCH = 1 << 19
+SKETCH = 1 << 22
+#: Buckets are put in order in so many parts, then the parts.
+PARTS = 1 << 11
 #: Up to so many lines (of a few dozen bytes) are looked up by broadcast, more by a shuffle.
 LOOKED_UP = 500_000
 
@@ -42,8 +44,8 @@ def plain_lines(text_col: str) -> Column:
 
 
 def word_hashes(line: Column) -> Column:
-    """Distinct hashes of a line's words in lower case; lower is fast on ASCII, so each word is lowered alone."""
-    words = F.transform(F.split(line, " ", -1), lambda w: F.xxhash64(F.lower(w)))
+    """Distinct hashes of a line's words in lower case."""
+    words = F.transform(F.split(F.lower(line), " ", -1), lambda w: F.xxhash64(w))
     return F.array_remove(F.array_distinct(words), F.xxhash64(F.lit("")))
 
 
@@ -51,29 +53,39 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), F.posexplode(plain_lines(text_col)).alias("line_no", "line"))
 
 
-def rarity_table(docs: DataFrame, text_col: str) -> Column:
-    """Constant bytes: for each bucket of word hashes a coarse logarithm of its count."""
-    bucket = F.xxhash64(F.lower("w")).bitwiseAND(F.lit(SKETCH - 1)).cast("int").alias("b")
-    counts = docs.select(F.explode(F.split(spaced(text_col, "\t\n\x0b\x0c\r"), " ", -1)).alias("w")).where("w <> ''").groupBy(bucket).agg(F.count("*").alias("n"))
-    # at most SKETCH rows of 12 bytes
-    found = counts.toArrow()
-    rank = np.zeros(SKETCH, np.uint8)
-    rank[found["b"].to_numpy()] = np.minimum(127, 4 * np.log2(found["n"].to_numpy()))
-    return F.lit(rank.tobytes())
+def rarity_table(docs: DataFrame, text_col: str) -> DataFrame:
+    """One row, one array: for each bucket of word hashes a coarse logarithm of its count.
+
+    Its size is fixed: SKETCH entries of a byte.
+    """
+    words = docs.select(F.explode(F.split(F.lower(spaced(text_col, "\t\n\x0b\x0c\r")), " ", -1)).alias("w")).where("w <> ''")
+    bucket = F.xxhash64("w").bitwiseAND(F.lit(SKETCH - 1)).cast("int").alias("b")
+    # every bucket has a row, whether a word falls into it or not
+    counted = words.select(bucket, F.lit(1).alias("n")).union(docs.sparkSession.range(SKETCH).select(F.col("id").cast("int"), F.lit(0)))
+    counts = counted.groupBy("b").agg(F.sum("n").alias("n"))
+    rank = F.least(F.lit(127), F.floor(4 * F.log2(F.greatest(F.lit(1), "n").cast("double")))).cast("tinyint").alias("rank")
+    in_order = lambda key: F.transform(F.array_sort(F.collect_list(F.struct(key, "rank"))), lambda x: x["rank"]).alias("rank")
+    parts = counts.select("b", rank).groupBy(F.floor(F.col("b") / (SKETCH // PARTS)).alias("part")).agg(in_order("b"))
+    return parts.agg(F.flatten(in_order("part")).alias("rarity"))
+
+
+#: A null id comes first.
+NO_ID = -(1 << 63)
 
 
 def line_classes(docs: DataFrame, threshold: int, id_col: str, text_col: str) -> DataFrame:
-    """One row for each distinct set of words: doc_id and ln of its first line, n words, sig, prefix.
+    """One row for each distinct set of words: doc_id and at of its first line, sig, prefix; written.
 
-    ln is the line's number. The prefix holds the rarest words, as one long: rarity, then hash.
-    sig has a bit for each of 64 classes of words that the set has an odd number of.
+    at is the line's number and its number of words in one long, and a null id the least long.
+    The prefix holds the rarest words, as one long: rarity, then hash. sig has a bit for each of
+    64 classes of words that the set has an odd number of.
     """
-    rarity = rarity_table(docs, text_col)
     # seven bits of rarity above 56 bits of the hash
-    rank = lambda h: F.ascii(F.substring(rarity, h.bitwiseAND(F.lit(SKETCH - 1)).cast("int") + 1, F.lit(1)).cast("string"))
+    rank = lambda h: F.get("rarity", h.bitwiseAND(F.lit(SKETCH - 1)).cast("int"))
     ranked = lambda h: F.shiftleft(rank(h).cast("long"), 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))
+    lines = lines_of(docs, id_col, text_col).withColumn("rarity", rarity_table(docs, text_col).scalar())
     # a filter on the words here would have them made twice; sets without any are one class, dropped below
-    hashed = lines_of(docs, id_col, text_col).select("doc_id", F.col("line_no").alias("ln"), F.sort_array(F.transform(word_hashes(F.col("line")), ranked)).alias("words"))
+    hashed = lines.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col("line_no").alias("ln"), F.sort_array(F.transform(word_hashes(F.col("line")), ranked)).alias("words"))
     bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))
     n = F.size("words")
     keyed = hashed.select(
@@ -81,31 +93,28 @@ def line_classes(docs: DataFrame, threshold: int, id_col: str, text_col: str) ->
         F.xxhash64(F.lit(1), "words", n).alias("h2"),
         F.struct(
             "doc_id",
-            "ln",
-            n.alias("n"),
+            F.shiftleft(F.col("ln").cast("long"), 32).bitwiseOR(n.cast("long")).alias("at"),
             F.aggregate("words", F.lit(0).cast("long"), lambda s, w: s.bitwiseXOR(bit(w))).alias("sig"),
             F.slice("words", F.lit(1), _prefix(n, threshold)).alias("prefix"),
-        ).alias("at"),
+        ).alias("first"),
     )
-    first = keyed.groupBy("h1", "h2").agg(F.min("at").alias("at"))
-    return first.select("at.*").where("n > 0")
+    first = keyed.groupBy("h1", "h2").agg(F.min("first").alias("first"))
+    return written(first.select("first.*").where(_words("at") > 0))
 
 
-def posting_lists(classes: DataFrame) -> DataFrame:
-    """(w, doc_id, at, sig, pos): classes under the words of their prefixes, where others are too.
+def posting_lists(classes: DataFrame, threshold: int) -> DataFrame:
+    """(w, doc_id, at, sig, pos) and o_doc_id, o_at, o_sig, o_pos: classes under the words of their prefixes, where others are too.
 
-    at is the line's number and its number of words in one long. Each class also has a row of
-    its own, whatever lists it is in, at pos -1.
+    The latter four are of the earliest class of about as many words in the same list, its
+    leader. Both come from one shuffle by the word and one sort.
     """
-    at = F.shiftleft(F.col("ln").cast("long"), 32).bitwiseOR(F.col("n").cast("long"))
-    own = F.array(F.xxhash64("doc_id", at, F.lit("own")))
-    rows = classes.select("doc_id", at.alias("at"), "sig", F.posexplode(F.concat(own, "prefix")).alias("pos", "w"))
+    rows = classes.select("doc_id", "at", "sig", F.posexplode("prefix").alias("pos", "w"))
     # a word of rarity 0 is the only one counted in its bucket: no other line has it
-    rows = rows.where((F.col("pos") == 0) | (F.shiftright("w", 56) > 0))
-    # own rows have lists of their own: pos tells them apart
-    shared = F.count("*").over(Window.partitionBy("w", F.col("pos") > 0)) > 1
-    rows = rows.withColumn("_shared", shared).where("_shared or pos = 0")
-    return written(rows.select("w", "doc_id", "at", "sig", (F.col("pos") - 1).alias("pos")))
+    rows = rows.where(F.shiftright("w", 56) > 0)
+    rows = rows.withColumn("band", F.floor(F.log(_words("at").cast("double")) / math.log(100 / threshold)))
+    lead = F.first(F.struct("doc_id", "at", "sig", "pos")).over(Window.partitionBy("w", "band").orderBy("doc_id", "at"))
+    rows = rows.repartition("w").withColumn("lead", lead).withColumn("_n", F.count("*").over(Window.partitionBy("w"))).where("_n > 1")
+    return written(rows.select("w", "doc_id", "at", "sig", "pos", *[F.col(f"lead.{c}").alias(f"o_{c}") for c in ("doc_id", "at", "sig", "pos")]))
 
 
 def _words(at: str) -> Column:
@@ -116,6 +125,11 @@ def _prefix(n: Column, threshold: int) -> Column:
     return n - F.ceil(n * threshold / F.lit(100)).cast("int") + 1
 
 
+def _short_prefix(n: Column, threshold: int) -> Column:
+    """The first words of a set that meet the prefix of any similar set of as many words or more."""
+    return n - F.ceil(n * (2 * threshold) / F.lit(100 + threshold)).cast("int") + 1
+
+
 def _apart() -> Column:
     """At most so many words are in just one of the two sets: each flips one bit."""
     return F.bit_count(F.col("sig").bitwiseXOR(F.col("o_sig")))
@@ -131,7 +145,7 @@ def _filters(threshold: int) -> Column:
     n, o_n = _words("at"), _words("o_at")
     length = 100 * F.least(n, o_n) >= threshold * F.greatest(n, o_n)
     position = (100 + threshold) * F.least(n - F.col("pos"), o_n - F.col("o_pos")) >= threshold * (n + o_n)
-    return length & position & ((100 + threshold) * _apart() <= (100 - threshold) * (n + o_n))
+    return length & ((100 + threshold) * _apart() <= (100 - threshold) * (n + o_n)) & position
 
 
 PAIR = ["doc_id", "at", "o_doc_id", "o_at"]
@@ -144,8 +158,8 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, threshold: int, id_col: str, t
     in_doc = wanted.groupBy("doc_id").agg(F.collect_list("at").alias("places"))
     if wanted.count() <= LOOKED_UP:
         in_doc = F.broadcast(in_doc)
-    texts = docs.select(F.col(id_col).alias("_id"), plain_lines(text_col).alias("lines"))
-    held = texts.join(in_doc, texts["_id"].eqNullSafe(in_doc["doc_id"])).select("doc_id", F.explode("places").alias("at"), "lines")
+    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), plain_lines(text_col).alias("lines"))
+    held = texts.join(in_doc, "doc_id").select("doc_id", F.explode("places").alias("at"), "lines")
     # rows that share an id may have other lines at a place: the number of words tells
     words = held.select("doc_id", "at", word_hashes(F.get("lines", F.shiftright("at", 32).cast("int"))).alias("words"))
     # both sides of the joins below read one shuffle of these
@@ -154,38 +168,42 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, threshold: int, id_col: str, t
     b = sets.select(F.col("doc_id").alias("o_x"), F.col("at").alias("o_y"), F.col("words").alias("o_words"))
     common = F.size(F.array_intersect("words", "o_words"))
     hit = (100 + threshold) * common >= threshold * (F.size("words") + F.size("o_words"))
-    one = pairs.join(a, F.col("doc_id").eqNullSafe(F.col("x")) & (F.col("at") == F.col("y")))
-    both = one.join(b, F.col("o_doc_id").eqNullSafe(F.col("o_x")) & (F.col("o_at") == F.col("o_y")))
+    one = pairs.join(a, (F.col("doc_id") == F.col("x")) & (F.col("at") == F.col("y")))
+    both = one.join(b, (F.col("o_doc_id") == F.col("o_x")) & (F.col("o_at") == F.col("o_y")))
     return cut(both.where(hit).select("doc_id", "at").distinct())
 
 
 def repeated_places(docs: DataFrame, lists: DataFrame, threshold: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, at) of every class with an earlier class of similarity threshold / 100 or more."""
-    posted = lists.where("pos >= 0")
-    n = _words("at")
-    band = F.floor(F.log(n.cast("double")) / math.log(100 / threshold))
-    first = F.first(F.struct("doc_id", "at", "sig", "pos")).over(Window.partitionBy("w", "band").orderBy("doc_id", "at"))
-    led = posted.withColumn("band", band).withColumn("lead", first)
-    led = led.select("doc_id", "at", "sig", "pos", *[F.col(f"lead.{c}").alias(f"o_{c}") for c in ("doc_id", "at", "sig", "pos")])
-    other_line = ~(F.col("doc_id").eqNullSafe(F.col("o_doc_id")) & (F.col("at") == F.col("o_at")))
-    met = led.where(other_line & _filters(threshold))
+    """(doc_id, at) of every class with an earlier class of similarity threshold / 100 or more.
+
+    First each class meets the leaders of its lists. Then, in each list, classes meet those of
+    as many words or fewer that have the word in their short prefix, if the later one of the two
+    isn't settled yet.
+    """
+    other_line = (F.col("doc_id") != F.col("o_doc_id")) | (F.col("at") != F.col("o_at"))
+    met = lists.where(other_line & _filters(threshold))
     best = met.groupBy("doc_id", "at").agg(F.min(F.struct(_apart().alias("apart"), "o_doc_id", "o_at")).alias("best"))
     leaders = cut(best.select("doc_id", "at", "best.o_doc_id", "best.o_at"))
     by_leader = _confirmed(leaders, docs, threshold, id_col, text_col)
 
-    rest = without(posted, by_leader)
-    other = posted.select("w", *[F.col(c).alias(f"o_{c}") for c in ("doc_id", "at", "sig", "pos")])
-    earlier = F.struct("o_doc_id", "o_at") < F.struct("doc_id", "at")
-    pairs = cut(rest.join(other, "w").where(earlier & _filters(threshold)).select(*PAIR).distinct())
+    settled = by_leader.withColumn("settled", F.lit(True))
+    if by_leader.count() <= LOOKED_UP:
+        settled = F.broadcast(settled)
+    posted = lists.select("w", "doc_id", "at", "sig", "pos").join(settled, ["doc_id", "at"], "left").withColumn("open", F.col("settled").isNull())
+    less = posted.where(F.col("pos") < _short_prefix(_words("at"), threshold)).select("w", *[F.col(c).alias(f"o_{c}") for c in ("doc_id", "at", "sig", "pos", "open")])
+    n, o_n = _words("at"), _words("o_at")
+    earlier = (F.col("o_doc_id") < F.col("doc_id")) | ((F.col("o_doc_id") == F.col("doc_id")) & (F.col("o_at") < F.col("at")))
+    meets = _filters(threshold) & ((o_n < n) | ((o_n == n) & earlier)) & F.when(earlier, F.col("open")).otherwise(F.col("o_open"))
+    ordered = [F.when(earlier, F.col(c)).otherwise(F.col(f"o_{c}")).alias(c) for c in ("doc_id", "at")]
+    ordered += [F.when(earlier, F.col(f"o_{c}")).otherwise(F.col(c)).alias(f"o_{c}") for c in ("doc_id", "at")]
+    pairs = cut(posted.drop("settled").join(less, "w").where(meets).select(*ordered).distinct())
     return by_leader.union(_confirmed(pairs, docs, threshold, id_col, text_col)).distinct()
 
 
 def without(rows: DataFrame, places: DataFrame) -> DataFrame:
     """rows (doc_id, at, ...) that aren't at these places; few places are broadcast."""
-    gone = places.select(F.col("doc_id").alias("_d"), F.col("at").alias("_a"))
-    if places.count() <= LOOKED_UP:
-        gone = F.broadcast(gone)
-    return rows.join(gone, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("at") == F.col("_a")), "left_anti")
+    gone = F.broadcast(places) if places.count() <= LOOKED_UP else places
+    return rows.join(gone, ["doc_id", "at"], "left_anti")
 
 
 def kept_lines(docs: DataFrame, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -197,17 +215,18 @@ def kept_lines(docs: DataFrame, threshold: int = 80, id_col: str = "doc_id", tex
     place stays if any of its lines does, and of two lines at one place the one of fewer words
     is the earlier.
     """
-    lists = posting_lists(line_classes(docs, threshold, id_col, text_col))
-    gone = cut(repeated_places(docs, lists, threshold, id_col, text_col))
-    stay = without(lists.where("pos < 0"), gone).select("doc_id", F.shiftright("at", 32).cast("int").alias("ln"))
+    classes = line_classes(docs, threshold, id_col, text_col)
+    gone = cut(repeated_places(docs, posting_lists(classes, threshold), threshold, id_col, text_col))
+    stay = without(classes.select("doc_id", "at"), gone).select(F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), F.shiftright("at", 32).cast("int").alias("ln"))
     return stay.groupBy("doc_id").agg(F.array_sort(F.collect_set("ln")).alias("kept"))
 
 
-def drop_repeated_lines(docs: DataFrame, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the lines that repeat an earlier line; all rows and columns stay.
+def drop_repeated_lines(docs: DataFrame, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text", keep_emptied: bool = True) -> DataFrame:
+    """docs without the lines that repeat an earlier line; all columns stay.
 
-    A text that loses all its lines becomes empty; null texts stay null and n_chars, where docs
-    has it, follows the text. An empty table gives no rows.
+    A text that loses all its lines becomes empty, or its row goes if keep_emptied is not set;
+    texts without words are never touched, null texts stay null and n_chars, where docs has it,
+    follows the text. An empty table gives no rows.
     """
     kept = kept_lines(docs, threshold, id_col, text_col)
     kept = kept.select(F.col("doc_id").alias("_id"), F.col("kept").alias("_kept"))
@@ -217,6 +236,8 @@ def drop_repeated_lines(docs: DataFrame, threshold: int = 80, id_col: str = "doc
     lines = F.split(text, "\n", -1)
     stay = F.filter(lines, lambda x, i: ~F.regexp_like(x, F.lit(WORD)) | F.array_contains(numbers, i))
     kept_text = F.array_join(stay, "\n")
+    if not keep_emptied:
+        joined = joined.where(F.col("_kept").isNotNull() | text.isNull() | ~F.regexp_like(text, F.lit(WORD)))
     new = {text_col: kept_text, "n_chars": F.length(kept_text).cast("long")}
     return joined.select(*[new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
 

@@ -19,8 +19,8 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines similar to an earlier line; none is dropped, some end empty."""
-    return lines.drop_repeated_lines(docs)
+    """Documents without lines similar to an earlier line; those of nothing else are dropped."""
+    return lines.drop_repeated_lines(docs, keep_emptied=False)
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +34,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The best segmentation, and the next best, of each document of the mix."""
-    return pieces.encode_documents(docs, n_best=2)
+    """The best segmentations of each document of the mix."""
+    return pieces.encode_documents(docs)
 
 
 STAGES = [

@@ -41,6 +41,8 @@ SIDE = K + (WIDTH - K) // 2
 #: Bytes of text that a map task works on at a time, and aimed at for a bucket.
 CHUNK = 2 << 20
 BUCKET = 12 << 20
+#: A task packs so many chunks' share of a bucket into one row.
+PACKED = 8
 #: Places of pieces aimed at for a task; a bucket with more is dealt to several.
 RUNS = 1_000_000
 
@@ -96,23 +98,23 @@ def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)
 
 
-def _pack(*arrays: np.ndarray) -> bytes:
+def _pack(parts: list[tuple[np.ndarray, ...]]) -> bytes:
     import zstandard
 
-    return zstandard.ZstdCompressor(level=6).compress(pickle.dumps(arrays, protocol=5))
+    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(parts, protocol=5))
 
 
-def _unpack(blob: bytes) -> tuple[np.ndarray, ...]:
+def _unpack(blob: bytes) -> list[tuple[np.ndarray, ...]]:
     import zstandard
 
     return pickle.loads(zstandard.ZstdDecompressor().decompress(blob))
 
 
 def _pieces(parts: list[bytes], doc_ids: np.ndarray, uids: np.ndarray, bases: np.ndarray, buckets: int, salts: dict[int, int] | None) -> Iterator[tuple]:
-    """(bucket, number of places, packed pieces) of some texts, or parts of texts that start at `bases`.
+    """(bucket, number of places, pieces) of some texts, or parts of texts that start at `bases`.
 
     With salts, the number of tasks of each bucket that has more than one, the places instead:
-    (bucket, salt, packed places).
+    (bucket, salt, places).
     """
     sizes = np.array([len(p) for p in parts])
     ends = np.cumsum(sizes)
@@ -166,7 +168,7 @@ def _pieces(parts: list[bytes], doc_ids: np.ndarray, uids: np.ndarray, bases: np
             least, most = np.full(hi - lo, len(ids)), np.full(hi - lo, -1)
             np.minimum.at(least, own, nth)
             np.maximum.at(most, own, nth)
-            yield b, len(runs), _pack(
+            yield b, len(runs), (
                 data[_spread(start[chosen], length)],
                 length.astype(np.uint8),
                 (anchor[chosen] - start[chosen]).astype(np.uint8),
@@ -176,7 +178,7 @@ def _pieces(parts: list[bytes], doc_ids: np.ndarray, uids: np.ndarray, bases: np
             )
             continue
         docs, doc = np.unique(owner[runs], return_inverse=True)
-        yield b, int(uids[docs[0]]) % salts.get(b, 1), _pack(
+        yield b, int(uids[docs[0]]) % salts.get(b, 1), (
             same[chosen],
             np.diff(member[runs] - lo, prepend=0).astype(np.int32),
             np.diff(doc, prepend=0).astype(np.int32),
@@ -188,11 +190,20 @@ def _pieces(parts: list[bytes], doc_ids: np.ndarray, uids: np.ndarray, bases: np
 
 
 def _mapped(batches: Iterator[pd.DataFrame], buckets: int, salts: dict[int, int] | None = None) -> Iterator[pd.DataFrame]:
-    held, total = [], 0
+    held, total, chunks = [], 0, 0
+    #: by bucket (and salt) the number of places and the parts of the chunks since rows were made
+    made: dict[tuple, list] = {}
 
     def flush():
-        out = list(_pieces([h[0] for h in held], np.array([h[1] for h in held]), np.array([h[2] for h in held]), np.array([h[3] for h in held]), buckets, salts))
+        for b, n, part in _pieces([h[0] for h in held], np.array([h[1] for h in held]), np.array([h[2] for h in held]), np.array([h[3] for h in held]), buckets, salts):
+            row = made.setdefault((b,) if salts is None else (b, n), [0, []])
+            row[0] += n
+            row[1].append(part)
         held.clear()
+
+    def rows():
+        out = [(key[0], n if salts is None else key[1], _pack(parts)) for key, (n, parts) in made.items()]
+        made.clear()
         return pd.DataFrame(out, columns=["bucket", "runs" if salts is None else "salt", "blob"])
 
     for batch in batches:
@@ -205,10 +216,13 @@ def _mapped(batches: Iterator[pd.DataFrame], buckets: int, salts: dict[int, int]
                     held.append((part, doc_id, uid, base))
                     total += len(part)
                 if total >= CHUNK:
-                    yield flush()
-                    total = 0
+                    flush()
+                    total, chunks = 0, chunks + 1
+                    if chunks % PACKED == 0:
+                        yield rows()
     if held:
-        yield flush()
+        flush()
+    yield rows()
 
 
 def suffix_order(text: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -255,10 +269,10 @@ def suffix_order(text: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.
         length = (suffix[rows] & 255) + 1
         at = ends[string] - length - 1
         following = np.where(length < lengths[string], symbols[np.maximum(at, 0)], np.uint8(0))
-        merged = []
+        merged, stay = [], ~fresh
         for old, put in ((bwt, following), (suffix, string << 8 | length), (lcp, None)):
             out = np.empty(n, old.dtype)
-            out[~fresh] = old
+            out[stay] = old
             if put is not None:
                 out[fresh] = put
             merged.append(out)
@@ -295,7 +309,7 @@ def _bucket(frame: pd.DataFrame) -> pd.DataFrame:
     window, the smallest id that has it.
     """
     out = lambda blob: pd.DataFrame({"bucket": frame.bucket[:1], "runs": [int(frame.runs.sum())], "blob": pd.Series([blob], dtype=object)})
-    blobs = [_unpack(b) for b in frame.blob]
+    blobs = [part for b in frame.blob for part in _unpack(b)]
     text, length, offset = (np.concatenate([b[k] for b in blobs]) for k in range(3))
     length, offset = length.astype(np.int64), offset.astype(np.int64)
     low = [np.cumsum(b[3], dtype=np.int64) for b in blobs]
@@ -338,7 +352,7 @@ def _bucket(frame: pd.DataFrame) -> pd.DataFrame:
     goes = np.bitwise_or.reduceat(source < np.repeat(most[kept], count), first_of)
     if not goes.any():
         return out(None)
-    return out(_pack(same[kept][goes], count[goes].astype(np.uint8), source[_spread(first_of[goes], count[goes])]))
+    return out(_pack([(same[kept][goes], count[goes].astype(np.uint8), source[_spread(first_of[goes], count[goes])])]))
 
 
 def _masked(places: pd.DataFrame, masks: pd.DataFrame, doc_parts: int) -> pd.DataFrame:
@@ -346,10 +360,10 @@ def _masked(places: pd.DataFrame, masks: pd.DataFrame, doc_parts: int) -> pd.Dat
     none = pd.DataFrame({"part": pd.Series([], dtype="int32"), "blob": pd.Series([], dtype=object)})
     if not len(masks):
         return none
-    (keys, count, source), = map(_unpack, masks.blob)
+    ((keys, count, source),) = _unpack(masks.blob.iloc[0])
     count = count.astype(np.int64)
     first_of = np.cumsum(count) - count
-    found = [x for blob in places.blob if len((x := _laid(_unpack(blob), keys, count, first_of, source))[0])]
+    found = [x for blob in places.blob for part in _unpack(blob) if len((x := _laid(part, keys, count, first_of, source))[0])]
     if not found:
         return none
     uid, lo, hi = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -386,7 +400,7 @@ def _by_part(uid: np.ndarray, lo: np.ndarray, hi: np.ndarray, doc_parts: int) ->
     cuts = np.flatnonzero(np.diff(part, prepend=part[:1] + _U(1)))
     ends = np.append(cuts[1:], len(part))
     return pd.DataFrame(
-        {"part": part[cuts].astype(np.int32), "blob": [_pack(uid[a:b], lo[a:b], (hi - lo)[a:b].astype(np.int32)) for a, b in zip(cuts, ends, strict=True)]}
+        {"part": part[cuts].astype(np.int32), "blob": [_pack([(uid[a:b], lo[a:b], (hi - lo)[a:b].astype(np.int32))]) for a, b in zip(cuts, ends, strict=True)]}
     )
 
 
@@ -400,7 +414,7 @@ def _union(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _applied(docs: pd.DataFrame, spans: pd.DataFrame) -> pd.DataFrame:
     uid, lo, hi = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     if len(spans):
-        uid, lo, size = (np.concatenate(x) for x in zip(*map(_unpack, spans.blob), strict=True))
+        uid, lo, size = (np.concatenate(x) for x in zip(*[part for b in spans.blob for part in _unpack(b)], strict=True))
         order = np.argsort(uid, kind="stable")
         uid, lo, hi = uid[order], lo[order], (lo + size)[order]
     out = []

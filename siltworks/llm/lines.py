@@ -12,8 +12,9 @@ each, summed over all lines); any total order keeps the join exact, the counts m
 selective. The table is one array, the value of a scalar subquery, so ordering needs no join.
 
 Long posting lists come of passages with many variants. To make no square of them, each class
-first meets only the earliest class of each of its lists, and what that confirms needs no
-other partner; the classes left over then meet all earlier classes of their lists.
+first meets only the likeliest of the first and the BEFORE classes just before it in each of its
+lists, and what that confirms needs no other partner; the classes left over then meet all earlier
+classes of their lists.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ SKETCH = 1 << 22
 PARTS = 1 << 11
 #: Up to so many lines (of a few dozen bytes) are looked up by broadcast, more by a shuffle.
 LOOKED_UP = 500_000
+BEFORE = 3
 
 
 def spaced(text_col: str, blanks: str = "\t\x0b\x0c\r") -> Column:
@@ -103,22 +105,29 @@ def line_classes(docs: DataFrame, threshold: int, id_col: str, text_col: str) ->
 
 
 def posting_lists(classes: DataFrame, threshold: int) -> DataFrame:
-    """(w, doc_id, at, sig, pos) and o_doc_id, o_at, o_sig, o_pos: classes under the words of their prefixes, where others are too.
+    """(w, doc_id, at, sig, pos, best): classes under the words of their prefixes, where others are too.
 
-    The latter four are of the earliest class of about as many words in the same list, its
-    leader. Both come from one shuffle by the word and one sort.
+    best is the likeliest of a few earlier classes of about as many words in the same list, the
+    first and the ones just before, as (apart, doc_id, at). Both come from one shuffle by the
+    word and one sort.
     """
     rows = classes.select("doc_id", "at", "sig", F.posexplode("prefix").alias("pos", "w"))
     # a word of rarity 0 is the only one counted in its bucket: no other line has it
     rows = rows.where(F.shiftright("w", 56) > 0)
     rows = rows.withColumn("band", F.floor(F.log(_words("at").cast("double")) / math.log(100 / threshold)))
-    lead = F.first(F.struct("doc_id", "at", "sig", "pos")).over(Window.partitionBy("w", "band").orderBy("doc_id", "at"))
-    rows = rows.repartition("w").withColumn("lead", lead).withColumn("_n", F.count("*").over(Window.partitionBy("w"))).where("_n > 1")
-    return written(rows.select("w", "doc_id", "at", "sig", "pos", *[F.col(f"lead.{c}").alias(f"o_{c}") for c in ("doc_id", "at", "sig", "pos")]))
+    order, own = Window.partitionBy("w", "band").orderBy("doc_id", "at"), F.struct("doc_id", "at", "sig", "pos")
+    rows = rows.repartition("w").withColumns({"c0": F.first(own).over(order), **{f"c{k}": F.lag(own, k).over(order) for k in range(1, BEFORE + 1)}})
+    rows = rows.withColumn("_n", F.count("*").over(Window.partitionBy("w"))).where("_n > 1")
+    likely = []
+    for k in range(BEFORE + 1):
+        o = {c: F.col(f"c{k}.{c}") for c in ("doc_id", "at", "sig", "pos")}
+        other_line = (F.col("doc_id") != o["doc_id"]) | (F.col("at") != o["at"])
+        likely.append(F.when(other_line & _filters(threshold, o), F.struct(_apart(o["sig"]).alias("apart"), o["doc_id"].alias("doc_id"), o["at"].alias("at"))))
+    return written(rows.select("w", "doc_id", "at", "sig", "pos", F.least(*likely).alias("best")))
 
 
-def _words(at: str) -> Column:
-    return F.col(at).bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+def _words(at: Column | str) -> Column:
+    return (F.col(at) if isinstance(at, str) else at).bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
 
 
 def _prefix(n: Column, threshold: int) -> Column:
@@ -130,22 +139,22 @@ def _short_prefix(n: Column, threshold: int) -> Column:
     return n - F.ceil(n * (2 * threshold) / F.lit(100 + threshold)).cast("int") + 1
 
 
-def _apart() -> Column:
+def _apart(o_sig: Column) -> Column:
     """At most so many words are in just one of the two sets: each flips one bit."""
-    return F.bit_count(F.col("sig").bitwiseXOR(F.col("o_sig")))
+    return F.bit_count(F.col("sig").bitwiseXOR(o_sig))
 
 
-def _filters(threshold: int) -> Column:
-    """Whether a match at pos of n words with o_pos of o_n words may be the first of a similar pair.
+def _filters(threshold: int, o: dict[str, Column]) -> Column:
+    """Whether a match at pos with another set o at its pos may be the first of a similar pair.
 
     The lengths must be close, enough words must follow in both sets, and the signatures may
     not differ by more than the words that similar sets don't share. Similar sets pass at the
     first word that they share, so no similar pair is lost.
     """
-    n, o_n = _words("at"), _words("o_at")
+    n, o_n = _words(F.col("at")), _words(o["at"])
     length = 100 * F.least(n, o_n) >= threshold * F.greatest(n, o_n)
-    position = (100 + threshold) * F.least(n - F.col("pos"), o_n - F.col("o_pos")) >= threshold * (n + o_n)
-    return length & ((100 + threshold) * _apart() <= (100 - threshold) * (n + o_n)) & position
+    position = (100 + threshold) * F.least(n - F.col("pos"), o_n - o["pos"]) >= threshold * (n + o_n)
+    return length & ((100 + threshold) * _apart(o["sig"]) <= (100 - threshold) * (n + o_n)) & position
 
 
 PAIR = ["doc_id", "at", "o_doc_id", "o_at"]
@@ -176,14 +185,12 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, threshold: int, id_col: str, t
 def repeated_places(docs: DataFrame, lists: DataFrame, threshold: int, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, at) of every class with an earlier class of similarity threshold / 100 or more.
 
-    First each class meets the leaders of its lists. Then, in each list, classes meet those of
+    First each class meets the likeliest of a few earlier ones in its lists. Then, in each list, classes meet those of
     as many words or fewer that have the word in their short prefix, if the later one of the two
     isn't settled yet.
     """
-    other_line = (F.col("doc_id") != F.col("o_doc_id")) | (F.col("at") != F.col("o_at"))
-    met = lists.where(other_line & _filters(threshold))
-    best = met.groupBy("doc_id", "at").agg(F.min(F.struct(_apart().alias("apart"), "o_doc_id", "o_at")).alias("best"))
-    leaders = cut(best.select("doc_id", "at", "best.o_doc_id", "best.o_at"))
+    best = lists.where("best is not null").groupBy("doc_id", "at").agg(F.min("best").alias("best"))
+    leaders = cut(best.select("doc_id", "at", F.col("best.doc_id").alias("o_doc_id"), F.col("best.at").alias("o_at")))
     by_leader = _confirmed(leaders, docs, threshold, id_col, text_col)
 
     settled = by_leader.withColumn("settled", F.lit(True))
@@ -193,7 +200,7 @@ def repeated_places(docs: DataFrame, lists: DataFrame, threshold: int, id_col: s
     less = posted.where(F.col("pos") < _short_prefix(_words("at"), threshold)).select("w", *[F.col(c).alias(f"o_{c}") for c in ("doc_id", "at", "sig", "pos", "open")])
     n, o_n = _words("at"), _words("o_at")
     earlier = (F.col("o_doc_id") < F.col("doc_id")) | ((F.col("o_doc_id") == F.col("doc_id")) & (F.col("o_at") < F.col("at")))
-    meets = _filters(threshold) & ((o_n < n) | ((o_n == n) & earlier)) & F.when(earlier, F.col("open")).otherwise(F.col("o_open"))
+    meets = _filters(threshold, {c: F.col(f"o_{c}") for c in ("at", "sig", "pos")}) & ((o_n < n) | ((o_n == n) & earlier)) & F.when(earlier, F.col("open")).otherwise(F.col("o_open"))
     ordered = [F.when(earlier, F.col(c)).otherwise(F.col(f"o_{c}")).alias(c) for c in ("doc_id", "at")]
     ordered += [F.when(earlier, F.col(f"o_{c}")).otherwise(F.col(c)).alias(f"o_{c}") for c in ("doc_id", "at")]
     pairs = cut(posted.drop("settled").join(less, "w").where(meets).select(*ordered).distinct())

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siltworks.llm import common, embeddings, lines, minhash, mixing, pieces, quality, secrets, sharding, suffixes, topk
-
+from siltworks.llm import bpe, common, embeddings, lines, minhash, mixing, pieces, quality, secrets, sharding, suffixes, topk
 
 
 def mix_targets(spark, sf_dir: str):
@@ -30,6 +29,7 @@ QUERIES = {
     "op8_lines": lines.op8,
     "op9_minhash": minhash.op9,
     "op10_shard_bytes": sharding.op10,
+    "op11_byte_bpe": bpe.op11,
     "mix_targets": mix_targets,
     "secret_base": secret_base,
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siltworks.llm import bpe, common, embeddings, lines, minhash, mixing, pieces, quality, secrets, sharding, suffixes, topk
+from siltworks.llm import bpe, common, embeddings, lines, minhash, mixing, pieces, quality, ranking, secrets, sharding, suffixes, topk
 
 
 def mix_targets(spark, sf_dir: str):
@@ -30,6 +30,7 @@ QUERIES = {
     "op9_minhash": minhash.op9,
     "op10_shard_bytes": sharding.op10,
     "op11_byte_bpe": bpe.op11,
+    "op12_ranked": ranking.op12,
     "mix_targets": mix_targets,
     "secret_base": secret_base,
 }
@@ -97,6 +98,23 @@ ORACLE_SQL: dict[str, str] = {
         s AS (SELECT *, CAST((2 * before + size) * 8 // (2 * whole) AS INTEGER) AS shard FROM p)
         SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id, size, text_crc32) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM s
     """,
+    "op12_ranked": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ), c AS (SELECT COUNT(*) AS N_, CAST(SUM(len(w)) AS BIGINT) AS L_ FROM d WHERE len(w) > 0),
+        q AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark
+        ), t AS (SELECT k, doc_id, len(w) AS n, unnest(w) AS term FROM d),
+        p AS (SELECT k, doc_id, n, term, COUNT(*) AS tf FROM t WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+        f AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * N_ + 2 AS DOUBLE) / CAST(2 * COUNT(*) + 1 AS DOUBLE))) AS BIGINT) AS weight FROM p, c GROUP BY term, N_),
+        s AS (
+            SELECT item_id, k, doc_id, CAST(SUM(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * N_) // L_)))) AS BIGINT) AS score
+            FROM q JOIN p USING (term) JOIN f USING (term), c GROUP BY item_id, k, doc_id
+        ), r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+    """,
     "op2_embeddings": f"""
         WITH RECURSIVE ids AS (SELECT vec_id AS id FROM embeddings),
         v AS (

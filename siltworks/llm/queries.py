@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siltworks.llm import bpe, common, embeddings, lines, minhash, mixing, pieces, quality, ranking, secrets, sharding, suffixes, topk
+from siltworks.llm import bpe, common, embeddings, lines, minhash, mixing, pieces, quality, ranking, secrets, sharding, suffixes, topk, tries
 
 
 def mix_targets(spark, sf_dir: str):
@@ -31,6 +31,7 @@ QUERIES = {
     "op10_shard_bytes": sharding.op10,
     "op11_byte_bpe": bpe.op11,
     "op12_ranked": ranking.op12,
+    "op13_prefix_trie": tries.op13,
     "mix_targets": mix_targets,
     "secret_base": secret_base,
 }
@@ -53,6 +54,13 @@ _SPANS = """
     ), unnest(range(1, len(hit) + 1)) AS u(k)
     WHERE length(value[k]) >= {least}
 """
+#: (crc) with one row: the CRC-32 of each byte.
+_CRC = """
+    SELECT list(c ORDER BY i) AS crc FROM (
+        SELECT i, list_reduce(list_prepend(CAST(i AS UBIGINT), list_transform(range(0, 8), lambda x: CAST(0 AS UBIGINT))), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS UBIGINT)) ELSE c >> 1 END) AS c
+        FROM range(0, 256) AS r(i)
+    )
+"""
 _KINDS = (
     ("assign", r"""((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
     ("access", "AKIA[A-Z0-9]+", 0, 18),
@@ -81,13 +89,40 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, COALESCE(n_assign, 0) AS n_assign, COALESCE(n_access, 0) AS n_access, COALESCE(n_hex, 0) AS n_hex, sha256(COALESCE(spans, '')) AS base_sha256
         FROM t LEFT JOIN g USING (doc_id)
     """,
-    "op10_shard_bytes": """
-        WITH table_ AS (
-            SELECT list(c ORDER BY i) AS crc FROM (
-                SELECT i, list_reduce(list_prepend(CAST(i AS UBIGINT), list_transform(range(0, 8), lambda x: CAST(0 AS UBIGINT))), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS UBIGINT)) ELSE c >> 1 END) AS c
-                FROM range(0, 256) AS r(i)
-            )
-        ), b AS (
+    "op13_prefix_trie": rf"""
+        WITH table_ AS ({_CRC}),
+        o AS (
+            SELECT conv_id, COALESCE(text, '') AS t, length(COALESCE(role, '')) || ':' || COALESCE(role, '') || COALESCE(text, '') AS s,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, COALESCE(role, ''), COALESCE(text, '')) AS p
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), c AS (
+            SELECT conv_id, list(md5(s) ORDER BY p) AS l, list(CAST(len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS BIGINT) ORDER BY p) AS w FROM o GROUP BY conv_id
+        ), h AS (
+            SELECT conv_id, l, w, CAST(xor(CAST(4294967295 AS UBIGINT), list_reduce(
+                list_prepend(CAST(4294967295 AS UBIGINT), list_transform(range(1, len(CAST(conv_id AS VARCHAR)) + 1), lambda i: CAST(ascii(CAST(conv_id AS VARCHAR)[CAST(i AS BIGINT)]) AS UBIGINT))),
+                lambda c, x: xor(c >> 8, crc[CAST(xor(c & 255, x) AS BIGINT) + 1]))) AS BIGINT) % 4 AS h
+            FROM c, table_
+        ), r AS (
+            SELECT h.conv_id, list_concat(COALESCE(b.l, [])[1:h], h.l[h + 1:]) AS l, list_concat(COALESCE(b.w, [])[1:h], h.w[h + 1:]) AS w
+            FROM h LEFT JOIN c b ON b.conv_id = h.conv_id - h.conv_id % 20
+        ), n AS (
+            SELECT conv_id, CAST(d AS BIGINT) AS d, array_to_string(l[1:CAST(d AS BIGINT)], ',') AS k, array_to_string(l[1:CAST(d - 1 AS BIGINT)], ',') AS up, COALESCE(w[CAST(d AS BIGINT)], 0) AS words, len(l) = d AS ends
+            FROM r, unnest(range(0, len(l) + 1)) AS t(d)
+        ), g AS (
+            SELECT d, k, MIN(conv_id) AS conv_id, any_value(up) AS up, COUNT(*) AS n_convs, (COUNT(*) - 1) * MAX(words) AS saved,
+                   sha256(COALESCE(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+            FROM n GROUP BY d, k
+        ), e AS (SELECT g.*, (SELECT COUNT(*) FROM g x WHERE x.d = g.d + 1 AND x.up = g.k) AS n_children FROM g),
+        pairs AS (SELECT DISTINCT x.d AS d, x.k AS k, y.d AS below_d, y.k AS below FROM n x JOIN n y ON x.conv_id = y.conv_id AND x.d <= y.d),
+        s AS (
+            SELECT p.d, p.k, COUNT(*) FILTER (e.n_children = 0) AS n_leaves, CAST(SUM(e.saved) AS BIGINT) AS saved_tokens
+            FROM pairs p JOIN e ON e.d = p.below_d AND e.k = p.below GROUP BY p.d, p.k
+        )
+        SELECT e.conv_id, e.d AS depth, u.conv_id AS parent_conv_id, e.n_convs, e.n_children, n_leaves, saved_tokens, e.ends_sha256
+        FROM e JOIN s USING (d, k) LEFT JOIN e u ON u.d = e.d - 1 AND u.k = e.up
+    """,
+    "op10_shard_bytes": f"""
+        WITH table_ AS ({_CRC}), b AS (
             SELECT doc_id, text IS NULL AS nothing, strlen(COALESCE(text, '')) + 1 AS size, hex(encode(COALESCE(text, ''))) AS h FROM documents
         ), c AS (
             SELECT doc_id, size, CASE WHEN NOT nothing THEN CAST(xor(CAST(4294967295 AS UBIGINT), list_reduce(

@@ -25,7 +25,9 @@ HEX = r"[0-9a-f]{16,}"
 CLIPPED = r"(?<![A-Z0-9])AKIA[A-Z0-9]{8,13}(?![A-Z0-9])"
 LOGIN = r"""(?i)\b(?:user(?:name)?|login|account(?:_id)?|client_id|access_key(?:_id)?)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@-]{3,}"""
 KEY40 = r"(?<![A-Za-z0-9+/])(?=[A-Za-z+/]*[0-9])(?=[a-z0-9+/]*[A-Z])(?=[A-Z0-9+/]*[a-z])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])"
-ENDPOINT = r"""\b[a-z][a-z0-9+.-]{1,15}://[^\x20\x09-\x0D"'<>]+|\b(?:[a-z0-9-]+\.)+[a-z]{2,}:[0-9]{2,5}\b"""
+# labels are possessive: a group that gives nothing back is matched in a loop, not by recursion, and
+# a host begins only where no character of hosts is before it, so a long dotted run is read once
+ENDPOINT = r"""\b[a-z][a-z0-9+.-]{1,15}://[^\x20\x09-\x0D"'<>]+|(?<![A-Za-z0-9_.-])(?:[a-z0-9-]++\.)++[a-z]{2,}+:[0-9]{2,5}\b"""
 WEAK_LEAST = 6
 SCOPE = 200
 

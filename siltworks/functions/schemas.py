@@ -65,6 +65,17 @@ def merge(a: T.DataType, b: T.DataType) -> T.DataType:
     return T.StringType()
 
 
+def extended(table: T.DataType, found: T.DataType) -> T.DataType:
+    """A table's type with the fields that `found` has besides, at every depth; what it has stays as it is."""
+    if isinstance(table, T.StructType) and isinstance(found, T.StructType):
+        have = _by_name(found)
+        own = [T.StructField(f.name, extended(f.dataType, have[f.name.lower()].dataType) if f.name.lower() in have else f.dataType, f.nullable) for f in table]
+        return T.StructType(own + [T.StructField(f.name, f.dataType) for k, f in have.items() if k not in _by_name(table)])
+    if isinstance(table, T.ArrayType) and isinstance(found, T.ArrayType):
+        return T.ArrayType(extended(table.elementType, found.elementType))
+    return table
+
+
 def _by_name(schema: T.StructType) -> dict[str, T.StructField]:
     return {f.name.lower(): f for f in schema}
 

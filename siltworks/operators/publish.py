@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import re
-import uuid
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,7 +94,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*out)
 
 
-def _required(df: DataFrame, schema: T.StructType) -> DataFrame:
+def required(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Fail on nulls in required columns, within the write itself."""
     checks = {f.name: F.coalesce(F.col(f"`{f.name}`"), F.raise_error(F.lit(f"null in required column {f.name}"))) for f in schema if not f.nullable}
     return df.withColumns(checks) if checks else df
@@ -111,7 +110,7 @@ def write(df: DataFrame, table: str, append: bool = True, schema: T.StructType |
     if not exists(spark, table):
         create(spark, table, schema or df.schema)
     wanted = schema or spark.table(table).schema
-    rows = _required(conform(df, spark.table(table).schema), wanted)
+    rows = required(conform(df, spark.table(table).schema), wanted)
     if not append and partition_columns(spark, table):
         with overwrite_mode(spark, "static"):
             _insert(rows, table, True)
@@ -135,16 +134,29 @@ class overwrite_mode:  # noqa: N801  reads as a clause
         self.spark.conf.set(self.KEY, self.old)
 
 
+def within(rows: DataFrame, only: dict[str, object] | None) -> DataFrame:
+    """The rows, with any that is of another partition failing what reads it."""
+    for name, value in (only or {}).items():
+        wrong = F.raise_error(F.concat(F.lit(f"row outside partition {name}="), F.coalesce(F.col(name).cast("string"), F.lit("null"))))
+        rows = rows.withColumn(name, F.when(F.col(name).eqNullSafe(F.lit(value)), F.col(name)).otherwise(wrong))
+    return rows
+
+
+def folder_name(value: object) -> str:
+    """A partition's value as its folder has it."""
+    if value is None:
+        return "__HIVE_DEFAULT_PARTITION__"
+    text = str(value).lower() if isinstance(value, bool) else str(value)
+    return "".join(f"%{ord(c):02X}" if c in "\"#%'*/:=?\\{[]^" or ord(c) < 32 or ord(c) == 127 else c for c in text)
+
+
 def override_partitions(df: DataFrame, table: str, only: dict[str, object] | None = None) -> None:
     """Replace the partitions that df has rows of; all others stay.
 
     With `only`, any row of another partition fails the write before a partition is replaced.
     """
     spark = df.sparkSession
-    rows = conform(df, spark.table(table).schema)
-    for name, value in (only or {}).items():
-        wrong = F.raise_error(F.concat(F.lit(f"row outside partition {name}="), F.coalesce(F.col(name).cast("string"), F.lit("null"))))
-        rows = rows.withColumn(name, F.when(F.col(name).eqNullSafe(F.lit(value)), F.col(name)).otherwise(wrong))
+    rows = within(conform(df, spark.table(table).schema), only)
     with overwrite_mode(spark, "dynamic"):
         _insert(rows, table, True)
 
@@ -181,26 +193,52 @@ def stage_split(df: DataFrame, table: str, cluster: list[str], time_column: str
     return spark.table(table).drop("_day")
 
 
-def write_split(df: DataFrame, mappings: list[tuple[str, str]], append: bool = True, template: str | None = None) -> None:
-    """Write the rows that meet each predicate to its table; df is computed once.
+#: Ranges of a column that clustering tells apart: 2 to this power.
+CLUSTER_BITS = 8
 
-    One pass writes every row under its destinations, as partitions of a table that lasts as
-    long as the split; each destination then reads its own partition.
+
+def order_number(column: Column, kind: T.DataType) -> Column:
+    """A number in the order of a column's values; texts count by their first six bytes."""
+    if isinstance(kind, T.StringType):
+        return F.conv(F.rpad(F.hex(F.substring(F.encode(column, "UTF-8"), 1, 6)), 12, "0"), 16, 10).cast("double")
+    if isinstance(kind, T.DateType | T.TimestampType | T.TimestampNTZType):
+        return F.unix_micros(column.cast("timestamp")).cast("double")
+    return column.cast("double")
+
+
+def _count_below(bounds: Column, number: Column) -> Column:
+    return F.size(F.filter(bounds, lambda b: b < number))
+
+
+def clustered(df: DataFrame, columns: list[str], bits: int = CLUSTER_BITS) -> DataFrame:
+    """Rows in an order that keeps them together by each of several columns.
+
+    Every column's values are numbered by ranges of about equal numbers of rows, found in one pass
+    of approximate percentiles, and the bits of these numbers are interleaved. Ranges of that key
+    are written together, so files and row groups have narrow bounds on all columns. Nulls lie
+    first; a column that can't be ordered by a number counts as one range.
     """
-    spark = df.sparkSession
-    for _, table in mappings:
-        if template:
-            ensure(spark, table, template)
-    first = mappings[0][1]
-    staged = f"{first.rpartition('.')[0] + '.' if '.' in first else ''}split_{uuid.uuid4().hex}"
-    rows = split(df, [(when, str(k)) for k, (when, _) in enumerate(mappings)]).withColumnRenamed("dest", "_dest")
-    create(spark, staged, rows.schema, ["_dest"])
-    try:
-        _insert(rows, staged, overwrite=True)
-        for k, (_, table) in enumerate(mappings):
-            write(spark.table(staged).where(F.col("_dest") == str(k)).drop("_dest"), table, append)
-    finally:
-        drop(spark, staged)
+    kinds = {c: df.select(c).schema[0].dataType for c in columns}
+    numbers = {c: order_number(F.col(c), kinds[c]) for c in columns if isinstance(kinds[c], T.AtomicType) and not isinstance(kinds[c], T.BinaryType)}
+    if not numbers:
+        return df
+    cuts = [k / (1 << bits) for k in range(1, 1 << bits)]
+    found = df.agg(*[F.percentile_approx(n, cuts, 10_000).alias(str(k)) for k, n in enumerate(numbers.values())]).first()
+    key = F.lit(0).cast("long")
+    for k, number in enumerate(numbers.values()):
+        bounds = sorted(set(found[k] or []))
+        above = F.array(*map(F.lit, bounds)) if bounds else F.array().cast("array<double>")
+        range_ = F.when(number.isNull(), 0).otherwise(_count_below(above, number) + 1)
+        for bit in range(bits):
+            key = key.bitwiseOR(F.shiftleft(F.shiftright(range_, bit).bitwiseAND(1).cast("long"), bit * len(numbers) + k))
+    return df.withColumn("_key", key).repartitionByRange("_key").sortWithinPartitions("_key").drop("_key")
+
+
+def write_split(df: DataFrame, mappings: list[tuple[str, str]], append: bool = True, template: str | None = None) -> None:
+    """Write the rows that meet each predicate to its table; df is computed and written once."""
+    from siltworks.operators import commit
+
+    commit.Commits(df.sparkSession, None).publish("split", commit.stage_split(df, mappings, append, template))
 
 
 def split_columns(df: DataFrame, cluster: list[str], time_column: str | None = None) -> DataFrame:

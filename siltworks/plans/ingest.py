@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,39 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltworks.functions.naming import SourceFile, TableRef, Variables, expand, parameters
-from siltworks.operators import publish
+from siltworks.operators import commit, publish
+from siltworks.operators.commit import Change, Commits
 from siltworks.operators.transform import transform
+from siltworks.plans.journal import Journal, LoadMetrics
 from siltworks.plans.rule import MAX_RELOAD, Action, Rule
 from siltworks.sources import recovery
 from siltworks.sources.files import LoadOptions, load
 
-JOURNAL = "event_id string, rule string, dest string, state string, urls array<string>, at timestamp, error string"
-
-
-class Journal:
-    """A table of runs; the latest row of an event is its state."""
-
-    def __init__(self, spark: SparkSession, table: str):
-        self.spark, self.table = spark, table
-        if not publish.exists(spark, table):
-            publish.create(spark, table, spark.createDataFrame([], JOURNAL).schema)
-
-    def put(self, event_id: str, rule: str, dest: str, state: str, urls: list[str], error: str | None = None) -> None:
-        row = (event_id, rule, dest, state, urls, datetime.now(timezone.utc), error)
-        self.spark.createDataFrame([row], JOURNAL).write.insertInto(self.table)
-
-    def latest(self) -> DataFrame:
-        rows = self.spark.table(self.table)
-        return rows.groupBy("event_id").agg(F.max_by(F.struct("rule", "dest", "state", "urls", "at", "error"), "at").alias("x")).select("event_id", "x.*")
-
-    def done(self, event_id: str) -> bool:
-        return not self.spark.table(self.table).where((F.col("event_id") == event_id) & (F.col("state") == "done")).isEmpty()
-
-    def replay(self, older_than: datetime) -> DataFrame:
-        """Runs that began before a time and never ended."""
-        return self.latest().where((F.col("state") == "running") & (F.col("at") < F.lit(older_than)))
-
-
 @dataclass
 class Context:
     """What actions see: session, variables, outside services, open groups and the table that keeps them."""
@@ -254,14 +229,15 @@ def ingest(spark: SparkSession, rule: Rule, files: list[SourceFile], event_id: s
 
     Names and parameters come from the first file, as one batch has one destination. Files
     that don't fit are left out and reported; with field addition the table takes new fields
-    first. Nothing is published before all good files are read, and an event that the journal
-    has as done is skipped, so a run may be repeated. Appends to several tables are not one
-    transaction: a split that fails midway leaves the tables written before.
+    first. With a journal, an event has all its rows in all its tables or none, and once: rows are
+    staged, a record makes the change, and a run that finds the record of an earlier one finishes
+    it and goes on to the actions. An event that the journal has as done is skipped, so a run may
+    be repeated wherever it ended. Of drivers that take up one event at once, one gets its claim.
     """
     ctx = ctx or Context(spark)
     first, urls = files[0], list(dict.fromkeys(f.url for f in files))
     dest = _name(rule.destination(first))
-    if journal and journal.done(event_id):
+    if journal and (journal.done(event_id) or not journal.claim(event_id)):
         return Outcome(dest, [], [], [], [], skipped=True)
     if journal:
         journal.put(event_id, rule.name, dest, "running", urls)
@@ -272,35 +248,23 @@ def ingest(spark: SparkSession, rule: Rule, files: list[SourceFile], event_id: s
         **parameters(rule.params, rule.pattern, first.path),
     }
     put = lambda text: expand(ctx.variables.put(text), first, rule.pattern, rule.params)
+    commits = Commits(spark, journal.commits if journal else None)
     try:
-        template = rule.transient_template or rule.template
-        schema = None
-        if not rule.autodetect and (template or publish.exists(spark, dest)):
-            schema = spark.table(_name(template) if template else dest).schema
-        found = recovery.Classified(valid=urls)
-        if schema is not None:
-            if rule.allow_field_addition:
-                gone = set(recovery.missing(spark, urls))
-                schema = recovery.new_fields(spark, [u for u in urls if u not in gone], schema)
-            found = recovery.classify(spark, urls, schema, rule.options)
-        rows, attempts = None, rule.max_reload
-        while found.valid:
-            try:
-                rows = load(spark, found.valid, schema, rule.options, counted=schema is not None)
-                break
-            except Exception:
-                # a file may have gone or changed since it was judged
-                again = recovery.classify(spark, found.valid, schema, rule.options) if schema is not None else None
-                if again is None or attempts <= 0 or again.valid == found.valid:
-                    raise
-                attempts -= 1
-                found = recovery.Classified(again.valid, found.corrupted + again.corrupted, found.invalid_schema + again.invalid_schema, found.missing + again.missing)
-        if rows is not None:
-            if rule.allow_field_addition and schema is not None and publish.exists(spark, dest):
-                publish.patch(spark, dest, schema)
-            _publish(spark, rule, rows, dest, temp, put)
-            if rule.expiry_seconds:
-                publish.set_expiry(spark, dest, rule.expiry_seconds)
+        schema = _known_schema(spark, rule, dest)
+        record = commits.find(event_id)
+        if record:
+            found = recovery.Classified(**record["outcome"])
+            if rule.transient and found.valid:
+                load(spark, found.valid, schema, rule.options, counted=True).createOrReplaceTempView(temp)
+            commits.finish(record)
+        else:
+            found, changes, metrics = _staged(spark, rule, urls, schema, dest, temp, put)
+            commits.publish(event_id, changes, asdict(found))
+            if journal:
+                journal.put(event_id, rule.name, dest, "published", found.valid)
+                journal.note_load(event_id, rule.name, dest, found, metrics)
+        if found.valid and rule.expiry_seconds:
+            publish.set_expiry(spark, dest, rule.expiry_seconds)
         run_actions(rule.on_success, ctx)
     except Exception as e:
         if journal:
@@ -309,6 +273,8 @@ def ingest(spark: SparkSession, rule: Rule, files: list[SourceFile], event_id: s
         run_actions(rule.on_failure, ctx)
         raise
     finally:
+        if journal:
+            journal.release(event_id)
         if rule.transient:
             spark.catalog.dropTempView(temp)
     if journal:
@@ -316,25 +282,58 @@ def ingest(spark: SparkSession, rule: Rule, files: list[SourceFile], event_id: s
     return Outcome(dest, found.valid, found.corrupted, found.invalid_schema, found.missing)
 
 
-def _publish(spark: SparkSession, rule: Rule, rows: DataFrame, dest: str, temp: str, put: Callable[[str], str]) -> None:
+def _known_schema(spark: SparkSession, rule: Rule, dest: str) -> T.StructType | None:
+    template = rule.transient_template or rule.template
+    if rule.autodetect or not (template or publish.exists(spark, dest)):
+        return None
+    return spark.table(_name(template) if template else dest).schema
+
+
+def _staged(spark: SparkSession, rule: Rule, urls: list[str], schema: T.StructType | None, dest: str, temp: str, put: Callable[[str], str]) -> tuple[recovery.Classified, list[Change], LoadMetrics]:
+    """The files that load, the changes that publish them, with rows written but not to be seen, and what the writes counted."""
+    found, metrics = recovery.Classified(valid=urls), LoadMetrics()
+    if schema is not None:
+        if rule.allow_field_addition:
+            gone = set(recovery.missing(spark, urls))
+            schema = recovery.new_fields(spark, [u for u in urls if u not in gone], schema, rule.options)
+        found = recovery.classify(spark, urls, schema, rule.options)
+    attempts = rule.max_reload
+    while found.valid:
+        try:
+            rows = metrics.counted(load(spark, found.valid, schema, rule.options, counted=schema is not None))
+            if rule.allow_field_addition and schema is not None and publish.exists(spark, dest):
+                publish.patch(spark, dest, schema)
+            return found, _changes(spark, rule, rows, dest, temp, put), metrics
+        except Exception:
+            # a file may have gone or changed since it was judged
+            again = recovery.classify(spark, found.valid, schema, rule.options) if schema is not None else None
+            if again is None or attempts <= 0 or again.valid == found.valid:
+                raise
+            attempts -= 1
+            found = recovery.Classified(again.valid, found.corrupted + again.corrupted, found.invalid_schema + again.invalid_schema, found.missing + again.missing)
+    return found, [], metrics
+
+
+def _changes(spark: SparkSession, rule: Rule, rows: DataFrame, dest: str, temp: str, put: Callable[[str], str]) -> list[Change]:
     if rule.template and not rule.split:
         publish.ensure(spark, dest, _name(rule.template))
     if rule.transient:
         rows.createOrReplaceTempView(temp)
     if rule.split:
         rows = publish.split_columns(rows, rule.cluster, rule.time_column)
-        publish.write_split(rows, [(put(w), _name(put(t))) for w, t in rule.split], rule.append, _name(rule.template) if rule.template else None)
-        return
+        by = ([rule.time_column] if rule.time_column else []) + [c.rpartition(".")[2] for c in rule.cluster]
+        rows = publish.clustered(rows, by) if by else rows
+        return commit.stage_split(rows, [(put(w), _name(put(t))) for w, t in rule.split], rule.append, _name(rule.template) if rule.template else None)
     if rule.transforms or rule.criteria:
         known = spark.table(dest).schema if publish.exists(spark, dest) else None
         sides = [(s, s.rows(spark)) for s in rule.sides]
         columns = {k: put(v) for k, v in rule.transform.items()}
         rows = transform(rows, keys=rule.unique, columns=columns, sides=sides, dest=known, criteria=put(rule.criteria) if rule.criteria else None, order=rule.order or None, alias=rule.alias)
-    partition = TableRef.parse(rule.table).partition if rule.table else None
-    if partition and not rule.append:
+    partition, only = TableRef.parse(rule.table).partition if rule.table else None, None
+    if partition and publish.exists(spark, dest):
         key = publish.partition_columns(spark, dest)[0]
         value = put(partition)
         kind = dict(spark.table(dest).dtypes)[key]
-        publish.override_partitions(rows, dest, {key: datetime.strptime(value, "%Y%m%d").date() if kind == "date" else value})
-        return
-    publish.write(rows, dest, rule.append)
+        only = {key: datetime.strptime(value, "%Y%m%d").date() if kind == "date" else value}
+    mode = commit.APPEND if rule.append else commit.PARTITIONS if partition else commit.OVERWRITE
+    return [commit.stage(rows, dest, mode, only)]

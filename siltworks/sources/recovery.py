@@ -76,9 +76,18 @@ def judged(spark: SparkSession, urls: list[str], schema: T.StructType, options:
     return found.select("url", kind, "bad", "fields")
 
 
+#: Words of a variant's schema and the Spark types that stand for them; null alone tells no type.
+_VARIANT = {"OBJECT": "STRUCT", "VARIANT": "STRING", "VOID": "STRING"}
+_TOKEN = re.compile(r"`(?:[^`]|``)*`|[^\W]+|\s+|.", re.S)
+
+
 def parse_variant_schema(text: str) -> T.DataType:
-    """A Spark type from the text form of a variant's schema."""
-    return T._parse_datatype_string(text.replace("OBJECT<", "STRUCT<").replace("VARIANT", "STRING").replace("VOID", "STRING")) if text else T.NullType()
+    """A Spark type from the text form of a variant's schema; only words where a type stands are changed."""
+    if not text:
+        return T.NullType()
+    tokens = _TOKEN.findall(text)
+    after = lambda k: next((t for t in tokens[k + 1 :] if not t.isspace()), "")
+    return T._parse_datatype_string("".join(_VARIANT.get(t, t) if after(k) != ":" else t for k, t in enumerate(tokens)))
 
 
 def _plain(url: str) -> str:
@@ -100,6 +109,13 @@ def classify(spark: SparkSession, urls: list[str], schema: T.StructType, options
     if not there:
         return out
     kind = options.format_of(there)
+    if kind in ("parquet", "orc"):
+        groups = same_schema(spark, there, kind, lambda found: fits(found, schema, options.ignore_unknown_values))
+        out.corrupted = [u for found, urls in groups if found is None for u in urls]
+        bad = {u for found, urls in groups if found is not None and not fits(found, schema, options.ignore_unknown_values) for u in urls}
+        out.invalid_schema = [u for u in there if u in bad]
+        out.valid = [u for u in there if u not in bad and u not in out.corrupted]
+        return out
     if kind not in ("json", "csv"):
         out.valid = there
         return out
@@ -117,8 +133,58 @@ def classify(spark: SparkSession, urls: list[str], schema: T.StructType, options
     return out
 
 
-def new_fields(spark: SparkSession, urls: list[str], schema: T.StructType) -> T.StructType:
-    """The schema with the fields that the files have besides, at every depth."""
-    found = spark.read.json(urls).schema
-    wanted = {n.lower() for n in found.names} - {CORRUPT}
-    return schemas.merge(schema, T.StructType([f for f in found if f.name.lower() in wanted]))
+def same_schema(spark: SparkSession, urls: list[str], kind: str, well=lambda found: True) -> list[tuple[T.StructType | None, list[str]]]:
+    """(merged schema, files) of groups whose schemas merge into one that is well; None for a file without a footer.
+
+    Spark reads the footers of a group on the executors, in one job. A group that doesn't merge, or
+    not well, is halved, so one unfit file costs as many jobs as its group has halves.
+    """
+    try:
+        found = spark.read.option("mergeSchema", "true").format(kind).load(urls).schema
+    except Exception:
+        if len(urls) == 1:
+            return [(None, urls)]
+        found = None
+    if len(urls) == 1 or found is not None and well(found):
+        return [(found, urls)]
+    half = len(urls) // 2
+    return [g for part in (urls[:half], urls[half:]) for g in same_schema(spark, part, kind, well)]
+
+
+#: What a reader takes for a column of the type on the left.
+WIDER = {
+    T.LongType: (T.IntegerType, T.ShortType, T.ByteType), T.IntegerType: (T.ShortType, T.ByteType), T.ShortType: (T.ByteType,),
+    T.DoubleType: (T.FloatType, T.IntegerType, T.ShortType, T.ByteType), T.TimestampType: (T.TimestampNTZType,), T.TimestampNTZType: (T.DateType,),
+}
+
+
+def fits(found: T.DataType, wanted: T.DataType, unknown_too: bool = False) -> bool:
+    """Whether a file's type can be read as a table's: no type that isn't the same or narrower, and no field that the table lacks."""
+    if isinstance(found, T.StructType) and isinstance(wanted, T.StructType):
+        have = {f.name.lower(): f.dataType for f in wanted}
+        return all(fits(f.dataType, have[f.name.lower()], unknown_too) if f.name.lower() in have else unknown_too for f in found)
+    if isinstance(found, T.ArrayType) and isinstance(wanted, T.ArrayType):
+        return fits(found.elementType, wanted.elementType, unknown_too)
+    if isinstance(found, T.MapType) and isinstance(wanted, T.MapType):
+        return fits(found.keyType, wanted.keyType, unknown_too) and fits(found.valueType, wanted.valueType, unknown_too)
+    return found == wanted or isinstance(found, WIDER.get(type(wanted), ()))
+
+
+def new_fields(spark: SparkSession, urls: list[str], schema: T.StructType, options: LoadOptions | None = None) -> T.StructType:
+    """The schema with the fields that the files have besides, at every depth, whatever their format.
+
+    Of columns that the table has, its own types stay; what a file has of another type is no
+    reason to change them. CSV columns have no names, so there are none to add.
+    """
+    options = options or LoadOptions()
+    kind = options.format_of(urls) if urls else "csv"
+    if kind in ("parquet", "orc"):
+        found = [g for g, _ in same_schema(spark, urls, kind, lambda g: fits(g, schema, True)) if g is not None and fits(g, schema, True)]
+    elif kind == "json":
+        found = [spark.read.json(urls).schema]
+    else:
+        return schema
+    for one in found:
+        wanted = [f for f in one if f.name != CORRUPT]
+        schema = schemas.extended(schema, T.StructType(wanted))
+    return schema

@@ -80,6 +80,22 @@ class _Remembered(dict):
         return value
 
 
+def ranks_of(path: str | None = None) -> dict[bytes, int]:
+    """From a file of ranks, one base64 token and its rank a line."""
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path(RANKS)
+    with open(path, "rb") as lines:
+        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+
+
+@lru_cache(maxsize=4)
+def tokens_of(path: str | None = None) -> dict[int, bytes]:
+    """The bytes of every id: all that decoding needs."""
+    return {rank: token for token, rank in ranks_of(path).items()}
+
+
 class _LaterCharacter(Exception):
     """A match holds a character of LATER, so the text was not split as it should be."""
 
@@ -119,13 +135,12 @@ class BytePairs:
     @classmethod
     @lru_cache(maxsize=4)
     def load(cls, path: str | None = None, pattern: str | None = None) -> BytePairs:
-        """From a file of ranks, one base64 token and its rank a line; the public multilingual one by default."""
-        if path is None or pattern is None:
+        """From a file of ranks; the public multilingual vocabulary and its pattern by default."""
+        if pattern is None:
             import public_tokenizers
 
-            path, pattern = path or public_tokenizers.path(RANKS), pattern or public_tokenizers.PATTERN
-        with open(path, "rb") as lines:
-            return cls({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}, pattern)
+            pattern = public_tokenizers.PATTERN
+        return cls(ranks_of(path), pattern)
 
     def _tree(self, token: int) -> tuple[tuple[int, ...], tuple[int, ...]] | None:
         """Spines of a token's merges, from byte to whole: the first parts and the last parts.
@@ -240,13 +255,13 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return plain.mapInArrow(run, f"id {kind}, ids array<int>").select(F.col("id").alias(id_col), "ids")
 
 
-def decoded(ids: Column | str, path: str | None = None, pattern: str | None = None) -> Column:
+def decoded(ids: Column | str, path: str | None = None) -> Column:
     """The bytes that an array of token ids stands for; null for null. An id that is no token's is an error."""
 
     @F.pandas_udf("binary")
     def run(rows: pd.Series) -> pd.Series:
-        vocabulary = BytePairs.load(path, pattern)
-        return rows.map(lambda x: None if x is None else vocabulary.decode(x.tolist()))
+        tokens = tokens_of(path)
+        return rows.map(lambda x: None if x is None else b"".join([tokens[i] for i in x.tolist()]))
 
     return run(ids)
 

@@ -114,7 +114,8 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec
     the smallest id that links reach. Null, empty and zero vectors and those with null or
     non-finite components link with nothing, nor do vectors of different lengths. Equal
     vectors link with each other, repeated rows count as rows of their own, and an empty table
-    gives no rows. Ids are taken to be present: a null id keeps a null component.
+    gives no rows. Different vectors under one id are rows of their own too, each linked by its
+    own cosines. Ids are taken to be present: a null id keeps a null component.
     """
     spark = vectors.sparkSession
     parts = n_partitions(spark)
@@ -122,7 +123,9 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec
     number = "<f4" if plain.schema["embedding"].dataType == T.ArrayType(T.FloatType()) else "<f8"
     packed = cut(plain.mapInPandas(lambda it: _packed(it, number), "vec_id long, vec binary").withColumn("same", F.sha1("vec")))
     usable = packed.where("vec is not null and vec_id is not null")
-    classes = cut(usable.groupBy("same").agg(F.min("vec_id").alias("cls"), F.count("*").alias("weight"), F.first("vec").alias("vec")))
+    # a class has a number of its own: different vectors may have the same smallest id
+    grouped = usable.groupBy("same").agg(F.min("vec_id").alias("least"), F.count("*").alias("weight"), F.first("vec").alias("vec"))
+    classes = cut(grouped.withColumn("cls", F.monotonically_increasing_id()))
     bits, tables = plan(classes.count(), threshold)
 
     shape = "cls long, weight long, vec binary, dim int, keys array<long>"
@@ -137,12 +140,14 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec
         .mapInPandas(lambda it: _linked(it, threshold, number), "a long, b long, links long")
     )
     counts = stars.groupBy("a").agg(F.sum("links").alias("links")).withColumnRenamed("a", "cls")
-    found = components(stars.select("a", "b")).select(F.col("node").alias("cls"), "root")
+    found = cut(components(stars.select("a", "b")).select(F.col("node").alias("cls"), "root").join(classes.select("cls", "least"), "cls"))
+    smallest = found.groupBy("root").agg(F.min("least").alias("smallest"))
+    found = found.join(smallest, "root").select("cls", "smallest")
     classed = (
-        classes.select("same", "cls", "weight")
+        classes.select("same", "cls", "weight", "least")
         .join(counts, "cls", "left")
         .join(found, "cls", "left")
-        .select("same", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("root", "cls").alias("component_id"))
+        .select("same", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("smallest", "least").alias("component_id"))
     )
     linked = usable.select("vec_id", "same").join(classed, "same").select("vec_id", "n_links", "component_id")
     alone = packed.where("vec is null or vec_id is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))

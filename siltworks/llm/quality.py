@@ -33,6 +33,8 @@ ROUNDS = 3
 #: Share of the unlabelled documents that each view labels for the other in a round.
 CONFIDENT = 0.03
 HELD_OUT = 5
+#: Up to so many chosen ids (of tens of bytes) are looked up by broadcast, more by a shuffle.
+LOOKED_UP = 200_000
 #: Training rows of a task, and the fewest tasks: so few send their gradients without a shuffle.
 FIT_ROWS = 20_000
 FIT_TASKS = 4
@@ -99,9 +101,12 @@ def _calibrated(model: LogisticRegressionModel, view: str, held: DataFrame) -> V
 
 
 def _fetched(texts: DataFrame, chosen: DataFrame) -> DataFrame:
-    """The columns of chosen (one row an id) and the features of its ids, written."""
+    """The columns of chosen (one row an id, written) and the features of its ids, written.
+
+    Few are looked up by broadcast, more by a shuffle of both sides.
+    """
     names = [c for c in chosen.columns if c != "doc_id"]
-    joined = texts.join(F.broadcast(chosen), "doc_id")
+    joined = texts.join(F.broadcast(chosen) if chosen.count() <= LOOKED_UP else chosen, "doc_id")
     rows = features(joined, "_t", "_s", "_l", [F.col(c) for c in ("doc_id", "_k", *names)])
     one = rows.groupBy("doc_id").agg(F.min_by(F.struct(*names, "content", "page"), "_k").alias("_one"))
     return cut(one.select("doc_id", "_one.*"))

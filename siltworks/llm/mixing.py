@@ -19,7 +19,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltworks.llm.common import cut, null_safe, ordered_prefix, table, word_count
@@ -129,8 +129,9 @@ def mix_copies(docs: DataFrame, size: Column, id_col: str = "doc_id", text_col:
     """How often the mix takes each document: one row per distinct (id, text, source).
 
     Returns id, source, _key (checksum of id and text), size, rows (how many rows are equal),
-    source_size, target, copies. Equal rows are one unit, weigh as many times as they occur and
-    all get the same number of copies. Null texts have size 0 and round on their own, null
+    source_size, target, copies. Equal rows are one unit with the copies of all of them together,
+    of which each gets the same number or one more (`copies_of`), so a much repeated row misses its
+    share by less than one row's size. Null texts have size 0 and round on their own, null
     sources are one source, null ids are ids, and an empty table gives no rows.
     """
     keyed = docs.select(
@@ -143,7 +144,12 @@ def mix_copies(docs: DataFrame, size: Column, id_col: str = "doc_id", text_col:
     goal = cut(source_targets(units.select("source", (F.col("size") * F.col("rows")).alias("size")), **targets))
     joined = units.join(goal, null_safe(units, goal, ["source"])).drop(goal["source"])
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    return round_copies(joined.withColumn("_mass", (F.col("size") * F.col("rows")).cast("double")).withColumn("expected", expected)).drop("_mass")
+    return round_copies(joined.withColumn("_mass", F.col("size").cast("double")).withColumn("expected", expected * F.col("rows"))).drop("_mass")
+
+
+def copies_of(rank: Column) -> Column:
+    """The copies of one of a unit's equal rows, by its place among them from 0."""
+    return F.floor(F.col("copies") / F.col("rows")).cast("long") + (rank < F.col("copies") % F.col("rows")).cast("long")
 
 
 def doc_key(id_col: str, text_col: str) -> Column:
@@ -151,19 +157,34 @@ def doc_key(id_col: str, text_col: str) -> Column:
 
 
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **targets) -> DataFrame:
-    """The mix itself: every row of docs as often as it is taken, with the columns of docs."""
+    """The mix itself: every row of docs as often as it is taken, with the columns of docs.
+
+    Of rows that are equal in id, text and source but not in all columns, those of smaller hashes
+    come first where some get one copy more. Rows equal in all columns are counted before they
+    are ordered, so that many of them meet as one.
+    """
     taken = mix_copies(docs, word_count(F.col(text_col)), id_col, text_col, source_col, **targets)
-    taken = taken.where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("_key").alias("_taken"), "copies")
+    taken = cut(taken.where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("_key").alias("_taken"), "copies", "rows"))
     keyed = docs.select(
         F.struct(*docs.columns).alias("_row"), F.col(id_col).alias("_doc"), F.col(source_col).cast("string").alias("_from"), doc_key(id_col, text_col).alias("_key")
     )
     match = (F.col("_key") == F.col("_taken")) & F.col("_doc").eqNullSafe(F.col("_id")) & F.col("_from").eqNullSafe(F.col("_source"))
-    repeated = keyed.join(taken, match).select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    return repeated.select("_row.*")
+    times = lambda n: F.explode(F.sequence(F.lit(1).cast("long"), n))
+    alike = F.col("copies") % F.col("rows") == 0
+    out = keyed.join(taken.where(alike), match).select("_row", times(F.floor(F.col("copies") / F.col("rows"))))
+    uneven = taken.where(~alike)
+    if not uneven.isEmpty():
+        variants = keyed.join(uneven, match).groupBy("_row", "_taken", "_id", "_source", "copies", "rows").agg(F.count("*").alias("n"))
+        order = Window.partitionBy("_taken", "_id", "_source").orderBy(F.xxhash64("_row"), "_row").rowsBetween(Window.unboundedPreceding, 0)
+        placed = variants.withColumn("last", F.sum("n").over(order))
+        more = F.least("n", F.greatest(F.col("copies") % F.col("rows") - F.col("last") + F.col("n"), F.lit(0)))
+        n = F.floor(F.col("copies") / F.col("rows")).cast("long") * F.col("n") + more
+        out = out.union(placed.withColumn("_n", n).where("_n > 0").select("_row", times(F.col("_n"))))
+    return out.select("_row.*")
 
 
 def op1(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     mixed = mix_copies(docs, word_count(F.col("text")))
-    rows = mixed.withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
-    return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source")
+    rows = mixed.withColumn("_rank", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)))
+    return rows.select("doc_id", "size", "source_size", "target", (copies_of(F.col("_rank")) * F.col("size")).alias("taken"), "source")

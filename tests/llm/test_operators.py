@@ -56,7 +56,7 @@ def words(text):
 
 def test_mixing(spark, docs, rows, nothing):
     got = mixing.mix_copies(docs, common.word_count(docs["text"])).collect()
-    assert sum(r["rows"] for r in got) == len(rows) and all(0 <= r["copies"] <= 2 for r in got)
+    assert sum(r["rows"] for r in got) == len(rows) and all(0 <= r["copies"] <= 2 * r["rows"] for r in got)
     sizes = Counter()
     for _, t, s in rows:
         sizes[s] += len(words(t))
@@ -74,17 +74,36 @@ def test_mixing(spark, docs, rows, nothing):
         open_ -= full
     taken, largest = Counter(), Counter()
     for r in got:
-        taken[r["source"]] += r["copies"] * r["size"] * r["rows"]
-        largest[r["source"]] = max(largest[r["source"]], r["size"] * r["rows"])
+        taken[r["source"]] += r["copies"] * r["size"]
+        largest[r["source"]] = max(largest[r["source"]], r["size"])
         assert r["target"] == pytest.approx(target[r["source"]]) and r["source_size"] == sizes[r["source"]]
     assert all(abs(taken[s] - target[s]) <= largest[s] + 1e-6 for s in order)
     again = mixing.mix_copies(docs.repartition(7), common.word_count(docs["text"])).collect()
     assert sorted(map(tuple, got), key=str) == sorted(map(tuple, again), key=str)
     mixed = mixing.mix_documents(docs)
-    assert mixed.columns == docs.columns and mixed.count() == sum(r["copies"] * r["rows"] for r in got)
+    assert mixed.columns == docs.columns and mixed.count() == sum(r["copies"] for r in got)
     assert mixing.mix_documents(nothing).count() == 0
 
 
+def test_different_vectors_of_one_id(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [0.01, 1.0]), (4, [-1.0, 0.0])]
+    got = embeddings.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    assert sorted(map(tuple, got)) == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (4, 0, 4, True)]
+
+
+def test_mixing_much_repeated_rows(spark):
+    """A source of one row, a hundred times: what is taken misses the target by less than that row."""
+    text = " ".join("w" * 3 for _ in range(10))
+    docs = spark.createDataFrame([(1, text, "a", k % 3) for k in range(100)] + [(2, "x", "b", 0)], "doc_id long, text string, source string, extra int")
+    got = {r["doc_id"]: r for r in mixing.mix_copies(docs, common.word_count(docs["text"])).collect()}
+    assert abs(got[1]["copies"] * 10 - got[1]["target"]) <= 10 and got[1]["rows"] == 100
+    mixed = mixing.mix_documents(docs).where("doc_id = 1")
+    assert mixed.count() == got[1]["copies"]
+    each = {r["extra"]: r["count"] for r in mixed.groupBy("extra").count().collect()}
+    assert all(33 <= each[k] <= 68 for k in range(3))
+    assert sorted(map(tuple, mixed.collect())) == sorted(map(tuple, mixing.mix_documents(docs.repartition(5)).where("doc_id = 1").collect()))
+
+
 def test_mixing_is_unbiased(spark):
     import pandas as pd
 
@@ -520,6 +539,17 @@ def test_quality_takes_from_all_unlabelled(spark, monkeypatch):
     assert all(rows == ids for _, rows, ids in fits)
 
 
+def test_quality_looks_up_by_shuffle_alike(spark, monkeypatch):
+    rng = random.Random(4)
+    words = {y: [f"{'ab'[y]}{k:02d}" for k in range(40)] for y in (0, 1)}
+    df = frame(spark, [(k, " ".join(rng.sample(words[k % 2], 8)), f"site{k % 7}") for k in range(400)])
+    labels = spark.createDataFrame([(k, k % 2) for k in range(80)], "doc_id long, quality int")
+    kept = lambda: sorted((r["doc_id"], r["kept"]) for r in quality.score_documents(df, labels, ["doc_id"]).collect())
+    before = kept()
+    monkeypatch.setattr(quality, "LOOKED_UP", 10)
+    assert kept() == before
+
+
 def test_quality_exchange_teaches_both_views(spark):
     """Few labels, many words and sources: co-training beats each view, and both together, without it."""
     rng = random.Random(12)

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from siltworks.operators import publish
 
-APPEND, OVERWRITE, PARTITIONS = "append", "overwrite", "partitions"
+APPEND, OVERWRITE, PARTITIONS, TOUCHED = "append", "overwrite", "partitions", "touched"
 #: Folders and records of changes; readers pass over names with a leading underscore.
 STAGING, RECORDS = "_staging", "_commits"
 
@@ -120,7 +120,7 @@ def _removed(spark: SparkSession, table: str, moves: list[str], mode: str, touch
     there = Files(spark).data(location(spark, table))
     if mode == OVERWRITE:
         return there
-    own = {_partition(m) for m in moves} | touched
+    own = touched | ({_partition(m) for m in moves} if mode == PARTITIONS else set())
     return [f for f in there if _partition(f) in own]
 
 
@@ -128,7 +128,8 @@ def stage(rows: DataFrame, table: str, mode: str = APPEND, only: dict[str, objec
     """Write rows as a table has them to a folder beside its files; creates a missing table.
 
     With mode PARTITIONS, partitions that rows are of are replaced, and those that `touched` names
-    (in the table's partition columns) too. With `only`, a row of another partition fails it.
+    (in the table's partition columns) too; with TOUCHED only the latter are, and other rows are
+    added. Of a table without partitions any row of `touched` stands for all. With `only`, a row of another partition fails it.
     """
     spark = rows.sparkSession
     if not publish.exists(spark, table):
@@ -139,7 +140,9 @@ def stage(rows: DataFrame, table: str, mode: str = APPEND, only: dict[str, objec
     folder = staging_folder(spark, table)
     (rows.write.partitionBy(*by) if by else rows.write).parquet(folder)
     moves = Files(spark).data(folder)
-    named = {tuple(f"{c}={publish.folder_name(r[c])}" for c in by) for r in touched.select(*by).distinct().collect()} if touched is not None and by else set()
+    named: set[tuple[str, ...]] = set()
+    if touched is not None:
+        named = {tuple(f"{c}={publish.folder_name(r[c])}" for c in by) for r in (touched.select(*by).distinct() if by else touched.limit(1)).collect()}
     return Change(table, folder, moves, _removed(spark, table, moves, mode, named), f"{uuid.uuid4().hex[:12]}-")
 
 

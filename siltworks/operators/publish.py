@@ -306,9 +306,13 @@ def copy_partitions(spark: SparkSession, source: str, dest: str, table_of=None,
 
 
 def query(spark: SparkSession, sql: str, dest: str | None = None, append: bool = False, template: str | None = None) -> DataFrame | None:
-    """Run SQL of a rule; with a destination its rows go there, and a DML statement just runs."""
+    """Run SQL of a rule; with a destination its rows go there. INSERT is Spark's, other DML goes by `dml`."""
+    from siltworks.operators import dml
+
     sql = to_spark(sql)
-    if is_dml(sql) or not dest:
+    if is_dml(sql):
+        return None if dml.run(spark, sql) else spark.sql(sql)
+    if not dest:
         return spark.sql(sql)
     if template:
         ensure(spark, dest, template)

@@ -26,7 +26,8 @@ def to_spark(sql: str) -> str:
 
     `TYPE(NULL)` becomes a cast; SPLIT's delimiter, a plain text there, is quoted against being
     read as a pattern; `p.d.t` in one pair of backticks is quoted part by part, and a project
-    in front is dropped, as one session has one catalog. Brackets name a table only after FROM,
+    in front is dropped, as one session has one catalog. A text may stand in double quotes there,
+    also as a delimiter. Brackets name a table only after FROM,
     JOIN, INTO, UPDATE or TABLE; elsewhere they are an index. UNNEST in FROM is a lateral
     explode. Texts and comments stay as they are.
     """
@@ -35,12 +36,19 @@ def to_spark(sql: str) -> str:
         if k % 2 == 0:
             part = re.sub(rf"\b({names})\s*\(\s*NULL\s*\)", lambda m: f"CAST(NULL AS {TYPES[m[1].upper()]})", part, flags=re.I)
             part = re.sub(_AFTER + r"\[(?:[\w-]+:)?([\w-]+\.[\w$-]+)\]", lambda m: f"{m[1]}{m[2]}{m[3]}", part, flags=re.I)
+            args, offset = r"\(([^()]*(?:\([^()]*\)[^()]*)*)\)\s+(?:AS\s+)?", r"\s+WITH\s+OFFSET(?:\s+(?:AS\s+)?(?!ON\b|WHERE\b|JOIN\b|GROUP\b|ORDER\b|LIMIT\b|LEFT\b|CROSS\b|INNER\b)(\w+))?"
+            part = re.sub(
+                rf"(,|\bFROM\b|\bJOIN\b)\s*UNNEST\s*{args}(?!ON\b|WHERE\b|WITH\b)(\w+){offset}",
+                lambda m: f"{m[1]} LATERAL posexplode({m[2]}) AS {m[3]}_({m[4] or 'offset'}, {m[3]})",
+                part,
+                flags=re.I,
+            )
             unnest = r"UNNEST\s*\(([^()]*(?:\([^()]*\)[^()]*)*)\)\s+(?:AS\s+)?(?!ON\b|WHERE\b|WITH\b)(\w+)"
             part = re.sub(rf"(,|\bFROM\b|\bJOIN\b)\s*{unnest}", lambda m: f"{m[1]} LATERAL explode({m[2]}) AS {m[3]}_({m[3]})", part, flags=re.I)
         elif part[0] == "`":
             part = re.sub(r"^`(?:[\w-]+[:.])?([\w-]+)\.([\w-]+)`$", lambda m: f"`{m[1]}`.`{m[2]}`", part)
-        elif part[0] == "'" and len(part) > 2 and "\\" not in part and _SPLIT.search(out):
-            part = rf"'\\Q{part[1:-1]}\\E'"
+        elif part[0] in "'\"" and len(part) > 2 and "\\" not in part and _SPLIT.search(out):
+            part = rf"{part[0]}\\Q{part[1:-1]}\\E{part[0]}"
         out += part
     return out
 

@@ -56,27 +56,32 @@ def scratch(spark: SparkSession) -> str:
     return name
 
 
-CHARGE = "CASE WHEN t.l_returnflag = 'R' THEN t.l_extendedprice + f.p_retailprice WHEN t.l_returnflag = 'A' THEN t.l_extendedprice * (1 + t.l_tax) END"
-
-
 @register(
     "etl_aggregation",
     """
-    SELECT CAST(t.l_shipdate AS DATE) AS date, f.p_brand AS brand, MAX(t.l_orderkey) AS batch_id,
-           CAST(SUM(CAST(t.l_extendedprice AS DECIMAL(18,4))) AS DOUBLE) AS payment,
-           CAST(SUM(CAST(CASE WHEN t.l_returnflag = 'R' THEN t.l_extendedprice + f.p_retailprice
-                              WHEN t.l_returnflag = 'A' THEN t.l_extendedprice * (1 + t.l_tax) END AS DECIMAL(18,4))) AS DOUBLE) AS charge,
-           CAST(SUM(CAST(COALESCE(t.l_quantity, 1.0) AS DECIMAL(18,4))) AS DOUBLE) AS qty
-    FROM lineitem t LEFT JOIN part f ON t.l_partkey = f.p_partkey
+    SELECT EXTRACT(YEAR FROM l.l_shipdate) * 100 + EXTRACT(MONTH FROM l.l_shipdate) AS ship_month, p.p_size // 10 AS size_class, COUNT(*) AS n_lines,
+           COUNT(*) FILTER (l.l_discount >= 0.05) AS n_discounted,
+           CAST(SUM(CAST(l.l_extendedprice * (1 - l.l_discount) AS DECIMAL(18,4))) AS DOUBLE) AS net,
+           CAST(SUM(CAST(CASE WHEN l.l_linestatus = 'O' THEN l.l_quantity ELSE 0 END AS DECIMAL(18,4))) AS DOUBLE) AS open_quantity,
+           CAST(SUM(CAST(abs(l.l_extendedprice - l.l_quantity * p.p_retailprice) AS DECIMAL(18,4))) AS DOUBLE) AS off_list, MIN(p.p_name) AS first_part
+    FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey WHERE l.l_tax < 0.07
     GROUP BY 1, 2
     """,
 )
 def etl_aggregation(spark, d):
-    side = tr.SideInput("f", "t.l_partkey = f.p_partkey", table="part")
-    joined = tr.join_side_inputs(table(spark, d, "lineitem").alias("t"), [(side, table(spark, d, "part"))])
+    """Sales by month and size of part: what was paid, what is open, and how far prices are off the list."""
+    lines = table(spark, d, "lineitem").where("l_tax < 0.07").alias("l")
+    side = tr.SideInput("p", "p.p_partkey = l.l_partkey", table="part", inner=True)
+    joined = tr.join_side_inputs(lines, [(side, table(spark, d, "part"))])
     total = lambda e: F.sum(F.expr(e).cast(DEC)).cast("double")
-    return joined.groupBy(F.to_date("t.l_shipdate").alias("date"), F.col("f.p_brand").alias("brand")).agg(
-        F.max("t.l_orderkey").alias("batch_id"), total("t.l_extendedprice").alias("payment"), total(CHARGE).alias("charge"), total("coalesce(t.l_quantity, 1.0)").alias("qty")
+    month = (F.year("l_shipdate") * 100 + F.month("l_shipdate")).cast("long").alias("ship_month")
+    return joined.groupBy(month, F.floor(F.col("p_size") / 10).cast("int").alias("size_class")).agg(
+        F.count("*").alias("n_lines"),
+        F.count_if(F.col("l_discount") >= 0.05).alias("n_discounted"),
+        total("l_extendedprice * (1 - l_discount)").alias("net"),
+        total("case when l_linestatus = 'O' then l_quantity else 0 end").alias("open_quantity"),
+        total("abs(l_extendedprice - l_quantity * p_retailprice)").alias("off_list"),
+        F.min("p_name").alias("first_part"),
     )
 
 

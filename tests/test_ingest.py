@@ -98,12 +98,15 @@ def test_ingest_with_actions(spark, db, tmp_path):
 
 
 def test_field_addition(spark, db, tmp_path):
-    publish.create(spark, f"{db}.t", spark.createDataFrame([], "shelf bigint, params array<struct<key:string>>").schema)
-    path = put(tmp_path, "a.json", [{"shelf": 1, "params": [{"key": "k", "int_value": 5}], "billable": True}])
+    """Fields that a table lacks come in at the top, in a struct and in the structs of an array."""
+    publish.create(spark, f"{db}.t", spark.createDataFrame([], "shelf bigint, pot struct<clay:boolean>, visits array<struct<day:string>>").schema)
+    publish.write(spark.createDataFrame([(8, (True,), [("mon",)])], "shelf bigint, pot struct<clay:boolean>, visits array<struct<day:string>>"), f"{db}.t")
+    path = put(tmp_path, "a.json", [{"shelf": 1, "pot": {"clay": False, "litres": 2.5}, "visits": [{"day": "tue", "by": "ann"}], "height": 40}])
     rule = R.parse({"Dest": {"Table": f"{db}.t", "SchemaUpdateOptions": ["ALLOW_FIELD_ADDITION"]}})
     ingest(spark, rule, [SourceFile(path, NOW)], "1")
-    row = spark.table(f"{db}.t").first()
-    assert row["billable"] is True and row["params"][0]["int_value"] == 5
+    old, new = sorted(spark.table(f"{db}.t").collect(), key=lambda r: -r["shelf"])
+    assert (new["height"], new["pot"]["litres"], new["visits"][0]["by"]) == (40, 2.5, "ann")
+    assert (old["height"], old["pot"]["litres"], old["visits"][0]["by"], old["visits"][0]["day"]) == (None, None, None, "mon")
 
 
 def test_split_rule_and_parameters(spark, db, tmp_path):

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
@@ -92,19 +92,40 @@ def _partition_id(value) -> str:
     return value.strftime("%Y%m%d") if hasattr(value, "strftime") else str(value)
 
 
-#: Rows of a query that a rule's later actions may refer to.
+#: Rows of a query that a response holds itself.
 FETCHED = 10_000
+#: Seconds for which a response's table is kept.
+RESPONSE_SECONDS = 86_400
 
 
 def _query(ctx: Context, r: dict) -> dict | None:
-    """Run a query; without a destination its rows are the response, the first one by itself too."""
+    """Run a query; without a destination its rows are the response, the first one by itself too.
+
+    Beyond FETCHED rows, Rows has the first ones, and the table named by RowsTable has all of
+    them, for later actions' SQL or for `pages`; it may be swept a day later.
+    """
     rows = publish.query(ctx.spark, r["sql"], _name(r["dest"]) if r.get("dest") else None, bool(r.get("append")), r.get("template"))
     if rows is None or not rows.columns:
         return None
     found = [x.asDict(recursive=True) for x in rows.take(FETCHED + 1)]
-    if len(found) > FETCHED:
-        raise ValueError(f"a query without a destination may give {FETCHED} rows")
-    return {"Data": found[0], "Rows": found} if found else {"Rows": []}
+    if len(found) <= FETCHED:
+        return {"Data": found[0], "Rows": found} if found else {"Rows": []}
+    table = f"{ctx.spark.catalog.currentDatabase()}.response_{uuid.uuid4().hex}"
+    rows.write.format("parquet").saveAsTable(table)
+    publish.set_expiry(ctx.spark, table, RESPONSE_SECONDS)
+    return {"Data": found[0], "Rows": found[:FETCHED], "RowsTable": table}
+
+
+def pages(spark: SparkSession, table: str, size: int = FETCHED) -> Iterator[list[dict]]:
+    """The rows of a response's table, a page at a time; the driver holds one partition and one page."""
+    page: list[dict] = []
+    for row in spark.table(table).toLocalIterator():
+        page.append(row.asDict(recursive=True))
+        if len(page) == size:
+            yield page
+            page = []
+    if page:
+        yield page
 
 
 def _export(ctx: Context, r: dict) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -180,8 +180,9 @@ def scan(spark: SparkSession, urls: list[str], schema: T.StructType | None, opti
     if kind == "avro":
         return (reader if schema is None else reader.schema(schema)).load(urls)
     plain = {CSV_OPTIONS.get(k, k): v for k, v in options.options.items()}
-    if kind == "csv" and options.skip_leading_rows > 1:
-        return _after_leading_rows(spark, urls, schema, options.skip_leading_rows, plain)
+    quoted = plain.get("multiLine", "").lower() == "true"
+    if kind == "csv" and (options.skip_leading_rows > 1 or quoted and schema is not None):
+        return _csv_records(spark, urls, schema, options.skip_leading_rows, plain, quoted)
     reader = reader.options(**plain)
     if schema is None:
         if kind == "csv":
@@ -193,22 +194,42 @@ def scan(spark: SparkSession, urls: list[str], schema: T.StructType | None, opti
     return reader.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])).load(urls)
 
 
-def _after_leading_rows(spark: SparkSession, urls: list[str], schema: T.StructType | None, n: int, plain: dict[str, str]) -> DataFrame:
-    """CSV rows behind the first n lines of every file, which a reader can't pass over itself.
+def _csv_records(spark: SparkSession, urls: list[str], schema: T.StructType | None, skip: int, plain: dict[str, str], quoted: bool) -> DataFrame:
+    """CSV rows behind the first records of every file, from lines that are read in blocks.
 
-    Lines are numbered within each file's first block, where they are in order; one number a
-    file says where the block begins.
+    Lines are numbered within their block, where they are in order. With quoted breaks, the number
+    of quotes before a line says whether it begins a record: their parity is summed within each
+    block, and the blocks before it add theirs, so a record may span blocks and a file is read by
+    as many tasks as it has blocks. Lines that are whole records go on as they are; only those of
+    broken ones are grouped. A quote within a field without quotes counts like any other.
     """
-    if schema is None or plain.get("multiLine", "").lower() == "true":
-        raise ValueError("more than one leading row needs a schema and lines without quoted breaks")
+    if schema is None:
+        raise ValueError("more than one leading row needs a schema")
     lines = spark.read.text(urls).select(
         "value", F.col("_metadata.file_path").alias("_url"), F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_n")
     )
-    first = lines.where("_at = 0").groupBy("_url").agg(F.min("_n").alias("_first"))
-    rest = lines.join(first, "_url").where((F.col("_at") > 0) | (F.col("_n") >= F.col("_first") + n)).where("value <> ''")
+    quote = plain.get("quote", '"')
+    odd = F.regexp_count("value", F.lit(re.escape(quote))) % 2 if quoted and quote else F.lit(0)
+    within = Window.partitionBy("_url", "_at").orderBy("_n").rowsBetween(Window.unboundedPreceding, 0)
+    lines = lines.withColumn("_odd", odd).withColumn("_quotes", F.sum("_odd").over(within) - F.col("_odd"))
+    # a block's lines begin records where the quotes before them are even, or odd, as the blocks before are
+    begins = lambda even: F.count_if(F.col("_quotes") % 2 == (0 if even else 1))
+    blocks = lines.groupBy("_url", "_at").agg(F.sum("_odd").alias("_sum"), begins(True).alias("_even"), begins(False).alias("_uneven"))
+    before = Window.partitionBy("_url").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_state", F.coalesce(F.sum("_sum").over(before), F.lit(0)) % 2)
+    first = F.coalesce(F.sum(F.when(F.col("_state") == 0, F.col("_even")).otherwise(F.col("_uneven"))).over(before), F.lit(0))
+    blocks = blocks.select("_url", "_at", "_state", first.alias("_first"))
+    placed = lines.join(blocks, ["_url", "_at"]).withColumn("_begins", (F.col("_quotes") + F.col("_state")) % 2 == 0)
+    placed = placed.withColumn("_record", F.col("_first") + F.sum(F.col("_begins").cast("long")).over(within)).where(F.col("_record") > skip)
+    whole = F.col("_begins") & (F.col("_odd") == 0)
+    records = placed.where(whole & (F.col("value") != "")).select("_url", "value")
+    if quoted:
+        line = F.struct("_at", "_n", "value")
+        broken = placed.where(~whole).groupBy("_url", "_record").agg(F.array_sort(F.collect_list(line)).alias("x"))
+        records = records.union(broken.select("_url", F.array_join("x.value", "\n").alias("value")))
     full = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    parsed = F.from_csv("value", full, {**plain, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return rest.select(parsed.alias("_x"), F.col("_url").alias(SOURCE_URL)).select("_x.*", SOURCE_URL)
+    parsed = F.from_csv("value", full, {**{k: v for k, v in plain.items() if k != "multiLine"}, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return records.select(parsed.alias("_x"), F.col("_url").alias(SOURCE_URL)).select("_x.*", SOURCE_URL)
 
 
 def load(spark: SparkSession, urls: list[str], schema: T.StructType | None, options: LoadOptions | None = None, counted: bool = False) -> DataFrame:

@@ -267,3 +267,43 @@ def test_a_batch_is_scanned_twice(spark, db, tmp_path):
     scans = sum(e.physicalPlanDescription().split("===")[0].count(str(tmp_path / "in")) > 0 or "in/a.json" in e.physicalPlanDescription() for e in after)
     assert scans == 2
     assert [spark.table(f"{db}.t{k}").first()["shelf"] for k in (0, 1)] == [4, 3]
+
+
+def test_responses_beyond_a_page(spark, db):
+    from siltworks.plans import ingest as run
+
+    ctx = Context(spark)
+    run_actions([R.Action.load(a) for a in (
+        {"Action": "query", "Request": {"SQL": "SELECT id, id % 7 AS k FROM range(100000)"}},
+        {"Action": "query", "Request": {"SQL": "SELECT k, COUNT(1) AS n FROM $RowsTable GROUP BY k", "Dest": f"{db}.sums"}},
+    )], ctx)
+    assert len(ctx.variables.values["Rows"]) == run.FETCHED
+    assert spark.table(f"{db}.sums").groupBy().sum("n").first()[0] == 100_000
+    sizes, ids = [], set()
+    for page in run.pages(spark, ctx.variables.values["RowsTable"], 30_000):
+        sizes.append(len(page))
+        ids |= {r["id"] for r in page}
+    assert sizes == [30_000, 30_000, 30_000, 10_000] and ids == set(range(100_000))
+    publish.drop(spark, ctx.variables.values["RowsTable"])
+
+
+def test_quoted_breaks_over_blocks(spark, tmp_path):
+    """Leading rows and quoted breaks together, in a file of many blocks, as one reader takes it whole."""
+    rng = __import__("random").Random(6)
+    rows = [(k, rng.choice(["plain", 'a "quoted" word', "two\nlines", "\n\nblank ones\n", "x,y", ""]) + "." * rng.randint(0, 30)) for k in range(2_000)]
+    quote = lambda t: '"' + t.replace('"', '""') + '"'
+    head = 'made by\n"a report\nof two lines"\nn,t\n'
+    (tmp_path / "a.csv").write_text(head + "".join(f"{n},{quote(t)}\n" for n, t in rows))
+    (tmp_path / "b.csv").write_text('h1\nh2\nh3\n-1,"one\nmore"\n\n-2,last')
+    schema = spark.createDataFrame([], "n long, t string").schema
+    options = fs.LoadOptions("csv", skip_leading_rows=3, options={"AllowQuotedNewlines": "true", "escape": '"'})
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("1kb", "7kb", "128mb"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            read = fs.load(spark, [str(tmp_path / n) for n in ("a.csv", "b.csv")], schema, options)
+            assert size != "1kb" or spark.read.text(str(tmp_path / "a.csv")).rdd.getNumPartitions() > 20
+            got = sorted(map(tuple, read.fillna("", ["t"]).collect()))
+            assert got == sorted([*rows, (-1, "one\nmore"), (-2, "last")])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)

@@ -18,6 +18,9 @@ _QUOTED = r"'(?:[^'\\]|\\.)*'"
 #: What no rewriting may touch: texts and comments. A backtick name is a part of its own.
 _SOLID = re.compile(rf"""({_QUOTED}|"(?:[^"\\]|\\.)*"|--[^\n]*|/\*.*?\*/|`[^`]*`)""", re.S)
 _SPLIT = re.compile(r"\bSPLIT\s*\(([^()]|\([^()]*\))*,\s*$", re.I)
+_UNNEST = r"(,|\bFROM\b|\bJOIN\b)\s*UNNEST\s*\(([^()]*(?:\([^()]*\)[^()]*)*)\)\s+(?:AS\s+)?"
+#: What may follow an offset without a name.
+_CLAUSE = r"(?:ON|WHERE|JOIN|GROUP|HAVING|ORDER|LIMIT|LEFT|RIGHT|FULL|CROSS|INNER|UNION|QUALIFY)\b"
 _AFTER = r"\b(FROM|JOIN|INTO|UPDATE|TABLE)(\s+)"
 
 
@@ -31,26 +34,29 @@ def to_spark(sql: str) -> str:
     JOIN, INTO, UPDATE or TABLE; elsewhere they are an index. UNNEST in FROM is a lateral
     explode. Texts and comments stay as they are.
     """
-    names, out = "|".join(TYPES), ""
+    out, held = "", []
+    # what is solid is held apart, so that a pattern may reach over it
     for k, part in enumerate(_SOLID.split(sql)):
         if k % 2 == 0:
-            part = re.sub(rf"\b({names})\s*\(\s*NULL\s*\)", lambda m: f"CAST(NULL AS {TYPES[m[1].upper()]})", part, flags=re.I)
-            part = re.sub(_AFTER + r"\[(?:[\w-]+:)?([\w-]+\.[\w$-]+)\]", lambda m: f"{m[1]}{m[2]}{m[3]}", part, flags=re.I)
-            args, offset = r"\(([^()]*(?:\([^()]*\)[^()]*)*)\)\s+(?:AS\s+)?", r"\s+WITH\s+OFFSET(?:\s+(?:AS\s+)?(?!ON\b|WHERE\b|JOIN\b|GROUP\b|ORDER\b|LIMIT\b|LEFT\b|CROSS\b|INNER\b)(\w+))?"
-            part = re.sub(
-                rf"(,|\bFROM\b|\bJOIN\b)\s*UNNEST\s*{args}(?!ON\b|WHERE\b|WITH\b)(\w+){offset}",
-                lambda m: f"{m[1]} LATERAL posexplode({m[2]}) AS {m[3]}_({m[4] or 'offset'}, {m[3]})",
-                part,
-                flags=re.I,
-            )
-            unnest = r"UNNEST\s*\(([^()]*(?:\([^()]*\)[^()]*)*)\)\s+(?:AS\s+)?(?!ON\b|WHERE\b|WITH\b)(\w+)"
-            part = re.sub(rf"(,|\bFROM\b|\bJOIN\b)\s*{unnest}", lambda m: f"{m[1]} LATERAL explode({m[2]}) AS {m[3]}_({m[3]})", part, flags=re.I)
-        elif part[0] == "`":
+            out += part
+            continue
+        if part[0] == "`":
             part = re.sub(r"^`(?:[\w-]+[:.])?([\w-]+)\.([\w-]+)`$", lambda m: f"`{m[1]}`.`{m[2]}`", part)
         elif part[0] in "'\"" and len(part) > 2 and "\\" not in part and _SPLIT.search(out):
             part = rf"{part[0]}\\Q{part[1:-1]}\\E{part[0]}"
-        out += part
-    return out
+        out += f"\0{len(held)}\0"
+        held.append(part)
+    names = "|".join(TYPES)
+    out = re.sub(rf"\b({names})\s*\(\s*NULL\s*\)", lambda m: f"CAST(NULL AS {TYPES[m[1].upper()]})", out, flags=re.I)
+    out = re.sub(_AFTER + r"\[(?:[\w-]+:)?([\w-]+\.[\w$-]+)\]", lambda m: f"{m[1]}{m[2]}{m[3]}", out, flags=re.I)
+    out = re.sub(
+        rf"{_UNNEST}(?!ON\b|WHERE\b|WITH\b)(\w+)\s+WITH\s+OFFSET(?:\s+(?:AS\s+)?(?!{_CLAUSE})(\w+))?",
+        lambda m: f"{m[1]} LATERAL posexplode({m[2]}) AS {m[3]}_({m[4] or 'offset'}, {m[3]})",
+        out,
+        flags=re.I,
+    )
+    out = re.sub(rf"{_UNNEST}(?!ON\b|WHERE\b|WITH\b)(\w+)", lambda m: f"{m[1]} LATERAL explode({m[2]}) AS {m[3]}_({m[3]})", out, flags=re.I)
+    return re.sub("\0(\\d+)\0", lambda m: held[int(m[1])], out)
 
 
 def is_dml(sql: str) -> bool:

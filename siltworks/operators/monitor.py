@@ -85,3 +85,27 @@ def long_running(processes: DataFrame, now: Column, seconds: int) -> DataFrame:
 def sum_in_array(array: str, field: str) -> Column:
     """Sum of a field over an array of structs; 0 for an empty array, null for null."""
     return F.aggregate(array, F.lit(0).cast("long"), lambda acc, x: acc + F.coalesce(x[field].cast("long"), F.lit(0).cast("long")))
+
+
+def load_report(states: DataFrame, loads: DataFrame, now: Column) -> DataFrame:
+    """One row: totals of all events, and for each destination its events by state, rows and files.
+
+    `states` has the latest state of each event (event_id, rule, dest, state, at, error), `loads` what
+    each load counted (event_id, dest, rows, files with url and kind). Both are aggregates by
+    destination before they meet, and the report is as long as there are destinations.
+    """
+    part = lambda *names: F.struct(
+        F.count_if(F.col("state").isin(*names)).alias("count"), F.min(F.when(F.col("state").isin(*names), F.col("at"))).alias("first"), F.max(F.when(F.col("state").isin(*names), F.col("at"))).alias("last")
+    )
+    by_dest = states.groupBy("dest").agg(
+        F.max("rule").alias("rule"), part("running", "published").alias("running"), part("done").alias("done"), part("failed").alias("failed"), F.max_by("error", "at").alias("error")
+    )
+    oldest = F.unix_timestamp(now) - F.unix_timestamp("running.first")
+    kinds = ("valid", "corrupted", "invalid_schema", "missing")
+    of = lambda kind: F.sum(F.size(F.filter("files", lambda f: f["kind"] == kind))).alias(f"n_{kind}")
+    counted = loads.groupBy("dest").agg(F.sum("rows").alias("rows"), *[of(k) for k in kinds])
+    whole = by_dest.withColumn("lag_sec", oldest).join(counted, "dest", "left")
+    each = F.struct("dest", "rule", "running", "done", "failed", "error", "lag_sec", "rows", *[f"n_{k}" for k in kinds])
+    return whole.agg(
+        F.sum("running.count").alias("n_running"), F.sum("done.count").alias("n_done"), F.sum("failed.count").alias("n_failed"), F.sum("rows").alias("rows"), F.array_sort(F.collect_list(each)).alias("dests")
+    ).withColumn("at", now)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -29,6 +30,7 @@ class Context:
     variables: Variables = field(default_factory=Variables)
     services: dict[str, Callable[[dict], dict | None]] = field(default_factory=dict)
     groups: dict[str, int] = field(default_factory=dict)
+    opened: dict[str, datetime] = field(default_factory=dict)
     group_table: str | None = None
     warnings: list[str] = field(default_factory=list)
 
@@ -137,33 +139,42 @@ def _insert(ctx: Context, r: dict) -> None:
     publish.insert(ctx.spark, r.get("sql") or r["rows"], _name(r["dest"]), r.get("template"))
 
 
-GROUPS = "id string, size long, member string"
+GROUPS = "id string, size long, member string, at timestamp"
 
 
-def open_group(ctx: Context, key: str, size: int) -> None:
+def open_group(ctx: Context, key: str, size: int, at: datetime | None = None) -> None:
     """Begin a group of so many members; where the context has a table for groups, it is noted there."""
+    at = at or datetime.now(timezone.utc)
     if ctx.group_table:
         if not publish.exists(ctx.spark, ctx.group_table):
             publish.create(ctx.spark, ctx.group_table, T._parse_datatype_string(GROUPS))
-        ctx.spark.createDataFrame([(key, size, None)], GROUPS).write.insertInto(ctx.group_table)
-    ctx.groups[key] = size
+        ctx.spark.createDataFrame([(key, size, None, at)], GROUPS).write.insertInto(ctx.group_table)
+    ctx.groups[key], ctx.opened[key] = size, at
 
 
 def _group(ctx: Context, r: dict) -> dict:
-    """Count one member of a group as done; the last one lets the nested actions run.
+    """Count one member of a group as done; the last one lets the nested actions run, once.
 
     With a table for groups, members are rows of it, so runs on several drivers meet there, and
-    a member that reports twice counts once.
+    a member that reports twice counts once. With `maxdurationinsec`, a member that reports when
+    the group has been open for longer is as good as the last one.
     """
-    key = str(r.get("id") or r.get("groupid"))
+    key, now = str(r.get("id") or r.get("groupid")), datetime.now(timezone.utc)
+    over = lambda opened: bool(r.get("maxdurationinsec")) and opened is not None and (now - opened).total_seconds() > float(r["maxdurationinsec"])
     if ctx.group_table and publish.exists(ctx.spark, ctx.group_table):
         member = str(r.get("member") or ctx.variables.values.get("EventID") or uuid.uuid4().hex)
-        ctx.spark.createDataFrame([(key, None, member)], GROUPS).write.insertInto(ctx.group_table)
+        ctx.spark.createDataFrame([(key, None, member, now)], GROUPS).write.insertInto(ctx.group_table)
         ctx.spark.catalog.refreshTable(ctx.group_table)
-        state = ctx.spark.table(ctx.group_table).where(F.col("id") == key).agg(F.max("size").alias("size"), F.count_distinct("member").alias("done")).first()
-        return {"Done": state["done"] >= (state["size"] or 1)}
+        opened = F.unix_micros(F.min(F.when(F.col("size").isNotNull(), F.col("at"))))
+        state = ctx.spark.table(ctx.group_table).where(F.col("id") == key).agg(F.max("size").alias("size"), F.count_distinct("member").alias("done"), opened.alias("opened")).first()
+        since = datetime.fromtimestamp(state["opened"] / 1e6, timezone.utc) if state["opened"] is not None else None
+        if state["done"] < (state["size"] or 1) and not over(since):
+            return {"Done": False}
+        # of all that see it complete, one makes the mark and goes on
+        mark = f"{commit.location(ctx.spark, ctx.group_table)}/_ran/{hashlib.sha1(key.encode()).hexdigest()}.json"
+        return {"Done": commit.Files(ctx.spark).create(mark, key)}
     ctx.groups[key] = ctx.groups.get(key, 1) - 1
-    return {"Done": ctx.groups[key] <= 0}
+    return {"Done": ctx.groups[key] == 0 or (ctx.groups[key] > 0 and over(ctx.opened.get(key)))}
 
 
 def _service(name: str):

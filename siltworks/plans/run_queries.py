@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
+from contextlib import suppress
 from datetime import datetime, timedelta, timezone
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltworks.functions import naming
 from siltworks.functions.dialect import to_spark
@@ -265,12 +269,16 @@ def action_move_delete(spark, d):
     return rows[0].union(rows[1])
 
 
-@register("action_services", "SELECT * FROM (VALUES ('call', 'loaded lake.region'), ('notify', 'loaded lake.region'), ('push', 'loaded lake.region')) v(service, message)")
+@register("action_services", "SELECT k AS service, n_name AS nation, COUNT(*) AS n FROM nation JOIN customer ON c_nationkey = n_nationkey, (VALUES ('call'), ('notify'), ('push')) v(k) WHERE n_regionkey = 1 GROUP BY 1, 2")
 def action_services(spark, d):
-    sent: list[tuple[str, str]] = []
-    services = {k: (lambda r, k=k: sent.append((k, r["message"]))) for k in ("notify", "call", "push")}
-    act(spark, *[{"Action": k, "Request": {"Message": "loaded $DestTable"}} for k in services], services=services, values={"DestTable": "lake.region"})
-    return spark.createDataFrame(sorted(sent), "service string, message string")
+    """Each service is told what a query before it has found, row by row of its response."""
+    db, sent = scratch(spark), []
+    for name in ("nation", "customer"):
+        publish.write(table(spark, d, name), f"{db}.{name}")
+    services = {k: (lambda r, k=k: sent.extend((k, x["n_name"], x["n"]) for x in r["rows"])) for k in ("notify", "call", "push")}
+    sql = f"SELECT n_name, COUNT(1) AS n FROM {db}.nation JOIN {db}.customer ON c_nationkey = n_nationkey WHERE n_regionkey = 1 GROUP BY n_name"
+    act(spark, {"Action": "query", "Request": {"SQL": sql}}, *[{"Action": k, "Request": {"Rows": "$Rows"}} for k in services], services=services)
+    return spark.createDataFrame(sent, "service string, nation string, n long")
 
 
 @register("action_reload", "SELECT r_regionkey, r_name FROM region WHERE r_regionkey <> 3")
@@ -285,25 +293,35 @@ def action_reload(spark, d):
     return spark.table(f"{db}.region")
 
 
-@register("batch_groups", "SELECT * FROM (VALUES (1, false), (2, false), (2, false), (3, true)) v(member, done)")
+@register("batch_groups", "SELECT n_regionkey AS grp, MAX(n_nationkey) AS last_member, COUNT(*) AS members FROM nation GROUP BY 1")
 def batch_groups(spark, d):
-    """Members of one group report from contexts of their own; the nested action runs at the last."""
-    groups, seen = f"{scratch(spark)}.groups", []
-    run.open_group(run.Context(spark, group_table=groups), "g", 3)
-    for member in (1, 2, 2, 3):
-        ctx = act(spark, {"Action": "group", "Request": {"ID": "g", "Member": str(member)}, "OnSuccess": [{"Action": "call", "Request": {}}]}, services={"call": lambda r: {"Ran": True}}, group_table=groups)
-        seen.append((member, ctx.variables.values.get("Ran", False)))
-    return spark.createDataFrame(seen, "member int, done boolean")
-
-
-@register("journal_replay", "SELECT * FROM (VALUES ('e1', 'lake.a'), ('e4', 'lake.b')) v(event_id, dest)")
+    """A group for each region: its nations report from contexts of their own, some twice; the last lets the group's query run."""
+    db = scratch(spark)
+    publish.write(table(spark, d, "nation").select("n_nationkey", "n_regionkey"), f"{db}.nation")
+    publish.create(spark, f"{db}.done", table(spark, d, "nation").selectExpr("n_regionkey AS grp", "n_nationkey AS last_member", "count(1) over () AS members").schema)
+    sizes = spark.table(f"{db}.nation").groupBy("n_regionkey").count().collect()
+    for r in sizes:
+        run.open_group(run.Context(spark, group_table=f"{db}.groups"), str(r[0]), r[1])
+    for n in spark.table(f"{db}.nation").orderBy("n_nationkey").collect():
+        sql = f"INSERT INTO {db}.done SELECT n_regionkey, {n[0]}, COUNT(1) FROM {db}.nation WHERE n_regionkey = {n[1]} GROUP BY 1"
+        group = {"Action": "group", "Request": {"ID": str(n[1]), "Member": str(n[0])}, "OnSuccess": [{"Action": "query", "Request": {"SQL": sql}}]}
+        for _ in range(2 if n[0] % 12 == 0 else 1):
+            act(spark, group, group_table=f"{db}.groups")
+    return spark.table(f"{db}.done")
+
+
+@register("journal_replay", "SELECT event_id, event_type AS dest FROM events WHERE user_id % 5 = 0 AND event_id % 3 < 2")
 def journal_replay(spark, d):
-    """Runs that began and neither ended nor failed; a run that ended is not taken up again."""
+    """Runs that began and neither ended nor failed, of a journal with up to three states an event."""
     journal = run.Journal(spark, f"{scratch(spark)}.journal")
-    for event, dest, states in (("e1", "lake.a", ["running"]), ("e2", "lake.a", ["running", "done"]), ("e3", "lake.b", ["running", "failed"]), ("e4", "lake.b", ["failed", "running"])):
-        for state in states:
-            journal.put(event, "r", dest, state, [f"s3://x/{event}.json"])
-    return journal.replay(datetime.now(timezone.utc) + timedelta(seconds=1)).select("event_id", "dest")
+    events = table(spark, d, "events").where("user_id % 5 = 0").withColumn("at", F.col("ts").cast("timestamp"))
+    states = F.when(F.col("event_id") % 3 == 0, F.array(F.lit("running"))).when(F.col("event_id") % 3 == 1, F.array(F.lit("failed"), F.lit("running"), F.lit("published"))).otherwise(F.array(F.lit("running"), F.lit("done")))
+    rows = events.select(F.col("event_id").cast("string").alias("event_id"), F.lit("r").alias("rule"), F.col("event_type").alias("dest"), F.posexplode(states).alias("n", "state"), "at")
+    put = rows.select("event_id", "rule", "dest", "state", F.array(F.concat(F.lit("s3://x/"), "event_id")).alias("urls"), (F.col("at") + F.make_dt_interval(secs=F.col("n"))).alias("at"), F.lit(None).cast("string").alias("error"))
+    put.repartition(24).write.insertInto(journal.table)
+    journal.most = 8
+    journal.compact()
+    return journal.replay(datetime.now(timezone.utc) + timedelta(seconds=1)).select(F.col("event_id").cast("long").alias("event_id"), "dest")
 
 
 # --- tables ------------------------------------------------------------------------------------
@@ -320,15 +338,20 @@ def template_patch_nested(spark, d):
     return spark.table(f"{db}.supplier").select("s_suppkey", "meta.name", "meta.rank")
 
 
-@register("expiry_sweep", "SELECT * FROM (VALUES ('customer', true), ('old', false), ('later', true)) v(name, there)")
+@register("expiry_sweep", "SELECT c_mktsegment AS segment, COUNT(*) AS n FROM customer GROUP BY 1 HAVING MAX(c_custkey) % 2 = 1 OR COUNT(*) % 3 = 0")
 def expiry_sweep(spark, d):
+    """A table for each segment, with a time to go that its rows decide; those that stay are read."""
     db, now = scratch(spark), datetime.now(timezone.utc)
-    for name in ("customer", "old", "later"):
-        publish.write(table(spark, d, "region"), f"{db}.{name}")
-    publish.set_expiry(spark, f"{db}.old", 60, now - timedelta(hours=1))
-    publish.set_expiry(spark, f"{db}.later", 60, now)
-    publish.sweep(spark, db, now)
-    return spark.createDataFrame([(n, publish.exists(spark, f"{db}.{n}")) for n in ("customer", "old", "later")], "name string, there boolean")
+    customers = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
+    segments = customers.groupBy("c_mktsegment").agg(F.max("c_custkey").alias("most"), F.count("*").alias("n")).orderBy("c_mktsegment").collect()
+    publish.write_split(customers, [(f"c_mktsegment = '{r[0]}'", f"{db}.s{k}") for k, r in enumerate(segments)])
+    for k, r in enumerate(segments):
+        stays = r["most"] % 2 == 1 or r["n"] % 3 == 0
+        publish.set_expiry(spark, f"{db}.s{k}", 60, now if stays else now - timedelta(hours=1))
+    gone = set(publish.sweep(spark, db, now))
+    left = [spark.table(f"{db}.s{k}") for k in range(len(segments)) if f"{db}.s{k}" not in gone]
+    rows = reduce(DataFrame.union, left) if left else customers.limit(0)
+    return rows.groupBy(F.col("c_mktsegment").alias("segment")).agg(F.count("*").alias("n"))
 
 
 @register("copy_with_template", "SELECT c_custkey, c_name, CAST(NULL AS DOUBLE) AS score FROM customer")
@@ -394,3 +417,199 @@ def stream_ingest(spark, d):
         collect_manifest(spark, f"{at}/in", rule, f"{db}.manifest", f"{at}/state").awaitTermination()
         run_due(spark, rule, f"{db}.manifest", later, journal)
     return spark.table(f"{db}.region")
+
+
+# --- changes as a whole -------------------------------------------------------------------------
+
+
+@register(
+    "merge_upsert",
+    """
+    SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, o_orderstatus FROM orders WHERE o_orderkey % 15 <> 5
+    UNION ALL SELECT -o_orderkey - 1, o_totalprice, 'N' FROM orders WHERE o_orderkey % 100 = 0
+    """,
+)
+def merge_upsert(spark, d):
+    """New prices for a third of the orders, some of them gone, and orders that are new, in one MERGE."""
+    db = scratch(spark)
+    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    publish.create(spark, f"{db}.orders", orders.schema, ["o_orderstatus"])
+    publish.write(orders, f"{db}.orders")
+    given = orders.where("o_orderkey % 3 = 0 or o_orderkey % 15 = 5").select("o_orderkey", F.expr("if(o_orderkey % 3 = 0, o_totalprice + 1, NULL)").alias("price"))
+    new = orders.where("o_orderkey % 100 = 0").select((-F.col("o_orderkey") - 1).alias("o_orderkey"), F.col("o_totalprice").alias("price"))
+    publish.write(given.union(new), f"{db}.given")
+    sql = (
+        f"MERGE INTO {db}.orders AS t USING {db}.given AS s ON t.o_orderkey = s.o_orderkey WHEN MATCHED AND s.price IS NULL THEN DELETE"
+        " WHEN MATCHED THEN UPDATE SET o_totalprice = s.price WHEN NOT MATCHED THEN INSERT (o_orderkey, o_totalprice, o_orderstatus) VALUES (s.o_orderkey, s.price, 'N')"
+    )
+    act(spark, {"Action": "query", "Request": {"SQL": sql}})
+    return spark.table(f"{db}.orders")
+
+
+@register("delete_rows", "SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity > 40 THEN l_quantity - 40 ELSE l_quantity END AS l_quantity, l_returnflag FROM lineitem WHERE NOT (l_returnflag = 'R' AND l_discount > 0.05)")
+def delete_rows(spark, d):
+    db = scratch(spark)
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag")
+    publish.create(spark, f"{db}.lines", lines.schema, ["l_returnflag"])
+    publish.write(lines, f"{db}.lines")
+    for sql in (f"DELETE FROM {db}.lines WHERE l_returnflag = 'R' AND l_discount > 0.05", f"UPDATE {db}.lines SET l_quantity = l_quantity - 40 WHERE l_quantity > 40"):
+        act(spark, {"Action": "query", "Request": {"SQL": sql}})
+    return spark.table(f"{db}.lines").drop("l_discount")
+
+
+@register(
+    "published_once",
+    "SELECT o_orderkey, 'even' AS half FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT o_orderkey, 'odd' FROM orders WHERE o_orderkey % 2 = 1",
+)
+def published_once(spark, d):
+    """A split whose action fails after it is published, and a second run of the event: every row is there once."""
+    db, at = folder(spark)
+    orders = table(spark, d, "orders").select("o_orderkey")
+    orders.write.json(f"{at}/in")
+    publish.create(spark, f"{db}.orders", orders.schema)
+    split = {"Mapping": [{"When": f"MOD(o_orderkey, 2) = {k}", "Then": f"{db}.{n}"} for k, n in enumerate(("even", "odd"))]}
+    rule = rules.parse({"Dest": {"Table": f"{db}.orders", "Transient": {"Dataset": "t"}, "Schema": {"Template": f"{db}.orders", "Split": split}}, "OnSuccess": [{"Action": "call", "Request": {}}]})
+    files, journal, calls = files_in(spark, f"{at}/in"), run.Journal(spark, f"{db}.journal"), []
+
+    def service(_):
+        calls.append(1)
+        if len(calls) == 1:
+            raise ConnectionError("no answer")
+
+    with suppress(ConnectionError):
+        run.ingest(spark, rule, files, "e", journal, run.Context(spark, services={"call": service}))
+    run.ingest(spark, rule, files, "e", journal, run.Context(spark, services={"call": service}))
+    return reduce(DataFrame.union, [spark.table(f"{db}.{n}").withColumn("half", F.lit(n)) for n in ("even", "odd")])
+
+
+@register(
+    "parquet_field_addition",
+    """
+    SELECT c_custkey, c_name, CASE WHEN c_nationkey < 12 THEN c_nationkey END AS nation, CASE WHEN c_nationkey < 12 THEN c_acctbal END AS balance
+    FROM customer WHERE c_nationkey < 20
+    """,
+)
+def parquet_field_addition(spark, d):
+    """Files with more columns, with fewer, and with a column of a type that doesn't fit, which alone stays out."""
+    db, at = folder(spark)
+    rows = table(spark, d, "customer")
+    publish.create(spark, f"{db}.customer", T._parse_datatype_string("c_custkey bigint, c_name string, nation bigint"))
+    rows.where("c_nationkey < 12").select("c_custkey", "c_name", F.col("c_nationkey").alias("nation"), F.col("c_acctbal").alias("balance")).write.parquet(f"{at}/in/more")
+    rows.where("c_nationkey between 12 and 19").select("c_custkey", "c_name").write.parquet(f"{at}/in/fewer")
+    rows.where("c_nationkey >= 20").select("c_custkey", "c_name", F.lit("x").alias("nation")).write.parquet(f"{at}/in/unfit")
+    rule = rules.parse({"Dest": {"Table": f"{db}.customer", "SourceFormat": "PARQUET", "AllowFieldAddition": True}})
+    run.ingest(spark, rule, files_in(spark, f"{at}/in", "*.parquet"), "e")
+    return spark.table(f"{db}.customer")
+
+
+@register("csv_quoted_leading", "SELECT page_id, url, html FROM pages WHERE html NOT LIKE '%' || chr(13) || '%' AND html NOT LIKE '%\\%'")
+def csv_quoted_leading(spark, d):
+    """Whole pages, with their breaks and quotes, in CSV files behind three leading rows, one of them of two lines."""
+    db, at = folder(spark)
+    pages = table(spark, d, "pages").select("page_id", "url", "html").where("html NOT LIKE '%\r%' AND NOT contains(html, '\\\\')")
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    line = F.concat_ws(",", F.col("page_id").cast("string"), quoted(F.col("url")), quoted(F.col("html")))
+    head = spark.createDataFrame([(0, 'made by\n"a report\nof two lines"\npage_id,url,html')], "n int, value string")
+    for k in range(2):
+        body = pages.where(F.col("page_id") % 2 == k).select(F.lit(1).alias("n"), line.alias("value"))
+        head.union(body).orderBy("n").coalesce(1).select("value").write.text(f"{at}/in/{k}")
+    publish.create(spark, f"{db}.pages", pages.schema)
+    rule = rules.parse({"Dest": {"Table": f"{db}.pages", "SourceFormat": "CSV", "SkipLeadingRows": 3, "AllowQuotedNewlines": True}})
+    rule.options.options["escape"] = '"'
+    run.ingest(spark, rule, files_in(spark, f"{at}/in", "*.txt"), "e")
+    return spark.table(f"{db}.pages")
+
+
+def _two_loads(spark, d) -> run.Journal:
+    """Nations by region with a corrupt file beside them, and suppliers, each one event of a journal."""
+    db, at = folder(spark)
+    journal = run.Journal(spark, f"{db}.journal")
+    nation = table(spark, d, "nation").select("n_nationkey", "n_name", F.col("n_regionkey").alias("k"))
+    nation.repartition(1).write.partitionBy("k").json(f"{at}/in/nation")
+    spark.createDataFrame([("{broken",)], "value string").coalesce(1).write.text(f"{at}/in/bad")
+    table(spark, d, "supplier").select("s_suppkey", "s_name").repartition(2).write.json(f"{at}/in/supplier")
+    files = {"nation": files_in(spark, f"{at}/in/nation") + files_in(spark, f"{at}/in/bad", "*.txt"), "supplier": files_in(spark, f"{at}/in/supplier")}
+    for name, columns in (("nation", "n_nationkey int, n_name string"), ("supplier", "s_suppkey bigint, s_name string")):
+        publish.create(spark, f"{db}.{name}", T._parse_datatype_string(columns))
+        run.ingest(spark, rules.parse({"Dest": {"Table": f"{db}.{name}", "SourceFormat": "JSON"}}, name), files[name], f"e_{name}", journal)
+    return journal
+
+
+@register(
+    "load_metrics",
+    "SELECT 'nation' AS rule, COUNT(*) AS n_rows, COUNT(DISTINCT n_regionkey) AS n_valid, 1 AS n_bad FROM nation UNION ALL SELECT 'supplier', COUNT(*), 2, 0 FROM supplier",
+)
+def load_metrics(spark, d):
+    """What two loads counted while they wrote: rows, and files by what became of them."""
+    of = lambda kind: F.size(F.filter("files", lambda f: f["kind"] == kind)).cast("long")
+    loads = spark.table(_two_loads(spark, d).loads)
+    return loads.select("rule", F.col("rows").alias("n_rows"), of("valid").alias("n_valid"), of("corrupted").cast("int").alias("n_bad"))
+
+
+@register(
+    "monitor_report",
+    """
+    SELECT (SELECT COUNT(*) FROM nation) + (SELECT COUNT(*) FROM supplier) AS all_rows, 2 AS n_done, * FROM (
+        SELECT 'nation' AS rule, COUNT(*) AS n_rows, 1 AS done, 0 AS running, 1 AS n_corrupted FROM nation UNION ALL SELECT 'supplier', COUNT(*), 1, 0, 0 FROM supplier)
+    """,
+)
+def monitor_report(spark, d):
+    journal = _two_loads(spark, d)
+    report = monitor.load_report(journal.latest(), spark.table(journal.loads), F.current_timestamp())
+    rows = report.select("rows", "n_done", F.explode("dests").alias("x"))
+    return rows.select(F.col("rows").alias("all_rows"), F.col("n_done").cast("int").alias("n_done"), "x.rule", F.col("x.rows").alias("n_rows"), F.col("x.done.count").cast("int").alias("done"), F.col("x.running.count").cast("int").alias("running"), F.col("x.n_corrupted").cast("int").alias("n_corrupted"))
+
+
+@register("clustered_split", "SELECT event_id, user_id, event_type = 'click' AS clicked FROM events")
+def clustered_split(spark, d):
+    """A rule that splits files by type and keeps rows together by day, user and value in every destination."""
+    db, at = folder(spark)
+    events = table(spark, d, "events").select("event_id", "event_type", "user_id", F.struct("value").alias("info"), F.col("ts").cast("timestamp").alias("ts"))
+    events.write.parquet(f"{at}/in")
+    publish.create(spark, f"{db}.events", events.schema)
+    split = {"ClusterColumns": ["user_id", "info.value"], "TimeColumn": "ts", "Mapping": [{"When": "event_type = 'click'", "Then": f"{db}.clicks"}, {"When": "event_type <> 'click'", "Then": f"{db}.others"}]}
+    rule = rules.parse({"Dest": {"Table": f"{db}.events", "SourceFormat": "PARQUET", "Transient": {"Dataset": "t"}, "Schema": {"Split": split}}})
+    run.ingest(spark, rule, files_in(spark, f"{at}/in", "*.parquet"), "e")
+    return reduce(DataFrame.union, [spark.table(f"{db}.{n}").select("event_id", "user_id", F.lit(n == "clicks").alias("clicked")) for n in ("clicks", "others")])
+
+
+@register("large_response", "SELECT l_suppkey, COUNT(*) AS n FROM lineitem GROUP BY 1")
+def large_response(spark, d):
+    """A query whose rows no response holds, and one after it that reads all of them."""
+    db = scratch(spark)
+    publish.write(table(spark, d, "lineitem").select("l_orderkey", "l_suppkey"), f"{db}.lines")
+    read = {"Action": "query", "Request": {"SQL": f"SELECT l_orderkey, l_suppkey FROM {db}.lines"}}
+    ctx = act(spark, read)
+    rows = ctx.variables.values.get("RowsTable")
+    if rows is None:  # few enough for the response itself
+        spark.createDataFrame(ctx.variables.values["Rows"], "l_orderkey long, l_suppkey long").createOrReplaceTempView(rows := f"held_{uuid.uuid4().hex}")
+    return spark.sql(f"SELECT l_suppkey, COUNT(1) AS n FROM {rows} GROUP BY l_suppkey")
+
+
+@register("offset_sql", "SELECT c_custkey, CAST(k - 1 AS INTEGER) AS place, parts[k] AS part FROM (SELECT c_custkey, string_split(c_name, '#') AS parts FROM customer), unnest(range(1, len(parts) + 1)) AS t(k)")
+def offset_sql(spark, d):
+    """A delimiter in double quotes, and the places of an array's elements."""
+    view = f"customers_{uuid.uuid4().hex[:8]}"
+    table(spark, d, "customer").createOrReplaceTempView(view)
+    return publish.query(spark, f'SELECT t.c_custkey, o AS place, p AS part FROM {view} t, UNNEST(SPLIT(t.c_name, "#")) AS p WITH OFFSET AS o')
+
+
+@register("window_stream", "SELECT r_regionkey, r_name FROM region")
+def window_stream(spark, d):
+    """Windows kept open in a stream's state, over a restart with files that come late; all rows count once."""
+    from siltworks.streaming.windows import run_windows
+
+    db, at = folder(spark)
+    region = table(spark, d, "region").select("r_regionkey", "r_name", F.col("r_regionkey").alias("k"))
+    publish.create(spark, f"{db}.region", region.drop("k").schema)
+    rule = rules.parse({"When": {"Prefix": "/", "Suffix": ".json"}, "Dest": {"Table": f"{db}.region"}, "Batch": {"Window": {"DurationInSec": 10}, "MultiPath": True}})
+    journal, ran = run.Journal(spark, f"{db}.journal"), []
+    for part in ("k < 3", "k >= 3"):
+        region.where(part).repartition(1).write.mode("append").partitionBy("k").json(f"{at}/in")
+        want = len(files_in(spark, f"{at}/in"))
+        query = run_windows(spark, f"{at}/in", rule, f"{at}/state", journal, ahead_seconds=3600, trigger={"processingTime": "1 second"}, ran=ran)
+        end = time.time() + 120
+        while sum(len(o.rows_from) for o in ran) < want and time.time() < end and query.exception() is None:
+            time.sleep(0.2)
+        query.stop()
+    return spark.table(f"{db}.region")

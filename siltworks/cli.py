@@ -21,6 +21,8 @@ from siltworks.streaming.ingest import collect_manifest, run_due
 
 #: Files written in the last few seconds may still grow.
 SETTLED_SECONDS = 5
+#: Files of one batch at most.
+PAGE = 10_000
 
 
 def parser() -> argparse.ArgumentParser:
@@ -50,7 +52,7 @@ def rule_of(args: argparse.Namespace) -> rules.Rule:
 
 
 def load(spark: SparkSession, args: argparse.Namespace, rule: rules.Rule) -> list[Outcome]:
-    """Load the rule's settled files that the journal doesn't have, as one batch for each table."""
+    """Load the rule's settled files that the journal doesn't have, in batches of up to PAGE for each table."""
     journal = Journal(spark, args.journal) if args.journal else None
     if args.stream:
         collect_manifest(spark, args.src, rule, args.manifest, args.checkpoint).awaitTermination()
@@ -59,11 +61,21 @@ def load(spark: SparkSession, args: argparse.Namespace, rule: rules.Rule) -> lis
     if journal:
         done = journal.latest().where("state = 'done'").select(F.explode("urls").alias("url"))
         files = fs.valid_files(files, done)
-    by_dest: dict[str, list[SourceFile]] = {}
-    for row in files.orderBy("modified", "url").collect():
-        f = SourceFile(row["url"], row["modified"].astimezone())
-        by_dest.setdefault(rule.destination(f), []).append(f)
-    return [ingest(spark, rule, own, str(fnv1a("|".join(f.url for f in own))), journal) for _, own in sorted(by_dest.items())]
+    placed = files.withColumn("dest", rule.destinations(F.col("url"), F.col("modified"))).orderBy("dest", "modified", "url")
+    out, page, dest = [], [], None
+
+    def run() -> None:
+        if page:
+            out.append(ingest(spark, rule, page, str(fnv1a("|".join(f.url for f in page))), journal))
+
+    # the driver holds the files of one batch, and of one partition of the list
+    for row in placed.toLocalIterator():
+        if row["dest"] != dest or len(page) >= PAGE:
+            run()
+            page, dest = [], row["dest"]
+        page.append(SourceFile(row["url"], row["modified"].astimezone()))
+    run()
+    return out
 
 
 def main(argv: list[str] | None = None) -> int:

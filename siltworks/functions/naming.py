@@ -131,19 +131,115 @@ def parameters(params: list[Param], pattern: str | None, path: str) -> dict[str,
 
 
 def expand(text: str, source: SourceFile, pattern: str | None = None, params: list[Param] | None = None, hour24: bool = False) -> str:
-    """Expand $Mod(n), $Date, $Hour, $1.. and named parameters, in this order.
+    """Expand $Mod(n), $Date, $Hour, $1.. and named parameters, in one pass.
 
     $Mod is the hash of the source's URL modulo n. $Date and $Hour are of its modification
     time in UTC; $Hour is on a 12-hour clock unless hour24 is set.
     """
-    text = re.sub(r"\$Mod\((\d+)\)", lambda m: str(fnv1(source.url) % int(m[1])), text)
-    at = source.modified.astimezone(timezone.utc)
-    text = text.replace("$Date", at.strftime("%Y%m%d")).replace("$Hour", at.strftime("%H" if hour24 else "%I"))
-    groups = groups_of(pattern, source.path)
-    text = _numbered(text, groups)
-    for name, value in sorted(parameters(params or [], pattern, source.path).items(), key=lambda kv: -len(kv[0])):
-        text = re.sub(rf"\$(?:{re.escape(name)}\b|\{{{re.escape(name)}\}})", lambda _, v=value: v, text)
-    return text
+    at, groups = source.modified.astimezone(timezone.utc), groups_of(pattern, source.path)
+    named = parameters(params or [], pattern, source.path)
+
+    def one(m: re.Match) -> str:
+        if m[1]:
+            return str(fnv1(source.url) % int(m[1]))
+        if m[2] or m[3]:
+            return at.strftime("%Y%m%d" if m[2] else "%H" if hour24 else "%I")
+        return groups.get(int(m[4]), m[0]) if m[4] else named[m[5] or m[6]]
+
+    return _tokens(named).sub(one, text)
+
+
+def _tokens(names) -> re.Pattern:
+    """What names are expanded from: $Mod(n), $Date, $Hour, $1.., ${Name} and $Name, the longest name first."""
+    known = "|".join(re.escape(n) for n in sorted(names, key=len, reverse=True)) or r"(?!)"
+    return re.compile(rf"\$Mod\((\d+)\)|(\$Date)|(\$Hour)|\$(\d+)|\$\{{({known})\}}|\$({known})\b")
+
+
+_CALL = re.compile(r"\$(ToLower|ToUpper|Replace)\(|\$(\d+)")
+
+
+def text_column(expression: str, group) -> Column:
+    """What `parameters` makes of one expression, as a column; group(k) is the column of a pattern's group."""
+
+    def parts(at: int, inner: bool) -> tuple[list[list[Column]], int]:
+        # arguments of a call, or the whole text as one; commas and brackets count within calls only
+        args, text = [[]], ""
+
+        def flush():
+            nonlocal text
+            if text:
+                args[-1].append(F.lit(text))
+                text = ""
+
+        while at < len(expression):
+            if found := _CALL.match(expression, at):
+                flush()
+                at = found.end()
+                if found[2]:
+                    args[-1].append(group(int(found[2])))
+                    continue
+                own, at = parts(at, True)
+                x = joined(own[0])
+                if found[1] == "Replace":
+                    a, b = (F.regexp_replace(F.trim(joined(y)), "^'+|'+$", "") for y in own[1:3])
+                    args[-1].append(F.replace(x, a, b))
+                else:
+                    args[-1].append(F.lower(x) if found[1] == "ToLower" else F.upper(x))
+                continue
+            c, at = expression[at], at + 1
+            if inner and c == ")":
+                flush()
+                return args, at
+            if inner and c == ",":
+                flush()
+                args.append([])
+            else:
+                text += c
+        flush()
+        return args, at
+
+    joined = lambda columns: F.concat(*columns) if columns else F.lit("")
+    return joined(parts(0, False)[0][0])
+
+
+def expanded(text: str, url: Column, modified: Column, pattern: str | None = None, params: list[Param] | None = None, hour24: bool = False) -> Column:
+    """`expand` for every file at once, as a column: only $Mod's hash leaves the JVM."""
+    path = F.regexp_replace(url, r"^[a-zA-Z][\w+.-]*:/*(?=/)|^(gs|s3|s3a)://[^/]+", "")
+    n_groups = re.compile(pattern).groups if pattern else 0
+
+    def group(k: int) -> Column:
+        if not 1 <= k <= n_groups:
+            return F.lit(f"${k}")
+        return F.when(path.rlike(pattern), F.regexp_extract(path, pattern, k)).otherwise(F.lit(f"${k}"))
+
+    named = {p.name: text_column(p.expression, group) for p in params or []}
+    token = _tokens(named)
+    at_utc = F.to_utc_timestamp(modified.cast("timestamp"), F.current_timezone())
+    out, at = [], 0
+    for m in token.finditer(text):
+        out.append(F.lit(text[at : m.start()]))
+        at = m.end()
+        if m[1]:
+            out.append(_shard(url, int(m[1])).cast("string"))
+        elif m[2] or m[3]:
+            out.append(F.date_format(at_utc, "yyyyMMdd" if m[2] else "HH" if hour24 else "hh"))
+        else:
+            out.append(group(int(m[4])) if m[4] else named[m[5] or m[6]])
+    return F.concat(*out, F.lit(text[at:]))
+
+
+def _shard(url: Column, n: int) -> Column:
+    @F.pandas_udf("long")
+    def shard(urls: pd.Series) -> pd.Series:
+        return fnv1_many(urls) % n
+
+    return shard(url)
+
+
+def table_name(reference: Column) -> Column:
+    """The session catalog's name of a table reference, without project and partition."""
+    plain = F.regexp_replace(F.regexp_replace(reference, "^`|`$", ""), r"^[^:]*:|^[^.]*\.(?=[^.]*\.)", "")
+    return F.regexp_replace(plain, r"\$.*$", "")
 
 
 @dataclass

@@ -299,12 +299,8 @@ def url_pattern_params(spark, d):
     params = [naming.Param("scheme", "$ToLower($1)"), naming.Param("host", "$Replace($2, '.', '_')")]
     pattern = r"^(https?)://([^/]+)/"
 
-    @F.pandas_udf("struct<scheme string, host string>")
-    def named(url: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([naming.parameters(params, pattern, u) for u in url], columns=["scheme", "host"])
-
-    found = F.when(F.col("url").rlike(pattern), named("url"))
-    return table(spark, d, "pages").select("page_id", found.alias("x")).select("page_id", F.coalesce("x.scheme", F.lit("")).alias("scheme"), F.coalesce("x.host", F.lit("")).alias("host"))
+    group = lambda k: F.regexp_extract("url", pattern, k)
+    return table(spark, d, "pages").select("page_id", *[naming.text_column(p.expression, group).alias(p.name) for p in params])
 
 
 @register(

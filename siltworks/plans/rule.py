@@ -6,10 +6,10 @@ import json
 from dataclasses import dataclass, field
 
 import yaml
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.functions.naming import Param, SourceFile, expand, groups_of
+from siltworks.functions.naming import Param, SourceFile, expand, expanded, groups_of
 from siltworks.operators.transform import SideInput
 from siltworks.sources.files import LoadOptions, Match
 
@@ -107,6 +107,10 @@ class Rule:
     def destination(self, source: SourceFile) -> str:
         return expand(self.table, source, self.pattern, self.params)
 
+    def destinations(self, url: Column, modified: Column) -> Column:
+        """The destination of every file of a table of files."""
+        return expanded(self.table, url, modified, self.pattern, self.params)
+
     def validate(self) -> None:
         if not self.table and not ((self.template or self.autodetect) and self.transient):
             raise InvalidRule("a table is needed")

@@ -164,12 +164,8 @@ def rule_destinations(spark, d):
     """The destination table of each file, with its date, pattern groups and named parameters."""
     rule = rules.parse({"When": {"Prefix": "/data/"}, "Dest": {"Table": "p:lake.t_$1_$Date_$Kind", "Pattern": "/data/([^/]+)/", "Parameters": [{"Name": "Kind", "Expression": "$Replace($ToUpper($1), 'I', 'X')"}]}})
 
-    @F.pandas_udf("string")
-    def dest(url: pd.Series, modified: pd.Series) -> pd.Series:
-        at = pd.to_datetime(modified, utc=True)
-        return pd.Series([naming.TableRef.parse(rule.destination(naming.SourceFile(u, t.to_pydatetime()))).name for u, t in zip(url, at, strict=True)])
-
-    return pseudo_files(spark, d).select("event_id", dest("url", F.col("modified").cast("timestamp")).alias("dest"))
+    dest = naming.table_name(rule.destinations(F.col("url"), F.col("modified")))
+    return pseudo_files(spark, d).select("event_id", dest.alias("dest"))
 
 
 @register(

@@ -55,7 +55,7 @@ def run_due(spark: SparkSession, rule: Rule, table: str, now: Column, journal: J
     files = spark.table(table).join(done, "url", "left_anti")
     windows = batch_windows(files, rule.window_seconds, F.lit(rule.table), rule.multi_path, rule.pattern if rule.pattern_hash else None, rule.roll_over, rule.match.suffix)
     out = []
-    for row in due_windows(windows, now, delay_seconds).orderBy("window_end", "group").collect():
+    for row in due_windows(windows, now, delay_seconds).orderBy("window_end", "group").toLocalIterator():
         members = [SourceFile(f["url"], _aware(f["modified"])) for f in row["files"]]
         by_dest: dict[str, list[SourceFile]] = {}
         for m in members:

@@ -122,3 +122,23 @@ def test_dialect_runs(spark):
 def test_split_is_literal(spark):
     row = spark.sql("SELECT 'a.b' AS s").selectExpr(dialect.to_spark("SPLIT(s, '.')") + " AS x").first()
     assert row["x"] == ["a", "b"]
+
+
+def test_columns_of_names_agree_with_names(spark):
+    """Every file at once and one by one give the same destinations."""
+    from datetime import datetime, timedelta, timezone
+
+    from pyspark.sql import functions as F
+
+    params = [naming.Param("Kind", "$Replace($ToUpper($1), 'I', 'X')_k"), naming.Param("KindOf", "of_$2"), naming.Param("Odd", "$ToLower($Replace($1, C, '.'))-$9")]
+    pattern, at = r"/data/([^/]+)/(\d*)", datetime(2024, 2, 29, 23, 30, tzinfo=timezone.utc)
+    urls = ["s3://lake/data/click/12/a.json", "s3://lake/data/viEw/x.json", "file:/data/Cc/7", "hdfs://h:9/other/é.json", "/data/a.b-c/0/z"]
+    files = [naming.SourceFile(u, at + timedelta(hours=7 * k)) for k, u in enumerate(urls)]
+    df = spark.createDataFrame([(f.url, f.modified) for f in files], "url string, modified timestamp")
+    for text in ("lake.t_$1_$Date", "p:lake.$Kind$Hour", "p.lake.t_$Mod(7)_$KindOf_${Odd}_$2$3", "lake.plain"):
+        for hour24 in (False, True):
+            got = [r[0] for r in df.select(naming.expanded(text, F.col("url"), F.col("modified"), pattern, params, hour24)).collect()]
+            assert got == [naming.expand(text, f, pattern, params, hour24) for f in files]
+    names = ["p:d.t", "p.d.t$20240101", "d.t", "`p.d.t`"]
+    got = [r[0] for r in spark.createDataFrame([(n,) for n in names], "n string").select(naming.table_name(F.col("n"))).collect()]
+    assert got == [naming.TableRef.parse(n).name for n in names]

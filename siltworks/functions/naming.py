@@ -212,7 +212,13 @@ def expanded(text: str, url: Column, modified: Column, pattern: str | None = Non
             return F.lit(f"${k}")
         return F.when(path.rlike(pattern), F.regexp_extract(path, pattern, k)).otherwise(F.lit(f"${k}"))
 
-    named = {p.name: text_column(p.expression, group) for p in params or []}
+    def value(expression: str) -> Column:
+        # without its groups a text function has nothing to work on and stays as it is written
+        if not re.search(r"\$\d", expression):
+            return text_column(expression, group)
+        return F.when(path.rlike(pattern), text_column(expression, group)).otherwise(F.lit(expression)) if pattern else F.lit(expression)
+
+    named = {p.name: value(p.expression) for p in params or []}
     token = _tokens(named)
     at_utc = F.to_utc_timestamp(modified.cast("timestamp"), F.current_timezone())
     out, at = [], 0

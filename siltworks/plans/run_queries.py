@@ -415,6 +415,31 @@ def stream_ingest(spark, d):
     return spark.table(f"{db}.region")
 
 
+@register("windowed_counts", "SELECT epoch_us(ts) // 1000000 // 600 * 600 AS start_sec, event_type, COUNT(*) AS n FROM events GROUP BY 1, 2")
+def windowed_counts(spark, d):
+    """Counts by tumbling window of a stream of event files, once all of them are there, under a watermark."""
+    from siltworks.streaming.ingest import windowed_counts as counts
+
+    db, at = folder(spark)
+    events = table(spark, d, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("at"))
+    events.repartition(3).write.parquet(f"{at}/in")
+    stream = spark.readStream.schema(events.schema).parquet(f"{at}/in")
+    sink = f"counts_{uuid.uuid4().hex[:8]}"
+    query = counts(stream, "at", 600, 3600, ["event_type"]).writeStream.format("memory").queryName(sink).outputMode("complete").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.table(sink).select(F.unix_timestamp("window_start").alias("start_sec"), "event_type", F.col("count").alias("n"))
+
+
+@register("rules_by_table", "SELECT event_id, event_type AS rule FROM events WHERE event_type IN ('click', 'view')")
+def rules_by_table(spark, d):
+    """Files that the rules of one table take, of rules for every kind of event; a split counts by its tables."""
+    kinds = [r[0] for r in table(spark, d, "events").select("event_type").distinct().orderBy("event_type").collect()]
+    split = {"Split": {"Mapping": [{"When": "v > 0", "Then": "lake.clicks_and_views"}]}}
+    wide = lambda k: {"Table": f"lake.{k}", "Transient": {"Dataset": "t"}, "Schema": split}
+    found = [rules.parse({"When": {"Prefix": f"/data/{k}/"}, "Dest": {"Table": "p:lake.clicks_and_views"} if k == "click" else wide(k) if k == "view" else {"Table": f"lake.{k}"}}, k) for k in kinds]
+    return rules.assign_rules(pseudo_files(spark, d), rules.rules_for_table(found, "clicks_and_views")).where("rule is not null").select("event_id", "rule")
+
+
 # --- changes as a whole -------------------------------------------------------------------------
 
 

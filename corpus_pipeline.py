@@ -52,9 +52,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
-    folder = common.shared_folder(spark)
+    folder, read = f"{common.shared_folder(spark)}/pipeline-{uuid.uuid4().hex}", None
     for name, stage in STAGES[:-1]:
-        path = f"{folder}/pipeline-{uuid.uuid4().hex}/{name}"
+        path = f"{folder}/{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if read:
+            common.discard(spark, read)  # its only reader has written what it made of it
+        docs, read = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)

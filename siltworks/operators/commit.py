@@ -17,7 +17,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,6 +100,8 @@ class Change:
     removes: list[str] = field(default_factory=list)
     #: What stands in front of moved files' names, so that no other change has the same.
     mark: str = ""
+    #: Required columns that these rows have nulls in, which the table takes from now on.
+    relaxes: list[str] = field(default_factory=list)
 
 
 def location(spark: SparkSession, table: str) -> str:
@@ -124,29 +126,35 @@ def _removed(spark: SparkSession, table: str, moves: list[str], mode: str, touch
     return [f for f in there if _partition(f) in own]
 
 
-def stage(rows: DataFrame, table: str, mode: str = APPEND, only: dict[str, object] | None = None, touched: DataFrame | None = None, schema: T.StructType | None = None) -> Change:
+def stage(rows: DataFrame, table: str, mode: str = APPEND, only: dict[str, object] | None = None, touched: DataFrame | None = None, relax: bool = False) -> Change:
     """Write rows as a table has them to a folder beside its files; creates a missing table.
 
     With mode PARTITIONS, partitions that rows are of are replaced, and those that `touched` names
     (in the table's partition columns) too; with TOUCHED only the latter are, and other rows are
-    added. Of a table without partitions any row of `touched` stands for all. With `only`, a row of another partition fails it.
+    added. Of a table without partitions any row of `touched` stands for all. Nulls in required
+    columns fail the write, or with `relax` are counted by it and relax the column. With `only`, a row of another partition fails it.
     """
     spark = rows.sparkSession
     if not publish.exists(spark, table):
-        publish.create(spark, table, schema or rows.schema)
+        publish.create(spark, table, publish.optional(rows.schema))
     by = publish.partition_columns(spark, table)
     wanted = spark.table(table).schema
-    rows = publish.within(publish.required(publish.conform(rows, wanted), schema or wanted), only)
+    rows, needed, nulls = publish.conform(rows, wanted), publish.required_columns(spark, table), None
+    if needed and relax:
+        nulls = Observation(f"nulls_{uuid.uuid4().hex}")
+        rows = rows.observe(nulls, *[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in needed])
+    rows = publish.within(rows if relax else publish.required(rows, needed), only)
     folder = staging_folder(spark, table)
     (rows.write.partitionBy(*by) if by else rows.write).parquet(folder)
     moves = Files(spark).data(folder)
     named: set[tuple[str, ...]] = set()
     if touched is not None:
         named = {tuple(f"{c}={publish.folder_name(r[c])}" for c in by) for r in (touched.select(*by).distinct() if by else touched.limit(1)).collect()}
-    return Change(table, folder, moves, _removed(spark, table, moves, mode, named), f"{uuid.uuid4().hex[:12]}-")
+    relaxes = [c for c in needed if nulls.get[c]] if nulls is not None else []
+    return Change(table, folder, moves, _removed(spark, table, moves, mode, named), f"{uuid.uuid4().hex[:12]}-", relaxes)
 
 
-def stage_split(rows: DataFrame, mappings: list[tuple[str, str]], append: bool = True, template: str | None = None) -> list[Change]:
+def stage_split(rows: DataFrame, mappings: list[tuple[str, str]], append: bool = True, template: str | None = None, relax: bool = False) -> list[Change]:
     """Write the rows that meet each predicate for its table, all in one pass.
 
     Where a table has no partitions and takes the rows' types as they are, the files written are
@@ -157,26 +165,28 @@ def stage_split(rows: DataFrame, mappings: list[tuple[str, str]], append: bool =
         if template:
             publish.ensure(spark, table, template)
         elif not publish.exists(spark, table):
-            publish.create(spark, table, rows.schema)
+            publish.create(spark, table, publish.optional(rows.schema))
     folder = staging_folder(spark, first)
     parts = publish.split(rows, [(when, str(k)) for k, (when, _) in enumerate(mappings)]).withColumnRenamed("dest", "silt_dest")
     parts.write.partitionBy("silt_dest").parquet(folder)
     out, written, mode = [], Files(spark).data(folder), APPEND if append else OVERWRITE
     for k, (_, table) in enumerate(mappings):
         own, wanted = f"silt_dest={k}", {f.name.lower(): f for f in spark.table(table).schema}
-        plain = not publish.partition_columns(spark, table) and all(f.nullable for f in wanted.values())
+        plain = not publish.partition_columns(spark, table) and not publish.required_columns(spark, table)
         if plain and all(f.name.lower() in wanted and wanted[f.name.lower()].dataType == f.dataType for f in rows.schema):
             moves = [w.removeprefix(f"{own}/") for w in written if w.startswith(f"{own}/")]
             out.append(Change(table, f"{folder}/{own}", moves, _removed(spark, table, moves, mode), f"{uuid.uuid4().hex[:12]}-"))
         else:
             mine = spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("silt_dest", T.StringType())])).parquet(folder).where(F.col("silt_dest") == str(k)).drop("silt_dest")
-            out.append(stage(mine, table, mode))
+            out.append(stage(mine, table, mode, relax=relax))
     return out
 
 
 def apply(spark: SparkSession, change: Change) -> None:
     """Move a change's files to their table and remove those that go; what has been done is left."""
     files, base = Files(spark), location(spark, change.table)
+    if change.relaxes:
+        publish.relax(spark, change.table, change.relaxes)
 
     def moved(name: str) -> None:
         at, _, last = name.rpartition("/")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from datetime import datetime, timedelta, timezone
 
@@ -14,6 +15,7 @@ from siltworks.functions.dialect import is_dml, to_spark
 from siltworks.functions.naming import TableRef
 
 EXPIRES = "siltworks.expires_at"
+REQUIRED = "siltworks.required"
 
 
 def exists(spark: SparkSession, table: str) -> bool:
@@ -28,7 +30,30 @@ def create(spark: SparkSession, table: str, schema: T.StructType, partition_by:
     """Create the table, and its database, unless they exist."""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{table.split('.')[0]}`") if "." in table else None
     partitions = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({_ddl(schema)}) USING parquet{partitions}")
+    needed = [f.name for f in schema if not f.nullable]
+    noted = f" TBLPROPERTIES ('{REQUIRED}' = '{_quoted(json.dumps(needed))}')" if needed else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({_ddl(schema)}) USING parquet{partitions}{noted}")
+
+
+def optional(schema: T.StructType) -> T.StructType:
+    """A schema whose columns all take nulls: what rows happen to lack is no promise of their table."""
+    return T.StructType([T.StructField(f.name, f.dataType) for f in schema])
+
+
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def required_columns(spark: SparkSession, table: str) -> list[str]:
+    """Columns that take no nulls. Tables of files forget that of their schema, so it is a property."""
+    found = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == REQUIRED).collect()
+    return json.loads(found[0]["value"]) if found else []
+
+
+def relax(spark: SparkSession, table: str, columns: list[str]) -> None:
+    """Let columns take nulls from now on; no file is written anew."""
+    left = [c for c in required_columns(spark, table) if c not in columns]
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{REQUIRED}' = '{_quoted(json.dumps(left))}')")
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
@@ -63,7 +88,8 @@ def ensure(spark: SparkSession, table: str, template: str) -> None:
     """Create the table like a template, or patch it if it differs and can take the change."""
     schema = spark.table(template).schema
     if not exists(spark, table):
-        create(spark, table, schema, partition_columns(spark, template))
+        needed = required_columns(spark, template)
+        create(spark, table, T.StructType([T.StructField(f.name, f.dataType, f.name not in needed) for f in schema]), partition_columns(spark, template))
     elif not schemas.equal(spark.table(table).schema, schema):
         if not schemas.patchable(spark.table(table).schema, schema):
             raise ValueError(f"{table} can't take the schema of {template}")
@@ -94,9 +120,10 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*out)
 
 
-def required(df: DataFrame, schema: T.StructType) -> DataFrame:
+def required(df: DataFrame, columns: list[str]) -> DataFrame:
     """Fail on nulls in required columns, within the write itself."""
-    checks = {f.name: F.coalesce(F.col(f"`{f.name}`"), F.raise_error(F.lit(f"null in required column {f.name}"))) for f in schema if not f.nullable}
+    have = {c.lower(): c for c in df.columns}
+    checks = {have[c.lower()]: F.coalesce(F.col(f"`{have[c.lower()]}`"), F.raise_error(F.lit(f"null in required column {c}"))) for c in columns if c.lower() in have}
     return df.withColumns(checks) if checks else df
 
 
@@ -108,9 +135,9 @@ def write(df: DataFrame, table: str, append: bool = True, schema: T.StructType |
     """Append rows to a table or replace all of them, by column name; creates a missing table."""
     spark = df.sparkSession
     if not exists(spark, table):
-        create(spark, table, schema or df.schema)
-    wanted = schema or spark.table(table).schema
-    rows = required(conform(df, spark.table(table).schema), wanted)
+        create(spark, table, schema or optional(df.schema))
+    needed = [f.name for f in schema if not f.nullable] if schema else required_columns(spark, table)
+    rows = required(conform(df, spark.table(table).schema), needed)
     if not append and partition_columns(spark, table):
         with overwrite_mode(spark, "static"):
             _insert(rows, table, True)

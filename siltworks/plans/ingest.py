@@ -355,7 +355,7 @@ def _changes(spark: SparkSession, rule: Rule, rows: DataFrame, dest: str, temp:
         rows = publish.split_columns(rows, rule.cluster, rule.time_column)
         by = ([rule.time_column] if rule.time_column else []) + [c.rpartition(".")[2] for c in rule.cluster]
         rows = publish.clustered(rows, by) if by else rows
-        return commit.stage_split(rows, [(put(w), _name(put(t))) for w, t in rule.split], rule.append, _name(rule.template) if rule.template else None)
+        return commit.stage_split(rows, [(put(w), _name(put(t))) for w, t in rule.split], rule.append, _name(rule.template) if rule.template else None, rule.allow_field_relaxation)
     if rule.transforms or rule.criteria:
         known = spark.table(dest).schema if publish.exists(spark, dest) else None
         sides = [(s, s.rows(spark)) for s in rule.sides]
@@ -368,4 +368,4 @@ def _changes(spark: SparkSession, rule: Rule, rows: DataFrame, dest: str, temp:
         kind = dict(spark.table(dest).dtypes)[key]
         only = {key: datetime.strptime(value, "%Y%m%d").date() if kind == "date" else value}
     mode = commit.APPEND if rule.append else commit.PARTITIONS if partition else commit.OVERWRITE
-    return [commit.stage(rows, dest, mode, only)]
+    return [commit.stage(rows, dest, mode, only, relax=rule.allow_field_relaxation)]

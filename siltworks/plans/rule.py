@@ -99,6 +99,7 @@ class Rule:
     max_reload: int = MAX_RELOAD
     disabled: bool = False
     name: str = ""
+    allow_field_relaxation: bool = False
 
     @property
     def transforms(self) -> bool:
@@ -191,6 +192,7 @@ def parse(raw: dict, name: str = "") -> Rule:
         int(top.get("maxreload") or MAX_RELOAD),
         bool(top.get("disabled")),
         name,
+        "ALLOW_FIELD_RELAXATION" in (dest.get("schemaupdateoptions") or []) or bool(dest.get("allowfieldrelaxation")),
     )
     if rule.transforms and rule.method == "COPY":
         rule.method = "QUERY"

@@ -207,3 +207,21 @@ def test_clustered_files_skip(spark, tmp_path):
     for k, value in ((0, 17), (1, "23456")):
         kept = sum(g.column(k).statistics.min <= value <= g.column(k).statistics.max for g in groups)
         assert kept <= len(groups) // 2
+
+
+def test_required_columns_and_their_relaxation(spark, db, tmp_path):
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("n", T.LongType(), False), T.StructField("k", T.StringType(), False)])
+    publish.create(spark, f"{db}.t", schema)
+    assert publish.required_columns(spark, f"{db}.t") == ["n", "k"]
+    file = lines(tmp_path, "a.json", [{"n": 1, "k": "x"}, {"n": 2}])
+    with pytest.raises(Exception, match="null in required column k"):
+        ingest(spark, R.parse({"Dest": {"Table": f"{db}.t"}}), [file], "1")
+    with pytest.raises(Exception, match="null in required column k"):
+        publish.write(spark.createDataFrame([(3, None)], "n long, k string"), f"{db}.t")
+    assert contents(spark, db, ["t"]) == {"t": []}
+    ingest(spark, R.parse({"Dest": {"Table": f"{db}.t", "SchemaUpdateOptions": ["ALLOW_FIELD_RELAXATION"]}}), [file], "2")
+    assert contents(spark, db, ["t"]) == {"t": [1, 2]} and publish.required_columns(spark, f"{db}.t") == ["n"]
+    ingest(spark, R.parse({"Dest": {"Table": f"{db}.t"}}), [lines(tmp_path, "b.json", [{"n": 5}])], "3")
+    assert contents(spark, db, ["t"]) == {"t": [1, 2, 5]}

@@ -19,7 +19,7 @@ def db(spark):
 @pytest.fixture(params=[[], ["part"]])
 def target(spark, db, request):
     rows = spark.range(40).select("id", (F.col("id") * 10).alias("v"), F.when(F.col("id") % 4 < 3, F.concat(F.lit("p"), F.col("id") % 4)).alias("part"))
-    publish.create(spark, f"{db}.t", rows.schema, request.param)
+    publish.create(spark, f"{db}.t", publish.optional(rows.schema), request.param)
     publish.write(rows, f"{db}.t")
     return f"{db}.t"
 
@@ -71,7 +71,7 @@ def test_two_source_rows_for_one_target_row(spark, target):
 
 def test_partitions_without_a_match_keep_their_files(spark, db):
     rows = spark.range(90).select("id", (F.col("id") % 3).alias("k"))
-    publish.create(spark, f"{db}.t", rows.schema, ["k"])
+    publish.create(spark, f"{db}.t", publish.optional(rows.schema), ["k"])
     publish.write(rows, f"{db}.t")
     files = commit.Files(spark)
     of = lambda k: [f for f in files.data(commit.location(spark, f"{db}.t")) if f.startswith(f"k={k}/")]

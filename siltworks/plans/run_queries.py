@@ -355,7 +355,7 @@ def copy_with_template(spark, d):
     db = scratch(spark)
     rows = table(spark, d, "customer").select("c_custkey", "c_name")
     publish.write(rows, f"{db}.source")
-    publish.create(spark, f"{db}.template", rows.withColumn("score", F.lit(0.0)).schema)
+    publish.create(spark, f"{db}.template", publish.optional(rows.withColumn("score", F.lit(0.0)).schema))
     publish.copy(spark, f"{db}.source", f"{db}.dest", template=f"{db}.template")
     return spark.table(f"{db}.dest")
 

@@ -9,10 +9,10 @@ the training rows of the other view. In the end each view is calibrated on label
 prior once.
 
 Training reads at most LABELLED labelled documents, the first by a hash of the id. Every
-exchange scores all unlabelled documents: one pass over the texts leaves ids and scores, these
-are ranked in ranges of the score, and features are fetched for the surest ones alone, whose
-ids (a fixed share of all) are broadcast. Scoring reads every document, in one pass without a
-shuffle.
+exchange scores all unlabelled documents. One pass over the texts leaves numbers of hashed words
+and the page view for all exchanges; scores are ranked in ranges, and the features of the surest
+are looked up by their ids, by broadcast only where they are few. Scoring reads every document, in
+one pass without a shuffle.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltworks.llm.common import cut, ordered_prefix, table
+from siltworks.llm.common import cut, ordered_prefix, table, written
 
 LABELLED = 20_000
 ROUNDS = 3
@@ -72,8 +72,8 @@ def _measures(text: Column) -> dict[str, Column]:
     }
 
 
-def features(docs: DataFrame, text_col: str, source_col: str, lang_col: str, keep: list[Column]) -> DataFrame:
-    """keep, and the two feature vectors `content` and `page`. Nulls count as empty strings."""
+def counted(docs: DataFrame, text_col: str, source_col: str, lang_col: str, keep: list[Column]) -> DataFrame:
+    """keep, `_tf` (how often the text has words of each hash) and the vector `page`. Nulls count as empty strings."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     plain = docs.select(
         *keep,
@@ -82,10 +82,19 @@ def features(docs: DataFrame, text_col: str, source_col: str, lang_col: str, kee
         *[c.alias(n) for n, c in _measures(text).items()],
     )
     out = HashingTF(numFeatures=CONTENT_DIM, inputCol="_words", outputCol="_tf").transform(plain)
-    out = Normalizer(inputCol="_tf", outputCol="content").transform(out)
     out = HashingTF(numFeatures=SOURCE_DIM, inputCol="_tags", outputCol="_hot").transform(out)
     page = VectorAssembler(inputCols=["_hot", *_measures(text)], outputCol="page").transform(out)
-    return page.drop("_words", "_tags", "_tf", "_hot", *_measures(text))
+    return page.drop("_words", "_tags", "_hot", *_measures(text))
+
+
+def views_of(rows: DataFrame) -> DataFrame:
+    """Rows of `counted` with the two feature vectors `content` and `page`."""
+    return Normalizer(inputCol="_tf", outputCol="content").transform(rows).drop("_tf")
+
+
+def features(docs: DataFrame, text_col: str, source_col: str, lang_col: str, keep: list[Column]) -> DataFrame:
+    """keep, and the two feature vectors `content` and `page`."""
+    return views_of(counted(docs, text_col, source_col, lang_col, keep))
 
 
 def _fit(rows: DataFrame, view: str, label: str = "label", reg: float = 1e-4) -> LogisticRegressionModel:
@@ -107,14 +116,15 @@ def _fetched(texts: DataFrame, chosen: DataFrame) -> DataFrame:
     """
     names = [c for c in chosen.columns if c != "doc_id"]
     joined = texts.join(F.broadcast(chosen) if chosen.count() <= LOOKED_UP else chosen, "doc_id")
-    rows = features(joined, "_t", "_s", "_l", [F.col(c) for c in ("doc_id", "_k", *names)])
+    keep = [F.col(c) for c in ("doc_id", "_k", *names)]
+    rows = views_of(joined) if "_tf" in texts.columns else features(joined, "_t", "_s", "_l", keep)
     one = rows.groupBy("doc_id").agg(F.min_by(F.struct(*names, "content", "page"), "_k").alias("_one"))
     return cut(one.select("doc_id", "_one.*"))
 
 
-def _scores(texts: DataFrame, known: DataFrame, models: dict[str, LogisticRegressionModel]) -> DataFrame:
-    """(doc_id, a score by each view) of every document that isn't in known, written."""
-    rows = features(texts, "_t", "_s", "_l", [F.col("doc_id"), F.col("_k")])
+def _scores(rows: DataFrame, known: DataFrame, models: dict[str, LogisticRegressionModel]) -> DataFrame:
+    """(doc_id, a score by each view) of every document of `counted` rows that isn't in known, written."""
+    rows = views_of(rows)
     for model in models.values():
         rows = model.transform(rows)
     rows = rows.select("doc_id", "_k", *[vector_to_array(f"raw_{v}")[1].alias(f"z_{v}") for v in models])
@@ -151,11 +161,13 @@ def co_train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sou
 
     views = ("content", "page")
     added, n_rows = dict.fromkeys(views), sum(count.values())
+    # texts are read once for all rounds: what is kept of them is smaller
+    rows_of = written(counted(texts, "_t", "_s", "_l", [F.col("doc_id"), F.col("_k")])) if rounds > 1 else None
     for turn in range(rounds):
         models = {v: _fit(train if added[v] is None else few(train.unionByName(added[v]), n_rows), v) for v in views}
         if turn == rounds - 1:
             break
-        scores = _scores(texts, known, models)
+        scores = _scores(rows_of, known, models)
         give = int(scores.count() * CONFIDENT)
         if not give:
             break
@@ -164,7 +176,7 @@ def co_train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sou
         for v, other in (views, views[::-1]):
             rest = scores if added[other] is None else scores.join(added[other].select("doc_id"), "doc_id", "left_anti")
             picked.append(_surest(rest.select("doc_id", F.col(f"z_{v}").alias("z")), n_good, n_bad).withColumnRenamed("label", f"y_{other}"))
-        rows = _fetched(texts, cut(picked[0].join(picked[1], "doc_id", "full")))
+        rows = _fetched(rows_of, cut(picked[0].join(picked[1], "doc_id", "full")))
         for v in views:
             new = rows.where(F.col(f"y_{v}").isNotNull()).withColumn("label", F.col(f"y_{v}")).select(*train.columns)
             added[v] = new if added[v] is None else added[v].unionByName(new)

@@ -142,7 +142,7 @@ def _lower(raw: dict) -> dict:
 
 
 def parse(raw: dict, name: str = "") -> Rule:
-    """A rule from its YAML or JSON form, with defaults, validated."""
+    """A rule from its YAML or JSON form, with defaults, validated. Its keys are fixed names, in any case."""
     top = _lower(raw)
     when, dest, batch = (_lower(top.get(k) or {}) for k in ("when", "dest", "batch"))
     transient, schema = _lower(dest.get("transient") or {}), _lower(dest.get("schema") or {})

@@ -73,7 +73,6 @@ def run_windows(spark: SparkSession, url: str, rule: Rule, checkpoint: str, jour
     The windows of a micro-batch reach the driver one by one, each with its files. `trigger` is
     that of a stream writer, by default {"availableNow": True}. Outcomes are appended to `ran`.
     """
-    spark.conf.set(PROVIDER, ROCKSDB)
 
     def take(batch: DataFrame, _: int) -> None:
         for row in batch.orderBy("window_end", "group").toLocalIterator():
@@ -90,4 +89,10 @@ def run_windows(spark: SparkSession, url: str, rule: Rule, checkpoint: str, jour
 
     matched = file_stream(spark, url, max_files).where(rule.match.condition(F.col("url")))
     closed = closed_windows(matched, rule, delay_seconds, ahead_seconds)
-    return closed.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(**trigger or {"availableNow": True}).start()
+    # a query keeps the settings that it starts with; other queries of the session have theirs
+    old = spark.conf.get(PROVIDER)
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        return closed.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(**trigger or {"availableNow": True}).start()
+    finally:
+        spark.conf.set(PROVIDER, old)

@@ -165,6 +165,8 @@ class TooManyBadRecords(ValueError):
 CORRUPT = "_corrupt_record"
 #: Where a scan can't offer _metadata, its rows have their file's url in a column.
 SOURCE_URL = "_source_url"
+#: Lines of a block that are put in order together.
+STRETCH = 1 << 16
 
 
 def scan(spark: SparkSession, urls: list[str], schema: T.StructType | None, options: LoadOptions | None = None) -> DataFrame:
@@ -197,41 +199,54 @@ def scan(spark: SparkSession, urls: list[str], schema: T.StructType | None, opti
 def _csv_records(spark: SparkSession, urls: list[str], schema: T.StructType | None, skip: int, plain: dict[str, str], quoted: bool) -> DataFrame:
     """CSV rows behind the first records of every file, from lines that are read in blocks.
 
-    Lines are numbered within their block, where they are in order. With quoted breaks, the number
-    of quotes before a line says whether it begins a record: their parity is summed within each
-    block, and the blocks before it add theirs, so a record may span blocks and a file is read by
-    as many tasks as it has blocks. Lines that are whole records go on as they are; only those of
-    broken ones are grouped. A quote within a field without quotes counts like any other.
+    Without quoted breaks every line is a record, and only the blocks that hold a file's first ones
+    are told where those end: no line is shuffled. With them, the number of quotes before a line says
+    whether it begins a record: their parity is summed within stretches of a block, where lines are in
+    order, and the stretches before it add theirs, so a record may span blocks, a file is read by
+    as many tasks as it has blocks and no sort is of more lines than a stretch has. Lines that are whole
+    records go on as they are; only those of broken ones are grouped. A quote within a field without
+    quotes counts like any other.
     """
     if schema is None:
         raise ValueError("more than one leading row needs a schema")
+    # ids rise within a block, by one from line to line
     lines = spark.read.text(urls).select(
         "value", F.col("_metadata.file_path").alias("_url"), F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_n")
     )
-    quote = plain.get("quote", '"')
-    odd = F.regexp_count("value", F.lit(re.escape(quote))) % 2 if quoted and quote else F.lit(0)
-    within = Window.partitionBy("_url", "_at").orderBy("_n").rowsBetween(Window.unboundedPreceding, 0)
-    lines = lines.withColumn("_odd", odd).withColumn("_quotes", F.sum("_odd").over(within) - F.col("_odd"))
-    # a block's lines begin records where the quotes before them are even, or odd, as the blocks before are
-    begins = lambda even: F.count_if(F.col("_quotes") % 2 == (0 if even else 1))
-    blocks = lines.groupBy("_url", "_at").agg(F.sum("_odd").alias("_sum"), begins(True).alias("_even"), begins(False).alias("_uneven"))
-    before = Window.partitionBy("_url").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_state", F.coalesce(F.sum("_sum").over(before), F.lit(0)) % 2)
-    first = F.coalesce(F.sum(F.when(F.col("_state") == 0, F.col("_even")).otherwise(F.col("_uneven"))).over(before), F.lit(0))
-    blocks = blocks.select("_url", "_at", "_state", first.alias("_first"))
-    placed = lines.join(blocks, ["_url", "_at"]).withColumn("_begins", (F.col("_quotes") + F.col("_state")) % 2 == 0)
-    placed = placed.withColumn("_record", F.col("_first") + F.sum(F.col("_begins").cast("long")).over(within)).where(F.col("_record") > skip)
-    whole = F.col("_begins") & (F.col("_odd") == 0)
-    records = placed.where(whole & (F.col("value") != "")).select("_url", "value")
     if quoted:
-        line = F.struct("_at", "_n", "value")
-        broken = placed.where(~whole).groupBy("_url", "_record").agg(F.array_sort(F.collect_list(line)).alias("x"))
-        records = records.union(broken.select("_url", F.array_join("x.value", "\n").alias("value")))
+        records = _quoted_records(lines, skip, plain.get("quote", '"'))
+    else:
+        blocks = lines.groupBy("_url", "_at").agg(F.min("_n").alias("_from"), F.count("*").alias("_lines"))
+        first = F.coalesce(F.sum("_lines").over(Window.partitionBy("_url").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        leading = blocks.withColumn("_first", first).where(F.col("_first") < skip).select("_url", "_at", (F.col("_from") + skip - F.col("_first")).alias("_begin"))
+        # about one row for each of the urls, which the driver has
+        placed = lines.join(F.broadcast(leading), ["_url", "_at"], "left").where(F.col("_begin").isNull() | (F.col("_n") >= F.col("_begin")))
+        records = placed.where("value <> ''").select("_url", "value")
     full = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*schema.fields, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_csv("value", full, {**{k: v for k, v in plain.items() if k != "multiLine"}, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     return records.select(parsed.alias("_x"), F.col("_url").alias(SOURCE_URL)).select("_x.*", SOURCE_URL)
 
 
+def _quoted_records(lines: DataFrame, skip: int, quote: str) -> DataFrame:
+    """(_url, value) of the records behind the first ones; lines within quotes are joined."""
+    odd = F.regexp_count("value", F.lit(re.escape(quote))) % 2 if quote else F.lit(0)
+    stretch = ["_url", "_at", "_part"]
+    within = Window.partitionBy(*stretch).orderBy("_n").rowsBetween(Window.unboundedPreceding, 0)
+    lines = lines.withColumn("_part", F.floor(F.col("_n") / STRETCH)).withColumn("_odd", odd).withColumn("_quotes", F.sum("_odd").over(within) - F.col("_odd"))
+    # a stretch's lines begin records where the quotes before them are even, or odd, as the stretches before are
+    begins = lambda even: F.count_if(F.col("_quotes") % 2 == (0 if even else 1))
+    parts = lines.groupBy(*stretch).agg(F.sum("_odd").alias("_sum"), begins(True).alias("_even"), begins(False).alias("_uneven"))
+    before = Window.partitionBy("_url").orderBy("_at", "_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_state", F.coalesce(F.sum("_sum").over(before), F.lit(0)) % 2)
+    first = F.coalesce(F.sum(F.when(F.col("_state") == 0, F.col("_even")).otherwise(F.col("_uneven"))).over(before), F.lit(0))
+    parts = parts.select(*stretch, "_state", first.alias("_first"))
+    placed = lines.join(parts, stretch).withColumn("_begins", (F.col("_quotes") + F.col("_state")) % 2 == 0)
+    placed = placed.withColumn("_record", F.col("_first") + F.sum(F.col("_begins").cast("long")).over(within)).where(F.col("_record") > skip)
+    whole = F.col("_begins") & (F.col("_odd") == 0)
+    broken = placed.where(~whole).groupBy("_url", "_record").agg(F.array_sort(F.collect_list(F.struct("_at", "_n", "value"))).alias("x"))
+    return placed.where(whole & (F.col("value") != "")).select("_url", "value").union(broken.select("_url", F.array_join("x.value", "\n").alias("value")))
+
+
 def load(spark: SparkSession, urls: list[str], schema: T.StructType | None, options: LoadOptions | None = None, counted: bool = False) -> DataFrame:
     """Rows of the files; raises TooManyBadRecords beyond the bad records that options allow.
 

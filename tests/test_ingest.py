@@ -307,3 +307,42 @@ def test_quoted_breaks_over_blocks(spark, tmp_path):
             assert got == sorted([*rows, (-1, "one\nmore"), (-2, "last")])
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_leading_rows_over_blocks(spark, tmp_path):
+    """Leading rows end in any block of a file; lines behind them are neither shuffled nor put in order."""
+    (tmp_path / "a.csv").write_text("made by\n" + "x" * 3_000 + "\nn,t\n" + "".join(f"{n},t{n}\n\n" for n in range(2_000)))
+    (tmp_path / "b.csv").write_text("h1\nh2\n")
+    (tmp_path / "c.csv").write_text("h1\nh2\nh3\n-1,last")
+    schema, urls = spark.createDataFrame([], "n long, t string").schema, [str(tmp_path / f"{n}.csv") for n in "abc"]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("1kb", "7kb", "128mb"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            read = fs.load(spark, urls, schema, fs.LoadOptions("csv", skip_leading_rows=3))
+            assert sorted(map(tuple, read.collect())) == [(-1, "last"), *((n, f"t{n}") for n in range(2_000))]
+            # what is shuffled is counts of blocks
+            plan = read._jdf.queryExecution().optimizedPlan().toString()
+            assert "_lines" in plan and not any("_n#" in line for line in plan.splitlines() if "Window" in line)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_stretches_of_a_block(spark, tmp_path, monkeypatch):
+    """A record may span stretches of a block as it may span blocks, and none is put in order whole."""
+    monkeypatch.setattr(fs, "STRETCH", 7, raising=True)
+    rows = [(k, "two\nlines" if k % 3 else "three\n\nlines") for k in range(500)]
+    (tmp_path / "a.csv").write_text('by\n"us\ntoo"\n' + "".join(f'{n},"{t}"\n' for n, t in rows))
+    schema = spark.createDataFrame([], "n long, t string").schema
+    read = fs.load(spark, [str(tmp_path / "a.csv")], schema, fs.LoadOptions("csv", skip_leading_rows=2, options={"AllowQuotedNewlines": "true"}))
+    assert sorted(map(tuple, read.collect())) == rows
+
+
+def test_files_behind_leading_rows(spark, tmp_path):
+    """Every file has the leading rows, and no task has the rows of all."""
+    from siltworks.plans.run_queries import write_behind
+
+    write_behind(spark.range(100, numPartitions=3).selectExpr("if(id = 0, null, cast(id as string)) value"), "h1\nh2", str(tmp_path / "in"))
+    files = [p.read_text().split("\n") for p in (tmp_path / "in").glob("*.txt")]
+    assert len(files) == 3 and all(lines[:2] == ["h1", "h2"] for lines in files)
+    assert sorted(v for lines in files for v in lines[2:] if v) == sorted(map(str, range(1, 100)))

@@ -14,7 +14,7 @@ share it form one piece of text, and pieces are dealt to buckets by the hash of
 equal windows always meet in one bucket. A bucket's size is set by the number of buckets,
 which follows the input. A bucket has pieces only, equal ones of a chunk of text once, and a piece
 whose surroundings of the minimizer occur in no other document is left out, as no window of it
-can recur. It gives a mask for each distinct piece: by window, the smallest id that has it. A
+can recur; what no other piece can have of a piece is not put in order. It gives a mask for each distinct piece: by window, the smallest id that has it. A
 second pass over the texts deals the places where pieces occur, those of a bucket with many to
 several tasks, and there the masks are laid over them, one chunk of text at a time.
 """
@@ -302,6 +302,16 @@ def _marks(text: np.ndarray, begin: np.ndarray, length: np.ndarray, offset: np.n
     return out[0], out[1], out[2]
 
 
+def _compared(offset: np.ndarray, count: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first window of each piece that other pieces may have, and the one behind the last.
+
+    left and right tell whether other pieces have the bytes on that side of the minimizer. Windows up
+    to turn - 1 hold all of the left side, the others all of the right one.
+    """
+    turn = np.clip(offset - (SIDE - K) + 1, 0, count)
+    return np.where(left, 0, turn), np.where(right, count, turn)
+
+
 def _bucket(frame: pd.DataFrame) -> pd.DataFrame:
     """The number of places of one bucket, and packed masks of its distinct pieces.
 
@@ -325,29 +335,36 @@ def _bucket(frame: pd.DataFrame) -> pd.DataFrame:
     np.maximum.at(most, to, every_most)
     # a window holds the minimizer and WIDTH - K more bytes, so half of these lie to one side of it
     keep = least < most
-    for has, mark in ((offset >= SIDE - K, left), (offset + SIDE <= length, right)):
+    # whether other pieces, in other documents, have the same bytes on that side
+    meets = np.zeros((2, len(rep)), bool)
+    for other, has, mark in ((meets[0], offset >= SIDE - K, left), (meets[1], offset + SIDE <= length, right)):
         has = np.flatnonzero(has)
-        _, group = np.unique(mark[has], return_inverse=True)
+        _, group, pieces = np.unique(mark[has], return_inverse=True, return_counts=True)
         lo, hi = np.full(len(has), np.iinfo(np.int64).max), np.full(len(has), np.iinfo(np.int64).min)
         np.minimum.at(lo, group, least[has])
         np.maximum.at(hi, group, most[has])
-        keep[has] |= lo[group] < hi[group]
+        apart = lo[group] < hi[group]
+        keep[has] |= apart
+        other[has] = apart & (pieces[group] > 1)
     kept = np.flatnonzero(keep)
     if not len(kept):
         return out(None)
-    chosen = text[_spread(begin[kept], length[kept])]
-    string, at, lcp = suffix_order(chosen, length[kept])
-    windows = at + WIDTH <= length[kept][string]
-    # equal windows are neighbours: between them no common prefix is shorter than WIDTH
-    group = np.cumsum(lcp < WIDTH)[windows]
-    string, at = string[windows], at[windows]
-    heads = np.flatnonzero(np.diff(group, prepend=-1))
-    smallest = np.minimum.reduceat(least[kept][string], heads)
-    smallest = np.repeat(smallest, np.diff(np.append(heads, len(group))))
     count = length[kept] - WIDTH + 1
     first_of = np.cumsum(count) - count
-    source = np.empty(count.sum(), np.int64)
-    source[first_of[string] + at] = smallest
+    # a window that no other piece can have is where its own piece is
+    source = np.repeat(least[kept], count)
+    lo, hi = _compared(offset[kept], count, *meets[:, kept])
+    ordered = np.flatnonzero(lo < hi)
+    if len(ordered):
+        lo, size = lo[ordered], (hi - lo)[ordered] + WIDTH - 1
+        string, at, lcp = suffix_order(text[_spread(begin[kept][ordered] + lo, size)], size)
+        windows = at + WIDTH <= size[string]
+        # equal windows are neighbours: between them no common prefix is shorter than WIDTH
+        group = np.cumsum(lcp < WIDTH)[windows]
+        string, at = string[windows], at[windows]
+        heads = np.flatnonzero(np.diff(group, prepend=-1))
+        smallest = np.minimum.reduceat(least[kept][ordered][string], heads)
+        source[(first_of[ordered] + lo)[string] + at] = np.repeat(smallest, np.diff(np.append(heads, len(group))))
 
     goes = np.bitwise_or.reduceat(source < np.repeat(most[kept], count), first_of)
     if not goes.any():

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from siltworks.llm import common, embeddings, lines, minhash, mixing, pieces, quality, secrets, sharding, suffixes, topk
@@ -598,3 +599,31 @@ def test_components(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 200), (200, 150), (7, 7)]
     got = dict(map(tuple, common.components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert all(got[k] == 0 for k in range(41)) and got[200] == got[150] == 100
+
+
+def test_only_windows_that_other_pieces_may_have_are_ordered(monkeypatch):
+    """Sides of pieces that no other piece has stay out of the order, and masks are those of brute force."""
+    rng = random.Random(3)
+    some = lambda n: "".join(rng.choices("abcdefgh", k=n))
+    copied, shared = some(900), [some(rng.randint(55, 140)) for _ in range(8)]
+    texts = [copied, copied, *("".join(some(rng.randint(0, 40)) + rng.choice(shared) for _ in range(6)) for _ in range(25)), copied]
+    ids = rng.sample(range(1_000), len(texts))
+    docs = pd.DataFrame({"doc_id": ids, "uid": ids, "text": texts})
+    order, sizes = suffixes.suffix_order, []
+    monkeypatch.setattr(suffixes, "suffix_order", lambda text, lengths: sizes.append(len(text)) or order(text, lengths))
+    made = suffixes._bucket(next(suffixes._mapped(iter([docs]), 1)))
+    where = defaultdict(set)
+    for k, t in zip(ids, texts, strict=True):
+        for s in range(len(t) - suffixes.WIDTH + 1):
+            where[t[s : s + suffixes.WIDTH]].add(k)
+    gone = Counter()
+    spans = suffixes._masked(next(suffixes._mapped(iter([docs]), 1, {})), made, 1)
+    for uid, lo, size in (part for b in spans.blob for part in suffixes._unpack(b)):
+        for u, a, n in zip(uid.tolist(), lo.tolist(), size.tolist(), strict=True):
+            gone.update((u, at) for at in range(a, a + n))
+    want = {(k, s + i) for k, t in zip(ids, texts, strict=True) for s in range(len(t) - suffixes.WIDTH + 1) if min(where[t[s : s + suffixes.WIDTH]]) < k for i in range(suffixes.WIDTH)}
+    assert set(gone) == want
+    # copies alone have nothing to be put in order with
+    sizes.clear()
+    alone = suffixes._bucket(next(suffixes._mapped(iter([docs[docs.text == copied]]), 1)))
+    assert len(alone.blob[0]) and not sizes

@@ -55,9 +55,12 @@ def _pow(n: int) -> np.uint64:
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
+    x = x ^ (x >> _U(30))
+    x *= _U(0xBF58476D1CE4E5B9)
+    x ^= x >> _U(27)
+    x *= _U(0x94D049BB133111EB)
+    x ^= x >> _U(31)
+    return x
 
 
 class Hashes:
@@ -123,7 +126,11 @@ def _pieces(parts: list[bytes], doc_ids: np.ndarray, uids: np.ndarray, bases: np
         return
     hashes = Hashes(data, 32)
     key = _mix(hashes.all(K))
-    low = (key & ~_U((1 << 24) - 1)) | np.arange(len(key), dtype=np.uint64)
+    # of a chunk's large arrays only those read below stay: workers share an executor's memory
+    for width in (1, 4, 8):
+        del hashes.powers[width]
+    low = key & ~_U((1 << 24) - 1)
+    low |= np.arange(len(key), dtype=np.uint64)
     n = 1
     while 2 * n <= SPAN:
         low = np.minimum(low[:-n], low[n:])
@@ -131,9 +138,14 @@ def _pieces(parts: list[bytes], doc_ids: np.ndarray, uids: np.ndarray, bases: np
     if SPAN > n:
         low = np.minimum(low[: n - SPAN], low[SPAN - n :])
     windows = len(data) - WIDTH + 1
-    at = (low[:windows] & _U((1 << 24) - 1)).astype(np.int64)
-    inside = np.zeros(windows + 1, bool)
-    inside[_spread(ends - sizes, np.maximum(0, sizes - WIDTH + 1))] = True
+    low &= _U((1 << 24) - 1)
+    at = low[:windows].astype(np.int32)
+    del low
+    long = sizes >= WIDTH
+    change = np.zeros(windows + 1, np.int8)
+    change[(ends - sizes)[long]] = 1
+    change[(ends - WIDTH + 1)[long]] = -1
+    inside = np.cumsum(change, dtype=np.int8) > 0
     first = inside[:windows].copy()
     first[1:] &= (at[1:] != at[:-1]) | ~inside[: windows - 1]
     # windows of two texts are always apart: between them lie windows that are in neither
@@ -143,7 +155,8 @@ def _pieces(parts: list[bytes], doc_ids: np.ndarray, uids: np.ndarray, bases: np
     stop = np.flatnonzero(first | ~inside[:windows])
     stop = np.append(stop, windows)
     count = stop[np.searchsorted(stop, start, "right")] - start
-    anchor = at[start]
+    anchor = at[start].astype(np.int64)
+    del at
     bucket = (_mix(key[anchor] ^ _U(_P)) % _U(buckets)).astype(np.int64)
     same = _mix(hashes.at(start, WIDTH) * _U(3) + hashes.at(start + count - 1, WIDTH) * _U(5) + (count + WIDTH - 1).astype(np.uint64))
     owner = np.searchsorted(ends, start, "right")

@@ -64,12 +64,15 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class Hashes:
-    """Polynomial hashes of all strings of 1, 2, 4, ... bytes of a text, and of others at given starts."""
+    """Polynomial hashes of all strings of 1, 2, 4, ... bytes of a text, and of others at given starts.
 
-    def __init__(self, data: np.ndarray, most: int):
+    Those below `least` aren't kept.
+    """
+
+    def __init__(self, data: np.ndarray, most: int, least: int = 1):
         h, n = data.astype(np.uint64), 1
         h += _U(1)
-        self.powers = {1: h}
+        self.powers = {1: h} if least == 1 else {}
         while 2 * n <= most:
             longer = h[:-n] * _pow(n)
             longer += h[n:]
@@ -124,10 +127,10 @@ def _pieces(parts: list[bytes], doc_ids: np.ndarray, uids: np.ndarray, bases: np
     data = np.frombuffer(b"".join(parts), np.uint8)
     if len(data) < WIDTH:
         return
-    hashes = Hashes(data, 32)
+    hashes = Hashes(data, 32, 2)
     key = _mix(hashes.all(K))
     # of a chunk's large arrays only those read below stay: workers share an executor's memory
-    for width in (1, 4, 8):
+    for width in (4, 8):
         del hashes.powers[width]
     low = key & ~_U((1 << 24) - 1)
     low |= np.arange(len(key), dtype=np.uint64)

@@ -11,10 +11,11 @@ Rarity comes from a table of word counts of fixed size (SKETCH buckets of word h
 each, summed over all lines); any total order keeps the join exact, the counts make it
 selective. The table is one array, the value of a scalar subquery, so ordering needs no join.
 
-Long posting lists come of passages with many variants. To make no square of them, each class
-first meets only the likeliest of the first and the BEFORE classes just before it in each of its
-lists, and what that confirms needs no other partner; the classes left over then meet all earlier
-classes of their lists.
+Posting lists of words that are counted SHORT or less are short, and all their classes meet. Long
+ones come of common words and of passages with many variants. To make no square of these, each
+class first meets only the likeliest of the first and the BEFORE classes just before it in each of
+its long lists, and what that or the likeliest of its short lists confirms needs no other partner;
+the classes left over then meet all earlier classes of their lists.
 """
 
 from __future__ import annotations
@@ -33,16 +34,18 @@ PARTS = 1 << 11
 #: Up to so many lines (of a few dozen bytes) are looked up by broadcast, more by a shuffle.
 LOOKED_UP = 500_000
 BEFORE = 3
+#: Lists of words up to this rarity (four times the binary logarithm of a count) are short: below 305 classes.
+SHORT = 32
 
 
-def spaced(text_col: str, blanks: str = "\t\x0b\x0c\r") -> Column:
-    """The text with these characters as spaces."""
-    return reduce(lambda x, c: F.replace(x, F.lit(c), F.lit(" ")), blanks, F.coalesce(F.col(text_col), F.lit("")))
+#: White space within a line.
+BLANKS = " \t\x0b\x0c\r"
 
 
 def plain_lines(text_col: str) -> Column:
     """Lines of a text, with white space as spaces."""
-    return F.split(spaced(text_col), "\n", -1)
+    spaced = reduce(lambda x, c: F.replace(x, F.lit(c), F.lit(" ")), BLANKS[1:], F.coalesce(F.col(text_col), F.lit("")))
+    return F.split(spaced, "\n", -1)
 
 
 def word_hashes(line: Column) -> Column:
@@ -60,15 +63,24 @@ def rarity_table(docs: DataFrame, text_col: str) -> DataFrame:
 
     Its size is fixed: SKETCH entries of a byte.
     """
-    words = docs.select(F.explode(F.split(F.lower(spaced(text_col, "\t\n\x0b\x0c\r")), " ", -1)).alias("w")).where("w <> ''")
+    # joining the lines by spaces is faster than a replacement of their ends
+    words = docs.select(F.explode(F.split(F.lower(F.array_join(plain_lines(text_col), " ")), " ", -1)).alias("w")).where("w <> ''")
     bucket = F.xxhash64("w").bitwiseAND(F.lit(SKETCH - 1)).cast("int").alias("b")
-    # every bucket has a row, whether a word falls into it or not
-    counted = words.select(bucket, F.lit(1).alias("n")).union(docs.sparkSession.range(SKETCH).select(F.col("id").cast("int"), F.lit(0)))
-    counts = counted.groupBy("b").agg(F.sum("n").alias("n"))
-    rank = F.least(F.lit(127), F.floor(4 * F.log2(F.greatest(F.lit(1), "n").cast("double")))).cast("tinyint").alias("rank")
-    in_order = lambda key: F.transform(F.array_sort(F.collect_list(F.struct(key, "rank"))), lambda x: x["rank"]).alias("rank")
-    parts = counts.select("b", rank).groupBy(F.floor(F.col("b") / (SKETCH // PARTS)).alias("part")).agg(in_order("b"))
-    return parts.agg(F.flatten(in_order("part")).alias("rarity"))
+    # buckets without a row are of rank 0, as those of one word are
+    counts = words.groupBy(bucket).agg(F.count("*").alias("n")).where("n > 1")
+    rank = F.least(F.lit(127), F.floor(4 * F.log2(F.col("n").cast("double")))).cast("int")
+    width = SKETCH // PARTS
+    part = F.floor(F.col("b") / width).cast("int").alias("part")
+    held = counts.select(part, F.shiftleft("b", 7).bitwiseOR(rank).alias("packed"))
+    # every part has a row, whether a word falls into it or not
+    held = held.union(docs.sparkSession.range(PARTS).select(F.col("id").cast("int"), F.lit(None).cast("int")))
+    start = F.col("part") * width
+    absent = F.array_except(F.sequence(start, start + (width - 1)), F.transform("held", lambda x: F.shiftright(x, 7)))
+    packed = F.sort_array(F.concat("held", F.transform(absent, lambda b: F.shiftleft(b, 7))))
+    parts = held.groupBy("part").agg(F.collect_list("packed").alias("held"))
+    parts = parts.select("part", F.transform(packed, lambda x: x.bitwiseAND(F.lit(127)).cast("tinyint")).alias("rank"))
+    in_order = F.array_sort(F.collect_list(F.struct("part", "rank")))
+    return parts.agg(F.flatten(F.transform(in_order, lambda x: x["rank"])).alias("rarity"))
 
 
 #: A null id comes first.
@@ -83,8 +95,9 @@ def line_classes(docs: DataFrame, threshold: int, id_col: str, text_col: str) ->
     64 classes of words that the set has an odd number of.
     """
     # seven bits of rarity above 56 bits of the hash
-    rank = lambda h: F.get("rarity", h.bitwiseAND(F.lit(SKETCH - 1)).cast("int"))
-    ranked = lambda h: F.shiftleft(rank(h).cast("long"), 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))
+    # never null, so that the words are sorted as plain longs
+    rank = lambda h: F.coalesce(F.get("rarity", h.bitwiseAND(F.lit(SKETCH - 1)).cast("int")).cast("long"), F.lit(0).cast("long"))
+    ranked = lambda h: F.shiftleft(rank(h), 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))
     lines = lines_of(docs, id_col, text_col).withColumn("rarity", rarity_table(docs, text_col).scalar())
     # a filter on the words here would have them made twice; sets without any are one class, dropped below
     hashed = lines.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col("line_no").alias("ln"), F.sort_array(F.transform(word_hashes(F.col("line")), ranked)).alias("words"))
@@ -104,16 +117,26 @@ def line_classes(docs: DataFrame, threshold: int, id_col: str, text_col: str) ->
     return written(first.select("first.*").where(_words("at") > 0))
 
 
+def postings(classes: DataFrame, long: bool) -> DataFrame:
+    """(w, doc_id, at, sig, pos): classes under the words of their prefixes; of long lists or of short ones.
+
+    A list has at most as many classes as its word's bucket has words, so the rarity that a word
+    starts with tells which it is. A word of rarity 0 is the only one counted in its bucket: no
+    other line has it.
+    """
+    rows = classes.select("doc_id", "at", "sig", F.posexplode("prefix").alias("pos", "w"))
+    rarity = F.shiftright("w", 56)
+    return rows.where(rarity > SHORT if long else (rarity > 0) & (rarity <= SHORT)).select("w", "doc_id", "at", "sig", "pos")
+
+
 def posting_lists(classes: DataFrame, threshold: int) -> DataFrame:
-    """(w, doc_id, at, sig, pos, best): classes under the words of their prefixes, where others are too.
+    """(w, doc_id, at, sig, pos, best): the long lists, where other classes are too.
 
     best is the likeliest of a few earlier classes of about as many words in the same list, the
     first and the ones just before, as (apart, doc_id, at). Both come from one shuffle by the
     word and one sort.
     """
-    rows = classes.select("doc_id", "at", "sig", F.posexplode("prefix").alias("pos", "w"))
-    # a word of rarity 0 is the only one counted in its bucket: no other line has it
-    rows = rows.where(F.shiftright("w", 56) > 0)
+    rows = postings(classes, True)
     rows = rows.withColumn("band", F.floor(F.log(_words("at").cast("double")) / math.log(100 / threshold)))
     order, own = Window.partitionBy("w", "band").orderBy("doc_id", "at"), F.struct("doc_id", "at", "sig", "pos")
     rows = rows.repartition("w").withColumns({"c0": F.first(own).over(order), **{f"c{k}": F.lag(own, k).over(order) for k in range(1, BEFORE + 1)}})
@@ -160,6 +183,24 @@ def _filters(threshold: int, o: dict[str, Column]) -> Column:
 PAIR = ["doc_id", "at", "o_doc_id", "o_at"]
 
 
+def _meetings(posted: DataFrame, threshold: int, still: str | None = None) -> DataFrame:
+    """(*PAIR, apart): pairs within the lists that pass the filters, the later class first.
+
+    Classes meet those of as many words or fewer that have the word in their short prefix. With
+    a flag still, that of the later class must be set.
+    """
+    flags = [still] if still else []
+    less = posted.where(F.col("pos") < _short_prefix(_words("at"), threshold)).select("w", *[F.col(c).alias(f"o_{c}") for c in ("doc_id", "at", "sig", "pos", *flags)])
+    n, o_n = _words("at"), _words("o_at")
+    earlier = (F.col("o_doc_id") < F.col("doc_id")) | ((F.col("o_doc_id") == F.col("doc_id")) & (F.col("o_at") < F.col("at")))
+    meets = _filters(threshold, {c: F.col(f"o_{c}") for c in ("at", "sig", "pos")}) & ((o_n < n) | ((o_n == n) & earlier))
+    if still:
+        meets &= F.when(earlier, F.col(still)).otherwise(F.col(f"o_{still}"))
+    ordered = [F.when(earlier, F.col(c)).otherwise(F.col(f"o_{c}")).alias(c) for c in ("doc_id", "at")]
+    ordered += [F.when(earlier, F.col(f"o_{c}")).otherwise(F.col(c)).alias(f"o_{c}") for c in ("doc_id", "at")]
+    return posted.join(less, "w").where(meets).select(*ordered, _apart(F.col("o_sig")).alias("apart")).distinct()
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, threshold: int, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, at) of the pairs whose lines are as similar as asked for."""
     here, there = pairs.select("doc_id", "at"), pairs.select(F.col("o_doc_id").alias("doc_id"), F.col("o_at").alias("at"))
@@ -167,10 +208,12 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, threshold: int, id_col: str, t
     in_doc = wanted.groupBy("doc_id").agg(F.collect_list("at").alias("places"))
     if wanted.count() <= LOOKED_UP:
         in_doc = F.broadcast(in_doc)
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), plain_lines(text_col).alias("lines"))
-    held = texts.join(in_doc, "doc_id").select("doc_id", F.explode("places").alias("at"), "lines")
+    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col(text_col).alias("text"))
+    # only texts with such a place are split, and each place goes on with its own line alone
+    held = texts.join(in_doc, "doc_id").select("doc_id", "places", plain_lines("text").alias("lines"))
+    line_at = lambda at: F.struct(at.alias("at"), F.get("lines", F.shiftright(at, 32).cast("int")).alias("line"))
     # rows that share an id may have other lines at a place: the number of words tells
-    words = held.select("doc_id", "at", word_hashes(F.get("lines", F.shiftright("at", 32).cast("int"))).alias("words"))
+    words = held.select("doc_id", F.inline(F.transform("places", line_at))).select("doc_id", "at", word_hashes(F.col("line")).alias("words"))
     # both sides of the joins below read one shuffle of these
     sets = words.where(F.size("words") == _words("at"))
     a = sets.select(F.col("doc_id").alias("x"), F.col("at").alias("y"), "words")
@@ -182,28 +225,26 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, threshold: int, id_col: str, t
     return cut(both.where(hit).select("doc_id", "at").distinct())
 
 
-def repeated_places(docs: DataFrame, lists: DataFrame, threshold: int, id_col: str, text_col: str) -> DataFrame:
+def repeated_places(docs: DataFrame, classes: DataFrame, threshold: int, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, at) of every class with an earlier class of similarity threshold / 100 or more.
 
-    First each class meets the likeliest of a few earlier ones in its lists. Then, in each list, classes meet those of
-    as many words or fewer that have the word in their short prefix, if the later one of the two
-    isn't settled yet.
+    In short lists all classes meet. First each class is compared with the likeliest of those it
+    met there and of a few earlier ones in its long lists; then, if that didn't settle it, with
+    the others that it met and with all that it meets in long lists.
     """
-    best = lists.where("best is not null").groupBy("doc_id", "at").agg(F.min("best").alias("best"))
+    near = cut(_meetings(postings(classes, False), threshold))
+    lists = posting_lists(classes, threshold)
+    best = near.select("doc_id", "at", F.struct("apart", F.col("o_doc_id").alias("doc_id"), F.col("o_at").alias("at")).alias("best"))
+    best = best.union(lists.where("best is not null").select("doc_id", "at", "best")).groupBy("doc_id", "at").agg(F.min("best").alias("best"))
     leaders = cut(best.select("doc_id", "at", F.col("best.doc_id").alias("o_doc_id"), F.col("best.at").alias("o_at")))
     by_leader = _confirmed(leaders, docs, threshold, id_col, text_col)
 
     settled = by_leader.withColumn("settled", F.lit(True))
     if by_leader.count() <= LOOKED_UP:
         settled = F.broadcast(settled)
-    posted = lists.select("w", "doc_id", "at", "sig", "pos").join(settled, ["doc_id", "at"], "left").withColumn("open", F.col("settled").isNull())
-    less = posted.where(F.col("pos") < _short_prefix(_words("at"), threshold)).select("w", *[F.col(c).alias(f"o_{c}") for c in ("doc_id", "at", "sig", "pos", "open")])
-    n, o_n = _words("at"), _words("o_at")
-    earlier = (F.col("o_doc_id") < F.col("doc_id")) | ((F.col("o_doc_id") == F.col("doc_id")) & (F.col("o_at") < F.col("at")))
-    meets = _filters(threshold, {c: F.col(f"o_{c}") for c in ("at", "sig", "pos")}) & ((o_n < n) | ((o_n == n) & earlier)) & F.when(earlier, F.col("open")).otherwise(F.col("o_open"))
-    ordered = [F.when(earlier, F.col(c)).otherwise(F.col(f"o_{c}")).alias(c) for c in ("doc_id", "at")]
-    ordered += [F.when(earlier, F.col(f"o_{c}")).otherwise(F.col(c)).alias(f"o_{c}") for c in ("doc_id", "at")]
-    pairs = cut(posted.drop("settled").join(less, "w").where(meets).select(*ordered).distinct())
+    posted = lists.select("w", "doc_id", "at", "sig", "pos").join(settled, ["doc_id", "at"], "left").withColumn("open", F.col("settled").isNull()).drop("settled")
+    left = near.join(settled, ["doc_id", "at"], "left_anti").select(*PAIR).union(_meetings(posted, threshold, "open").select(*PAIR))
+    pairs = cut(left.distinct().join(leaders, PAIR, "left_anti"))
     return by_leader.union(_confirmed(pairs, docs, threshold, id_col, text_col)).distinct()
 
 
@@ -223,7 +264,7 @@ def kept_lines(docs: DataFrame, threshold: int = 80, id_col: str = "doc_id", tex
     is the earlier.
     """
     classes = line_classes(docs, threshold, id_col, text_col)
-    gone = cut(repeated_places(docs, posting_lists(classes, threshold), threshold, id_col, text_col))
+    gone = cut(repeated_places(docs, classes, threshold, id_col, text_col))
     stay = without(classes.select("doc_id", "at"), gone).select(F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), F.shiftright("at", 32).cast("int").alias("ln"))
     return stay.groupBy("doc_id").agg(F.array_sort(F.collect_set("ln")).alias("kept"))
 
@@ -252,8 +293,9 @@ def drop_repeated_lines(docs: DataFrame, threshold: int = 80, id_col: str = "doc
 def op8(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     kept = kept_lines(docs).withColumnRenamed("doc_id", "_id")
-    lines = plain_lines("text")
-    filled = F.filter(F.transform(lines, lambda x, i: F.when(F.length(F.trim(x)) > 0, i)), lambda i: i.isNotNull())
+    lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
+    # from the left, so that only the white space before the first word is looked at
+    filled = F.array_compact(F.transform(lines, lambda x, i: F.when(F.ltrim(x, F.lit(BLANKS)) != "", i)))
     judged = docs.select("doc_id", F.size(lines).cast("long").alias("n_lines"), filled.alias("_filled"))
     joined = judged.join(kept, judged["doc_id"].eqNullSafe(kept["_id"]), "left")
     removed = F.array_except("_filled", F.coalesce("kept", F.array().cast("array<int>")))

@@ -303,6 +303,40 @@ def test_lines_of_few_words(spark):
     assert got == dict(want) and sum(map(len, want.values())) < 470
 
 
+def test_lines_meet_in_short_lists_and_in_long_ones(spark, monkeypatch):
+    """Variants of a few lines: only words counted often go by leaders, and either way keeps the same."""
+    rng, seen, want = random.Random(9), [], defaultdict(list)
+    bases = [[f"b{b}w{k}" for k in range(20)] for b in range(6)]
+    rows_ = [(i, "\n".join(" ".join(w if rng.random() > 0.08 else f"x{rng.randrange(40)}" for w in rng.choice(bases)) for _ in range(5))) for i in range(50)]
+    for i, text in rows_:
+        for k, line in enumerate(text.split("\n")):
+            own = set(line.split())
+            if not any(100 * len(own & s) >= 80 * len(own | s) for s in seen):
+                want[i].append(k)
+            seen.append(own)
+    docs = frame(spark, rows_)
+    # no word has more than 250 places, so no list is long
+    assert lines.posting_lists(lines.line_classes(docs, 80, "doc_id", "text"), 80).count() == 0
+    for short in (lines.SHORT, 24, 0):
+        monkeypatch.setattr(lines, "SHORT", short)
+        assert {r["doc_id"]: r["kept"] for r in lines.kept_lines(docs).collect()} == dict(want), short
+    assert lines.posting_lists(lines.line_classes(docs, 80, "doc_id", "text"), 80).count() > 0
+
+
+def test_rarity_of_words(spark):
+    """Each bucket's rank is that of its count, in order of the buckets; no row is made for a bucket without words."""
+    docs = frame(spark, [(i, "\n".join(f"W{k}\tw{k} " * (1 + k % 7) + "\r" for k in range(i, i + 90)) + "end\nline") for i in range(40)])
+    counts = Counter(w.lower() for (t,) in docs.select("text").collect() for w in words(t))
+    bucket = {r["w"]: r["b"] for r in spark.createDataFrame([(w,) for w in counts], "w string").selectExpr("w", f"xxhash64(w) & {lines.SKETCH - 1} AS b").collect()}
+    totals = Counter()
+    for w, n in counts.items():
+        totals[bucket[w]] += n
+    table = lines.rarity_table(docs, "text")
+    assert "Range (0, 4194304" not in table._jdf.queryExecution().toString()
+    got = np.array(table.first()["rarity"])
+    assert len(got) == lines.SKETCH and {b: int(got[b]) for b in np.flatnonzero(got)} == {b: min(127, int(4 * np.log2(n))) for b, n in totals.items() if n > 1}
+
+
 def test_suffixes(docs, rows, nothing):
     seen, want = {}, Counter()
     ids = sorted({i for i, *_ in rows if i is not None}) + [None]

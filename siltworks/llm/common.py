@@ -55,12 +55,12 @@ def cut(df: DataFrame) -> DataFrame:
         return df.select("*").checkpoint(eager=True)
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, options: dict | None = None) -> DataFrame:
     """As `cut`, but as a compressed table: for large rows. The table stays in the shared folder."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     with freed_shuffles(spark):
-        df.select("*").write.parquet(path)
+        df.select("*").write.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

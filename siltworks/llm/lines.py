@@ -11,11 +11,13 @@ Rarity comes from a table of word counts of fixed size (SKETCH buckets of word h
 each, summed over all lines); any total order keeps the join exact, the counts make it
 selective. The table is one array, the value of a scalar subquery, so ordering needs no join.
 
-Posting lists of words that are counted SHORT or less are short, and all their classes meet. Long
-ones come of common words and of passages with many variants. To make no square of these, each
-class first meets only the likeliest of the first and the BEFORE classes just before it in each of
-its long lists, and what that or the likeliest of its short lists confirms needs no other partner;
-the classes left over then meet all earlier classes of their lists.
+The words of a text are hashed once, into a table of lines from which they are counted, put in
+order and compared.
+
+Posting lists of words that are counted more often than SHORT says come of common words and of
+passages with many variants. To make no square of these, each class first meets only the likeliest of the
+first and the BEFORE classes just before it in each of its long lists, and what that confirms needs no
+other partner; the classes left over then meet all earlier classes of all their lists, the likeliest first.
 """
 
 from __future__ import annotations
@@ -34,9 +36,11 @@ PARTS = 1 << 11
 #: Up to so many lines (of a few dozen bytes) are looked up by broadcast, more by a shuffle.
 LOOKED_UP = 500_000
 BEFORE = 3
-#: Lists of words up to this rarity (four times the binary logarithm of a count) are short: below 2,436 classes.
+#: Lists of words up to this rarity (four times the binary logarithm of a count) are short: below 305 classes.
 #: A row of one meets fewer than so many others; their number is bounded, however many rows there are.
-SHORT = 44
+SHORT = 32
+#: Bytes of a file's dictionary of word hashes: most words of a file of the table of lines are repeated ones.
+DICTIONARY = 8 << 20
 
 
 #: White space within a line.
@@ -60,21 +64,26 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def rarity_table(docs: DataFrame, text_col: str) -> DataFrame:
-    """One row, one array: for each bucket of word hashes a coarse logarithm of its count.
+    """The rarity of the words of all texts, each as often as it occurs."""
+    # joining the lines by spaces is faster than a replacement of their ends
+    words = docs.select(F.explode(F.split(F.lower(F.array_join(plain_lines(text_col), " ")), " ", -1)).alias("w")).where("w <> ''")
+    return _rarity(words.select(F.xxhash64("w").alias("h")))
+
+
+def _rarity(hashes: DataFrame) -> DataFrame:
+    """One row, one array: for each bucket of word hashes h a coarse logarithm of its count.
 
     Its size is fixed: SKETCH entries of a byte.
     """
-    # joining the lines by spaces is faster than a replacement of their ends
-    words = docs.select(F.explode(F.split(F.lower(F.array_join(plain_lines(text_col), " ")), " ", -1)).alias("w")).where("w <> ''")
-    bucket = F.xxhash64("w").bitwiseAND(F.lit(SKETCH - 1)).cast("int").alias("b")
+    bucket = F.col("h").bitwiseAND(F.lit(SKETCH - 1)).cast("int").alias("b")
     # buckets without a row are of rank 0, as those of one word are
-    counts = words.groupBy(bucket).agg(F.count("*").alias("n")).where("n > 1")
+    counts = hashes.groupBy(bucket).agg(F.count("*").alias("n")).where("n > 1")
     rank = F.least(F.lit(127), F.floor(4 * F.log2(F.col("n").cast("double")))).cast("int")
     width = SKETCH // PARTS
     part = F.floor(F.col("b") / width).cast("int").alias("part")
     held = counts.select(part, F.shiftleft("b", 7).bitwiseOR(rank).alias("packed"))
     # every part has a row, whether a word falls into it or not
-    held = held.union(docs.sparkSession.range(PARTS).select(F.col("id").cast("int"), F.lit(None).cast("int")))
+    held = held.union(hashes.sparkSession.range(PARTS).select(F.col("id").cast("int"), F.lit(None).cast("int")))
     start = F.col("part") * width
     absent = F.array_except(F.sequence(start, start + (width - 1)), F.transform("held", lambda x: F.shiftright(x, 7)))
     packed = F.sort_array(F.concat("held", F.transform(absent, lambda b: F.shiftleft(b, 7))))
@@ -88,10 +97,24 @@ def rarity_table(docs: DataFrame, text_col: str) -> DataFrame:
 NO_ID = -(1 << 63)
 
 
+def line_words(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row for each line: doc_id, at, and the distinct hashes of its words; written.
+
+    at is the line's number and its number of words in one long, and a null id the least long.
+    """
+    lines = lines_of(docs, id_col, text_col).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "line_no", word_hashes(F.col("line")).alias("words"))
+    at = F.shiftleft(F.col("line_no").cast("long"), 32).bitwiseOR(F.size("words").cast("long"))
+    return written(lines.select("doc_id", at.alias("at"), "words"), {"parquet.dictionary.page.size": DICTIONARY})
+
+
 def line_classes(docs: DataFrame, threshold: int, id_col: str, text_col: str) -> DataFrame:
+    """The classes of the lines of all texts, as `word_classes` has them."""
+    return word_classes(line_words(docs, id_col, text_col), threshold)
+
+
+def word_classes(lines: DataFrame, threshold: int) -> DataFrame:
     """One row for each distinct set of words: doc_id and at of its first line, sig, prefix; written.
 
-    at is the line's number and its number of words in one long, and a null id the least long.
     The prefix holds the rarest words, as one long: rarity, then hash. sig has a bit for each of
     64 classes of words that the set has an odd number of.
     """
@@ -99,9 +122,9 @@ def line_classes(docs: DataFrame, threshold: int, id_col: str, text_col: str) ->
     # never null, so that the words are sorted as plain longs
     rank = lambda h: F.coalesce(F.get("rarity", h.bitwiseAND(F.lit(SKETCH - 1)).cast("int")).cast("long"), F.lit(0).cast("long"))
     ranked = lambda h: F.shiftleft(rank(h), 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))
-    lines = lines_of(docs, id_col, text_col).withColumn("rarity", rarity_table(docs, text_col).scalar())
-    # a filter on the words here would have them made twice; sets without any are one class, dropped below
-    hashed = lines.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col("line_no").alias("ln"), F.sort_array(F.transform(word_hashes(F.col("line")), ranked)).alias("words"))
+    # sets without words are no class
+    some = lines.where(_words("at") > 0).withColumn("rarity", _rarity(lines.select(F.explode("words").alias("h"))).scalar())
+    hashed = some.select("doc_id", "at", F.sort_array(F.transform("words", ranked)).alias("words"))
     bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))
     n = F.size("words")
     keyed = hashed.select(
@@ -109,45 +132,42 @@ def line_classes(docs: DataFrame, threshold: int, id_col: str, text_col: str) ->
         F.xxhash64(F.lit(1), "words", n).alias("h2"),
         F.struct(
             "doc_id",
-            F.shiftleft(F.col("ln").cast("long"), 32).bitwiseOR(n.cast("long")).alias("at"),
+            "at",
             F.aggregate("words", F.lit(0).cast("long"), lambda s, w: s.bitwiseXOR(bit(w))).alias("sig"),
             F.slice("words", F.lit(1), _prefix(n, threshold)).alias("prefix"),
         ).alias("first"),
     )
     first = keyed.groupBy("h1", "h2").agg(F.min("first").alias("first"))
-    return written(first.select("first.*").where(_words("at") > 0))
+    return written(first.select("first.*"))
 
 
-def postings(classes: DataFrame, long: bool) -> DataFrame:
-    """(w, doc_id, at, sig, pos): classes under the words of their prefixes; of long lists or of short ones.
+def postings(classes: DataFrame, *columns: str) -> DataFrame:
+    """(w, doc_id, at, sig, pos, *columns): classes under the words of their prefixes.
 
-    A list has at most as many classes as its word's bucket has words, so the rarity that a word
-    starts with tells which it is. A word of rarity 0 is the only one counted in its bucket: no
-    other line has it.
+    A list has at most as many classes as its word's bucket has words, which the rarity that a word
+    starts with tells. A word of rarity 0 is the only one counted in its bucket: no other line has it.
     """
-    rows = classes.select("doc_id", "at", "sig", F.posexplode("prefix").alias("pos", "w"))
-    rarity = F.shiftright("w", 56)
-    return rows.where(rarity > SHORT if long else (rarity > 0) & (rarity <= SHORT)).select("w", "doc_id", "at", "sig", "pos")
+    rows = classes.select("doc_id", "at", "sig", *columns, F.posexplode("prefix").alias("pos", "w"))
+    return rows.where(F.shiftright("w", 56) > 0).select("w", "doc_id", "at", "sig", "pos", *columns)
 
 
 def posting_lists(classes: DataFrame, threshold: int) -> DataFrame:
-    """(w, doc_id, at, sig, pos, best): the long lists, where other classes are too.
+    """(doc_id, at, best): for each row of a long list the likeliest of a few earlier classes.
 
-    best is the likeliest of a few earlier classes of about as many words in the same list, the
-    first and the ones just before, as (apart, doc_id, at). Both come from one shuffle by the
-    word and one sort.
+    These are of about as many words in the same list, the first and the ones just before, and
+    best is (apart, doc_id, at). Only words of short prefixes are looked at, which the variants of a
+    passage mostly share.
     """
-    rows = postings(classes, True)
+    rows = postings(classes).where((F.shiftright("w", 56) > SHORT) & (F.col("pos") < _short_prefix(_words("at"), threshold)))
     rows = rows.withColumn("band", F.floor(F.log(_words("at").cast("double")) / math.log(100 / threshold)))
     order, own = Window.partitionBy("w", "band").orderBy("doc_id", "at"), F.struct("doc_id", "at", "sig", "pos")
-    rows = rows.repartition("w").withColumns({"c0": F.first(own).over(order), **{f"c{k}": F.lag(own, k).over(order) for k in range(1, BEFORE + 1)}})
-    rows = rows.withColumn("_n", F.count("*").over(Window.partitionBy("w"))).where("_n > 1")
+    rows = rows.withColumns({"c0": F.first(own).over(order), **{f"c{k}": F.lag(own, k).over(order) for k in range(1, BEFORE + 1)}})
     likely = []
     for k in range(BEFORE + 1):
         o = {c: F.col(f"c{k}.{c}") for c in ("doc_id", "at", "sig", "pos")}
         other_line = (F.col("doc_id") != o["doc_id"]) | (F.col("at") != o["at"])
         likely.append(F.when(other_line & _filters(threshold, o), F.struct(_apart(o["sig"]).alias("apart"), o["doc_id"].alias("doc_id"), o["at"].alias("at"))))
-    return written(rows.select("w", "doc_id", "at", "sig", "pos", F.least(*likely).alias("best")))
+    return rows.select("doc_id", "at", F.least(*likely).alias("best")).where("best is not null")
 
 
 def _words(at: Column | str) -> Column:
@@ -184,39 +204,33 @@ def _filters(threshold: int, o: dict[str, Column]) -> Column:
 PAIR = ["doc_id", "at", "o_doc_id", "o_at"]
 
 
-def _meetings(posted: DataFrame, threshold: int, still: str | None = None) -> DataFrame:
-    """(*PAIR, apart): pairs within the lists that pass the filters, the later class first.
+def _meetings(posted: DataFrame, threshold: int) -> DataFrame:
+    """(*PAIR, apart): pairs within the lists that pass the filters, the later class first and open.
 
-    Classes meet those of as many words or fewer that have the word in their short prefix. With
-    a flag still, that of the later class must be set.
+    Classes meet those of as many words or fewer that have the word in their short prefix.
     """
-    flags = [still] if still else []
-    less = posted.where(F.col("pos") < _short_prefix(_words("at"), threshold)).select("w", *[F.col(c).alias(f"o_{c}") for c in ("doc_id", "at", "sig", "pos", *flags)])
+    less = posted.where(F.col("pos") < _short_prefix(_words("at"), threshold)).select("w", *[F.col(c).alias(f"o_{c}") for c in ("doc_id", "at", "sig", "pos", "open")])
     n, o_n = _words("at"), _words("o_at")
     earlier = (F.col("o_doc_id") < F.col("doc_id")) | ((F.col("o_doc_id") == F.col("doc_id")) & (F.col("o_at") < F.col("at")))
     meets = _filters(threshold, {c: F.col(f"o_{c}") for c in ("at", "sig", "pos")}) & ((o_n < n) | ((o_n == n) & earlier))
-    if still:
-        meets &= F.when(earlier, F.col(still)).otherwise(F.col(f"o_{still}"))
+    meets &= F.when(earlier, F.col("open")).otherwise(F.col("o_open"))
     ordered = [F.when(earlier, F.col(c)).otherwise(F.col(f"o_{c}")).alias(c) for c in ("doc_id", "at")]
     ordered += [F.when(earlier, F.col(f"o_{c}")).otherwise(F.col(c)).alias(f"o_{c}") for c in ("doc_id", "at")]
     return posted.join(less, "w").where(meets).select(*ordered, _apart(F.col("o_sig")).alias("apart")).distinct()
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, threshold: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, at) of the pairs whose lines are as similar as asked for."""
+def _sets(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+    """The rows of lines that the pairs name."""
     here, there = pairs.select("doc_id", "at"), pairs.select(F.col("o_doc_id").alias("doc_id"), F.col("o_at").alias("at"))
     wanted = cut(here.union(there).distinct())
-    in_doc = wanted.groupBy("doc_id").agg(F.collect_list("at").alias("places"))
     if wanted.count() <= LOOKED_UP:
-        in_doc = F.broadcast(in_doc)
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col(text_col).alias("text"))
-    # only texts with such a place are split, and each place goes on with its own line alone
-    held = texts.join(in_doc, "doc_id").select("doc_id", "places", plain_lines("text").alias("lines"))
-    line_at = lambda at: F.struct(at.alias("at"), F.get("lines", F.shiftright(at, 32).cast("int")).alias("line"))
-    # rows that share an id may have other lines at a place: the number of words tells
-    words = held.select("doc_id", F.inline(F.transform("places", line_at))).select("doc_id", "at", word_hashes(F.col("line")).alias("words"))
-    # both sides of the joins below read one shuffle of these
-    sets = words.where(F.size("words") == _words("at"))
+        wanted = F.broadcast(wanted)
+    return cut(lines.join(wanted, ["doc_id", "at"], "left_semi"))
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """(doc_id, at) of the pairs whose lines are as similar as asked for."""
+    # rows that share an id may have other lines at a place: the number of words, in at, tells
     a = sets.select(F.col("doc_id").alias("x"), F.col("at").alias("y"), "words")
     b = sets.select(F.col("doc_id").alias("o_x"), F.col("at").alias("o_y"), F.col("words").alias("o_words"))
     common = F.size(F.array_intersect("words", "o_words"))
@@ -226,27 +240,31 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, threshold: int, id_col: str, t
     return cut(both.where(hit).select("doc_id", "at").distinct())
 
 
-def repeated_places(docs: DataFrame, classes: DataFrame, threshold: int, id_col: str, text_col: str) -> DataFrame:
+def _likeliest(met: DataFrame) -> DataFrame:
+    """PAIR: each class of (doc_id, at, best) with the other one of its least best."""
+    best = met.groupBy("doc_id", "at").agg(F.min("best").alias("best"))
+    return cut(best.select("doc_id", "at", F.col("best.doc_id").alias("o_doc_id"), F.col("best.at").alias("o_at")))
+
+
+def repeated_places(lines: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
     """(doc_id, at) of every class with an earlier class of similarity threshold / 100 or more.
 
-    In short lists all classes meet. First each class is compared with the likeliest of those it
-    met there and of a few earlier ones in its long lists; then, if that didn't settle it, with
-    the others that it met and with all that it meets in long lists.
+    First each class is compared with the likeliest of a few earlier ones in its long lists. Those
+    that this didn't settle meet all earlier classes of their lists, and are compared with the
+    likeliest of them, then, if that didn't settle it either, with the others.
     """
-    near = cut(_meetings(postings(classes, False), threshold))
-    lists = posting_lists(classes, threshold)
-    best = near.select("doc_id", "at", F.struct("apart", F.col("o_doc_id").alias("doc_id"), F.col("o_at").alias("at")).alias("best"))
-    best = best.union(lists.where("best is not null").select("doc_id", "at", "best")).groupBy("doc_id", "at").agg(F.min("best").alias("best"))
-    leaders = cut(best.select("doc_id", "at", F.col("best.doc_id").alias("o_doc_id"), F.col("best.at").alias("o_at")))
-    by_leader = _confirmed(leaders, docs, threshold, id_col, text_col)
-
+    leaders = _likeliest(posting_lists(classes, threshold))
+    by_leader = _confirmed(leaders, _sets(leaders, lines), threshold)
     settled = by_leader.withColumn("settled", F.lit(True))
     if by_leader.count() <= LOOKED_UP:
         settled = F.broadcast(settled)
-    posted = lists.select("w", "doc_id", "at", "sig", "pos").join(settled, ["doc_id", "at"], "left").withColumn("open", F.col("settled").isNull()).drop("settled")
-    left = near.join(settled, ["doc_id", "at"], "left_anti").select(*PAIR).union(_meetings(posted, threshold, "open").select(*PAIR))
-    pairs = cut(left.distinct().join(leaders, PAIR, "left_anti"))
-    return by_leader.union(_confirmed(pairs, docs, threshold, id_col, text_col)).distinct()
+    flagged = classes.join(settled, ["doc_id", "at"], "left").withColumn("open", F.col("settled").isNull())
+    near = cut(_meetings(postings(flagged, "open"), threshold))
+    likeliest = _likeliest(near.select("doc_id", "at", F.struct("apart", F.col("o_doc_id").alias("doc_id"), F.col("o_at").alias("at")).alias("best")))
+    sets = _sets(near, lines)
+    by_likeliest = _confirmed(likeliest, sets, threshold)
+    left = without(near.select(*PAIR), by_likeliest).join(likeliest, PAIR, "left_anti")
+    return by_leader.union(by_likeliest).union(_confirmed(left, sets, threshold))
 
 
 def without(rows: DataFrame, places: DataFrame) -> DataFrame:
@@ -264,8 +282,9 @@ def kept_lines(docs: DataFrame, threshold: int = 80, id_col: str = "doc_id", tex
     place stays if any of its lines does, and of two lines at one place the one of fewer words
     is the earlier.
     """
-    classes = line_classes(docs, threshold, id_col, text_col)
-    gone = cut(repeated_places(docs, classes, threshold, id_col, text_col))
+    lines = line_words(docs, id_col, text_col)
+    classes = word_classes(lines, threshold)
+    gone = cut(repeated_places(lines, classes, threshold))
     stay = without(classes.select("doc_id", "at"), gone).select(F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), F.shiftright("at", 32).cast("int").alias("ln"))
     return stay.groupBy("doc_id").agg(F.array_sort(F.collect_set("ln")).alias("kept"))
 

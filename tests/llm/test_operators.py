@@ -323,6 +323,19 @@ def test_lines_meet_in_short_lists_and_in_long_ones(spark, monkeypatch):
     assert lines.posting_lists(lines.line_classes(docs, 80, "doc_id", "text"), 80).count() > 0
 
 
+def test_variants_of_a_line_make_no_square(spark, monkeypatch):
+    """Variants that a leader settles meet no others, so the pairs follow the number of lines."""
+    met, meetings = [], lines._meetings
+    monkeypatch.setattr(lines, "_meetings", lambda *a: met.append(pairs := meetings(*a)) or pairs)
+    base = [f"b{k}" for k in range(40)]
+    for n in (400, 800):
+        rows_ = [(i, " ".join([*base[: i % 40], f"x{i}", *base[i % 40 + 1 :]])) for i in range(n)]
+        got = lines.kept_lines(frame(spark, rows_)).collect()
+        assert [(r["doc_id"], r["kept"]) for r in got] == [(0, [0])]
+        assert sum(pairs.count() for pairs in met) <= n
+        met.clear()
+
+
 def test_rarity_of_words(spark):
     """Each bucket's rank is that of its count, in order of the buckets; no row is made for a bucket without words."""
     docs = frame(spark, [(i, "\n".join(f"W{k}\tw{k} " * (1 + k % 7) + "\r" for k in range(i, i + 90)) + "end\nline") for i in range(40)])

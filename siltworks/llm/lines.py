@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from siltworks.llm.common import WORD, cut, table, written
 
-SKETCH = 1 << 22
+SKETCH = 1 << 21
 #: Buckets are put in order in so many parts, then the parts.
 PARTS = 1 << 11
 #: Up to so many lines (of a few dozen bytes) are looked up by broadcast, more by a shuffle.
@@ -49,8 +49,11 @@ BLANKS = " \t\x0b\x0c\r"
 
 def plain_lines(text_col: str) -> Column:
     """Lines of a text, with white space as spaces."""
-    spaced = reduce(lambda x, c: F.replace(x, F.lit(c), F.lit(" ")), BLANKS[1:], F.coalesce(F.col(text_col), F.lit("")))
-    return F.split(spaced, "\n", -1)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    spaced = reduce(lambda x, c: F.replace(x, F.lit(c), F.lit(" ")), BLANKS[1:], text)
+    # most texts have none of these, and to look for one is faster than to replace it
+    some = reduce(lambda x, y: x | y, [F.contains(text, F.lit(c)) for c in BLANKS[1:]])
+    return F.split(F.when(some, spaced).otherwise(text), "\n", -1)
 
 
 def word_hashes(line: Column) -> Column:
@@ -138,7 +141,7 @@ def word_classes(lines: DataFrame, threshold: int) -> DataFrame:
         ).alias("first"),
     )
     first = keyed.groupBy("h1", "h2").agg(F.min("first").alias("first"))
-    return written(first.select("first.*"))
+    return written(first.select("first.*"), {"parquet.dictionary.page.size": DICTIONARY})
 
 
 def postings(classes: DataFrame, *columns: str) -> DataFrame:
@@ -166,7 +169,7 @@ def posting_lists(classes: DataFrame, threshold: int) -> DataFrame:
     for k in range(BEFORE + 1):
         o = {c: F.col(f"c{k}.{c}") for c in ("doc_id", "at", "sig", "pos")}
         other_line = (F.col("doc_id") != o["doc_id"]) | (F.col("at") != o["at"])
-        likely.append(F.when(other_line & _filters(threshold, o), F.struct(_apart(o["sig"]).alias("apart"), o["doc_id"].alias("doc_id"), o["at"].alias("at"))))
+        likely.append(F.when(other_line & _filters(threshold, o, F.col("pos")), F.struct(_apart(o["sig"]).alias("apart"), o["doc_id"].alias("doc_id"), o["at"].alias("at"))))
     return rows.select("doc_id", "at", F.least(*likely).alias("best")).where("best is not null")
 
 
@@ -188,7 +191,7 @@ def _apart(o_sig: Column) -> Column:
     return F.bit_count(F.col("sig").bitwiseXOR(o_sig))
 
 
-def _filters(threshold: int, o: dict[str, Column]) -> Column:
+def _filters(threshold: int, o: dict[str, Column], pos: Column) -> Column:
     """Whether a match at pos with another set o at its pos may be the first of a similar pair.
 
     The lengths must be close, enough words must follow in both sets, and the signatures may
@@ -197,7 +200,7 @@ def _filters(threshold: int, o: dict[str, Column]) -> Column:
     """
     n, o_n = _words(F.col("at")), _words(o["at"])
     length = 100 * F.least(n, o_n) >= threshold * F.greatest(n, o_n)
-    position = (100 + threshold) * F.least(n - F.col("pos"), o_n - o["pos"]) >= threshold * (n + o_n)
+    position = (100 + threshold) * F.least(n - pos, o_n - o["pos"]) >= threshold * (n + o_n)
     return length & ((100 + threshold) * _apart(o["sig"]) <= (100 - threshold) * (n + o_n)) & position
 
 
@@ -209,14 +212,18 @@ def _meetings(posted: DataFrame, threshold: int) -> DataFrame:
 
     Classes meet those of as many words or fewer that have the word in their short prefix.
     """
-    less = posted.where(F.col("pos") < _short_prefix(_words("at"), threshold)).select("w", *[F.col(c).alias(f"o_{c}") for c in ("doc_id", "at", "sig", "pos", "open")])
+    # a row is shuffled twice, so it is kept short: half of a word's hash will do, and pos and open are one number
+    tag = F.shiftleft("pos", 1).bitwiseOR(F.col("open").cast("int")).alias("tag")
+    short = lambda rows: rows.select(F.hash("w").alias("w"), "doc_id", "at", "sig", tag)
+    less = short(posted.where(F.col("pos") < _short_prefix(_words("at"), threshold))).select("w", *[F.col(c).alias(f"o_{c}") for c in ("doc_id", "at", "sig", "tag")])
     n, o_n = _words("at"), _words("o_at")
     earlier = (F.col("o_doc_id") < F.col("doc_id")) | ((F.col("o_doc_id") == F.col("doc_id")) & (F.col("o_at") < F.col("at")))
-    meets = _filters(threshold, {c: F.col(f"o_{c}") for c in ("at", "sig", "pos")}) & ((o_n < n) | ((o_n == n) & earlier))
-    meets &= F.when(earlier, F.col("open")).otherwise(F.col("o_open"))
+    o = {"at": F.col("o_at"), "sig": F.col("o_sig"), "pos": F.shiftright("o_tag", 1)}
+    meets = _filters(threshold, o, F.shiftright("tag", 1)) & ((o_n < n) | ((o_n == n) & earlier))
+    meets &= F.when(earlier, F.col("tag")).otherwise(F.col("o_tag")).bitwiseAND(F.lit(1)) == 1
     ordered = [F.when(earlier, F.col(c)).otherwise(F.col(f"o_{c}")).alias(c) for c in ("doc_id", "at")]
     ordered += [F.when(earlier, F.col(f"o_{c}")).otherwise(F.col(c)).alias(f"o_{c}") for c in ("doc_id", "at")]
-    return posted.join(less, "w").where(meets).select(*ordered, _apart(F.col("o_sig")).alias("apart")).distinct()
+    return short(posted).join(less, "w").where(meets).select(*ordered, _apart(F.col("o_sig")).alias("apart")).distinct()
 
 
 def _sets(pairs: DataFrame, lines: DataFrame) -> DataFrame:
@@ -313,10 +320,10 @@ def drop_repeated_lines(docs: DataFrame, threshold: int = 80, id_col: str = "doc
 def op8(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     kept = kept_lines(docs).withColumnRenamed("doc_id", "_id")
-    lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
+    lines = docs.select("doc_id", F.split(F.coalesce("text", F.lit("")), "\n", -1).alias("_lines"))
     # from the left, so that only the white space before the first word is looked at
-    filled = F.array_compact(F.transform(lines, lambda x, i: F.when(F.ltrim(x, F.lit(BLANKS)) != "", i)))
-    judged = docs.select("doc_id", F.size(lines).cast("long").alias("n_lines"), filled.alias("_filled"))
+    filled = F.array_compact(F.transform("_lines", lambda x, i: F.when(F.ltrim(x, F.lit(BLANKS)) != "", i)))
+    judged = lines.select("doc_id", F.size("_lines").cast("long").alias("n_lines"), filled.alias("_filled"))
     joined = judged.join(kept, judged["doc_id"].eqNullSafe(kept["_id"]), "left")
     removed = F.array_except("_filled", F.coalesce("kept", F.array().cast("array<int>")))
     return joined.select("doc_id", "n_lines", F.size(removed).cast("long").alias("n_removed"), F.array_join(removed, ",").alias("removed_lines"))

@@ -212,18 +212,21 @@ def _meetings(posted: DataFrame, threshold: int) -> DataFrame:
 
     Classes meet those of as many words or fewer that have the word in their short prefix.
     """
-    # a row is shuffled twice, so it is kept short: half of a word's hash will do, and pos and open are one number
-    tag = F.shiftleft("pos", 1).bitwiseOR(F.col("open").cast("int")).alias("tag")
-    short = lambda rows: rows.select(F.hash("w").alias("w"), "doc_id", "at", "sig", tag)
-    less = short(posted.where(F.col("pos") < _short_prefix(_words("at"), threshold))).select("w", *[F.col(c).alias(f"o_{c}") for c in ("doc_id", "at", "sig", "tag")])
+    # a row is shuffled twice, so it is kept short: half of a word's hash, pos and open are one long
+    tag = F.shiftleft("pos", 1).bitwiseOR(F.col("open").cast("int")).cast("long")
+    key = F.shiftleft(F.hash("w").cast("long"), 32).bitwiseOR(tag).alias("key")
+    less = posted.where(F.col("pos") < _short_prefix(_words("at"), threshold)).select(key.alias("o_key"), *[F.col(c).alias(f"o_{c}") for c in ("doc_id", "at", "sig")])
+    word = lambda k: F.shiftright(k, 32)
+    pos = lambda k: F.shiftright(k.bitwiseAND(F.lit((1 << 32) - 1)), 1).cast("int")
     n, o_n = _words("at"), _words("o_at")
     earlier = (F.col("o_doc_id") < F.col("doc_id")) | ((F.col("o_doc_id") == F.col("doc_id")) & (F.col("o_at") < F.col("at")))
-    o = {"at": F.col("o_at"), "sig": F.col("o_sig"), "pos": F.shiftright("o_tag", 1)}
-    meets = _filters(threshold, o, F.shiftright("tag", 1)) & ((o_n < n) | ((o_n == n) & earlier))
-    meets &= F.when(earlier, F.col("tag")).otherwise(F.col("o_tag")).bitwiseAND(F.lit(1)) == 1
+    o = {"at": F.col("o_at"), "sig": F.col("o_sig"), "pos": pos(F.col("o_key"))}
+    meets = _filters(threshold, o, pos(F.col("key"))) & ((o_n < n) | ((o_n == n) & earlier))
+    meets &= F.when(earlier, F.col("key")).otherwise(F.col("o_key")).bitwiseAND(F.lit(1)) == 1
     ordered = [F.when(earlier, F.col(c)).otherwise(F.col(f"o_{c}")).alias(c) for c in ("doc_id", "at")]
     ordered += [F.when(earlier, F.col(f"o_{c}")).otherwise(F.col(c)).alias(f"o_{c}") for c in ("doc_id", "at")]
-    return short(posted).join(less, "w").where(meets).select(*ordered, _apart(F.col("o_sig")).alias("apart")).distinct()
+    joined = posted.select(key, "doc_id", "at", "sig").join(less, word(F.col("key")) == word(F.col("o_key")))
+    return joined.where(meets).select(*ordered, _apart(F.col("o_sig")).alias("apart")).distinct()
 
 
 def _sets(pairs: DataFrame, lines: DataFrame) -> DataFrame:
@@ -232,7 +235,8 @@ def _sets(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     wanted = cut(here.union(there).distinct())
     if wanted.count() <= LOOKED_UP:
         wanted = F.broadcast(wanted)
-    return cut(lines.join(wanted, ["doc_id", "at"], "left_semi"))
+    # as a table, of which both sides of the joins of pairs read one shuffle
+    return written(lines.join(wanted, ["doc_id", "at"], "left_semi"), {"parquet.dictionary.page.size": DICTIONARY})
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -271,7 +275,8 @@ def repeated_places(lines: DataFrame, classes: DataFrame, threshold: int) -> Dat
     sets = _sets(near, lines)
     by_likeliest = _confirmed(likeliest, sets, threshold)
     left = without(near.select(*PAIR), by_likeliest).join(likeliest, PAIR, "left_anti")
-    return by_leader.union(by_likeliest).union(_confirmed(left, sets, threshold))
+    left = cut(left)
+    return by_leader.union(by_likeliest).union(_confirmed(left, _sets(left, sets), threshold))
 
 
 def without(rows: DataFrame, places: DataFrame) -> DataFrame:
